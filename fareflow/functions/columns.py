@@ -252,14 +252,23 @@ def coalesce_all(cols: Iterable[str], default) -> list[Column]:
 
 # Exact averages -------------------------------------------------------------------------
 def exact_avg(c: str | Column, scale: int = 2, digits: int = 4) -> Column:
-    """Average of values carrying at most ``scale`` decimals, rounded half-up
-    to ``digits`` and returned as DOUBLE.
+    """Average of values carrying at most ``scale`` decimals, rounded half away
+    from zero to ``digits`` and returned as DOUBLE.
 
-    The sum is taken in DECIMAL, so the result does not depend on the order
-    rows arrive in (a DOUBLE average can land either side of a rounding tie).
+    Computed in integer arithmetic (sum of scaled units, then one integer
+    division), so the result does not depend on the order rows arrive in and
+    is never rounded twice.
     """
-    x = col(c).cast(f"decimal(38,{scale})")
-    return F.round(F.try_divide(F.sum(x), F.count(x)), digits).cast("double")
+    x = col(c)
+    units = F.round(x.cast("double") * (10 ** scale)).cast("decimal(38,0)")
+    total = F.sum(units)
+    n = F.count(x).cast("decimal(38,0)")
+    shift = digits - scale
+    num = F.abs(total) * F.lit(10 ** max(shift, 0)).cast("decimal(38,0)")
+    den = n * F.lit(10 ** max(-shift, 0)).cast("decimal(38,0)")
+    q = F.floor((num * 2 + den) / (den * 2))
+    res = F.signum(total) * q.cast("double") / F.lit(float(10 ** digits))
+    return F.when(F.count(x) == 0, F.lit(None).cast("double")).otherwise(res)
 
 
 def money_sum(c: str | Column, scale: int = 2) -> Column:
