@@ -260,8 +260,11 @@ def exact_avg(c: str | Column, scale: int = 2, digits: int = 4) -> Column:
     is never rounded twice.
     """
     x = col(c)
-    units = F.round(x.cast("double") * (10 ** scale)).cast("decimal(38,0)")
-    total = F.sum(units)
+    scaled = x.cast("double") * F.lit(float(10 ** scale))
+    # Per row: long arithmetic only (stays in generated code); the DECIMAL
+    # work below runs once per group.
+    units = (scaled + F.when(scaled >= 0, F.lit(0.5)).otherwise(F.lit(-0.5))).cast("long")
+    total = F.sum(units).cast("decimal(38,0)")
     n = F.count(x).cast("decimal(38,0)")
     shift = digits - scale
     num = F.abs(total) * F.lit(10 ** max(shift, 0)).cast("decimal(38,0)")

@@ -10,7 +10,7 @@ from fareflow.functions.columns import PAYMENT_DESCRIPTIONS, PAYMENT_OTHER, SURR
 from fareflow.sources.driver import (CONGESTION_GREEN, CONGESTION_YELLOW, EXTRA, FIRST_EXTRACT,
                                      IMPROVEMENT, PAYMENT_LOOKUP, REFETCH_EXTRACT, TOLLS)
 
-_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 _TIP = f"CAST({_PRICE} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))"
 _TAX = f"CAST({_PRICE} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2))"
 _PICKUP = "(l_shipdate + to_hours(CAST(l_linenumber AS BIGINT)))"

@@ -63,7 +63,9 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
 
 
 def _money(c) -> F.Column:
-    return F.col(c).cast("decimal(18,2)")
+    # DECIMAL(12,2) keeps products with DECIMAL(4,2) rates at 17 digits, so
+    # Spark computes them on longs instead of BigDecimal.
+    return F.col(c).cast("decimal(12,2)")
 
 
 def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
