@@ -117,11 +117,10 @@ def rate(predicate: Column) -> Column:
 
 # AGG-25 ------------------------------------------------------------------------------
 def replay_state(events: DataFrame, key: str, seq: str, state: str) -> DataFrame:
-    """Current state per key from an event log: the state of the latest event,
-    the number of events and the ordered list of states.
-
-    ``collect_list`` is per key and bounded by that key's event count; the
-    ordering is applied by sorting the collected structs, not by a shuffle.
+    """Current state per key from an event log: the state of the latest
+    event (``max_by`` on the sequence), the number of events and the last
+    sequence value.  All three are partial aggregates, so a key with many
+    events is combined map-side instead of being collected.
     """
     return (events.groupBy(key)
                   .agg(F.max_by(state, seq).alias("current_" + state),
@@ -144,9 +143,8 @@ def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, s
     """Top-``k`` store vectors by cosine similarity for every query vector.
 
     The query set is small by construction (checked: at most ``max_queries``
-    rows) and is shipped to every task as one literal-sized array, so each
-    store vector is scored against all queries in a single pass with no
-    join.  ``row_number() <= k`` lets Spark insert a partial group limit
+    rows); it is packed into one row and broadcast, so each store vector is
+    scored against all queries in a single pass without shuffling the store.  ``row_number() <= k`` lets Spark insert a partial group limit
     before the shuffle, so each query's group carries at most
     ``k × partitions`` rows.
     """

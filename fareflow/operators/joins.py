@@ -142,19 +142,15 @@ def hot_keys(df: DataFrame, key: str, min_share: float) -> list:
     """Keys holding at least ``min_share`` of all rows.
 
     At most ``1 / min_share`` keys can qualify, so the collected list has a
-    proven bound.  One aggregation pass with map-side combine.
+    proven bound.  The total is a scalar subquery and the per-key counts are
+    a partial-then-final aggregate; no step gathers all keys in one task.
     """
-    total = F.sum("n").over(_whole())
+    total = df.select(F.count(F.lit(1))).scalar()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.withColumn("share", F.col("n") / total).filter(F.col("share") >= min_share)
+    hot = counts.filter(F.col("n") >= total * F.lit(min_share))
     return [r[key] for r in hot.select(key).limit(int(1 / min_share) + 1).collect()]
 
 
-def _whole():
-    from pyspark.sql import Window
-    return Window.partitionBy()
-
-
 def split_hot_join(fact: DataFrame, dim: DataFrame, key: str, hot: Sequence,
                    how: str = "inner") -> DataFrame:
     """Join hot keys by broadcasting their dimension rows, the rest normally.

@@ -704,3 +704,29 @@ SELECT CAST(l_extendedprice / 1000 AS INTEGER) AS k_price, count(*) AS n FROM li
 def scl02(spark, sf):
     li = D.table(spark, sf, "lineitem")
     return A.count_by(li, C.round_to_int(F.col("l_extendedprice") / 1000).alias("k_price"), name="n")
+
+
+@query("agg26_run_metrics", ids=("AGG-26", "AGG-23", "AGG-24"),
+       oracle="""
+WITH d AS (
+  SELECT CAST(ts AS DATE) AS day, round(avg(value), 6) AS avg_duration,
+         round(quantile_cont(value, 0.99), 6) AS p99_duration, count(*) AS rows,
+         round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
+  FROM events GROUP BY 1)
+SELECT *, round((rows - lag(rows) OVER (ORDER BY day)) / lag(rows) OVER (ORDER BY day), 6) AS row_drift,
+       abs((rows - lag(rows) OVER (ORDER BY day)) / lag(rows) OVER (ORDER BY day)) > 0.05 AS drift_alert
+FROM d""")
+def agg26(spark, sf):
+    """Daily run metrics over the event log read as a run log (value =
+    duration, error events = failed runs): one row per day, so the
+    day-over-day drift window runs on a table whose size is the number of
+    days, not the number of events."""
+    from fareflow.plans.metrics import run_metrics
+    ev = D.table(spark, sf, "events").select(
+        F.to_date("ts").alias("day"), F.col("value").alias("duration"), F.lit(1).alias("rows"),
+        (F.col("event_type") == "error").alias("failed"))
+    m = run_metrics(ev, "day", "duration", "rows", "failed")
+    return m.select("day", F.round("avg_duration", 6).alias("avg_duration"),
+                    F.round("p99_duration", 6).alias("p99_duration"), "rows",
+                    F.round("error_rate", 6).alias("error_rate"),
+                    F.round("row_drift", 6).alias("row_drift"), "drift_alert")

@@ -229,13 +229,13 @@ def cdc_changes(spark, sf):
 def str09(spark, sf):
     old, _ = snapshots(spark, sf)
     table = scratch_path(spark, "str09-table")
-    (old.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("name"),
-                F.col("c_acctbal").alias("balance")).write.parquet(table))
+    S.init_cdc_table(old.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("name"),
+                                F.col("c_acctbal").alias("balance")), table)
     landing = scratch_path(spark, "str09-changes")
     cdc_changes(spark, sf).write.parquet(landing)
     stream = S.file_stream(spark, landing, S.CDC_SCHEMA)
     S.run_foreach_batch(stream, scratch_path(spark, "str09-ck"), S.cdc_writer(table))
-    return spark.read.parquet(table)
+    return spark.read.parquet(table).drop("bucket")
 
 
 @query("str10_cdc_audit_history", ids=("STR-10",),
