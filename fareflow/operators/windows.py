@@ -1,12 +1,15 @@
 """Window-style operators (WIN-*).
 
-Deduplication ("keep the first row per key") is written as a grouped
-aggregate of ``min``/``max`` over a struct whose leading fields are the
-ordering columns and whose trailing fields are every other column.  That is
-the same result as ``row_number() = 1`` with a total tie-break (S6), but it
-aggregates map-side first: a key holding a third of all rows is reduced to
-one row per input partition before the shuffle instead of being sorted in a
-single task.
+De-duplication ("keep the first row per key") orders by the given columns
+and then by every other column, so the survivor is always the same row (S6).
+
+``keep_first`` is ``row_number() = 1`` over that total order.  Spark plans
+it with a *partial* ``WindowGroupLimit`` before the shuffle, so each input
+partition forwards at most one row per key; a key holding a third of all
+rows reaches the final window as at most one row per map partition, not as
+one giant sorted group.  ``keep_first_aggregate`` is the same result as a
+grouped ``min``/``max`` over a struct (also combined map-side, but through
+a sort-based aggregate, which measured slower).
 """
 
 from __future__ import annotations
@@ -17,14 +20,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 descending: bool) -> list[Column]:
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    cols = list(order) + rest
+    return [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in cols]
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                descending: bool = False) -> DataFrame:
     """One row per ``keys``: the first by ``order`` then by all other columns.
 
-    Ascending uses ``min`` (NULLs first, like ``ASC NULLS FIRST``); descending
-    uses ``max`` (NULLs last, like ``DESC NULLS LAST``).  Output keeps the
-    input column order.
+    Ascending sorts NULLs first, descending NULLs last (the orderings of
+    ``keep_first_aggregate``'s ``min``/``max`` on structs).
     """
+    return keep_first_window(df, keys, _total_order(df, keys, order, descending))
+
+
+def keep_first_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                         descending: bool = False) -> DataFrame:
+    """Same result as ``keep_first`` via ``min``/``max`` over a struct."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in list(order) + rest])
@@ -35,10 +50,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def keep_first_window(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """``row_number() = 1`` form (QUALIFY rewritten as a filter, S4).
-
-    Kept for mixed-direction orderings; prefer ``keep_first`` for skewed keys.
-    """
+    """``row_number() = 1`` over an explicit ordering (QUALIFY rewritten as
+    a filter, S4); Spark adds the partial group limit before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 

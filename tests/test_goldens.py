@@ -155,9 +155,7 @@ def test_keep_first_matches_window(spark, sf_small):
     from fareflow.plans import inputs as I
     u = I.unioned(spark, sf_small)
     a = W.keep_first(u, M.FCT_KEY, ["pickup_datetime"])
-    rest = [c for c in u.columns if c not in M.FCT_KEY]
-    b = W.keep_first_window(u, M.FCT_KEY, [F.col("pickup_datetime").asc()] +
-                            [F.col(c).asc_nulls_first() for c in rest])
+    b = W.keep_first_aggregate(u, M.FCT_KEY, ["pickup_datetime"])
     assert a.exceptAll(b.select(*a.columns)).count() == 0
     assert a.count() == b.count() == u.select(*M.FCT_KEY).distinct().count()
 

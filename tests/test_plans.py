@@ -106,8 +106,10 @@ def test_top_k_uses_partial_group_limit(spark, sf_small):
     assert out.groupBy("query_id").count().filter(F.col("count") != 3).count() == 0
 
 
-def test_dedup_is_partial_aggregate(spark, sf_small):
+def test_dedup_limits_each_key_before_the_shuffle(spark, sf_small):
     from fareflow.plans.models import FCT_KEY
     from fareflow.operators.windows import keep_first
     plan = LY.plan_text(keep_first(I.unioned(spark, sf_small), FCT_KEY, ["pickup_datetime"]), "simple")
-    assert "partial_min" in plan and "Window" not in plan
+    partial = plan.index("row_number(), 1, Partial")
+    exchange = plan.rindex("Exchange hashpartitioning(vendor_id", 0, partial)
+    assert exchange < partial  # the partial limit sits below (before) the exchange
