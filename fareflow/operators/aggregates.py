@@ -166,7 +166,7 @@ def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, s
                .select(F.col("m.query_id").alias("query_id"), "doc_id",
                        F.round(F.col("m.score"), 6).alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (scored.withColumn("rank", F.row_number().over(w))
+    return (scored.withColumn("rank", F.row_number().over(w).cast("bigint"))
                   .filter(F.col("rank") <= k))
 
 

@@ -470,7 +470,7 @@ SELECT hour(pickup_datetime) AS hour, count(*) AS trip_count,
 FROM notebook_trips GROUP BY 1 ORDER BY 1"""))
 def agg19(spark, sf):
     t = I.notebook_trips(spark, sf)
-    return (t.groupBy(C.hour_of("pickup_datetime").alias("hour"))
+    return (t.groupBy(C.hour_of("pickup_datetime").cast("bigint").alias("hour"))
              .agg(F.count(F.lit(1)).alias("trip_count"),
                   C.exact_avg("trip_distance").alias("avg_trip_distance"))
              .orderBy("hour"))
@@ -647,16 +647,22 @@ def scl11(spark, sf):
 
 @query("scl12_row_id_binary", ids=("SCL-12",),
        oracle=sql("""
-SELECT unhex(md5(COALESCE(CAST(VendorID AS VARCHAR), '') || COALESCE(CAST(tpep_pickup_datetime AS VARCHAR), '')
+SELECT lower(hex(unhex(md5(COALESCE(CAST(VendorID AS VARCHAR), '') || COALESCE(CAST(tpep_pickup_datetime AS VARCHAR), '')
         || COALESCE(CAST(tpep_dropoff_datetime AS VARCHAR), '') || COALESCE(CAST(PULocationID AS VARCHAR), '')
-        || COALESCE(CAST(DOLocationID AS VARCHAR), ''))) AS unique_row_id,
+        || COALESCE(CAST(DOLocationID AS VARCHAR), ''))))) AS unique_row_id_hex,
+       octet_length(unhex(md5(''))) AS id_bytes,
        'yellow_tripdata' AS filename, *
 FROM raw_yellow"""))
 def scl12(spark, sf):
+    """The 16-byte binary id, rendered as hex for comparison (the binary
+    column itself is what a table of the BigQuery form stores)."""
     y = D.raw_yellow(spark, sf)
     rid = C.row_id_binary(y, ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
                               "PULocationID", "DOLocationID"])
-    return P.star_plus(y, {"unique_row_id": rid, "filename": F.lit("yellow_tripdata")}, front=True)
+    out = P.star_plus(y, {"unique_row_id": rid, "filename": F.lit("yellow_tripdata")}, front=True)
+    return out.select(F.lower(F.hex("unique_row_id")).alias("unique_row_id_hex"),
+                      F.octet_length("unique_row_id").cast("bigint").alias("id_bytes"),
+                      *[c for c in out.columns if c != "unique_row_id"])
 
 
 @query("scl14_concat_split", ids=("SCL-14", "SCL-17"),
