@@ -97,10 +97,12 @@ def high_water_mark(target: DataFrame | None, source: DataFrame, col: str) -> Da
 def scd2(history: DataFrame | None, snapshot: DataFrame, key: Sequence[str], updated_at: str,
          tracked: Sequence[str], valid_from: str = "valid_from",
          valid_to: str = "valid_to") -> DataFrame:
-    """LOAD-11 snapshot, timestamp strategy.
+    """LOAD-11 snapshot (SCD type 2).
 
-    Open rows (``valid_to`` NULL) whose tracked columns differ from the new
-    snapshot are closed at the snapshot's ``updated_at``; changed and new
+    A key changes when any ``tracked`` column differs from its open row
+    (the "check" strategy; pass the ``updated_at`` column in ``tracked`` for
+    the timestamp strategy).  Open rows (``valid_to`` NULL) that changed are
+    closed at the snapshot's ``updated_at``; changed and new
     keys open a row.  Keys missing from the snapshot stay open (hard
     deletes are not invalidated).  Closed history passes through untouched.
     """
@@ -183,13 +185,31 @@ def replace_then_append(spark: SparkSession, chunks: Sequence[DataFrame], path:
         append(c, path)
 
 
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]) -> None:
-    """Merge ``source`` into the Parquet table at ``path`` (write-then-swap)."""
+def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                 partition_col: str | None = None) -> None:
+    """Merge ``source`` into the Parquet table at ``path``.
+
+    Unpartitioned target: rewrite and swap.  With ``partition_col`` (a
+    column determined by the key, e.g. a hash bucket of it, so a key never
+    moves between partitions) only the partitions present in ``source`` are
+    read, merged and replaced by a dynamic partition overwrite; the cost of
+    a merge then follows the batch, not the table.
+    """
     if not path_exists(spark, path):
-        write_swap(source, path)
+        w = source.write
+        if partition_col:
+            w = w.partitionBy(partition_col)
+        w.parquet(path)
         return
-    target = spark.read.parquet(path)
-    write_swap(upsert(target, source.select(*target.columns), keys), path)
+    if partition_col is None:
+        target = spark.read.parquet(path)
+        write_swap(upsert(target, source.select(*target.columns), keys), path)
+        return
+    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+    target = spark.read.parquet(path).filter(F.col(partition_col).isin(touched))
+    merged = upsert(target, source.select(*target.columns), keys).checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))
 
 
 def insert_only_table(spark: SparkSession, path: str, source: DataFrame, id_col: str) -> int:

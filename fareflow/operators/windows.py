@@ -63,9 +63,30 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def moving_average(df: DataFrame, part: str, ts: str, value: str,
-                   seconds: int = 300, out: str = "moving_avg") -> DataFrame:
-    """WIN-06: average over the trailing ``seconds`` (inclusive) per ``part``."""
+                   seconds: int = 300, out: str = "moving_avg",
+                   chunk_seconds: int = 3600) -> DataFrame:
+    """WIN-06: average of ``value`` over the trailing ``seconds`` (inclusive)
+    per ``part``, for every row.
+
+    Exact and skew-safe: each key's timeline is cut into ``chunk_seconds``
+    chunks and the window runs per (key, chunk).  Rows in the last
+    ``seconds`` of a chunk are copied into the next chunk as context (so its
+    first rows see their full history) and dropped after the window.  A key
+    holding a third of all rows is therefore spread over as many tasks as it
+    has chunks; at most ``seconds / chunk_seconds`` of the rows are copied.
+    """
+    if seconds >= chunk_seconds:
+        raise ValueError("chunk_seconds must exceed the window length")
     secs = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000)
-    w = (Window.partitionBy(part).orderBy(secs)
+    chunk = F.floor(secs / chunk_seconds).cast("long")
+    near_end = secs - chunk * chunk_seconds >= chunk_seconds - seconds
+    copies = F.when(near_end, F.array(F.struct(chunk.alias("c"), F.lit(False).alias("ctx")),
+                                      F.struct((chunk + 1).alias("c"), F.lit(True).alias("ctx"))))\
+              .otherwise(F.array(F.struct(chunk.alias("c"), F.lit(False).alias("ctx"))))
+    x = (df.withColumn("__secs", secs)
+           .withColumn("__copy", F.explode(copies))
+           .withColumn("__chunk", F.col("__copy.c")))
+    w = (Window.partitionBy(part, "__chunk").orderBy("__secs")
          .rangeBetween(-seconds, 0))
-    return df.withColumn(out, F.avg(value).over(w))
+    res = x.withColumn(out, F.avg(value).over(w))
+    return res.filter(~F.col("__copy.ctx")).drop("__secs", "__copy", "__chunk")

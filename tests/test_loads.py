@@ -110,3 +110,17 @@ def test_daily_job_overwrites_only_its_day(spark, sf_small, tmp):
     got = spark.read.parquet(p)
     want = o.filter(F.to_date("o_orderdate").isin(days)).count()
     assert got.count() == want
+
+
+def test_partition_scoped_upsert_equals_full_rewrite(spark, sf_small, tmp):
+    from fareflow.functions.columns import hash_bucket
+    old, new = snapshots(spark, sf_small)
+    b_old = old.withColumn("bucket", hash_bucket(8, "c_custkey"))
+    b_new = new.withColumn("bucket", hash_bucket(8, "c_custkey"))
+    p = f"{tmp}/bucketed"
+    L.upsert_table(spark, p, b_old, ["c_custkey"], partition_col="bucket")
+    changed = b_new.join(b_old, ["c_custkey", "c_acctbal", "c_mktsegment", "bucket"], "left_anti")
+    L.upsert_table(spark, p, changed, ["c_custkey"], partition_col="bucket")
+    got = spark.read.parquet(p).select("c_custkey", "c_acctbal", "c_mktsegment")
+    want = L.upsert(old, new, ["c_custkey"])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
