@@ -53,13 +53,13 @@ def prj12(spark, sf):
 
 @query("prj11_products_default", ids=("PRJ-11", "SCL-20"),
        oracle="""
-SELECT COALESCE(CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_brand END, 'N/A') AS brand,
+SELECT COALESCE(CASE WHEN p_size > 45 THEN NULL ELSE p_brand END, 'N/A') AS brand,
        COALESCE(CAST(p_retailprice AS VARCHAR), 'N/A') AS price,
        'N/A' AS rating
 FROM part""")
 def prj11(spark, sf):
     products = D.table(spark, sf, "part").select(
-        F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(F.col("p_brand")).alias("brand"),
+        F.when(F.col("p_size") > 45, F.lit(None)).otherwise(F.col("p_brand")).alias("brand"),
         F.col("p_retailprice").alias("price"))
     return P.project_with_default(products, ["brand", "price", "rating"])
 
@@ -318,17 +318,28 @@ def jon18(spark, sf):
     return A.count_by(J.anti_join(c, o, "c_custkey"), "c_mktsegment", name="customers")
 
 
-_SNAP_OLD = "SELECT c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 13 <> 0"
-_SNAP_NEW = """SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
-       c_mktsegment FROM customer WHERE c_custkey % 11 <> 0"""
+_SNAP_OLD = """SELECT c_custkey, c_acctbal, c_mktsegment FROM customer c
+WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderdate < TIMESTAMP '1997-01-01')"""
+_SNAP_NEW = """SELECT c_custkey, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal,
+       c_mktsegment FROM customer WHERE c_acctbal >= 0"""
 
 
 def snapshots(spark, sf):
-    """Two versions of the customer table: some rows changed, added, removed."""
+    """Two versions of the customer table, by content (not by id):
+
+    * day 1 — customers known then: those with an order before 1997;
+    * day 2 — every customer in good standing (negative-balance accounts
+      are closed, i.e. removed), with a balance credit for the AUTOMOBILE
+      segment (changed rows); customers whose first order came later are
+      new.
+    """
     c = D.table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    old = c.filter(F.col("c_custkey") % 13 != 0)
-    new = c.filter(F.col("c_custkey") % 11 != 0).withColumn(
-        "c_acctbal", F.when(F.col("c_custkey") % 7 == 0, F.col("c_acctbal") + 100)
+    early = (D.table(spark, sf, "orders")
+             .filter(F.col("o_orderdate") < F.lit("1997-01-01 00:00:00").cast("timestamp_ntz"))
+             .select(F.col("o_custkey").alias("c_custkey")))
+    old = c.join(early, "c_custkey", "left_semi")
+    new = c.filter(F.col("c_acctbal") >= 0).withColumn(
+        "c_acctbal", F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.col("c_acctbal") + 100)
                       .otherwise(F.col("c_acctbal")))
     return old, new
 
@@ -378,12 +389,12 @@ def agg07(spark, sf):
 @query("job11_brand_avg_price", ids=("JOB-11", "AGG-08", "PRJ-11", "SRT-02"),
        oracle="""
 SELECT brand, round(avg(price), 2) AS avg_price FROM (
-  SELECT COALESCE(CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_brand END, 'N/A') AS brand,
+  SELECT COALESCE(CASE WHEN p_size > 45 THEN NULL ELSE p_brand END, 'N/A') AS brand,
          p_retailprice AS price FROM part)
 GROUP BY brand ORDER BY avg_price DESC""")
 def job11(spark, sf):
     products = D.table(spark, sf, "part").select(
-        F.coalesce(F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(F.col("p_brand")),
+        F.coalesce(F.when(F.col("p_size") > 45, F.lit(None)).otherwise(F.col("p_brand")),
                    F.lit("N/A")).alias("brand"),
         F.col("p_retailprice").alias("price"))
     return A.avg_rounded_desc(products, "brand", "price")
