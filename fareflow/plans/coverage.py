@@ -69,7 +69,11 @@ FUNCTIONS = {
     "LAY-12": "operators.layout.compact (tests/test_io.py)",
     "LAY-13": "operators.layout.archive_split (tests/test_io.py)",
     "LAY-14": "operators.layout.plan_text / join_strategies (tests/test_plans.py)",
-    "JOB-08": "load06_insert_only_merge (staged copy + row id + merge)",
+    "JOB-07": "plans.loading.ingest_months (tests/test_io.py)",
+    "JOB-08": "plans.loading.row_id_merge_load (tests/test_io.py)",
+    "JOB-10": "plans.loading.convert_csv_to_parquet (tests/test_io.py)",
+    "STR-03": "streaming.jobs.run_available (availableNow), start_micro_batches (processing time)",
+    "LOAD-13": "plans.loading.landed + insert_only_table",
 }
 
 

@@ -164,6 +164,14 @@ def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append
     q.awaitTermination()
 
 
+def start_micro_batches(df: DataFrame, path: str, checkpoint: str, interval: str = "1 minute",
+                        mode: str = "append", fmt: str = "parquet"):
+    """STR-03: a long-running query with a processing-time trigger; returns
+    the ``StreamingQuery`` handle (the caller stops it)."""
+    return (df.writeStream.outputMode(mode).format(fmt).option("checkpointLocation", checkpoint)
+              .trigger(processingTime=interval).start(path))
+
+
 def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a stream to completion into a fresh Parquet location under the
     shared checkpoint root and return the result as a batch frame."""

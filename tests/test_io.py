@@ -163,3 +163,48 @@ def test_from_pandas_schema_sample(spark):
     s = SRC.schema_from_sample(spark, pdf, 1000)
     assert [f.name for f in s.fields] == ["a", "b"]
     assert os.path.exists("/root/testdata/sf0.001/orders.parquet")
+
+
+def test_job07_ingest_months_from_files(spark, sf_small, tmp):
+    from fareflow.plans.loading import ingest_months
+    y = D.raw_yellow(spark, sf_small)
+    g = D.raw_green(spark, sf_small)
+    for m in ("1998-01", "1998-02"):
+        y.filter(F.date_format("tpep_pickup_datetime", "yyyy-MM") == m).write.parquet(
+            f"{tmp}/yellow_tripdata_{m}.parquet")
+    g.filter(F.date_format("lpep_pickup_datetime", "yyyy-MM") == "1998-02").write.parquet(
+        f"{tmp}/green_tripdata_1998-02.parquet")
+    df = ingest_months(spark, tmp, ["yellow", "green"], "1998-01-01", "1998-03-01", "2024-06-01 00:00:00")
+    from fareflow.plans.models import INGEST_TYPES
+    assert df.columns == list(INGEST_TYPES)
+    got = {r.taxi_type: r.n for r in df.groupBy("taxi_type").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want_y = y.filter(F.date_format("tpep_pickup_datetime", "yyyy-MM").isin("1998-01", "1998-02")).count()
+    want_g = g.filter(F.date_format("lpep_pickup_datetime", "yyyy-MM") == "1998-02").count()
+    assert got == {"yellow": want_y, "green": want_g}
+    assert df.filter(F.col("taxi_type") == "green").filter(F.col("airport_fee").isNotNull()).count() == 0
+
+
+def test_job08_row_id_merge_load_is_rerun_safe(spark, sf_small, tmp):
+    from fareflow.plans.loading import row_id_merge_load
+    y = D.raw_yellow(spark, sf_small)
+    jan = y.filter(F.date_format("tpep_pickup_datetime", "yyyy-MM") == "1998-01")
+    feb = y.filter(F.date_format("tpep_pickup_datetime", "yyyy-MM") == "1998-02")
+    p = f"{tmp}/yellow_tripdata"
+    n1 = row_id_merge_load(spark, jan, p, "yellow", "yellow_tripdata_1998-01.csv")
+    n2 = row_id_merge_load(spark, feb, p, "yellow", "yellow_tripdata_1998-02.csv")
+    n3 = row_id_merge_load(spark, jan, p, "yellow", "yellow_tripdata_1998-01.csv")
+    assert (n1, n2, n3) == (jan.count(), feb.count(), 0)
+    t = spark.read.parquet(p)
+    assert t.count() == n1 + n2 and t.columns[:2] == ["unique_row_id", "filename"]
+    b = f"{tmp}/yellow_bq"
+    row_id_merge_load(spark, jan, b, "yellow", "f.csv", binary_id=True)
+    assert dict(spark.read.parquet(b).dtypes)["unique_row_id"] == "binary"
+
+
+def test_job10_csv_to_parquet(spark, sf_small, tmp):
+    from fareflow.plans.loading import convert_csv_to_parquet
+    y = D.raw_yellow(spark, sf_small)
+    SNK.write(y, f"{tmp}/csv", fmt="csv", mode="overwrite", header=True, compression="gzip")
+    convert_csv_to_parquet(spark, f"{tmp}/csv", YELLOW_SCHEMA, "tpep_pickup_datetime", f"{tmp}/pq", partitions=4)
+    back = spark.read.parquet(f"{tmp}/pq").drop("year", "month")
+    assert back.exceptAll(y).count() == 0 and back.count() == y.count()

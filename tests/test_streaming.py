@@ -98,3 +98,14 @@ def test_dedup_within_watermark(spark, sf_small):
     s2 = S.event_time(S.file_stream(spark, f"{sf_small}/events.parquet", ev.schema))
     out = S.run_to_table(S.dedup_events(s1.unionByName(s2), ["event_id"], "ts"), "dedup")
     assert out.count() == ev.count()
+
+
+def test_processing_time_trigger(spark, sf_small, tmp):
+    ev = D.table(spark, sf_small, "events")
+    q = S.start_micro_batches(S.stateless_clean(S.file_stream(spark, f"{sf_small}/events.parquet", ev.schema)),
+                              f"{tmp}/out", f"{tmp}/ck", "1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{tmp}/out").count() == ev.filter("value >= 0").count()
