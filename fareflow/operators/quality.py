@@ -48,20 +48,25 @@ def _failing(check: Check) -> Column:
     raise ValueError(check.kind)
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def run_checks(df: DataFrame, checks: Sequence[Check],
+               extra: Sequence[tuple[str, str | None, Column]] = ()) -> DataFrame:
     """Evaluate checks → ``check_name, column_name, failures (bigint), status``.
 
     NULLs are not failures for value checks (only ``not_null`` sees them);
     ``unique`` ignores NULL keys and counts rows in duplicated groups.
+    ``extra`` holds ``(check_name, column_name, aggregate)`` custom checks
+    whose aggregate yields the failure count; they are computed in the same
+    single pass as the column checks.
     """
     simple = [c for c in checks if c.kind != "unique"]
     parts: list[DataFrame] = []
-    if simple:
-        aggs = [F.count_if(F.coalesce(_failing(c), F.lit(False))).alias(f"c{i}")
-                for i, c in enumerate(simple)]
-        one = df.agg(*aggs)
-        stack = ", ".join(f"'{c.name}', '{c.column}', c{i}" for i, c in enumerate(simple))
-        parts.append(one.selectExpr(f"stack({len(simple)}, {stack}) AS (check_name, column_name, failures)"))
+    specs = [(c.name, c.column, F.count_if(F.coalesce(_failing(c), F.lit(False)))) for c in simple]
+    specs += list(extra)
+    if specs:
+        one = df.agg(*[a.cast("bigint").alias(f"c{i}") for i, (_, _, a) in enumerate(specs)])
+        stack = ", ".join(f"'{n}', {'NULL' if col is None else repr(col)}, c{i}"
+                          for i, (n, col, _) in enumerate(specs))
+        parts.append(one.selectExpr(f"stack({len(specs)}, {stack}) AS (check_name, column_name, failures)"))
     for c in checks:
         if c.kind == "unique":
             dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column)
@@ -94,13 +99,22 @@ def custom_check(spark, name: str, sql_text: str, expected) -> DataFrame:
                      .alias("failures")).transform(with_status)
 
 
-def duplicate_count(df: DataFrame, cols: Sequence[str]) -> Column:
-    """DQ-07: ``count(*) - count(distinct (cols))`` (tuples with NULLs count)."""
-    return F.count(F.lit(1)) - F.count_distinct(F.struct(*cols))
+def duplicate_count(df: DataFrame, cols: Sequence[str], where: Column | None = None) -> Column:
+    """DQ-07: ``count(*) - count(distinct (cols))`` over the rows matching
+    ``where`` (tuples with NULL members count as values)."""
+    if where is None:
+        return F.count(F.lit(1)) - F.count_distinct(F.struct(*cols))
+    return F.count_if(where) - F.count_distinct(F.when(where, F.struct(*cols)))
+
+
+def row_count_check(low: int, high: int) -> tuple[str, None, Column]:
+    """DQ-09 as an ``extra`` aggregate for ``run_checks`` (same pass)."""
+    n = F.count(F.lit(1))
+    return ("row_count_between", None, F.when((n >= low) & (n <= high), F.lit(0)).otherwise(F.lit(1)))
 
 
 def row_count_between(df: DataFrame, low: int, high: int) -> DataFrame:
-    """DQ-09."""
+    """DQ-09 on its own."""
     n = df.agg(F.count(F.lit(1)).alias("n"))
     return n.select(F.lit("row_count_between").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
                     F.when((F.col("n") >= low) & (F.col("n") <= high), F.lit(0)).otherwise(F.lit(1))

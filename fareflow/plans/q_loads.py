@@ -152,12 +152,9 @@ SELECT 'no_duplicate_trips', NULL, CAST(COUNT(*) - COUNT(DISTINCT (pickup_dateti
 FROM staging_trips WHERE pickup_datetime >= TIMESTAMP '1990-01-01' AND pickup_datetime < TIMESTAMP '2030-01-01'"""))
 def dq11_staging(spark, sf):
     staging = I.staging_trips(spark, sf)
-    res = Q.run_checks(staging, STAGING_CHECKS)
-    window = staging.filter(L.in_range("pickup_datetime", I.ALL_START, I.ALL_END))
-    dup = window.agg(Q.duplicate_count(window, M.STAGING_KEY).alias("failures")).select(
-        F.lit("no_duplicate_trips").alias("check_name"), F.lit(None).cast("string").alias("column_name"),
-        "failures")
-    return res.unionByName(Q.with_status(dup))
+    in_window = L.in_range("pickup_datetime", I.ALL_START, I.ALL_END)
+    dup = ("no_duplicate_trips", None, Q.duplicate_count(staging, M.STAGING_KEY, in_window))
+    return Q.run_checks(staging, STAGING_CHECKS, extra=[dup])
 
 
 REPORT_CHECKS = ([Q.Check("not_null", "trip_date"), Q.Check("not_null", "taxi_type")]
@@ -209,9 +206,9 @@ SELECT check_name, column_name, failures, CASE WHEN failures = 0 THEN 'PASS' ELS
          CAST(CASE WHEN count(*) BETWEEN 1 AND 1000000000 THEN 0 ELSE 1 END AS BIGINT) FROM fct_trips)"""))
 def dq05(spark, sf):
     fct = I.fct_trips(spark, sf)
-    res = Q.run_checks(fct, [Q.Check("accepted_values", "payment_type", values=(1, 2, 3, 4, 5, 6)),
-                             Q.Check("between", "passenger_count", low=0, high=6)])
-    return res.unionByName(Q.row_count_between(fct, 1, 1_000_000_000))
+    return Q.run_checks(fct, [Q.Check("accepted_values", "payment_type", values=(1, 2, 3, 4, 5, 6)),
+                              Q.Check("between", "passenger_count", low=0, high=6)],
+                        extra=[Q.row_count_check(1, 1_000_000_000)])
 
 
 @query("dq10_dead_letter", ids=("DQ-10",),
