@@ -143,8 +143,8 @@ def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, s
     """Top-``k`` store vectors by cosine similarity for every query vector.
 
     The query set is small by construction (checked: at most ``max_queries``
-    rows); it is packed into one row and broadcast, so each store vector is
-    scored against all queries in a single pass without shuffling the store.  ``row_number() <= k`` lets Spark insert a partial group limit
+    rows); it is packed into one value (a scalar subquery), so each store
+    vector is scored against all queries in a single pass without any join.  ``row_number() <= k`` lets Spark insert a partial group limit
     before the shuffle, so each query's group carries at most
     ``k × partitions`` rows.
     """
@@ -152,17 +152,15 @@ def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, s
     if not row_count_at_most(queries, max_queries):
         raise ValueError("query set larger than the checked bound")
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("qv"))
-    packed = q.agg(F.collect_list(F.struct("query_id", "qv")).alias("qs"))
-    # Attach the packed query list as a one-row broadcast side of an equi-join
-    # on a constant key (one row, so each store row meets exactly one row).
+    # The packed query list is a scalar subquery: evaluated once, shipped to
+    # every task with the plan, no join with the store.
+    packed = q.agg(F.collect_list(F.struct("query_id", "qv")).alias("qs")).scalar()
     s = store.select(F.col(store_id).alias("doc_id"), F.col(store_vec).alias("dv"),
-                     F.lit(1).alias("__one"))
-    p = F.broadcast(packed.withColumn("__one", F.lit(1)))
-    scored = (s.join(p, "__one")
-               .select("doc_id", F.explode(F.transform(
-                   "qs", lambda e: F.struct(e["query_id"].alias("query_id"),
-                                            cosine(e["qv"], F.col("dv")).alias("score"))))
-                   .alias("m"))
+                     packed.alias("qs"))
+    scored = (s.select("doc_id", F.explode(F.transform(
+                  "qs", lambda e: F.struct(e["query_id"].alias("query_id"),
+                                             cosine(e["qv"], F.col("dv")).alias("score"))))
+                  .alias("m"))
                .select(F.col("m.query_id").alias("query_id"), "doc_id",
                        F.round(F.col("m.score"), 6).alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
