@@ -747,3 +747,27 @@ def agg26(spark, sf):
                     F.round("p99_duration", 6).alias("p99_duration"), "rows",
                     F.round("error_rate", 6).alias("error_rate"),
                     F.round("row_drift", 6).alias("row_drift"), "drift_alert")
+
+
+@query("src14_external_table", ids=("SRC-14", "SRC-05", "AGG-02"),
+       oracle="""
+SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE l_discount = 0) AS n_no_discount
+FROM lineitem GROUP BY 1""")
+def src14(spark, sf):
+    """Files queried by name through SQL (an external table over a URI)."""
+    from fareflow.sources.files import external_table
+    external_table(spark, "ext_lineitem", [f"{sf.rstrip('/')}/lineitem.parquet"])
+    return spark.sql("""SELECT l_returnflag, count(*) AS n,
+                               count_if(l_discount = 0) AS n_no_discount
+                        FROM ext_lineitem GROUP BY l_returnflag""")
+
+
+@query("lay10_partition_balance", ids=("LAY-10", "LAY-01", "LAY-09"))
+def lay10(spark, sf):
+    """Rows per partition of the line items after a size-based repartition
+    (partition count depends on the cluster: rows-only check)."""
+    from fareflow.operators import layout as LY
+    li = D.table(spark, sf, "lineitem")
+    n = LY.target_partitions(LY.input_bytes(spark, f"{sf.rstrip('/')}/lineitem.parquet"),
+                             spark.sparkContext.defaultParallelism)
+    return LY.skew_report(li.repartition(n))
