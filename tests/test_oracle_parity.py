@@ -34,3 +34,17 @@ def test_entry_flagship(spark):
 def test_every_query_has_survey_ids():
     from fareflow.plans.catalog import REGISTRY
     assert all(e.ids for e in REGISTRY.values())
+
+
+TZ_SENSITIVE = ["job01_monthly_revenue_zone_id", "agg19_by_hour", "agg28_weekly_retention",
+                "win06_moving_average", "str01_tumbling_counts", "str14_recent_categories"]
+
+
+@pytest.mark.parametrize("name", TZ_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, sf_small, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, name, QUERIES[name], ORACLES[name], sf_small, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert r["ok"], r

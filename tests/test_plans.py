@@ -113,3 +113,24 @@ def test_dedup_limits_each_key_before_the_shuffle(spark, sf_small):
     partial = plan.index("row_number(), 1, Partial")
     exchange = plan.rindex("Exchange hashpartitioning(vendor_id", 0, partial)
     assert exchange < partial  # the partial limit sits below (before) the exchange
+
+
+def test_filter_before_join_is_the_same_plan(spark, sf_small):
+    t = I.notebook_trips(spark, sf_small)
+    z = D.zones(spark, sf_small).select(F.col("locationid").alias("PULocationID"), "zone")
+    pred = (F.col("service_type") == "green") & (F.col("payment_type") == 1)
+    before = t.filter(pred).join(z, "PULocationID")
+    after = t.join(z, "PULocationID").filter(pred)
+    opt = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    strip = lambda s: re.sub(r"#\d+L?", "", s)
+    assert strip(opt(before)) == strip(opt(after))
+
+
+def test_dataframe_and_sql_forms_agree(spark, sf_small):
+    from fareflow.functions.columns import exact_avg
+    import __spark_entry__ as E
+    t = I.notebook_trips(spark, sf_small)
+    df_form = (t.filter(F.col("fare_amount") > 50000).groupBy("PULocationID")
+                .agg(exact_avg("tip_amount").alias("avg_tip")).orderBy(F.col("avg_tip").desc()))
+    sql_form = E.queries()["agg20_sql_form"](spark, sf_small)
+    assert df_form.exceptAll(sql_form).count() == 0 and sql_form.exceptAll(df_form).count() == 0
