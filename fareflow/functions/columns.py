@@ -41,6 +41,9 @@ SURROGATE_SEP = "-"
 # Numeric scales (S1): dbt track and BigQuery track.
 DBT_DECIMAL = "decimal(18,3)"
 BQ_DECIMAL = "decimal(38,9)"
+# Numbers inside hash keys: three places (prints like DECIMAL(18,3)), wide
+# enough that no double in range overflows the cast (S9).
+KEY_DECIMAL = "decimal(38,3)"
 # ---------------------------------------------------------------------------
 
 
@@ -137,14 +140,14 @@ def _key_text(df: DataFrame, name: str, numeric: str) -> Column:
     return c.cast("string")
 
 
-def row_id_text(df: DataFrame, cols: Sequence[str], numeric: str = DBT_DECIMAL) -> Column:
+def row_id_text(df: DataFrame, cols: Sequence[str], numeric: str = KEY_DECIMAL) -> Column:
     """SCL-11: md5 over the undelimited concatenation, NULL → '' (faithful, S8)."""
     parts = [F.coalesce(_key_text(df, c, numeric), F.lit("")) for c in cols]
     return F.md5(F.concat(*parts))
 
 
 def row_id_text_delimited(df: DataFrame, cols: Sequence[str],
-                          numeric: str = DBT_DECIMAL, sep: str = "\u001f") -> Column:
+                          numeric: str = KEY_DECIMAL, sep: str = "\u001f") -> Column:
     """Collision-free variant of SCL-11: a unit separator between fields."""
     parts = [F.coalesce(_key_text(df, c, numeric), F.lit("")) for c in cols]
     return F.md5(F.concat_ws(sep, *parts))
@@ -155,7 +158,7 @@ def row_id_binary(df: DataFrame, cols: Sequence[str], numeric: str = BQ_DECIMAL)
     return F.unhex(row_id_text(df, cols, numeric))
 
 
-def surrogate_key(df: DataFrame, cols: Sequence[str], numeric: str = DBT_DECIMAL) -> Column:
+def surrogate_key(df: DataFrame, cols: Sequence[str], numeric: str = KEY_DECIMAL) -> Column:
     """SCL-13: md5 of fields joined by '-', NULL → sentinel (S10)."""
     parts = [F.coalesce(_key_text(df, c, numeric), F.lit(SURROGATE_NULL)) for c in cols]
     return F.md5(F.concat_ws(SURROGATE_SEP, *parts))
@@ -201,9 +204,10 @@ def base_id(c: str | Column) -> Column:
 
     ``B02884`` → number 2884; divisible by 7 → ``s/``, else by 3 → ``a/``,
     else ``e/``; then the number in lower-case hex padded (never truncated)
-    to three digits (S18).  NULL in → NULL out.
+    to three digits (S18).  NULL or a non-numeric body → NULL (the Python
+    original raises, which would fail a whole job on one dirty row).
     """
-    num = F.substring(col(c), 2, 1 << 30).cast("int")
+    num = F.substring(col(c), 2, 1 << 30).try_cast("int")
     hx = F.lower(F.hex(num))
     padded = F.lpad(hx, F.greatest(F.lit(3), F.length(hx)), F.lit("0"))
     prefix = (F.when(num % 7 == 0, F.lit("s/"))
@@ -215,7 +219,10 @@ def base_id(c: str | Column) -> Column:
 def _base_id_py(s: str | None) -> str | None:
     if s is None:
         return None
-    n = int(s[1:])
+    try:
+        n = int(s[1:])
+    except ValueError:
+        return None
     head = "s" if n % 7 == 0 else ("a" if n % 3 == 0 else "e")
     return f"{head}/{n:03x}"
 

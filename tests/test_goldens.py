@@ -47,7 +47,9 @@ def test_s8_undelimited_row_id_collides(spark):
 
 def test_s9_numbers_in_keys_print_fixed(spark):
     df = spark.createDataFrame([(15000000.0,)], "x double")
-    assert df.select(C._key_text(df, "x", C.DBT_DECIMAL)).first()[0] == "15000000.000"
+    assert df.select(C._key_text(df, "x", C.KEY_DECIMAL)).first()[0] == "15000000.000"
+    big = spark.createDataFrame([(1e20,)], "x double")
+    assert big.select(C.row_id_text(big, ["x"])).first()[0] is not None
 
 
 def test_s10_surrogate_null_differs_from_empty(spark):
@@ -85,9 +87,9 @@ def test_s17_desc_nulls_last(spark):
 
 
 def test_s18_base_id(spark):
-    df = spark.createDataFrame([("B02884",), ("B00003",), ("B00001",), ("B65536",), (None,)], "b string")
+    df = spark.createDataFrame([("B02884",), ("B00003",), ("B00001",), ("B65536",), (None,), ("Bxx",)], "b string")
     native = [r[0] for r in df.select(C.base_id("b")).collect()]
-    assert native == ["s/b44", "a/003", "e/001", "e/10000", None]
+    assert native == ["s/b44", "a/003", "e/001", "e/10000", None, None]
     udf = [r[0] for r in df.select(C.base_id_udf("b")).collect()]
     assert udf == native
 
