@@ -109,3 +109,22 @@ def test_processing_time_trigger(spark, sf_small, tmp):
     finally:
         q.stop()
     assert spark.read.parquet(f"{tmp}/out").count() == ev.filter("value >= 0").count()
+
+
+def test_restart_processes_only_new_files(spark, sf_small, tmp):
+    ev, days = _split_by_day(spark, sf_small, f"{tmp}/all")
+    import shutil
+    os.makedirs(f"{tmp}/in")
+    parts = sorted(glob.glob(f"{tmp}/all/part-*"))
+    half = len(parts) // 2
+    for p in parts[:half]:
+        shutil.copytree(p, f"{tmp}/in/{os.path.basename(p)}")
+    def run():
+        s = S.file_stream(spark, f"{tmp}/in/*/*.parquet", ev.schema)
+        S.run_available(S.stateless_clean(s), f"{tmp}/out", f"{tmp}/ck")
+    run()
+    first = spark.read.parquet(f"{tmp}/out").count()
+    for p in parts[half:]:
+        shutil.copytree(p, f"{tmp}/in/{os.path.basename(p)}")
+    run()
+    assert first < spark.read.parquet(f"{tmp}/out").count() == ev.filter("value >= 0").count()
