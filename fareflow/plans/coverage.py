@@ -74,6 +74,7 @@ FUNCTIONS = {
     "JOB-10": "plans.loading.convert_csv_to_parquet (tests/test_io.py)",
     "STR-03": "streaming.jobs.run_available (availableNow), start_micro_batches (processing time)",
     "LOAD-13": "plans.loading.landed + insert_only_table",
+    "JOB-13": "plans.retrieval.rebuild_store / search (tests/test_io.py)",
 }
 
 

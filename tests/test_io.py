@@ -208,3 +208,16 @@ def test_job10_csv_to_parquet(spark, sf_small, tmp):
     convert_csv_to_parquet(spark, f"{tmp}/csv", YELLOW_SCHEMA, "tpep_pickup_datetime", f"{tmp}/pq", partitions=4)
     back = spark.read.parquet(f"{tmp}/pq").drop("year", "month")
     assert back.exceptAll(y).count() == 0 and back.count() == y.count()
+
+
+def test_job13_rebuild_store_then_search(spark, sf_small, tmp):
+    from fareflow.plans.retrieval import rebuild_store, search
+    emb = D.table(spark, sf_small, "embeddings")
+    p = f"{tmp}/store"
+    rebuild_store(emb, p)
+    rebuild_store(emb, p)  # drop: true — a rebuild replaces, never appends
+    assert spark.read.parquet(p).count() == emb.count()
+    queries = emb.groupBy("label").agg(F.first("embedding").alias("qv")).withColumnRenamed("label", "query_id")
+    hits = search(spark, p, queries, 3)
+    assert hits.count() == 3 * queries.count()
+    assert hits.filter(F.col("rank") == 1).filter(F.col("score") < 0.999).count() == 0
