@@ -284,3 +284,15 @@ def exact_avg(c: str | Column, scale: int = 2, digits: int = 4) -> Column:
 def money_sum(c: str | Column, scale: int = 2) -> Column:
     """Order-independent sum of money as DOUBLE (exact DECIMAL sum first)."""
     return F.sum(col(c).cast(f"decimal(38,{scale})")).cast("double")
+
+
+def exact_ratio(num: str | Column, den: str | Column, digits: int = 6) -> Column:
+    """``num / den`` for integer-valued columns, rounded half away from zero
+    to ``digits`` in integer arithmetic (no double rounding), as DOUBLE;
+    NULL when ``den`` is 0 or NULL."""
+    n = col(num).cast("decimal(38,0)")
+    d = col(den).cast("decimal(38,0)")
+    scaled = F.abs(n) * F.lit(10 ** digits).cast("decimal(38,0)")
+    q = F.floor((scaled * 2 + F.abs(d)) / (F.abs(d) * 2))
+    res = F.signum(n) * F.signum(d) * q.cast("double") / F.lit(float(10 ** digits))
+    return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(res)

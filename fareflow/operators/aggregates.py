@@ -29,19 +29,24 @@ def count_where(df: DataFrame, predicate: Column | None = None, name: str = "n")
 
 
 # AGG-06 ------------------------------------------------------------------------
-def group_stats(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Count, average rounded to one place, and max per group, sorted by key."""
+def group_stats(df: DataFrame, key: str, value: str, scale: int = 0) -> DataFrame:
+    """Count, average rounded half-up to one place, and max per group,
+    sorted by key.  The average is exact (``exact_avg``; ``scale`` = decimal
+    places of the values), so a mean of exactly x.x5 always rounds up."""
+    from fareflow.functions.columns import exact_avg
     return (df.groupBy(key)
               .agg(F.count(F.lit(1)).alias("count"),
-                   F.round(F.avg(value), 1).alias("avg_" + value),
+                   exact_avg(value, scale, 1).alias("avg_" + value),
                    F.max(value).alias("max_" + value))
               .orderBy(key))
 
 
 # AGG-08 ------------------------------------------------------------------------
 def avg_rounded_desc(df: DataFrame, key: str, value: str, digits: int = 2,
-                     name: str = "avg_price") -> DataFrame:
-    return (df.groupBy(key).agg(F.round(F.avg(value), digits).alias(name))
+                     name: str = "avg_price", scale: int = 2) -> DataFrame:
+    """Average per key rounded half-up to ``digits`` (exact), highest first."""
+    from fareflow.functions.columns import exact_avg
+    return (df.groupBy(key).agg(exact_avg(value, scale, digits).alias(name))
               .orderBy(F.col(name).desc_nulls_last()))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.operators.aggregates import p99, rate
+from fareflow.operators.aggregates import p99
 
 
 def week_start(ts: str) -> F.Column:
@@ -30,14 +30,22 @@ def weekly_retention(events: DataFrame, user: str, ts: str) -> DataFrame:
 
 def run_metrics(runs: DataFrame, day: str, duration: str, rows: str, failed: str) -> DataFrame:
     """AGG-26: per-day average and p99 duration, error rate, and row-count
-    drift against the previous day (flagged outside ±5 %)."""
+    drift against the previous day (flagged outside ±5 %).
+
+    Averages and ratios are rounded exactly (integer arithmetic) to six
+    places; the drift flag compares integers.  The day-over-day window runs
+    on the per-day table (one row per day)."""
     from pyspark.sql import Window
+    from fareflow.functions.columns import exact_avg, exact_ratio
     daily = runs.groupBy(day).agg(
-        F.avg(duration).alias("avg_duration"),
+        exact_avg(duration, 2, 6).alias("avg_duration"),
         p99(duration).alias("p99_duration"),
         F.sum(rows).alias("rows"),
-        rate(F.col(failed)).alias("error_rate"))
+        F.count_if(F.col(failed)).alias("__failed"),
+        F.count(F.lit(1)).alias("__runs"))
     prev = F.lag("rows").over(Window.orderBy(day))
-    drift = (F.col("rows") - prev) / prev
-    return daily.withColumn("row_drift", drift).withColumn(
-        "drift_alert", F.abs(F.col("row_drift")) > 0.05)
+    return (daily.withColumn("error_rate", exact_ratio("__failed", "__runs"))
+                 .withColumn("__prev", prev)
+                 .withColumn("row_drift", exact_ratio(F.col("rows") - F.col("__prev"), F.col("__prev")))
+                 .withColumn("drift_alert", F.abs(F.col("rows") - F.col("__prev")) * 100 > F.col("__prev") * 5)
+                 .drop("__failed", "__runs", "__prev"))

@@ -266,3 +266,11 @@ def avg_sql(x: str, scale: int = 2, digits: int = 4) -> str:
 
 def money_sum_sql(x: str, scale: int = 2) -> str:
     return f"CAST(sum(CAST({x} AS DECIMAL(38,{scale}))) AS DOUBLE)"
+
+
+def ratio_sql(num: str, den: str, digits: int = 6) -> str:
+    """DuckDB twin of ``exact_ratio`` (integer arithmetic, half away from zero)."""
+    n, d = f"CAST({num} AS HUGEINT)", f"CAST({den} AS HUGEINT)"
+    q = f"((2 * abs({n}) * {10 ** digits} + abs({d})) // (2 * abs({d})))"
+    return (f"CASE WHEN {d} IS NULL OR {d} = 0 THEN NULL ELSE "
+            f"CAST(sign({n}) * sign({d}) * {q} AS DOUBLE) / {10 ** digits} END")

@@ -16,7 +16,7 @@ from fareflow.operators import projection as P
 from fareflow.operators import windows as W
 from fareflow.plans import inputs as I
 from fareflow.plans.catalog import query
-from fareflow.plans.oracle import avg_sql, sql
+from fareflow.plans.oracle import avg_sql, ratio_sql, sql
 from fareflow.sources import driver as D
 
 MONTH_START, MONTH_END = "1998-11-01 00:00:00", "1998-12-01 00:00:00"
@@ -371,9 +371,9 @@ def agg02(spark, sf):
 
 
 @query("agg06_department_stats", ids=("AGG-06", "SRT-01", "SCL-10"),
-       oracle="""
+       oracle=f"""
 SELECT c_mktsegment AS department, count(*) AS count,
-       round(avg(c_custkey % 40 + 20), 1) AS avg_age, max(c_custkey % 40 + 20) AS max_age
+       {avg_sql("(c_custkey % 40 + 20)", 0, 1)} AS avg_age, max(c_custkey % 40 + 20) AS max_age
 FROM customer GROUP BY 1 ORDER BY 1""")
 def agg06(spark, sf):
     return A.group_stats(D.customers_as_employees(spark, sf), "department", "age")
@@ -387,8 +387,8 @@ def agg07(spark, sf):
 
 
 @query("job11_brand_avg_price", ids=("JOB-11", "AGG-08", "PRJ-11", "SRT-02"),
-       oracle="""
-SELECT brand, round(avg(price), 2) AS avg_price FROM (
+       oracle=f"""
+SELECT brand, {avg_sql("price", 2, 2)} AS avg_price FROM (
   SELECT COALESCE(CASE WHEN p_size > 45 THEN NULL ELSE p_brand END, 'N/A') AS brand,
          p_retailprice AS price FROM part)
 GROUP BY brand ORDER BY avg_price DESC""")
@@ -532,13 +532,15 @@ def agg23(spark, sf):
 
 
 @query("agg24_error_rate_by_day", ids=("AGG-24",),
-       oracle="""
-SELECT CAST(ts AS DATE) AS day, round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
+       oracle=f"""
+SELECT CAST(ts AS DATE) AS day,
+       {ratio_sql("count(*) FILTER (WHERE event_type = 'error')", "count(*)")} AS error_rate
 FROM events GROUP BY 1""")
 def agg24(spark, sf):
     ev = D.table(spark, sf, "events")
-    return ev.groupBy(F.to_date("ts").alias("day")).agg(
-        F.round(A.rate(F.col("event_type") == "error"), 6).alias("error_rate"))
+    g = ev.groupBy(F.to_date("ts").alias("day")).agg(
+        F.count_if(F.col("event_type") == "error").alias("errors"), F.count(F.lit(1)).alias("n"))
+    return g.select("day", C.exact_ratio("errors", "n").alias("error_rate"))
 
 
 @query("agg25_replay_state", ids=("AGG-25",),
@@ -724,15 +726,17 @@ def scl02(spark, sf):
 
 
 @query("agg26_run_metrics", ids=("AGG-26", "AGG-23", "AGG-24"),
-       oracle="""
+       oracle=f"""
 WITH d AS (
-  SELECT CAST(ts AS DATE) AS day, round(avg(value), 6) AS avg_duration,
+  SELECT CAST(ts AS DATE) AS day, {avg_sql("value", 2, 6)} AS avg_duration,
          round(quantile_cont(value, 0.99), 6) AS p99_duration, count(*) AS rows,
-         round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
-  FROM events GROUP BY 1)
-SELECT *, round((rows - lag(rows) OVER (ORDER BY day)) / lag(rows) OVER (ORDER BY day), 6) AS row_drift,
-       abs((rows - lag(rows) OVER (ORDER BY day)) / lag(rows) OVER (ORDER BY day)) > 0.05 AS drift_alert
-FROM d""")
+         {ratio_sql("count(*) FILTER (WHERE event_type = 'error')", "count(*)")} AS error_rate
+  FROM events GROUP BY 1),
+l AS (SELECT *, lag(rows) OVER (ORDER BY day) AS prev FROM d)
+SELECT day, avg_duration, p99_duration, rows, error_rate,
+       {ratio_sql("rows - prev", "prev")} AS row_drift,
+       abs(rows - prev) * 100 > 5 * prev AS drift_alert
+FROM l""")
 def agg26(spark, sf):
     """Daily run metrics over the event log read as a run log (value =
     duration, error events = failed runs): one row per day, so the
@@ -743,31 +747,5 @@ def agg26(spark, sf):
         F.to_date("ts").alias("day"), F.col("value").alias("duration"), F.lit(1).alias("rows"),
         (F.col("event_type") == "error").alias("failed"))
     m = run_metrics(ev, "day", "duration", "rows", "failed")
-    return m.select("day", F.round("avg_duration", 6).alias("avg_duration"),
-                    F.round("p99_duration", 6).alias("p99_duration"), "rows",
-                    F.round("error_rate", 6).alias("error_rate"),
-                    F.round("row_drift", 6).alias("row_drift"), "drift_alert")
-
-
-@query("src14_external_table", ids=("SRC-14", "SRC-05", "AGG-02"),
-       oracle="""
-SELECT l_returnflag, count(*) AS n, count(*) FILTER (WHERE l_discount = 0) AS n_no_discount
-FROM lineitem GROUP BY 1""")
-def src14(spark, sf):
-    """Files queried by name through SQL (an external table over a URI)."""
-    from fareflow.sources.files import external_table
-    external_table(spark, "ext_lineitem", [f"{sf.rstrip('/')}/lineitem.parquet"])
-    return spark.sql("""SELECT l_returnflag, count(*) AS n,
-                               count_if(l_discount = 0) AS n_no_discount
-                        FROM ext_lineitem GROUP BY l_returnflag""")
-
-
-@query("lay10_partition_balance", ids=("LAY-10", "LAY-01", "LAY-09"))
-def lay10(spark, sf):
-    """Rows per partition of the line items after a size-based repartition
-    (partition count depends on the cluster: rows-only check)."""
-    from fareflow.operators import layout as LY
-    li = D.table(spark, sf, "lineitem")
-    n = LY.target_partitions(LY.input_bytes(spark, f"{sf.rstrip('/')}/lineitem.parquet"),
-                             spark.sparkContext.defaultParallelism)
-    return LY.skew_report(li.repartition(n))
+    return m.select("day", "avg_duration", F.round("p99_duration", 6).alias("p99_duration"), "rows",
+                    "error_rate", "row_drift", "drift_alert")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fareflow.plans.catalog import query
+from fareflow.plans.oracle import ratio_sql
 from fareflow.plans.q_relational import _SNAP_NEW, _SNAP_OLD, snapshots
 from fareflow.session import scratch_path
 from fareflow.sources import driver as D
@@ -124,15 +125,14 @@ def str15(spark, sf):
 @query("str15_log_error_rate", ids=("STR-15", "AGG-24"),
        oracle=f"""
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n,
-       round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate,
+       {ratio_sql("count(*) FILTER (WHERE event_type = 'error')", "count(*)")} AS error_rate,
        max(value) AS max_latency
 FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type, value FROM events)
 GROUP BY 1 HAVING {_closed("window_start + INTERVAL 5 MINUTE")}""")
 def str15b(spark, sf):
     out = S.log_metrics(_events_stream(spark, sf), "ts", F.col("event_type") == "error", "value")
     res = S.run_to_table(out, "str15b")
-    return res.select("window_start", "window_end", "n", F.round("error_rate", 6).alias("error_rate"),
-                      "max_latency")
+    return res.select("window_start", "window_end", "n", "error_rate", "max_latency")
 
 
 @query("str07_ingest_lag", ids=("STR-07",))
