@@ -7,7 +7,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import html_main, packing, topk
+from fareflow.llm import (
+    chunk_dedup,
+    html_main,
+    lm,
+    near_dups,
+    packing,
+    pii,
+    quality,
+    segmentation,
+    suffix_dedup,
+    topk,
+)
 from fareflow.llm.common import read_table
 
 # Folder whose ``public_tokenizers`` package names the vocabulary files.
@@ -23,27 +34,108 @@ def tokenizer_path(name: str, root: str = TOKENIZERS) -> str:
         return os.path.join(root, "tokenizers", name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "n_removed_words")
+
+
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op4_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segmentation.sample(read_table(spark, sf_dir, "documents"),
+                               tokenizer_path("piece_bpe_32k.model"), with_ids=False).drop("ids")
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantize(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.top_k(vectors.filter(F.col("vec_id") % 50 == 0), vectors)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(read_table(spark, sf_dir, "documents")).drop("node")
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("found")
+    count = lambda k: F.size(F.filter(found, lambda s: s["kind"] == k)).cast("long")
+    base = pii.joined(F.filter(found, lambda s: s["base"]))
+    return pii.find(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(base, 256).alias("base_sha256"), pii.joined(found).alias("spans"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"),
                                   tokenizer_path("word_bpe_49k.json"))
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_chunk_dedup": op2_chunk_dedup,
     "op3_main_text": op3_main_text,
+    "op4_segmentation": op4_segmentation,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_top_k": op6_top_k,
+    "op7_ngram_join": op7_ngram_join,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
 
 ORACLES = {
+    "op1_quality_rules": r"""
+        WITH d AS (
+          SELECT doc_id, source, row_number() OVER () AS r, coalesce(text, '') AS t, text FROM documents),
+        w AS (
+          SELECT r, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
+                 list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+          FROM d),
+        u AS (SELECT r, unnest(ws) AS wd, generate_subscripts(ws, 1) AS i FROM w),
+        k AS (
+          SELECT r, i, wd || ' ' || lead(wd, 1) OVER o || ' ' || lead(wd, 2) OVER o AS k
+          FROM u WINDOW o AS (PARTITION BY r ORDER BY i)),
+        c AS (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM k WHERE k IS NOT NULL),
+        rep AS (
+          SELECT r, count(DISTINCT i + o) AS n_repeat_words
+          FROM c, (VALUES (0), (1), (2)) AS x(o) WHERE n > 1 GROUP BY r),
+        base AS (
+          SELECT d.r, doc_id, len(ws)::BIGINT AS n_words,
+                 coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+                 length(regexp_replace(w.t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                 (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+                 coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+          FROM d JOIN w USING (r) LEFT JOIN rep USING (r)),
+        l AS (
+          SELECT r, source, text, trim(unnest(string_split(regexp_replace(lower(t),
+                 '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))), ' ') AS line FROM d),
+        f AS (
+          SELECT source, line FROM l WHERE line <> '' GROUP BY source, line
+          HAVING count(DISTINCT text) >= 20 AND count(DISTINCT text) > 0.2 *
+            (SELECT count(DISTINCT e.text) FROM documents e WHERE e.source IS NOT DISTINCT FROM l.source)),
+        x AS (
+          SELECT r, sum(length(line) - length(replace(line, ' ', '')) + 1)::BIGINT AS lost
+          FROM l JOIN f ON l.line = f.line AND l.source IS NOT DISTINCT FROM f.source GROUP BY r)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+                 AND NOT coalesce(lost, 0) > 0.5 * n_words AS kept,
+               coalesce(lost, 0)::BIGINT AS n_removed_words
+        FROM base LEFT JOIN x USING (r)""",
     "op6_top_k": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
