@@ -21,6 +21,7 @@ order of fully equal rows.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -38,11 +39,15 @@ PLACED = PIECES + ", part long, bin long, bin_fill long, offset long"
 CAPACITY = 4096
 END_ID = 1
 ROWS_PER_PARTITION = 100_000
-# Words kept per worker; the table is dropped and refilled when it is full.
-CACHE_WORDS = 400_000
+# Words kept per worker.
+CACHE_WORDS = 800_000
 
 _tokenizers: dict[str, object] = {}
 _words: dict[str, dict[bytes, bytes]] = {}
+_parts: dict[str, dict[str, bytes]] = {}
+_PRINTABLE = re.compile(rb"[!-~]+")
+# The tokenizer file's own split pattern, for printable ASCII in lower case.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 def _tokenizer(path: str):
@@ -55,28 +60,56 @@ def _tokenizer(path: str):
     return _tokenizers[path], _words[path]
 
 
+def _encode_words(tok, words: list[bytes], parts: dict[str, bytes]) -> dict[bytes, bytes]:
+    """Ids of distinct words.
+
+    For printable ASCII the tokenizer's normalisation is lower case alone, and
+    its pre-tokens are runs of letters, single digits and runs of the rest
+    (after the contractions), so those parts go to its model directly and
+    common ones are looked up.  All other words take the whole tokenizer.
+    """
+    out, rest = {}, []
+    for w in words:
+        if _PRINTABLE.fullmatch(w) is None:
+            rest.append(w)
+            continue
+        ids = b""
+        for p in _PARTS.findall(w.decode().lower()):
+            known = parts.get(p)
+            if known is None:
+                known = np.array([x.id for x in tok.model.tokenize(p)], "<u4").tobytes()
+                if len(parts) < CACHE_WORDS // 4:
+                    parts[p] = known
+            ids += known
+        out[w] = ids
+    for at in range(0, len(rest), 20_000):
+        part = rest[at:at + 20_000]
+        enc = tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
+                                    add_special_tokens=False)
+        out.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, enc, strict=True))
+    return out
+
+
 def encode_ids(path: str, texts: Sequence[str | None]) -> list[bytes]:
     """Little-endian uint32 ids of each text, without the end id.
 
     The tokenizer's pre-tokens never span ASCII white space, so a text's ids
-    are those of its white-space-separated words in order, and each distinct
-    word is encoded once per worker.
+    are those of its white-space-separated words in order.  Words met first are
+    kept per worker, which are the frequent ones; the others are encoded again.
     """
     tok, known = _tokenizer(path)
+    get = known.get
     split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-    fresh = set().union(*split) if split else set()
-    fresh.difference_update(known)
-    if len(known) + len(fresh) > CACHE_WORDS:
-        known.clear()
-        fresh = set().union(*split)
-    new = list(fresh)
-    for at in range(0, len(new), 20_000):
-        part = new[at:at + 20_000]
-        enc = tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
-                                    add_special_tokens=False)
-        for w, e in zip(part, enc, strict=True):
-            known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-    return [b"".join([known[w] for w in ws]) for ws in split]
+    coded = [list(map(get, ws)) for ws in split]
+    holes = [i for i, c in enumerate(coded) if None in c]
+    fresh = {w for i in holes for w, c in zip(split[i], coded[i], strict=True) if c is None}
+    new = _encode_words(tok, list(fresh), _parts.setdefault(path, {}))
+    for i in holes:
+        coded[i] = [new[w] if c is None else c
+                    for w, c in zip(split[i], coded[i], strict=True)]
+    if len(known) < CACHE_WORDS:
+        known.update(new)
+    return [b"".join(c) for c in coded]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
