@@ -1,16 +1,14 @@
 """Scalar column helpers (SCL-*) and the UDF surface (UDF-*).
 
 Every helper returns a ``Column`` built from ``pyspark.sql.functions`` so it
-stays inside whole-stage code generation.  The one Python UDF (UDF-01) is kept
-only as a vectorised ``pandas_udf`` twin of the native SCL-19 expression, used
-to test that both agree.
+stays inside whole-stage code generation; the base-number UDF of the reference
+(UDF-01) is the native expression of SCL-19.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +63,12 @@ def round_to_int(c: str | Column) -> Column:
     return F.bround(col(c)).cast("int")
 
 
+def floor_div(c: str | Column, n: int) -> Column:
+    """``floor(c / n)`` of a long in integer arithmetic, as long."""
+    return F.call_function("div", col(c) - F.pmod(col(c), F.lit(n).cast("long")),
+                           F.lit(n).cast("long"))
+
+
 def try_int(c: str | Column) -> Column:
     """Lenient cast for dirty text (S3): NULL instead of an error."""
     return F.expr(f"try_cast({_sql(c)} as int)")
@@ -216,23 +220,6 @@ def base_id(c: str | Column) -> Column:
     return F.when(num.isNull(), F.lit(None).cast("string")).otherwise(F.concat(prefix, padded))
 
 
-def _base_id_py(s: str | None) -> str | None:
-    if s is None:
-        return None
-    try:
-        n = int(s[1:])
-    except ValueError:
-        return None
-    head = "s" if n % 7 == 0 else ("a" if n % 3 == 0 else "e")
-    return f"{head}/{n:03x}"
-
-
-@F.pandas_udf(T.StringType())
-def base_id_udf(s: pd.Series) -> pd.Series:
-    """UDF-01 as an Arrow-batched pandas UDF (kept for the equality test)."""
-    return s.map(_base_id_py)
-
-
 # SCL-20 ------------------------------------------------------------------------------
 def json_field(c: str | Column, field: str, default: str | None = "N/A") -> Column:
     """``$.field`` of a JSON text column, ``default`` when absent."""
@@ -258,32 +245,26 @@ def coalesce_all(cols: Iterable[str], default) -> list[Column]:
 
 
 # Exact averages -------------------------------------------------------------------------
-def exact_avg(c: str | Column, scale: int = 2, digits: int = 4) -> Column:
-    """Average of values carrying at most ``scale`` decimals, rounded half away
-    from zero to ``digits`` and returned as DOUBLE.
+def exact_avg(c: str | Column, digits: int = 4) -> Column:
+    """Average rounded half away from zero to ``digits``, as DOUBLE.
 
-    Computed in integer arithmetic (sum of scaled units, then one integer
-    division), so the result does not depend on the order rows arrive in and
-    is never rounded twice.
+    Values are taken with nine decimals (the widest numeric scale of the
+    models); the sum and the one division are exact integers, so the result
+    does not depend on the order rows arrive in and is rounded once.
     """
     x = col(c)
-    scaled = x.cast("double") * F.lit(float(10 ** scale))
-    # Per row: long arithmetic only (stays in generated code); the DECIMAL
-    # work below runs once per group.
-    units = (scaled + F.when(scaled >= 0, F.lit(0.5)).otherwise(F.lit(-0.5))).cast("long")
-    total = F.sum(units).cast("decimal(38,0)")
-    n = F.count(x).cast("decimal(38,0)")
-    shift = digits - scale
-    num = F.abs(total) * F.lit(10 ** max(shift, 0)).cast("decimal(38,0)")
-    den = n * F.lit(10 ** max(-shift, 0)).cast("decimal(38,0)")
-    q = F.floor((num * 2 + den) / (den * 2))
+    units = (x.cast("decimal(26,9)") * F.lit(10 ** 9).cast("decimal(10,0)")).cast("decimal(36,0)")
+    total, n = F.sum(units), F.count(x).cast("decimal(20,0)")
+    den = (n * F.lit(10 ** (9 - digits)).cast("decimal(10,0)")).cast("decimal(30,0)")
+    # floor(|total| / den + 1/2) without leaving integers.
+    q = F.call_function("div", F.abs(total) * 2 + den, den * 2)
     res = F.signum(total) * q.cast("double") / F.lit(float(10 ** digits))
     return F.when(F.count(x) == 0, F.lit(None).cast("double")).otherwise(res)
 
 
-def money_sum(c: str | Column, scale: int = 2) -> Column:
-    """Order-independent sum of money as DOUBLE (exact DECIMAL sum first)."""
-    return F.sum(col(c).cast(f"decimal(38,{scale})")).cast("double")
+def money_sum(c: str | Column) -> Column:
+    """Sum of money rounded to cents once, as DOUBLE, independent of row order."""
+    return F.round(F.sum(col(c).cast("decimal(28,9)")), 2).cast("double")
 
 
 def exact_ratio(num: str | Column, den: str | Column, digits: int = 6) -> Column:

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.functions.columns import hash_bucket
+from fareflow.functions.columns import exact_avg, hash_bucket
 
 
 # AGG-01 / AGG-07 / AGG-02 ------------------------------------------------------
@@ -29,24 +31,21 @@ def count_where(df: DataFrame, predicate: Column | None = None, name: str = "n")
 
 
 # AGG-06 ------------------------------------------------------------------------
-def group_stats(df: DataFrame, key: str, value: str, scale: int = 0) -> DataFrame:
+def group_stats(df: DataFrame, key: str, value: str) -> DataFrame:
     """Count, average rounded half-up to one place, and max per group,
-    sorted by key.  The average is exact (``exact_avg``; ``scale`` = decimal
-    places of the values), so a mean of exactly x.x5 always rounds up."""
-    from fareflow.functions.columns import exact_avg
+    sorted by key.  The average is exact, so a mean of x.x5 always rounds up."""
     return (df.groupBy(key)
               .agg(F.count(F.lit(1)).alias("count"),
-                   exact_avg(value, scale, 1).alias("avg_" + value),
+                   exact_avg(value, 1).alias("avg_" + value),
                    F.max(value).alias("max_" + value))
               .orderBy(key))
 
 
 # AGG-08 ------------------------------------------------------------------------
 def avg_rounded_desc(df: DataFrame, key: str, value: str, digits: int = 2,
-                     name: str = "avg_price", scale: int = 2) -> DataFrame:
+                     name: str = "avg_price") -> DataFrame:
     """Average per key rounded half-up to ``digits`` (exact), highest first."""
-    from fareflow.functions.columns import exact_avg
-    return (df.groupBy(key).agg(exact_avg(value, scale, digits).alias(name))
+    return (df.groupBy(key).agg(exact_avg(value, digits).alias(name))
               .orderBy(F.col(name).desc_nulls_last()))
 
 
@@ -105,15 +104,65 @@ def salted_sum(df: DataFrame, key: str, value: str, salts: int,
     return phase1.groupBy(key).agg(F.sum("__part").alias("sum_" + value))
 
 
-def rebalanced_sum(df: DataFrame, key: str, value: str, partitions: int) -> DataFrame:
-    """AGG-18: spread rows evenly first (round-robin), then aggregate."""
-    return df.repartition(partitions).groupBy(key).agg(F.sum(value).alias("sum_" + value))
+def rebalanced_sum(df: DataFrame, key: str, value: str) -> DataFrame:
+    """AGG-18: spread rows evenly first, then aggregate.  The ``REBALANCE``
+    hint lets AQE size the partitions from the data instead of the cores."""
+    return df.hint("rebalance").groupBy(key).agg(F.sum(value).alias("sum_" + value))
 
 
 # AGG-23 / AGG-24 -------------------------------------------------------------------
-def p99(value: str, exact: bool = True) -> Column:
-    """99th percentile; ``exact`` uses linear interpolation like ``quantile_cont``."""
-    return F.percentile(value, 0.99) if exact else F.percentile_approx(value, 0.99)
+def exact_percentile(df: DataFrame, group: str, value: str, p: float,
+                     name: str = "p", rounds: int = 3, bins: int = 1024) -> DataFrame:
+    """Exact ``p``-quantile per group with linear interpolation (``quantile_cont``).
+
+    Rank selection instead of a value map per group: each round counts the
+    group's remaining rows in ``bins`` equal-width bins between its bounds (a
+    partial aggregate of at most ``bins`` rows per group) and keeps the bins
+    that hold the two ranks around the quantile.  The few values left are
+    counted per distinct value and ranked.  NULL values are ignored; a group
+    without values gives NULL.
+    """
+    g, v = "__g", "__v"
+    rows = df.select(F.col(group).alias(g), F.col(value).cast("double").alias(v))
+    state = rows.groupBy(g).agg(
+        F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"))
+    pos = F.lit(p) * (F.col("n") - 1)
+    state = state.select(g, "lo", "hi", F.floor(pos).alias("k"),
+                         (pos - F.floor(pos)).alias("frac"), F.lit(0).cast("long").alias("below"))
+    rows = rows.filter(F.col(v).isNotNull())
+    on = lambda a, b: a[g].eqNullSafe(b[g])
+    for _ in range(rounds):
+        s = state.alias("s")
+        span = F.col("hi") - F.col("lo")
+        bin_ = F.when(span > 0, F.least(F.floor((F.col(v) - F.col("lo")) / span * bins),
+                                        F.lit(bins - 1))).otherwise(F.lit(0))
+        binned = rows.join(s, on(rows, state)).select(
+            rows[g], v, bin_.alias("bin"), "k", "below")
+        counts = binned.groupBy(g, "bin").agg(
+            F.count(F.lit(1)).alias("c"), F.min(v).alias("low"), F.max(v).alias("top"),
+            F.first("k").alias("k"), F.first("below").alias("below"))
+        upto = F.sum("c").over(Window.partitionBy(g).orderBy("bin")) + F.col("below")
+        # Ranks are k and k + 1 (the latter may not exist).
+        hit = counts.withColumn("upto", upto).filter(
+            (F.col("upto") > F.col("k")) & (F.col("upto") - F.col("c") <= F.col("k") + 1))
+        kept = hit.groupBy(g).agg(F.min("low").alias("lo2"), F.max("top").alias("hi2"),
+                                  F.min(F.col("upto") - F.col("c")).alias("below2"))
+        state = (state.join(kept.withColumnRenamed(g, "__g2"),
+                            F.col(g).eqNullSafe(F.col("__g2")), "left")
+                 .select(g, F.coalesce("lo2", "lo").alias("lo"), F.coalesce("hi2", "hi").alias("hi"),
+                         "k", "frac", F.coalesce("below2", "below").alias("below")))
+        rows = (rows.join(state.select(F.col(g).alias("__g3"), "lo", "hi"),
+                          F.col(g).eqNullSafe(F.col("__g3")))
+                .filter(F.col(v).between(F.col("lo"), F.col("hi"))).select(g, v))
+    left = rows.groupBy(g, v).agg(F.count(F.lit(1)).alias("c"))
+    ranked = left.withColumn("upto", F.sum("c").over(Window.partitionBy(g).orderBy(v)))
+    j = state.join(ranked.withColumnRenamed(g, "__g4"), F.col(g).eqNullSafe(F.col("__g4")), "left")
+    last = F.col("upto") + F.col("below")
+    at_k = F.min(F.when(last > F.col("k"), F.col(v)))
+    at_next = F.min(F.when(last > F.col("k") + 1, F.col(v)))
+    out = j.groupBy(g, "frac").agg(at_k.alias("a"), F.coalesce(at_next, at_k).alias("b"))
+    return out.select(F.col(g).alias(group),
+                      (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias(name))
 
 
 def rate(predicate: Column) -> Column:
@@ -134,40 +183,53 @@ def replay_state(events: DataFrame, key: str, seq: str, state: str) -> DataFrame
 
 
 # AGG-16 ------------------------------------------------------------------------------
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
-                       F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+QUERY_BLOCK, STORE_BLOCK = 1024, 16_384
 
 
 def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, store_vec: str,
-                  query_id: str, query_vec: str, max_queries: int = 10_000) -> DataFrame:
+                  query_id: str, query_vec: str, query_block: int = QUERY_BLOCK,
+                  store_block: int = STORE_BLOCK) -> DataFrame:
     """Top-``k`` store vectors by cosine similarity for every query vector.
 
-    The query set is small by construction (checked: at most ``max_queries``
-    rows); it is packed into one value (a scalar subquery), so each store
-    vector is scored against all queries in a single pass without any join.  ``row_number() <= k`` lets Spark insert a partial group limit
-    before the shuffle, so each query's group carries at most
-    ``k × partitions`` rows.
+    Vectors are scaled to length one first.  Queries and store are dealt into
+    blocks of bounded size, each pair of blocks is one matrix product, and a
+    pair returns at most ``k`` rows per query; the final top-k merges those.
+    Any number of queries is taken.  NULL, empty and zero vectors are not
+    scored.
     """
-    from fareflow.operators.joins import row_count_at_most
-    if not row_count_at_most(queries, max_queries):
-        raise ValueError("query set larger than the checked bound")
-    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("qv"))
-    # The packed query list is a scalar subquery: evaluated once, shipped to
-    # every task with the plan, no join with the store.
-    packed = q.agg(F.collect_list(F.struct("query_id", "qv")).alias("qs")).scalar()
-    s = store.select(F.col(store_id).alias("doc_id"), F.col(store_vec).alias("dv"),
-                     packed.alias("qs"))
-    scored = (s.select("doc_id", F.explode(F.transform(
-                  "qs", lambda e: F.struct(e["query_id"].alias("query_id"),
-                                             cosine(e["qv"], F.col("dv")).alias("score"))))
-                  .alias("m"))
-               .select(F.col("m.query_id").alias("query_id"), "doc_id",
-                       F.round(F.col("m.score"), 6).alias("score")))
+    def unit(df: DataFrame, id_: str, vec: str) -> DataFrame:
+        v = F.transform(F.col(vec), lambda x: x.cast("double"))
+        norm = F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda a, x: a + x * x))
+        return (df.select(F.col(id_).alias("id"), v.alias("v")).filter(F.size("v") > 0)
+                .withColumn("n", norm).filter(F.col("n") > 0)
+                .select("id", F.transform("v", lambda x: x / F.col("n")).alias("v")))
+
+    q, s = unit(queries, query_id, query_vec), unit(store, store_id, store_vec)
+    # Two counts size the grid of blocks; nothing else depends on them.
+    rows = max(1, -(-q.count() // query_block))
+    cols = max(1, -(-s.count() // store_block))
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    q = q.withColumn("r", deal(rows)).withColumn(
+        "c", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
+    s = s.withColumn("c", deal(cols)).withColumn(
+        "r", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+    qt, st = q.schema["id"].dataType.simpleString(), s.schema["id"].dataType.simpleString()
+
+    def block(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"query_id": a["id"][:0], "doc_id": b["id"][:0],
+                                 "score": np.zeros(0)})
+        b = b.sort_values("id", kind="stable")
+        score = np.round(np.stack(a["v"]) @ np.stack(b["v"]).T, 6)
+        # Stable on the id order, so equal scores keep the smaller id.
+        top = np.argsort(-score, axis=1, kind="stable")[:, :k]
+        return pd.DataFrame({
+            "query_id": a["id"].repeat(top.shape[1]).to_numpy(),
+            "doc_id": b["id"].to_numpy()[top.ravel()],
+            "score": np.take_along_axis(score, top, axis=1).ravel()})
+
+    scored = q.groupBy("r", "c").cogroup(s.groupBy("r", "c")).applyInPandas(
+        block, f"query_id {qt}, doc_id {st}, score double")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return (scored.withColumn("rank", F.row_number().over(w).cast("bigint"))
                   .filter(F.col("rank") <= k))
@@ -193,6 +255,17 @@ def union_all(*frames: DataFrame, allow_missing: bool = False) -> DataFrame:
 
 
 def only_in_each(left: DataFrame, right: DataFrame) -> DataFrame:
-    """SET-05: rows in one side only, with multiplicity, tagged by side."""
-    return (left.exceptAll(right).withColumn("side", F.lit("left_only"))
-            .unionByName(right.exceptAll(left).withColumn("side", F.lit("right_only"))))
+    """SET-05: rows in one side only, with multiplicity, tagged by side.
+
+    Both sides are read once: rows count +1 or -1, one grouped sum leaves the
+    surplus of either side, and each surplus row is repeated that often.
+    """
+    cols = left.columns
+    n = F.sum("__n")
+    signed = (left.withColumn("__n", F.lit(1))
+              .unionByName(right.select(*cols).withColumn("__n", F.lit(-1))))
+    over = signed.groupBy(*cols).agg(n.alias("__n")).filter(F.col("__n") != 0)
+    side = F.when(F.col("__n") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
+    return (over.withColumn("side", side)
+            .withColumn("__n", F.explode(F.array_repeat(F.lit(1), F.abs("__n").cast("int"))))
+            .drop("__n"))

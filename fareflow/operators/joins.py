@@ -1,14 +1,12 @@
 """Join operators (JON-*).
 
-Rules of thumb encoded here:
-
-* A side is broadcast only behind a bounded row-count check
-  (``sized_broadcast``); otherwise the join is left to the planner, which at
-  scale means a sort-merge join, possibly demoted by AQE at runtime.
+* Which side is broadcast is left to the planner: Spark's byte threshold and
+  AQE decide from real sizes.  Building a join starts no job.  Only
+  ``hinted_join`` forces a strategy, and its broadcast form is for tables that
+  are small by definition (zones, the payment seed).
 * Skew is handled without randomness: salts are hashes of stable row
   content, so a recomputed task after executor loss yields the same rows.
-* No cross joins.  Non-equi (range) joins either broadcast a checked-small
-  range table or are turned into an equi-join on time buckets.
+* No cross joins.  Range joins are equi-joins on time buckets.
 """
 
 from __future__ import annotations
@@ -18,41 +16,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.functions.columns import hash_bucket
-
-# Row bound under which a side is broadcast.  Checked, never assumed.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: the scan stops after ``max_rows+1``
-    rows, so the check stays cheap even when the answer is "no".
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if the frame is proven small; else leave it alone."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+from fareflow.functions.columns import floor_div, hash_bucket
 
 
 # JON-01 / JON-03 / JON-05 / JON-06 / JON-18 ------------------------------------
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str,
-                how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                how: str = "left") -> DataFrame:
     """Equi-join a fact to a lookup on possibly differently named keys.
 
     ``fact_key`` may be an expression (JON-05: ``coalesce(payment_type, 0)``).
     """
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    d = sized_broadcast(dim, max_rows)
-    return fact.join(d, fk == d[dim_key], how)
+    return fact.join(dim, fk == dim[dim_key], how)
 
 
 def role_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-              columns: dict[str, str], how: str = "left",
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              columns: dict[str, str], how: str = "left") -> DataFrame:
     """Join one role of a dimension (JON-02/04): project and rename its columns.
 
     ``columns`` maps dimension column → output name, e.g.
@@ -61,65 +40,38 @@ def role_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     key_alias = f"__{fact_key}__{dim_key}"
     d = dim.select(F.col(dim_key).alias(key_alias),
                    *[F.col(k).alias(v) for k, v in columns.items()])
-    d = sized_broadcast(d, max_rows)
     return fact.join(d, fact[fact_key] == d[key_alias], how).drop(key_alias)
 
 
-def inner_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return left.join(right, on, "inner")
-
-
-def anti_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows of ``left`` with no match in ``right`` (JON-18)."""
-    return left.join(right, on, "left_anti")
-
-
-def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return left.join(right, on, "left_semi")
-
-
 # JON-07 / JON-08 / JON-09 -------------------------------------------------------
 def hinted_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
                 strategy: str = "broadcast") -> DataFrame:
     """Join with an explicit strategy hint on the right side.
 
-    ``strategy`` is one of ``broadcast``, ``merge``, ``shuffle_hash``,
-    ``shuffle_replicate_nl``.  For ``broadcast`` the right side must pass the
-    size check; otherwise the hint is dropped and the planner decides.
+    ``strategy`` is one of ``broadcast`` (for a right side that is small by
+    definition), ``merge``, ``shuffle_hash``, ``shuffle_replicate_nl``.
     """
-    if strategy == "broadcast":
-        right = sized_broadcast(right)
-    else:
-        right = right.hint(strategy)
-    return left.join(right, on, how)
+    return left.join(right.hint(strategy), on, how)
 
 
 # JON-10 -------------------------------------------------------------------------
 def range_join(events: DataFrame, ranges: DataFrame, ts: str, start: str, end: str,
-               bucket_seconds: int = 86_400,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               bucket_seconds: int = 86_400) -> DataFrame:
     """Attach each event to every half-open range ``[start, end)`` containing it.
 
-    Small range table → broadcast nested-loop join (the reference's plan).
-    Large range table → each range is expanded to the time buckets it
-    overlaps and both sides are equi-joined on the bucket, then the exact
-    predicate is applied; cost grows with range length / bucket size, not
-    with the product of the two tables.
+    Each range is expanded to the time buckets it overlaps and both sides are
+    equi-joined on the bucket, then the exact predicate is applied; cost grows
+    with range length / bucket size, not with the product of the two tables.
+    Bucket numbers are integer microseconds, so a row exactly on a bucket or
+    range bound cannot move.
     """
-    cond_ts = F.col(ts)
-    if row_count_at_most(ranges, max_broadcast_rows):
-        r = F.broadcast(ranges)
-        return events.join(r, (cond_ts >= r[start]) & (cond_ts < r[end]))
-    bucket = "__range_bucket"
-    secs = F.lit(bucket_seconds)
-    first = F.floor(F.unix_micros(F.col(start).cast("timestamp")) / 1_000_000 / secs)
-    last = F.floor((F.unix_micros(F.col(end).cast("timestamp")) / 1_000_000 - 1e-6) / secs)
-    r = ranges.filter(F.col(end) > F.col(start)).withColumn(
-        bucket, F.explode(F.sequence(first.cast("long"), last.cast("long"))))
-    e = events.withColumn(
-        bucket, F.floor(F.unix_micros(cond_ts.cast("timestamp")) / 1_000_000 / secs).cast("long"))
-    joined = e.join(r, bucket)
-    return joined.filter((cond_ts >= F.col(start)) & (cond_ts < F.col(end))).drop(bucket)
+    bucket, width = "__range_bucket", bucket_seconds * 1_000_000
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    r = ranges.filter(F.col(end) > F.col(start)).withColumn(bucket, F.explode(F.sequence(
+        floor_div(micros(start), width), floor_div(micros(end) - 1, width))))
+    e = events.withColumn(bucket, floor_div(micros(ts), width))
+    return (e.join(r, bucket)
+            .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))).drop(bucket))
 
 
 # JON-12 -------------------------------------------------------------------------
@@ -129,8 +81,13 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
 
     The fact side gets ``salt = hash(salt_from) mod salts`` (deterministic);
     the dimension is replicated once per salt value with ``explode`` (its
-    size grows by exactly ``salts``).  Equivalent to a plain join on ``key``.
+    size grows by exactly ``salts``).  Equal to a plain join on ``key`` for
+    every ``how`` that keeps no unmatched dimension row; ``right`` and
+    ``full`` would repeat those per salt and are rejected.
     """
+    if how.lower().replace("_", "") not in ("inner", "left", "leftouter", "leftsemi", "semi",
+                                            "leftanti", "anti"):
+        raise ValueError(f"salted_join cannot keep unmatched dimension rows (how={how!r})")
     salt = "__salt"
     f = fact.withColumn(salt, hash_bucket(salts, *salt_from))
     d = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -139,40 +96,46 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
 
 # JON-13 -------------------------------------------------------------------------
 def hot_keys(df: DataFrame, key: str, min_share: float) -> list:
-    """Keys holding at least ``min_share`` of all rows.
+    """Non-null keys holding at least ``min_share`` of all rows.
 
     At most ``1 / min_share`` keys can qualify, so the collected list has a
-    proven bound.  The total is a scalar subquery and the per-key counts are
-    a partial-then-final aggregate; no step gathers all keys in one task.
+    proven bound.  NULL never matches in an equi-join, so it is never hot.
     """
     total = df.select(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter(F.col("n") >= total * F.lit(min_share))
-    return [r[key] for r in hot.select(key).limit(int(1 / min_share) + 1).collect()]
+    counts = (df.filter(F.col(key).isNotNull()).groupBy(key)
+              .agg(F.count(F.lit(1)).alias("n")))
+    return [r[key] for r in counts.filter(F.col("n") >= total * F.lit(min_share))
+            .select(key).collect()]
 
 
 def split_hot_join(fact: DataFrame, dim: DataFrame, key: str, hot: Sequence,
-                   how: str = "inner") -> DataFrame:
-    """Join hot keys by broadcasting their dimension rows, the rest normally.
+                   how: str = "inner", salts: int = 16,
+                   salt_from: Sequence[str] | None = None) -> DataFrame:
+    """Join the rows of hot keys salted, all others (NULL keys too) plainly.
 
-    The dimension rows of the hot keys are few (bounded by ``len(hot)`` ×
-    rows per key), so broadcasting them is safe after a size check; the hot
-    fact rows then never move.  Result equals ``fact.join(dim, key, how)``.
+    Equal to ``fact.join(dim, key, how)`` for the kinds ``salted_join`` takes.
+    ``salt_from`` defaults to all fact columns.
     """
-    if not hot:
+    keys = [k for k in hot if k is not None]
+    if not keys:
         return fact.join(dim, key, how)
-    is_hot = F.col(key).isin(list(hot))
-    hot_part = fact.filter(is_hot).join(sized_broadcast(dim.filter(is_hot)), key, how)
-    cold_part = fact.filter(~is_hot | F.col(key).isNull()).join(dim.filter(~is_hot), key, how)
-    return hot_part.unionByName(cold_part)
+    is_hot = F.coalesce(F.col(key).isin(keys), F.lit(False))
+    hot_part = salted_join(fact.filter(is_hot), dim.filter(is_hot), key, salts,
+                           list(salt_from or fact.columns), how)
+    return hot_part.unionByName(fact.filter(~is_hot).join(dim.filter(~is_hot), key, how))
 
 
 # JON-15 -------------------------------------------------------------------------
 def copartitioned_join(left: DataFrame, right: DataFrame, key: str | Sequence[str],
-                       partitions: int, how: str = "inner") -> DataFrame:
-    """Hash-partition both sides on the key once; the join adds no exchange."""
+                       partitions: int | None = None, how: str = "inner") -> DataFrame:
+    """Hash-partition both sides on the key once; the join adds no exchange.
+
+    Without ``partitions`` the shuffle's own count is used and AQE may still
+    coalesce or split partitions; a fixed number switches that off.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return left.repartition(partitions, *keys).join(right.repartition(partitions, *keys), keys, how)
+    n = [] if partitions is None else [partitions]
+    return left.repartition(*n, *keys).join(right.repartition(*n, *keys), keys, how)
 
 
 # JON-14 -------------------------------------------------------------------------
@@ -196,11 +159,10 @@ def filter_then_join(fact: DataFrame, dim: DataFrame, predicate: Column, on,
     return fact.filter(predicate).join(dim, on, how)
 
 
-def aggregate_then_join(fact: DataFrame, dim: DataFrame, key: str,
-                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Count per key, then join the dimension (broadcast if proven small)."""
+def aggregate_then_join(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Count per key, then join the dimension."""
     counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("trip_count"))
-    return counts.join(sized_broadcast(dim, max_rows), key, "left")
+    return counts.join(dim, key, "left")
 
 
 # JON-20 ---------------------------------------------------------------------------

@@ -99,12 +99,19 @@ def custom_check(spark, name: str, sql_text: str, expected) -> DataFrame:
                      .alias("failures")).transform(with_status)
 
 
-def duplicate_count(df: DataFrame, cols: Sequence[str], where: Column | None = None) -> Column:
-    """DQ-07: ``count(*) - count(distinct (cols))`` over the rows matching
-    ``where`` (tuples with NULL members count as values)."""
-    if where is None:
-        return F.count(F.lit(1)) - F.count_distinct(F.struct(*cols))
-    return F.count_if(where) - F.count_distinct(F.when(where, F.struct(*cols)))
+def duplicate_count(df: DataFrame, cols: Sequence[str], name: str,
+                    where: Column | None = None) -> DataFrame:
+    """DQ-07: rows beyond the first of each ``cols`` group, as a check result.
+
+    Grouping on the key reuses a partitioning the table already has (after a
+    de-duplication on it) and never holds the distinct tuples in one task.
+    NULL members count as values.
+    """
+    rows = df if where is None else df.filter(where)
+    per_key = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    return with_status(per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failures"))
+                       .select(F.lit(name).alias("check_name"),
+                               F.lit(None).cast("string").alias("column_name"), "failures"))
 
 
 def row_count_check(low: int, high: int) -> tuple[str, None, Column]:

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareflow.functions.columns import floor_div
+
 
 def _total_order(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  descending: bool) -> list[Column]:
@@ -64,29 +66,29 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def moving_average(df: DataFrame, part: str, ts: str, value: str,
                    seconds: int = 300, out: str = "moving_avg",
-                   chunk_seconds: int = 3600) -> DataFrame:
+                   chunk_seconds: int | None = None) -> DataFrame:
     """WIN-06: average of ``value`` over the trailing ``seconds`` (inclusive)
     per ``part``, for every row.
 
-    Exact and skew-safe: each key's timeline is cut into ``chunk_seconds``
-    chunks and the window runs per (key, chunk).  Rows in the last
-    ``seconds`` of a chunk are copied into the next chunk as context (so its
-    first rows see their full history) and dropped after the window.  A key
-    holding a third of all rows is therefore spread over as many tasks as it
-    has chunks; at most ``seconds / chunk_seconds`` of the rows are copied.
+    Exact and skew-safe: each key's timeline is cut into chunks (twelve times
+    the window, unless given; never shorter than the window) and the window
+    runs per (key, chunk).  Rows in the last ``seconds`` of a chunk are copied
+    into the next chunk as context (so its first rows see their full history)
+    and dropped after the window.  A key holding a third of all rows is
+    therefore spread over as many tasks as it has chunks; at most
+    ``seconds / chunk_seconds`` of the rows are copied.  All times are integer
+    microseconds, so rows exactly on a bound stay on their side.
     """
-    if seconds >= chunk_seconds:
-        raise ValueError("chunk_seconds must exceed the window length")
-    secs = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1_000_000)
-    chunk = F.floor(secs / chunk_seconds).cast("long")
-    near_end = secs - chunk * chunk_seconds >= chunk_seconds - seconds
-    copies = F.when(near_end, F.array(F.struct(chunk.alias("c"), F.lit(False).alias("ctx")),
-                                      F.struct((chunk + 1).alias("c"), F.lit(True).alias("ctx"))))\
-              .otherwise(F.array(F.struct(chunk.alias("c"), F.lit(False).alias("ctx"))))
-    x = (df.withColumn("__secs", secs)
-           .withColumn("__copy", F.explode(copies))
+    width, span = max(chunk_seconds or 12 * seconds, seconds) * 1_000_000, seconds * 1_000_000
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    chunk = floor_div(micros, width)
+    here = F.struct(chunk.alias("c"), F.lit(False).alias("ctx"))
+    there = F.struct((chunk + 1).alias("c"), F.lit(True).alias("ctx"))
+    near_end = F.pmod(micros, F.lit(width).cast("long")) >= width - span
+    x = (df.withColumn("__micros", micros)
+           .withColumn("__copy", F.explode(F.when(near_end, F.array(here, there))
+                                           .otherwise(F.array(here))))
            .withColumn("__chunk", F.col("__copy.c")))
-    w = (Window.partitionBy(part, "__chunk").orderBy("__secs")
-         .rangeBetween(-seconds, 0))
+    w = Window.partitionBy(part, "__chunk").orderBy("__micros").rangeBetween(-span, 0)
     res = x.withColumn(out, F.avg(value).over(w))
-    return res.filter(~F.col("__copy.ctx")).drop("__secs", "__copy", "__chunk")
+    return res.filter(~F.col("__copy.ctx")).drop("__micros", "__copy", "__chunk")

@@ -30,8 +30,7 @@ _MODULES = (
     "fareflow.plans.q_jobs",
     "fareflow.plans.q_relational",
     "fareflow.plans.q_loads",
-    "fareflow.plans.q_quality",
-    "fareflow.plans.q_misc",
+    "fareflow.plans.q_io",
     "fareflow.streaming.q_streaming",
 )
 
@@ -47,9 +46,5 @@ def query(name: str, oracle: str | None = None, ids: tuple[str, ...] = ()):
 
 def load() -> dict[str, Entry]:
     for m in _MODULES:
-        try:
-            importlib.import_module(m)
-        except ModuleNotFoundError as e:  # module not written yet
-            if e.name != m:
-                raise
+        importlib.import_module(m)
     return REGISTRY

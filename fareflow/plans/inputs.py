@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.functions import columns as C
+from fareflow.operators import projection as P
 from fareflow.plans import models as M
 from fareflow.sources import driver as D
 
@@ -18,10 +19,19 @@ ALL_END = "2030-01-01 00:00:00"
 
 
 def notebook_trips(spark: SparkSession, sf: str) -> DataFrame:
-    return M.notebook_trips(D.raw_green(spark, sf), D.raw_yellow(spark, sf))
+    """Both services over their common columns, from one scan of the trip lines."""
+    t = D.raw_trips(spark, sf)
+    return t.select(*M.NOTEBOOK_COLUMNS, "service_type")
 
 
 def unioned(spark: SparkSession, sf: str) -> DataFrame:
+    """Staging of both services from one scan (equal to the union of the two
+    staging models, see tests)."""
+    return M.stg_trips(D.raw_trips(spark, sf))
+
+
+def unioned_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as the union of the green and the yellow staging model."""
     return M.trips_unioned(D.raw_green(spark, sf), D.raw_yellow(spark, sf))
 
 
@@ -50,6 +60,16 @@ def _with_refetch(batch: DataFrame) -> DataFrame:
 
 
 def ingestion_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """Both services' ingestion from one scan; green files carry no airport fee."""
+    t = D.raw_trips(spark, sf)
+    fee = F.when(F.col("service_type") == "yellow", F.col("zone_fee"))
+    t = P.rename(t.withColumn("airport_fee", fee).withColumnRenamed("service_type", "taxi_type"),
+                 M.INGEST_RENAME)
+    return M.conform_ingestion(_with_refetch(t))
+
+
+def ingestion_trips_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as the union by name of one fetched batch per service."""
     g = M.ingest_batch(D.raw_green(spark, sf), "green", D.FIRST_EXTRACT)
     y = M.ingest_batch(yellow_with_airport_fee(spark, sf), "yellow", D.FIRST_EXTRACT)
     return M.ingest([_with_refetch(g), _with_refetch(y)])

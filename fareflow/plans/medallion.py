@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareflow.functions import columns as C
-from fareflow.operators.joins import sized_broadcast
 
 
 def bronze(raw: DataFrame, loaded_at: str, source_file: str | None = None) -> DataFrame:
@@ -23,6 +22,16 @@ def bronze(raw: DataFrame, loaded_at: str, source_file: str | None = None) -> Da
                       F.to_json(F.struct(*raw.columns)).alias("raw_data"))
 
 
+RAW_TRIP = ("hvfhs_license_num string, dispatching_base_num string, "
+            "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
+            "PULocationID int, DOLocationID int, SR_Flag string")
+
+
+def from_bronze(landed: DataFrame) -> DataFrame:
+    """The raw trips a bronze table holds as JSON text."""
+    return landed.select(F.from_json("raw_data", RAW_TRIP).alias("r")).select("r.*")
+
+
 def silver_trips(raw: DataFrame) -> DataFrame:
     """Typed, complete trips with a whole-minute duration."""
     t = raw.select(
@@ -38,10 +47,10 @@ def silver_trips(raw: DataFrame) -> DataFrame:
 
 def gold_daily_summary(silver: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips, average duration and distinct bases per day and pickup zone."""
-    z = sized_broadcast(zones.select(F.col("locationid").alias("pickup_location_id"),
-                                     F.col("zone").alias("pickup_zone")))
+    z = zones.select(F.col("locationid").alias("pickup_location_id"),
+                     F.col("zone").alias("pickup_zone"))
     j = silver.join(z, "pickup_location_id")
     return (j.groupBy(F.to_date("pickup_datetime").alias("trip_date"), "pickup_zone")
              .agg(F.count(F.lit(1)).alias("total_trips"),
-                  C.exact_avg("trip_duration_min", 0).alias("avg_duration_min"),
+                  C.exact_avg("trip_duration_min").alias("avg_duration_min"),
                   F.count_distinct("dispatching_base_num").alias("unique_bases")))

@@ -6,9 +6,20 @@ string in the catalog is self-contained over the driver's views.
 
 from __future__ import annotations
 
-from fareflow.functions.columns import PAYMENT_DESCRIPTIONS, PAYMENT_OTHER, SURROGATE_NULL
-from fareflow.sources.driver import (CONGESTION_GREEN, CONGESTION_YELLOW, EXTRA, FIRST_EXTRACT,
-                                     IMPROVEMENT, PAYMENT_LOOKUP, REFETCH_EXTRACT, TOLLS)
+from fareflow.sources.driver import GREEN_COLUMNS, YELLOW_COLUMNS
+
+# Fixed values, written here a second time on purpose: an error in the code
+# under test must not reach its own oracle.
+PAYMENT_DESCRIPTIONS = {1: "Credit card", 2: "Cash", 3: "No charge", 4: "Dispute",
+                        5: "Unknown", 6: "Voided trip"}
+PAYMENT_OTHER = "Other"
+SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
+PAYMENT_LOOKUP = [(0, "flex_fare"), (1, "credit_card"), (2, "cash"), (3, "no_charge"),
+                  (4, "dispute"), (5, "unknown"), (6, "voided_trip")]
+EXTRA, TOLLS, IMPROVEMENT = "0.50", "0.00", "0.30"
+CONGESTION = {True: "0.00", False: "2.50"}
+FIXED_PART = {True: "0.80", False: "3.30"}
+FIRST_EXTRACT, REFETCH_EXTRACT = "2024-06-01 00:00:00", "2024-06-02 00:00:00"
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
 _TIP = f"CAST({_PRICE} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))"
@@ -18,8 +29,7 @@ _DROPOFF = f"({_PICKUP} + to_minutes(CAST(CAST(l_quantity AS INTEGER) AS BIGINT)
 
 
 def _raw(green: bool) -> str:
-    cong = CONGESTION_GREEN if green else CONGESTION_YELLOW
-    fixed = EXTRA + TOLLS + IMPROVEMENT + cong
+    fixed = FIXED_PART[green]
     p = "lpep" if green else "tpep"
     cols = {
         "VendorID": "CAST(NULLIF(l_suppkey % 5, 0) AS INTEGER)",
@@ -32,18 +42,17 @@ def _raw(green: bool) -> str:
         "passenger_count": "CAST(l_linenumber AS INTEGER)",
         "trip_distance": "CAST(l_quantity AS DOUBLE)",
         "fare_amount": f"CAST({_PRICE} AS DOUBLE)",
-        "extra": f"CAST({float(EXTRA)} AS DOUBLE)",
+        "extra": f"CAST({EXTRA} AS DOUBLE)",
         "mta_tax": f"CAST({_TAX} AS DOUBLE)",
         "tip_amount": f"CAST({_TIP} AS DOUBLE)",
-        "tolls_amount": f"CAST({float(TOLLS)} AS DOUBLE)",
+        "tolls_amount": f"CAST({TOLLS} AS DOUBLE)",
         "ehail_fee": "CAST(NULL AS DOUBLE)",
-        "improvement_surcharge": f"CAST({float(IMPROVEMENT)} AS DOUBLE)",
+        "improvement_surcharge": f"CAST({IMPROVEMENT} AS DOUBLE)",
         "total_amount": f"CAST(CAST({_PRICE} + {_TIP} + {_TAX} + CAST('{fixed}' AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS DOUBLE)",
         "payment_type": "CAST(substr(o_orderpriority, 1, 1) AS INTEGER)",
         "trip_type": "CAST(l_orderkey % 2 + 1 AS INTEGER)",
-        "congestion_surcharge": f"CAST({float(cong)} AS DOUBLE)",
+        "congestion_surcharge": f"CAST({CONGESTION[green]} AS DOUBLE)",
     }
-    from fareflow.sources.driver import GREEN_COLUMNS, YELLOW_COLUMNS
     order = GREEN_COLUMNS if green else YELLOW_COLUMNS
     return ", ".join(f"{cols[c]} AS {c}" for c in order)
 
@@ -252,20 +261,10 @@ def sql(body: str, extra_ctes: str = "", start: str = ALL_START, end: str = ALL_
     return f"WITH {ctes}\n{body}"
 
 
-def avg_sql(x: str, scale: int = 2, digits: int = 4) -> str:
-    """DuckDB twin of ``exact_avg``: integer arithmetic, half away from zero."""
-    units = f"CAST(round(CAST({x} AS DOUBLE) * {10 ** scale}) AS HUGEINT)"
-    num = f"(sum({units}) * {10 ** digits})" if digits >= scale else None
-    shift = digits - scale
-    num = f"(sum({units}) * CAST({10 ** max(shift, 0)} AS HUGEINT))"
-    den = f"(count({x}) * CAST({10 ** max(-shift, 0)} AS HUGEINT))"
-    q = f"((2 * abs({num}) + {den}) // (2 * {den}))"
-    return (f"CASE WHEN count({x}) = 0 THEN NULL ELSE "
-            f"CAST(sign({num}) * {q} AS DOUBLE) / {10 ** digits} END")
-
-
-def money_sum_sql(x: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(38,{scale}))) AS DOUBLE)"
+def avg_sql(x: str, digits: int = 4) -> str:
+    """Plain average rounded half away from zero.  The nine-place decimal in
+    between undoes the binary error of a mean that is an exact tie."""
+    return f"CAST(round(CAST(avg(CAST({x} AS DOUBLE)) AS DECIMAL(38,9)), {digits}) AS DOUBLE)"
 
 
 def ratio_sql(num: str, den: str, digits: int = 6) -> str:
@@ -274,3 +273,18 @@ def ratio_sql(num: str, den: str, digits: int = 6) -> str:
     q = f"((2 * abs({n}) * {10 ** digits} + abs({d})) // (2 * abs({d})))"
     return (f"CASE WHEN {d} IS NULL OR {d} = 0 THEN NULL ELSE "
             f"CAST(sign({n}) * sign({d}) * {q} AS DOUBLE) / {10 ** digits} END")
+
+
+# The daily report over the staging trips.
+REPORT_SQL = f"""
+SELECT CAST(pickup_datetime AS DATE) AS trip_date, taxi_type,
+       COALESCE(payment_type_name, 'unknown') AS payment_type_name,
+       COUNT(*) AS trip_count,
+       CAST(COALESCE(SUM(CAST(passenger_count AS BIGINT)), 0) AS BIGINT) AS total_passengers,
+       round(COALESCE(SUM(trip_distance), 0), 2) AS total_distance,
+       round(COALESCE(SUM(fare_amount), 0), 2) AS total_fare,
+       round(COALESCE(SUM(tip_amount), 0), 2) AS total_tips,
+       round(COALESCE(SUM(total_amount), 0), 2) AS total_revenue,
+       COALESCE({avg_sql("trip_distance")}, 0) AS avg_trip_distance,
+       COALESCE({avg_sql("fare_amount")}, 0) AS avg_fare_per_trip
+FROM staging_trips {{where}} GROUP BY 1, 2, 3"""

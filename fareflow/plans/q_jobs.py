@@ -8,18 +8,10 @@ from fareflow.functions import columns as C
 from fareflow.plans import inputs as I
 from fareflow.plans import models as M
 from fareflow.plans.catalog import query
-from fareflow.plans.oracle import avg_sql, sql
+from fareflow.plans.oracle import REPORT_SQL, avg_sql, sql
 from fareflow.sources import driver as D
 
-_REV_SUMS = [
-    ("fare_amount", "revenue_monthly_fare"),
-    ("extra", "revenue_monthly_extra"),
-    ("mta_tax", "revenue_monthly_mta_tax"),
-    ("tip_amount", "revenue_monthly_tip_amount"),
-    ("tolls_amount", "revenue_monthly_tolls_amount"),
-    ("improvement_surcharge", "revenue_monthly_improvement_surcharge"),
-    ("total_amount", "revenue_monthly_total_amount"),
-]
+_REV_SUMS = M.REVENUE_SUMS
 
 
 def _sums_sql(pairs, cast_double=False):
@@ -35,8 +27,8 @@ SELECT PULocationID AS revenue_zone,
        CAST(date_trunc('month', pickup_datetime) AS TIMESTAMP) AS revenue_month,
        service_type,
        {_sums_sql(_REV_SUMS + [("congestion_surcharge", "revenue_monthly_congestion_surcharge")])},
-       {avg_sql("passenger_count", 0)} AS avg_monthly_passenger_count,
-       {avg_sql("trip_distance", 2)} AS avg_monthly_trip_distance
+       {avg_sql("passenger_count")} AS avg_monthly_passenger_count,
+       {avg_sql("trip_distance")} AS avg_monthly_trip_distance
 FROM notebook_trips GROUP BY 1, 2, 3"""))
 def job01(spark, sf):
     return M.monthly_revenue_by_zone_id(I.notebook_trips(spark, sf))
@@ -62,8 +54,8 @@ SELECT pickup_zone AS revenue_zone,
        service_type,
        {_sums_sql(_REV_SUMS, cast_double=True)},
        count(trip_id) AS total_monthly_trips,
-       {avg_sql("passenger_count", 0)} AS avg_monthly_passenger_count,
-       {avg_sql("trip_distance", 3)} AS avg_monthly_trip_distance
+       {avg_sql("passenger_count")} AS avg_monthly_passenger_count,
+       {avg_sql("trip_distance")} AS avg_monthly_trip_distance
 FROM fct_trips GROUP BY 1, 2, 3"""))
 def job03(spark, sf):
     return M.monthly_zone_revenue(I.fct_trips(spark, sf))
@@ -94,20 +86,7 @@ def job05(spark, sf):
 
 
 @query("job06_trips_report", ids=("JOB-06", "AGG-05", "SCL-07"),
-       oracle=sql(f"""
-SELECT CAST(pickup_datetime AS DATE) AS trip_date, taxi_type,
-       COALESCE(payment_type_name, 'unknown') AS payment_type_name,
-       COUNT(*) AS trip_count,
-       CAST(COALESCE(SUM(CAST(passenger_count AS BIGINT)), 0) AS BIGINT) AS total_passengers,
-       round(COALESCE(SUM(trip_distance), 0), 2) AS total_distance,
-       round(COALESCE(SUM(fare_amount), 0), 2) AS total_fare,
-       round(COALESCE(SUM(tip_amount), 0), 2) AS total_tips,
-       round(COALESCE(SUM(total_amount), 0), 2) AS total_revenue,
-       COALESCE({avg_sql("trip_distance")}, 0) AS avg_trip_distance,
-       COALESCE({avg_sql("fare_amount")}, 0) AS avg_fare_per_trip
-FROM staging_trips
-WHERE pickup_datetime >= TIMESTAMP '1990-01-01 00:00:00' AND pickup_datetime < TIMESTAMP '2030-01-01 00:00:00'
-GROUP BY 1, 2, 3"""))
+       oracle=sql(REPORT_SQL.format(where="")))
 def job06(spark, sf):
     return M.trips_report(I.staging_trips(spark, sf), I.ALL_START, I.ALL_END)
 
@@ -115,7 +94,7 @@ def job06(spark, sf):
 @query("job07_ingestion_trips", ids=("JOB-07", "PRJ-03", "PRJ-05", "SET-02", "SCL-16", "LOAD-02"),
        oracle=sql("SELECT * FROM ingestion_trips"))
 def job07(spark, sf):
-    return I.ingestion_trips(spark, sf)
+    return I.ingestion_trips_by_file(spark, sf)
 
 
 @query("job09_int_trips", ids=("JOB-09", "JON-05", "WIN-03", "SCL-13"),

@@ -14,8 +14,9 @@ from fareflow.operators import quality as Q
 from fareflow.plans import inputs as I
 from fareflow.plans import models as M
 from fareflow.plans.catalog import query
-from fareflow.plans.oracle import avg_sql, sql
+from fareflow.plans.oracle import REPORT_SQL, sql
 from fareflow.plans.q_relational import _SNAP_NEW, _SNAP_OLD, snapshots
+from fareflow.session import staged
 from fareflow.sources import driver as D
 
 RANGE_START, RANGE_END = "1998-01-01 00:00:00", "1998-02-01 00:00:00"
@@ -32,32 +33,18 @@ def load03(spark, sf):
     return L.upsert(old, new, ["c_custkey"])
 
 
-_REPORT_SQL = f"""
-SELECT CAST(pickup_datetime AS DATE) AS trip_date, taxi_type,
-       COALESCE(payment_type_name, 'unknown') AS payment_type_name,
-       COUNT(*) AS trip_count,
-       CAST(COALESCE(SUM(CAST(passenger_count AS BIGINT)), 0) AS BIGINT) AS total_passengers,
-       round(COALESCE(SUM(trip_distance), 0), 2) AS total_distance,
-       round(COALESCE(SUM(fare_amount), 0), 2) AS total_fare,
-       round(COALESCE(SUM(tip_amount), 0), 2) AS total_tips,
-       round(COALESCE(SUM(total_amount), 0), 2) AS total_revenue,
-       COALESCE({avg_sql("trip_distance")}, 0) AS avg_trip_distance,
-       COALESCE({avg_sql("fare_amount")}, 0) AS avg_fare_per_trip
-FROM staging_trips {{where}} GROUP BY 1, 2, 3"""
-
-
 @query("load04_time_interval_replace", ids=("LOAD-04", "LOAD-12", "FLT-04"),
        oracle=sql(f"""
 SELECT * FROM rep_all WHERE NOT (trip_date >= DATE '{RANGE_START[:10]}' AND trip_date < DATE '{RANGE_END[:10]}')
 UNION ALL
 SELECT * FROM rep_yellow WHERE trip_date >= DATE '{RANGE_START[:10]}' AND trip_date < DATE '{RANGE_END[:10]}'""",
        extra_ctes=f"""
-rep_all AS ({_REPORT_SQL.format(where='')}),
-rep_yellow AS ({_REPORT_SQL.format(where=f"WHERE taxi_type = 'yellow' AND pickup_datetime >= TIMESTAMP '{RANGE_START}' AND pickup_datetime < TIMESTAMP '{RANGE_END}'")})"""))
+rep_all AS ({REPORT_SQL.format(where='')}),
+rep_yellow AS ({REPORT_SQL.format(where=f"WHERE taxi_type = 'yellow' AND pickup_datetime >= TIMESTAMP '{RANGE_START}' AND pickup_datetime < TIMESTAMP '{RANGE_END}'")})"""))
 def load04(spark, sf):
     """Re-run of one month of the daily report with only yellow trips: the
     month's rows are replaced, so green rows of that month disappear."""
-    staging = I.staging_trips(spark, sf)
+    staging = staged(I.staging_trips(spark, sf), "load04")
     target = M.trips_report(staging, I.ALL_START, I.ALL_END)
     rerun = M.trips_report(staging.filter(F.col("taxi_type") == "yellow"), RANGE_START, RANGE_END)
     return L.replace_interval(target, rerun, "trip_date", RANGE_START, RANGE_END, date_grain=True)
@@ -88,9 +75,9 @@ src AS (SELECT {_ROW_ID_SQL} AS unique_row_id, 'yellow_tripdata_all.csv' AS file
 def load06(spark, sf):
     """Staged copy with row id + file name, merged insert-only into a target
     that already holds the earlier trips."""
-    target = _landed_yellow(spark, sf, "yellow_tripdata_1997.csv").filter(
-        F.col("tpep_pickup_datetime") < F.lit(CUTOFF).cast("timestamp_ntz"))
-    source = _landed_yellow(spark, sf, "yellow_tripdata_all.csv")
+    source = staged(_landed_yellow(spark, sf, "yellow_tripdata_all.csv"), "load06")
+    target = (source.filter(F.col("tpep_pickup_datetime") < F.lit(CUTOFF).cast("timestamp_ntz"))
+              .withColumn("filename", F.lit("yellow_tripdata_1997.csv")))
     return L.merged_target(target, source, "unique_row_id")
 
 
@@ -151,10 +138,10 @@ SELECT 'no_duplicate_trips', NULL, CAST(COUNT(*) - COUNT(DISTINCT (pickup_dateti
             dropoff_location_id, fare_amount)) = 0 THEN 'PASS' ELSE 'FAIL' END
 FROM staging_trips WHERE pickup_datetime >= TIMESTAMP '1990-01-01' AND pickup_datetime < TIMESTAMP '2030-01-01'"""))
 def dq11_staging(spark, sf):
-    staging = I.staging_trips(spark, sf)
+    staging = staged(I.staging_trips(spark, sf), "dq11")
     in_window = L.in_range("pickup_datetime", I.ALL_START, I.ALL_END)
-    dup = ("no_duplicate_trips", None, Q.duplicate_count(staging, M.STAGING_KEY, in_window))
-    return Q.run_checks(staging, STAGING_CHECKS, extra=[dup])
+    dup = Q.duplicate_count(staging, M.STAGING_KEY, "no_duplicate_trips", in_window)
+    return Q.run_checks(staging, STAGING_CHECKS).unionByName(dup)
 
 
 REPORT_CHECKS = ([Q.Check("not_null", "trip_date"), Q.Check("not_null", "taxi_type")]
@@ -168,7 +155,7 @@ REPORT_CHECKS = ([Q.Check("not_null", "trip_date"), Q.Check("not_null", "taxi_ty
                               + [("non_negative", c, f"{c} < 0") for c in
                                  ("trip_count", "total_passengers", "total_distance", "total_fare",
                                   "total_tips", "total_revenue")]),
-                  extra_ctes=f"rep AS ({_REPORT_SQL.format(where='')})"))
+                  extra_ctes=f"rep AS ({REPORT_SQL.format(where='')})"))
 def dq11_report(spark, sf):
     rep = M.trips_report(I.staging_trips(spark, sf), I.ALL_START, I.ALL_END)
     return Q.run_checks(rep, REPORT_CHECKS)

@@ -2,8 +2,9 @@
 
 Everything that needs durable intermediate storage (lineage cuts, staged
 tables, streaming checkpoints) goes under the directory the cluster names in
-``spark.checkpoint.dir``.  A local default is only installed when that setting
-is absent, which is the case in tests and on a laptop.
+``spark.checkpoint.dir``.  Without that setting a cluster job fails with a
+clear message: a local default would put each executor's part on its own
+disk.  Only a ``local`` master (tests, a laptop) gets a temporary folder.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -55,7 +55,7 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint root, installing a local one only if unset."""
+    """The shared checkpoint root; on a ``local`` master a temporary one if unset."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -64,7 +64,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Only reached outside a cluster (tests, local runs).
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder that the driver and all "
+                f"executors share (master {master})")
         configured = tempfile.mkdtemp(prefix="fareflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -76,6 +80,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once under the shared root and read it back: for a frame
+    that several branches of a plan use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably (checkpoint to shared storage).
 
@@ -127,6 +139,7 @@ __all__ = [
     "ensure_checkpoint_dir",
     "scratch_path",
     "cut_lineage",
+    "staged",
     "path_exists",
     "delete_path",
     "rename_path",

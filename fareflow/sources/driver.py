@@ -8,9 +8,9 @@ same mapping in DuckDB SQL so that every query can be checked against an
 independent engine.
 
 Scale notes: ``orders ⋈ customer`` and ``lineitem ⋈ (orders ⋈ customer)``
-are large-large equi-joins and stay shuffle joins (AQE may still demote
-them at runtime); only the 25-row zone table and the 7-row payment seed
-are broadcast, behind a row-count check.
+are large-large equi-joins; they are left to the planner, which broadcasts
+only what is under its byte threshold.  Building a frame starts no job beyond
+reading each table's footer once per session.
 """
 
 from __future__ import annotations
@@ -19,8 +19,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from fareflow.operators.joins import sized_broadcast
+from pyspark.sql import types as T
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -53,8 +52,15 @@ REFETCH_EXTRACT = "2024-06-02 00:00:00"
 # ---------------------------------------------------------------------------
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables; its schema is read once per path."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:
@@ -81,13 +87,9 @@ def trip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # statistics): orders ⋈ customer first, so the fact table is shuffled
     # once on the order key and once on the supplier key, instead of a third
     # time on the customer key after its first join.
-    # Without CBO statistics Spark estimates a join's size as the product of
-    # its inputs, which would make it broadcast the (filtered) fact table
-    # instead; the order side is broadcast only behind the row-count check
-    # and otherwise left to a shuffle join.
     oc = (o.join(c, o.o_custkey == c.c_custkey)
            .select("o_orderkey", "o_orderpriority", "c_nationkey"))
-    return (li.join(sized_broadcast(oc), li.l_orderkey == oc.o_orderkey)
+    return (li.join(oc, li.l_orderkey == oc.o_orderkey)
               .join(s, F.col("l_suppkey") == s.s_suppkey))
 
 
@@ -157,6 +159,24 @@ def raw_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(*[cols[c].alias(c) for c in YELLOW_COLUMNS])
 
 
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Green and yellow raw trips in one frame, from one scan of the line items.
+
+    Columns of the green schema with neutral datetime names, plus
+    ``service_type`` and the yellow files' ``zone_fee``.
+    """
+    base = trip_lines(spark, sf_dir).filter(F.col("l_returnflag").isNotNull())
+    green = F.col("l_returnflag") == "A"
+    g, y = _raw_columns(green=True), _raw_columns(green=False)
+    cols = {c: F.when(green, g[c]).otherwise(y[c]) if c in ("total_amount", "congestion_surcharge")
+            else g[c] for c in g}
+    cols["pickup_datetime"], cols["dropoff_datetime"] = cols.pop("pickup"), cols.pop("dropoff")
+    cols["ehail_fee"] = F.lit(None).cast("double")
+    cols["service_type"] = F.when(green, F.lit("green")).otherwise(F.lit("yellow"))
+    cols["zone_fee"] = F.when(F.col("s_nationkey") % 7 == 0, F.lit(1.25)).otherwise(F.lit(0.0))
+    return base.select(*[c.alias(n) for n, c in cols.items()])
+
+
 def fhvhv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High-volume for-hire trips (7 columns) from line items and parts.
 
@@ -180,7 +200,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup (``locationid, borough, zone, service_zone``): nation ⋈ region."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return (n.join(sized_broadcast(r, 10_000), n.n_regionkey == r.r_regionkey)
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
              .select(F.col("n_nationkey").cast("int").alias("locationid"),
                      F.col("r_name").alias("borough"),
                      F.col("n_name").alias("zone"),

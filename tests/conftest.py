@@ -15,7 +15,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from fareflow.session import get_session
     s = get_session(app="fareflow-tests", master="local[4]", shuffle_partitions=8,
-                    extra_conf={"spark.ui.showConsoleProgress": "false"})
+                    extra_conf={"spark.ui.showConsoleProgress": "false",
+                                "spark.checkpoint.dir": tempfile.mkdtemp(prefix="fareflow-ckpt-")})
     yield s
 
 

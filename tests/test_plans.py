@@ -17,10 +17,41 @@ def test_zone_join_is_broadcast(spark, sf_small):
     assert "BroadcastHashJoin" in LY.join_strategies(j)
 
 
-def test_sized_broadcast_refuses_unbounded_side(spark, sf_small):
-    li = D.table(spark, sf_small, "lineitem")
-    assert J.sized_broadcast(li, 10) is li
-    assert J.row_count_at_most(D.table(spark, sf_small, "region"), 10)
+def test_building_a_query_starts_no_job(spark, sf_small):
+    import __spark_entry__ as E
+    qs = E.queries()
+    names = ["job01_monthly_revenue_zone_id", "job02_fct_trips", "job05_staging_trips",
+             "jon10_range_join_events", "jon16_filter_then_join", "agg27_zone_counts_duration"]
+    for n in names:  # footers are read once per table
+        qs[n](spark, sf_small)
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "building")
+    for n in names:
+        qs[n](spark, sf_small)
+    assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
+    sc.setJobGroup("tests", "tests")
+
+
+def test_trip_lines_shuffle_each_large_table_once_per_key(spark, sf_small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = LY.plan_text(D.trip_lines(spark, sf_small), "simple")
+        for key in ("l_orderkey", "l_suppkey", "o_orderkey", "o_custkey", "c_custkey", "s_suppkey"):
+            assert plan.count(f"Exchange hashpartitioning({key}") <= 1
+        both = LY.plan_text(I.unioned(spark, sf_small), "formatted")
+        assert both.count("lineitem.parquet") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_scan_equals_the_union_of_both_services(spark, sf_small):
+    pairs = [(I.unioned, I.unioned_by_file), (I.ingestion_trips, I.ingestion_trips_by_file)]
+    for one, two in pairs:
+        a, b = one(spark, sf_small), two(spark, sf_small)
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_merge_and_shuffle_hash_hints(spark, sf_small):
@@ -74,16 +105,21 @@ def test_copartitioned_join_adds_no_exchange_beyond_repartition(spark, sf_small)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_range_join_bucket_path_is_equi_join(spark, sf_small):
+def test_range_join_is_an_equi_join_with_exact_bounds(spark, sf_small):
     ev = D.table(spark, sf_small, "events")
     ranges = ev.filter(F.col("event_type") == "signup").select(
         F.col("event_id").alias("range_id"), F.col("ts").alias("s"),
         (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("e"))
-    small = J.range_join(ev, ranges, "ts", "s", "e", 3600)
-    big = J.range_join(ev, ranges, "ts", "s", "e", 3600, max_broadcast_rows=0)
-    assert "BroadcastNestedLoopJoin" in LY.join_strategies(small)
-    assert "BroadcastNestedLoopJoin" not in LY.join_strategies(big)
-    assert small.count() == big.count()
+    wide, narrow = (J.range_join(ev, ranges, "ts", "s", "e", b) for b in (3600, 77))
+    assert "BroadcastNestedLoopJoin" not in LY.join_strategies(wide)
+    assert wide.count() == narrow.count()
+    rows = [("in", "2024-01-01 00:00:00.000000"), ("in2", "2024-01-01 00:59:59.999999"),
+            ("out", "2024-01-01 01:00:00.000000"), ("out2", "2023-12-31 23:59:59.999999")]
+    e = spark.createDataFrame(rows, "k string, t string").withColumn(
+        "t", F.col("t").cast("timestamp_ntz"))
+    r = spark.createDataFrame([("2024-01-01 00:00:00", "2024-01-01 01:00:00")], "a string, b string")
+    r = r.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("a", "b")])
+    assert sorted(x.k for x in J.range_join(e, r, "t", "a", "b", 3600).collect()) == ["in", "in2"]
 
 
 def test_salted_join_equals_plain_join(spark, sf_small):
@@ -97,6 +133,59 @@ def test_salted_join_equals_plain_join(spark, sf_small):
     assert c.exceptAll(b.select(*c.columns)).count() == 0 and c.count() == b.count()
 
 
+def test_hot_join_with_null_keys_and_outer_kinds(spark):
+    import pytest
+    fact = spark.createDataFrame([(None if i % 2 else i % 5, i) for i in range(100)], "k int, v int")
+    dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (9, "z")], "k int, d string")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        want = fact.join(dim, "k", how)
+        got = J.split_hot_join(fact, dim, "k", [None, 0], how)
+        assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+    assert None not in J.hot_keys(fact, "k", 0.1)
+    for how in ("right", "full", "outer"):
+        with pytest.raises(ValueError):
+            J.salted_join(fact, dim, "k", 4, ["v"], how)
+
+
+def test_exact_percentile_equals_interpolated_quantile(spark):
+    import random
+
+    from fareflow.operators.aggregates import exact_percentile
+    rng = random.Random(1)
+    rows = [(g, rng.choice([rng.random(), float(rng.randrange(5)), rng.lognormvariate(0, 9)]))
+            for g in ("a", "b", None) for _ in range(700)] + [("one", 4.5), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for p in (0.0, 0.25, 0.5, 0.99, 1.0):
+        got = {r.g: r.p for r in exact_percentile(df, "g", "v", p).collect()}
+        for g in {g for g, _ in rows}:
+            v = sorted(x for k, x in rows if k == g and x is not None)
+            if not v:
+                assert got[g] is None
+                continue
+            k = int(p * (len(v) - 1))
+            nxt = v[min(k + 1, len(v) - 1)]
+            assert abs(got[g] - (v[k] + (nxt - v[k]) * (p * (len(v) - 1) - k))) <= 1e-9 * max(1, abs(got[g]))
+
+
+def test_top_k_takes_any_number_of_queries(spark):
+    import random
+
+    from fareflow.operators.aggregates import top_k_similar
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(90)] + [(90, [0.0] * 6), (91, None)]
+    store = spark.createDataFrame(rows, "id long, v array<double>")
+    out = top_k_similar(store, store, 4, "id", "v", "id", "v", query_block=10, store_block=25)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.doc_id, r.score))
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (
+        sum(x * x for x in a) ** 0.5 * sum(x * x for x in b) ** 0.5)
+    for i, a in rows[:90]:
+        best = sorted((-round(cos(a, b), 6), j) for j, b in rows[:90])[:4]
+        assert sorted(got[i]) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)]
+    assert set(got) == set(range(90))
+
+
 def test_top_k_uses_partial_group_limit(spark, sf_small):
     from fareflow.operators.aggregates import top_k_similar
     emb = D.table(spark, sf_small, "embeddings")
