@@ -5,26 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.operators.loads import write_swap
+from fareflow.operators.loads import recover_swap, table_exists, write_swap
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
-# LAY-01 / LAY-02 / LAY-03 --------------------------------------------------------------
-def repartition(df: DataFrame, n: int | None = None, *cols: str) -> DataFrame:
-    if n is None:
-        return df.repartition(*cols)
-    return df.repartition(n, *cols)
-
-
-def coalesce(df: DataFrame, n: int) -> DataFrame:
-    return df.coalesce(n)
-
-
 # LAY-04 / LAY-05 / LAY-06 / LAY-07 --------------------------------------------------------
 def with_date_partition(df: DataFrame, ts: str, name: str = "pickup_date") -> DataFrame:
     return df.withColumn(name, F.to_date(ts))
@@ -32,9 +20,12 @@ def with_date_partition(df: DataFrame, ts: str, name: str = "pickup_date") -> Da
 
 def write_by_date(df: DataFrame, path: str, ts: str, name: str = "pickup_date",
                   cluster_by: Sequence[str] = (), mode: str = "overwrite",
-                  max_records: int | None = None) -> None:
+                  max_records: int | None = None, only_own_dates: bool = False) -> None:
     """Partition by ``DATE(ts)`` (and cluster by sorting within each file).
 
+    An overwrite replaces the whole table, or with ``only_own_dates`` just the
+    dates that ``df`` holds.
+
     Rows are grouped by date with a ``REBALANCE`` hint: dates arrive at
     few writers (few files per date), while AQE splits a date that is
     larger than the advisory partition size across several tasks, so a
@@ -45,7 +36,8 @@ def write_by_date(df: DataFrame, path: str, ts: str, name: str = "pickup_date",
     out = with_date_partition(df, ts, name).hint("rebalance", name)
     if cluster_by:
         out = out.sortWithinPartitions(*cluster_by)
-    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(name)
+    kept = "dynamic" if only_own_dates else "static"
+    w = out.write.mode(mode).option("partitionOverwriteMode", kept).partitionBy(name)
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.parquet(path)
@@ -56,12 +48,6 @@ def write_by_year_month(df: DataFrame, path: str, ts: str, mode: str = "overwrit
     out.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month").parquet(path)
 
 
-# LAY-08 ---------------------------------------------------------------------------------------
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
-    from fareflow.operators.joins import write_bucketed as _wb
-    _wb(df, table, key, buckets, path)
-
-
 # LAY-09 ---------------------------------------------------------------------------------------
 def target_partitions(total_bytes: int, cores: int, target_bytes: int = TARGET_PARTITION_BYTES,
                       waves: int = 2) -> int:
@@ -94,35 +80,54 @@ def skew_report(df: DataFrame) -> DataFrame:
                  (F.max("rows") / F.avg("rows")).alias("skew_ratio"))
 
 
-# LAY-11 ---------------------------------------------------------------------------------------
-def persist(df: DataFrame, spill: bool = True) -> DataFrame:
-    """Cache a frame that is used more than once; spills to disk when memory
-    is short instead of recomputing."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK if spill else StorageLevel.MEMORY_ONLY)
-
-
-def unpersist(df: DataFrame) -> DataFrame:
-    return df.unpersist()
+# LAY-12 / LAY-13 ---------------------------------------------------------------------------------
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a stored table, from its ``name=value`` folders."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: list[str] = []
+    while True:
+        below = [s.getPath() for s in fs.listStatus(p)
+                 if s.isDirectory() and "=" in s.getPath().getName()]
+        if not below:
+            return found
+        p = below[0]
+        found.append(p.getName().split("=", 1)[0])
 
 
-# LAY-12 / LAY-13 ---------------------------------------------------------------------------------
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
-    """Rewrite many small files as ~``target_bytes`` files (write-then-swap)."""
+    """Rewrite many small files as ~``target_bytes`` files (write-then-swap).
+
+    A partitioned table keeps its partition folders; rows are grouped by them
+    with a ``REBALANCE`` hint, so a large partition is still written by
+    several tasks."""
+    recover_swap(spark, path)
     n = max(1, math.ceil(input_bytes(spark, path) / target_bytes))
+    cols = partition_columns(spark, path)
     df = spark.read.parquet(path)
-    write_swap(df.repartition(n), path)
+    if cols:
+        write_swap(df.hint("rebalance", *cols), path, partition_by=cols)
+    else:
+        write_swap(df.repartition(n), path)
     return n
 
 
 def archive_split(df: DataFrame, ts: str, cutoff: str, hot_path: str, cold_path: str) -> None:
     """Rows before ``cutoff`` to the cold path, the rest to the hot path.
 
-    Two writes with complementary pushed-down predicates rather than a
-    cache of the whole input: on a date-partitioned source each write reads
-    only its own partitions, so together they scan the input once."""
+    ``df`` may read the hot path itself: both outputs are written beside their
+    targets and swapped in, the cold one first.  A rerun adds only rows the
+    cold path does not hold yet (with multiplicity), so it changes nothing,
+    also after a crash between the two swaps."""
+    spark = df.sparkSession
     c = F.lit(cutoff).cast("timestamp_ntz")
-    df.filter(F.col(ts) < c).write.mode("append").parquet(cold_path)
-    df.filter((F.col(ts) >= c) | F.col(ts).isNull()).write.mode("overwrite").parquet(hot_path)
+    old = df.filter(F.col(ts) < c)
+    if table_exists(spark, cold_path):
+        cold = spark.read.parquet(cold_path)
+        old = cold.unionByName(old.select(*cold.columns).exceptAll(cold))
+    write_swap(old, cold_path)
+    write_swap(df.filter((F.col(ts) >= c) | F.col(ts).isNull()), hot_path)
 
 
 # LAY-14 ---------------------------------------------------------------------------------------------

@@ -8,11 +8,14 @@ Each pattern has two halves:
 * a writer that materialises the result into a *new* directory under the
   same parent and then swaps it in.  The directory being read is never
   overwritten while it is an input of the plan (Spark would read a
-  half-deleted table), and a failed job leaves the old table intact.
+  half-deleted table).  A failed rename puts the old table back; a crash
+  between the two renames leaves it under a fixed sibling name, from which
+  the next read or write through this module restores it.
 
 Date-partitioned targets are rewritten partition by partition: only the
 partitions inside the replaced range are touched (dynamic overwrite), and
 range partitions that receive no new rows are deleted explicitly (S12).
+A rerun after a crash brings the range to the same state.
 """
 
 from __future__ import annotations
@@ -146,23 +149,42 @@ def scd2(history: DataFrame | None, snapshot: DataFrame, key: Sequence[str], upd
 
 # ---------------------------------------------------------------- writers
 def _sibling(path: str, tag: str) -> str:
-    return f"{path.rstrip('/')}.{tag}-{uuid.uuid4().hex[:10]}"
+    return f"{path.rstrip('/')}.{tag}"
+
+
+def recover_swap(spark: SparkSession, path: str) -> None:
+    """Finish an interrupted swap: restore the old table, or drop it if replaced."""
+    old = _sibling(path, "old")
+    if path_exists(spark, old):
+        if path_exists(spark, path):
+            delete_path(spark, old)
+        elif not rename_path(spark, old, path):
+            raise OSError(f"cannot restore {path} from {old}")
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Existence of a table written here, after finishing an interrupted swap."""
+    recover_swap(spark, path)
+    return path_exists(spark, path)
 
 
 def write_swap(df: DataFrame, path: str, fmt: str = "parquet",
                partition_by: Sequence[str] | None = None) -> str:
     """LOAD-01 full refresh: write beside ``path``, then swap directories."""
     spark = df.sparkSession
-    staged = _sibling(path, "staged")
+    staged = _sibling(path, f"staged-{uuid.uuid4().hex[:10]}")
     w = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staged)
     old = _sibling(path, "old")
-    had_old = path_exists(spark, path)
-    if had_old:
-        rename_path(spark, path, old)
-    rename_path(spark, staged, path)
+    had_old = table_exists(spark, path)
+    if had_old and not rename_path(spark, path, old):
+        raise OSError(f"cannot move {path} aside; the new table is in {staged}")
+    if not rename_path(spark, staged, path):
+        if had_old and not rename_path(spark, old, path):
+            raise OSError(f"cannot restore {path}; the old table is in {old}")
+        raise OSError(f"cannot move {staged} to {path}; the old table is in place")
     if had_old:
         delete_path(spark, old)
     return path
@@ -195,7 +217,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     read, merged and replaced by a dynamic partition overwrite; the cost of
     a merge then follows the batch, not the table.
     """
-    if not path_exists(spark, path):
+    if not table_exists(spark, path):
         w = source.write
         if partition_col:
             w = w.partitionBy(partition_col)
@@ -205,8 +227,10 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         target = spark.read.parquet(path)
         write_swap(upsert(target, source.select(*target.columns), keys), path)
         return
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
-    target = spark.read.parquet(path).filter(F.col(partition_col).isin(touched))
+    # Partition values stay in the plan: the join prunes the target's scan.
+    touched = source.select(F.col(partition_col).alias("__touched")).distinct()
+    table = spark.read.parquet(path)
+    target = table.join(touched, table[partition_col].eqNullSafe(touched["__touched"]), "left_semi")
     merged = upsert(target, source.select(*target.columns), keys).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
@@ -217,9 +241,9 @@ def insert_only_table(spark: SparkSession, path: str, source: DataFrame, id_col:
 
     The new rows are checkpointed before appending because the anti-join
     reads the very table the append writes into."""
-    if not path_exists(spark, path):
+    if not table_exists(spark, path):
         write_swap(source, path)
-        return source.count()
+        return spark.read.parquet(path).count()
     target = spark.read.parquet(path)
     fresh = insert_only_merge(target, source.select(*target.columns), id_col).checkpoint(eager=True)
     n = fresh.count()
@@ -237,14 +261,16 @@ def replace_interval_table(spark: SparkSession, path: str, new: DataFrame, ts: s
     not (otherwise days without new rows would survive, S12).
     """
     if partition_col is None:
-        if path_exists(spark, path):
+        if table_exists(spark, path):
             target = spark.read.parquet(path)
             write_swap(replace_interval(target, new, ts, start, end), path)
         else:
             write_swap(new.filter(in_range(ts, start, end)), path)
         return
     check_day_aligned(start, end)
-    rows = new.filter(in_range(ts, start, end))
+    # Evaluated once: both the write and the list of its days (at most the
+    # days of the range) read the checkpoint.
+    rows = new.filter(in_range(ts, start, end)).checkpoint(eager=True)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
     written = {r[0] for r in rows.select(F.col(partition_col).cast("string")).distinct().collect()}
@@ -259,7 +285,7 @@ def replace_interval_table(spark: SparkSession, path: str, new: DataFrame, ts: s
 def skip_if_exists(spark: SparkSession, path: str, produce: Callable[[], DataFrame],
                    fmt: str = "parquet") -> bool:
     """LOAD-14: run ``produce`` and write only when ``path`` is absent."""
-    if path_exists(spark, path):
+    if table_exists(spark, path):
         return False
     produce().write.format(fmt).save(path)
     return True

@@ -35,15 +35,20 @@ BINARY_ID_FIELDS = {
 
 
 def ingest_months(spark: SparkSession, base: str, types: Sequence[str], start: str, end: str,
-                  extracted_at: str, ext: str = "parquet") -> DataFrame | None:
+                  extracted_at: str, ext: str = "parquet") -> DataFrame:
     """JOB-07: monthly files of each type in ``[start, end)`` (missing ones
-    skipped), renamed to the ingestion schema, stamped and unioned."""
+    skipped), renamed to the ingestion schema, stamped and unioned.  Without
+    any file the result is the empty ingestion table."""
     batches = []
     for t in types:
-        raw = SRC.read_months(spark, base, [t], start, end, ext)
-        if raw is not None:
-            batches.append(M.ingest_batch(raw.drop("taxi_type"), t, extracted_at))
-    return M.ingest(batches) if batches else None
+        try:
+            raw = SRC.read_months(spark, base, [t], start, end, ext)
+        except FileNotFoundError:
+            continue
+        batches.append(M.ingest_batch(raw.drop("taxi_type"), t, extracted_at))
+    if not batches:
+        return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in M.INGEST_TYPES.items()))
+    return M.ingest(batches)
 
 
 def landed(raw: DataFrame, taxi: str, filename: str, binary_id: bool = False) -> DataFrame:

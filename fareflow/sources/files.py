@@ -18,30 +18,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareflow.functions.columns import load_stamp, source_file_path, trip_file_name
-from fareflow.session import path_exists
+from fareflow.session import path_exists, staged
 
 
 # SRC-01 … SRC-04 ---------------------------------------------------------------
+CORRUPT = "_corrupt_record"
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
-             header: bool = True, infer: bool = False, permissive: bool = False) -> DataFrame:
+             header: bool = True, infer: bool = False, permissive: bool = False,
+             strict: bool = False) -> DataFrame:
     """CSV with a header.
 
     * no schema, ``infer=False``: every column is a string (SRC-01);
     * ``schema``: typed read, no inference pass (SRC-02);
     * ``infer=True``: types sampled from the data (SRC-03, costs a pass);
-    * ``permissive=True``: header skipped, extra columns ignored, malformed
-      fields become NULL instead of failing the job (SRC-04).
+    * ``permissive=True`` (with a schema): a line whose fields do not fit, or
+      with too few or too many of them, keeps what parses and carries the
+      whole line in ``_corrupt_record`` (SRC-04; see ``split_rejects``);
+    * ``strict=True`` (with a schema): such a line fails the job.
     """
     r = spark.read.option("header", header)
     if schema is not None:
-        r = r.schema(schema)
         if permissive:
-            r = r.option("mode", "PERMISSIVE").option("enforceSchema", True)
+            fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+            schema = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+            r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        elif strict:
+            r = r.option("mode", "FAILFAST")
+        r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True)
     return r.csv(path)
 
 
+def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that parsed, and the raw lines that did not (dead letters).
+
+    The parsed rows are staged once: both outputs read them, and Spark does
+    not answer queries on the corrupt-record column alone from the files.
+    """
+    df = staged(df, "parsed")
+    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+
+
 # SRC-05 / SRC-07 / SRC-14 --------------------------------------------------------
 def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -> DataFrame:
     """Parquet files, directories or globs (``…/*/*``)."""
@@ -83,31 +104,51 @@ def month_paths(base: str, types: Iterable[str], start: str, end: str, ext: str
 
 
 def read_months(spark: SparkSession, base: str, types: Iterable[str], start: str, end: str,
-                ext: str = "parquet") -> DataFrame | None:
+                ext: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
     """Read the monthly files that exist (missing ones are skipped, S21),
-    tagged with their type; ``None`` when no file exists.
+    tagged with their type.
+
+    Columns may differ between months: files are read in one scan per type and
+    schema, then joined by name, absent columns as NULL.  Where one column has
+    different types, the first file's type is used for all.  If no file exists
+    the result is empty with ``schema``; without one that is an error.
 
-    Only file *names* are handled on the driver; the files are read by one
-    Spark scan per type.
+    Only file names and footers are handled on the driver.
     """
-    found: dict[str, list[str]] = {}
+    groups: dict[tuple[str, str], list[str]] = {}
+    shapes: dict[str, T.StructType] = {}
     for t, p in month_paths(base, types, start, end, ext):
         if path_exists(spark, p):
-            found.setdefault(t, []).append(p)
-    frames = [spark.read.format(ext).load(ps).withColumn("taxi_type", F.lit(t))
-              for t, ps in found.items()]
-    return union_by_name(frames) if frames else None
+            shape = spark.read.format(ext).load(p).schema
+            shapes[shape.json()] = shape
+            groups.setdefault((t, shape.json()), []).append(p)
+    if not groups:
+        if schema is None:
+            raise FileNotFoundError(f"no monthly file of {list(types)} in [{start}, {end}) under {base}")
+        return spark.createDataFrame([], schema).withColumn("taxi_type", F.lit(None).cast("string"))
+    kinds: dict[str, T.DataType] = {}
+    for shape in shapes.values():
+        for f in shape.fields:
+            kinds.setdefault(f.name, f.dataType)
+    frames = []
+    for (t, shape), paths in groups.items():
+        df = spark.read.format(ext).schema(shapes[shape]).load(paths)
+        frames.append(df.select(*[F.col(c).cast(kinds[c]).alias(c) for c in df.columns])
+                      .withColumn("taxi_type", F.lit(t)))
+    return union_by_name(frames)
 
 
 # SRC-08 / SRC-09 ---------------------------------------------------------------------
 def read_json_array(spark: SparkSession, path: str, field: str,
-                    schema: T.StructType | str | None = None) -> DataFrame:
+                    schema: T.StructType | str | None = None,
+                    multi_line: bool = True) -> DataFrame:
     """A JSON document ``{field: [ {...}, … ]}`` → one row per element.
 
     Multi-line JSON documents are not splittable; this is a landing-format
-    reader for API extracts, not a bulk path.
+    reader for API extracts.  With ``multi_line=False`` every line is a
+    document of its own and files are split as usual.
     """
-    r = spark.read.option("multiLine", True)
+    r = spark.read.option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
     doc = r.json(path)

@@ -61,7 +61,6 @@ def convert_months(df: DataFrame, ts: str, path: str, mode: str = "overwrite") -
     few files, and AQE splits an oversized month across tasks."""
     out = df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
     (out.hint("rebalance", "year", "month").write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month").parquet(path))
 
 

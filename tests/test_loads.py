@@ -24,6 +24,21 @@ def test_full_refresh_swaps(spark, tmp):
     assert sorted(os.listdir(tmp)) == ["t"]
 
 
+def test_failed_rename_keeps_the_old_table(spark, tmp, monkeypatch):
+    import pytest
+    p = f"{tmp}/t"
+    L.write_swap(spark.range(3), p)
+    real = L.rename_path
+    monkeypatch.setattr(L, "rename_path", lambda s, a, b: False if "staged" in a else real(s, a, b))
+    with pytest.raises(OSError):
+        L.write_swap(spark.range(9), p)
+    monkeypatch.setattr(L, "rename_path", real)
+    assert spark.read.parquet(p).count() == 3
+    # A crash between the two renames: the next use restores the table.
+    os.rename(p, p + ".old")
+    assert L.table_exists(spark, p) and spark.read.parquet(p).count() == 3
+
+
 def test_upsert_twice_equals_once(spark, sf_small, tmp):
     old, new = snapshots(spark, sf_small)
     p = f"{tmp}/cust"
