@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareflow.operators.joins import sized_broadcast
+from fareflow.functions.columns import exact_ratio
+from fareflow.operators.loads import table_exists, write_swap
 from fareflow.session import delete_path, path_exists, scratch_path
 
 
@@ -130,32 +131,30 @@ def log_metrics(df: DataFrame, ts: str, status: Column, latency: str, size: str
                 watermark: str = "10 minutes", spike: float = 0.2) -> DataFrame:
     """STR-15: per window error count and rate (exact, six places),
     approximate p99 latency and a spike flag."""
-    from fareflow.functions.columns import exact_ratio
     g = (df.withWatermark(ts, watermark).groupBy(F.window(ts, size))
            .agg(F.count(F.lit(1)).alias("n"),
                 F.count_if(status).alias("errors"),
                 F.percentile_approx(latency, 0.99, 10_000).alias("p99_latency"),
                 F.max(latency).alias("max_latency")))
     g = g.withColumn("error_rate", exact_ratio("errors", "n"))
-    return flat_window(g.withColumn("spike", F.col("errors") > F.col("n") * spike))
+    return flat_window(g.withColumn("spike", F.col("errors") > F.col("n") * F.lit(spike)))
 
 
-def enrich(stream: DataFrame, static: DataFrame, on: str | Sequence[str],
-           max_rows: int = 1_000_000) -> DataFrame:
-    """JON-21: stream–static join; the static side is broadcast when proven small."""
-    return stream.join(sized_broadcast(static, max_rows), on, "left")
+def enrich(stream: DataFrame, static: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """JON-21: stream–static join; each micro-batch is planned anew, so the
+    static side is broadcast only while it is under the byte threshold."""
+    return stream.join(static, on, "left")
 
 
 def usual_places(history: DataFrame, key: str, place: str) -> DataFrame:
-    """STR-18 profile: the set of places seen per key in the history."""
-    return history.groupBy(key).agg(F.collect_set(place).alias("usual_places"))
+    """STR-18 profile: the distinct (key, place) pairs of the history."""
+    return history.select(key, place).filter(F.col(place).isNotNull()).distinct()
 
 
 def new_place_alerts(stream: DataFrame, profile: DataFrame, key: str, place: str) -> DataFrame:
-    """STR-18: events at a place not in the key's profile (or no profile)."""
-    j = enrich(stream, profile, key)
-    return j.filter(F.col("usual_places").isNull()
-                    | ~F.array_contains(F.col("usual_places"), F.col(place))).drop("usual_places")
+    """STR-18: events at a place not in the key's profile (or no profile): an
+    anti-join on the pair, so no key's places are gathered into one value."""
+    return stream.join(profile, [key, place], "left_anti")
 
 
 # ---------------------------------------------------------------- sinks
@@ -185,8 +184,9 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     else:
         run_foreach_batch(df, ck, lambda b, i: overwrite_batch(b, out), mode=mode)
     if not path_exists(spark, out):
-        return spark.createDataFrame([], df.schema)
-    return spark.read.parquet(out)
+        raise RuntimeError(f"stream {name} wrote nothing to {out}")
+    # The stream's own schema: a sink without rows still has its columns.
+    return spark.read.schema(df.schema).parquet(out)
 
 
 def run_foreach_batch(df: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int], None],
@@ -200,20 +200,21 @@ def overwrite_batch(batch: DataFrame, path: str) -> None:
     batch.write.mode("overwrite").parquet(path)
 
 
-def idempotent_append(path: str, partitions: int) -> Callable[[DataFrame, int], None]:
-    """STR-04: ``foreachBatch`` writer: repartition, then write the batch
-    under ``batch_id=N`` with overwrite, so a replay after failure replaces
-    the batch's own files instead of duplicating them."""
+def idempotent_append(path: str) -> Callable[[DataFrame, int], None]:
+    """STR-04: ``foreachBatch`` writer: write the batch under ``batch_id=N``
+    with overwrite, so a replay after failure replaces the batch's own files
+    instead of duplicating them.  AQE sizes the output files from the batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.repartition(partitions).write.mode("overwrite")
+        (batch.hint("rebalance").write.mode("overwrite")
               .parquet(f"{path.rstrip('/')}/batch_id={batch_id}"))
     return write
 
 
 def multi_sink(sinks: dict[str, Callable[[DataFrame], DataFrame]], root: str
                ) -> Callable[[DataFrame, int], None]:
-    """STR-16: one change log, several read models; each micro-batch is
-    persisted once and fanned out to every model's directory."""
+    """STR-16: one change log, several read models.  Each model aggregates the
+    micro-batch (persisted once) into its directory, keyed by batch id; a
+    reader sums the batches' partial results (see ``read_model``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist()
         for name, build in sinks.items():
@@ -223,6 +224,13 @@ def multi_sink(sinks: dict[str, Callable[[DataFrame], DataFrame]], root: str
     return write
 
 
+def read_model(spark: SparkSession, root: str, name: str, keys: Sequence[str],
+               sums: Sequence[str]) -> DataFrame:
+    """Current state of a read model: its batches' partial sums added up."""
+    return (spark.read.parquet(f"{root.rstrip('/')}/{name}").groupBy(*keys)
+            .agg(*[F.sum(c).alias(c) for c in sums]))
+
+
 # ---------------------------------------------------------------- CDC
 CDC_SCHEMA = T.StructType([
     T.StructField("op", T.StringType()),
@@ -237,12 +245,13 @@ CDC_SCHEMA = T.StructType([
 
 
 def latest_changes(changes: DataFrame) -> DataFrame:
-    """Last change per key within a batch (ordered by ``seq``), flattened to
-    ``id, op, name, balance``.  Map-side partial aggregation via ``max_by``."""
+    """Last change per key (ordered by ``seq``), flattened to ``id, op, name,
+    balance, seq``.  Map-side partial aggregation via ``max_by``."""
     keyed = changes.withColumn("id", F.coalesce(F.col("after.id"), F.col("before.id")))
-    last = keyed.groupBy("id").agg(F.max_by(F.struct("op", "after"), "seq").alias("l"))
+    last = keyed.groupBy("id").agg(F.max_by(F.struct("op", "after"), "seq").alias("l"),
+                                   F.max("seq").alias("seq"))
     return last.select("id", F.col("l.op").alias("op"), F.col("l.after.name").alias("name"),
-                       F.col("l.after.balance").alias("balance"))
+                       F.col("l.after.balance").alias("balance"), "seq")
 
 
 def apply_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
@@ -253,47 +262,56 @@ def apply_changes(target: DataFrame, changes: DataFrame) -> DataFrame:
     return kept.unionByName(upserts)
 
 
-CDC_BUCKETS = 64
+def init_cdc_table(df: DataFrame, path: str) -> None:
+    """Base of a CDC target: every row is a state with sequence -1."""
+    (df.select("id", F.lit("c").alias("op"), "name", "balance", F.lit(-1).cast("long").alias("seq"))
+       .write.parquet(f"{path.rstrip('/')}/base"))
+
+
+def cdc_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer: one change file per batch, merged on read.
+
+    A micro-batch writes its own latest state per key and touches nothing
+    else, so its cost follows its size.  Files are keyed by batch id: a replay
+    overwrites its own.  ``read_cdc`` resolves keys by sequence number, so a
+    late older change never overwrites a newer row; ``compact_cdc`` folds the
+    change files into the base from time to time.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (latest_changes(batch).write.mode("overwrite")
+            .parquet(f"{path.rstrip('/')}/changes/batch_id={batch_id}"))
+    return write
 
 
-def cdc_bucket(id_col: str = "id", buckets: int = CDC_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)).cast("int")
+def _cdc_states(spark: SparkSession, path: str) -> DataFrame:
+    """Newest state per key over base and change files, deletions included."""
+    root = path.rstrip("/")
+    states = spark.read.parquet(f"{root}/base").select("id", "op", "name", "balance", "seq")
+    if path_exists(spark, f"{root}/changes"):
+        changes = spark.read.parquet(f"{root}/changes")
+        states = states.unionByName(changes.select(*states.columns))
+    last = states.groupBy("id").agg(F.max_by(F.struct("op", "name", "balance"), "seq").alias("l"),
+                                    F.max("seq").alias("seq"))
+    return last.select("id", "l.op", "l.name", "l.balance", "seq")
 
 
-def init_cdc_table(df: DataFrame, path: str, buckets: int = CDC_BUCKETS) -> None:
-    """Lay out a CDC target partitioned by key hash bucket."""
-    df.withColumn("bucket", cdc_bucket("id", buckets)).write.partitionBy("bucket").parquet(path)
+def read_cdc(spark: SparkSession, path: str) -> DataFrame:
+    """Current rows of a CDC target."""
+    table_exists(spark, f"{path.rstrip('/')}/base")
+    return _cdc_states(spark, path).filter("op <> 'd'").select("id", "name", "balance")
 
 
-def cdc_writer(path: str, buckets: int = CDC_BUCKETS) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer applying CDC batches to the table at ``path``
-    (partitioned by ``bucket`` = hash of the key).
+def compact_cdc(spark: SparkSession, path: str) -> None:
+    """Fold the change files into the base; run while the stream is stopped.
 
-    Only the buckets a batch touches are read (partition pruning), rewritten
-    and swapped in with a dynamic partition overwrite, so the cost of a
-    micro-batch follows its own size, not the table's.  The new bucket
-    contents are checkpointed to reliable storage first because they are
-    computed from the partitions being replaced.  Replaying a batch after a
-    failure re-applies the same latest-per-key changes: idempotent.
+    Deleted keys stay in the base as tombstones, so an older change that
+    arrives later cannot bring them back.  A crash before the change files are
+    dropped only leaves states the base holds already.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last = latest_changes(batch).withColumn("bucket", cdc_bucket("id", buckets)).persist()
-        touched = [r[0] for r in last.select("bucket").distinct().collect()]  # ≤ buckets values
-        if not touched:
-            last.unpersist()
-            return
-        target = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-        kept = target.join(last.select("id"), "id", "left_anti")
-        upserts = last.filter(F.col("op") != "d").select("id", "name", "balance", "bucket")
-        new = kept.unionByName(upserts).checkpoint(eager=True)
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket").parquet(path))
-        emptied = set(touched) - {r[0] for r in new.select("bucket").distinct().collect()}
-        for b in emptied:
-            delete_path(spark, f"{path.rstrip('/')}/bucket={b}")
-        last.unpersist()
-    return write
+    root = path.rstrip("/")
+    table_exists(spark, f"{root}/base")
+    write_swap(_cdc_states(spark, path), f"{root}/base")
+    delete_path(spark, f"{root}/changes")
 
 
 def audit_history(changes: DataFrame) -> DataFrame:
@@ -303,12 +321,7 @@ def audit_history(changes: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Lambda view
-def lambda_view(batch_view: DataFrame, speed: DataFrame, key: str, value: str,
-                ts: str, cutoff: str) -> DataFrame:
-    """STR-17: batch aggregates up to ``cutoff`` merged with the speed layer's
-    rows after it, re-aggregated per key."""
-    c = F.lit(cutoff).cast(speed.schema[ts].dataType.simpleString())
-    recent = speed.filter(F.col(ts) >= c).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
-    return (batch_view.unionByName(recent).groupBy(key)
+def lambda_view(batch_view: DataFrame, speed: DataFrame, key: str) -> DataFrame:
+    """STR-17: the batch view's sums merged with the speed layer's, per key."""
+    return (batch_view.unionByName(speed).groupBy(key)
             .agg(F.sum("n").alias("n"), F.sum("total").alias("total")))

@@ -66,7 +66,7 @@ def test_restart_from_checkpoint_adds_nothing(spark, sf_small, tmp):
 
 def test_idempotent_foreach_batch_replay(spark, tmp):
     df = spark.range(10).withColumn("v", F.col("id") * 2)
-    w = S.idempotent_append(f"{tmp}/sink", 2)
+    w = S.idempotent_append(f"{tmp}/sink")
     w(df, 0)
     w(df, 0)  # replay of the same batch id
     assert spark.read.parquet(f"{tmp}/sink").count() == 10
@@ -84,6 +84,24 @@ def test_cdc_replay_equals_final_table(spark, sf_small):
     assert final.exceptAll(want).count() == 0 and want.exceptAll(final).count() == 0
 
 
+def test_late_older_changes_do_not_win(spark, tmp):
+    row = "op string, before struct<id: bigint, name: string, balance: double>, " \
+          "after struct<id: bigint, name: string, balance: double>, seq bigint"
+    S.init_cdc_table(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)],
+                                           "id bigint, name string, balance double"), f"{tmp}/t")
+    w = S.cdc_writer(f"{tmp}/t")
+    batch = lambda rows: spark.createDataFrame(rows, row)
+    w(batch([("u", (1, "a", 1.0), (1, "a5", 5.0), 5), ("d", (2, "b", 2.0), None, 6)]), 0)
+    w(batch([("u", (1, "a", 1.0), (1, "a3", 3.0), 3), ("u", (2, "b", 2.0), (2, "b4", 4.0), 4),
+             ("c", None, (4, "d", 4.0), 7)]), 1)
+    want = [(1, "a5", 5.0), (3, "c", 3.0), (4, "d", 4.0)]
+    read = lambda: sorted(tuple(r) for r in S.read_cdc(spark, f"{tmp}/t").collect())
+    assert read() == want
+    S.compact_cdc(spark, f"{tmp}/t")
+    w(batch([("u", (2, "b", 2.0), (2, "zz", 9.0), 2)]), 2)  # older than the deletion
+    assert read() == want
+
+
 def test_stream_and_batch_share_transform(spark, sf_small):
     ev = D.table(spark, sf_small, "events")
     batch = {r.event_type: r.n for r in S.count_by_key(ev, "event_type").collect()}
