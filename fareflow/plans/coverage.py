@@ -57,15 +57,15 @@ FUNCTIONS = {
     "JON-11": "not built: cross joins are excluded by design (see README)",
     "JON-14": "operators.joins.write_bucketed / bucketed_join (tests/test_plans.py)",
     "SET-03": "union of literal rows incl. NULL: tests/test_goldens.py::test_null_id_fails_not_null",
-    "LAY-03": "operators.layout.coalesce",
+    "LAY-03": "sources.sinks.write_single_file (coalesce)",
     "LAY-04": "operators.layout.write_by_date (tests/test_io.py)",
     "LAY-05": "operators.layout.write_by_date + PartitionFilters assertion (tests/test_io.py)",
     "LAY-06": "operators.layout.write_by_date(cluster_by=…)",
     "LAY-07": "operators.layout.write_by_year_month, sources.sinks.convert_months",
-    "LAY-08": "operators.layout.write_bucketed",
+    "LAY-08": "operators.joins.write_bucketed",
     "LAY-09": "operators.layout.target_partitions (tests/test_io.py)",
     "LAY-10": "operators.layout.partition_sizes / skew_report (tests/test_io.py)",
-    "LAY-11": "operators.layout.persist / unpersist",
+    "LAY-11": "streaming.jobs.multi_sink (persist / unpersist)",
     "LAY-12": "operators.layout.compact (tests/test_io.py)",
     "LAY-13": "operators.layout.archive_split (tests/test_io.py)",
     "LAY-14": "operators.layout.plan_text / join_strategies (tests/test_plans.py)",
