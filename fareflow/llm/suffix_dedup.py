@@ -8,9 +8,10 @@ has an anchor: the 20-byte gram in it with the smallest hash.  Equal strings
 have equal anchors, so only strings whose anchor occurs in two documents can
 repeat.  Consecutive strings with one anchor form a segment (50 to 80 bytes).
 
-1. Each task reduces its anchors to one entry per batch and sends 6-byte
-   hashes to hash buckets, which report the recurring ones to the documents'
-   chunks.  An anchor seen twice within a batch is known to recur at once.
+1. Each task reduces its anchors to one entry per batch and sends them to
+   hash buckets, four bytes each (a bucket holds about a million anchors at
+   any corpus size).  Buckets report the recurring ones to the documents'
+   chunks; an anchor seen twice within a batch is known to recur at once.
 2. Each chunk cuts the segments of its recurring anchors and sorts them with
    deep-shallow sorting.  Of equal segments the one of the smallest id goes on
    to the anchor's bucket; the others are already decided.
@@ -25,6 +26,7 @@ sort); what still shares its prefix there is ordered by a blind trie per group.
 
 Groups sent onward hold distinct segments only, so copies of a passage, however
 many, reach a bucket once per chunk.  Hash collisions only cost extra sorting.
+Between steps a chunk sends each bucket one compressed block of arrays.
 
 Defined results: a null or empty text has no bytes and the hash of nothing; a
 row without an id removes nothing and loses nothing; repeated rows share their
@@ -35,12 +37,14 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +52,7 @@ from pyspark.sql import types as T
 LENGTH = 50
 GRAM = 20
 # Text bytes per chunk and per bucket's share; sizes tasks, nothing else.
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 8_000_000
 BUFFER_BYTES = 1_000_000
 SHALLOW_CHARS = 3
 SORT_ROWS = 200_000
@@ -264,17 +268,18 @@ def _row_key(doc_id: int, raw: bytes) -> int:
 ANCHORS = "bucket int, kind int, chunk int, hashes binary"
 
 
-def _pack(x: np.ndarray) -> bytes:
-    """48-bit hashes as their low 32 and high 16 bits."""
-    return (x & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (x >> np.uint64(32)).astype(
-        "<u2").tobytes()
+def _pack(*arrays) -> bytes:
+    """Arrays and byte strings as one compressed block."""
+    return zstandard.compress(pickle.dumps(arrays, protocol=5), 3)
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    n = len(raw) // 6
-    lo = np.frombuffer(raw, "<u4", n)
-    return lo.astype(np.uint64) | (np.frombuffer(raw, "<u2", n, 4 * n).astype(np.uint64)
-                                   << np.uint64(32))
+def _unpack(raw: bytes) -> tuple:
+    return pickle.loads(zstandard.decompress(raw))
+
+
+def _short(h: np.ndarray, buckets: int) -> np.ndarray:
+    """What distinguishes an anchor within its bucket: 32 bits of its hash."""
+    return (h // np.uint64(buckets)).astype(np.uint32)
 
 
 def _raws(texts) -> list[bytes]:
@@ -309,51 +314,63 @@ def _send_anchors(buckets: int, length: int):
             h, kind, to = (np.concatenate(x) for x in zip(*parts, strict=True))
             bucket = (h % np.uint64(buckets)).astype(np.int64)
             by = np.lexsort((h, to, kind, bucket))
-            h, kind, to, bucket = h[by], kind[by], to[by], bucket[by]
+            h, kind, to, bucket = _short(h, buckets)[by], kind[by], to[by], bucket[by]
             cut = np.flatnonzero(np.append(True, (np.diff(bucket) != 0) | (np.diff(kind) != 0)
                                            | (np.diff(to) != 0)))
             stop = np.append(cut[1:], len(h))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket[cut], pa.int32()), pa.array(kind[cut], pa.int32()),
                  pa.array(to[cut], pa.int32()),
-                 pa.array([_pack(h[i:j]) for i, j in zip(cut, stop, strict=True)], pa.binary())],
+                 pa.array([h[i:j].tobytes() for i, j in zip(cut, stop, strict=True)], pa.binary())],
                 names=["bucket", "kind", "chunk", "hashes"])
 
     return run
 
 
+TOLD = "chunk int, bucket int, hashes binary"
+
+
 def _recurring(pdf: pd.DataFrame) -> pd.DataFrame:
+    bucket = int(pdf["bucket"].iloc[0])
     asked = pdf[pdf["kind"] < 2]
-    out = [pdf.loc[pdf["kind"] == 2, ["chunk", "hashes"]]]
+    out = [pdf.loc[pdf["kind"] == 2, ["chunk", "bucket", "hashes"]]]
     if len(asked):
-        each = [_unpack(x) for x in asked["hashes"]]
+        each = [np.frombuffer(x, np.uint32) for x in asked["hashes"]]
         h = np.concatenate(each)
         n = [len(x) for x in each]
         kind, chunk = np.repeat(asked["kind"].to_numpy(), n), np.repeat(asked["chunk"].to_numpy(), n)
-        u, inv, count = np.unique(h, return_inverse=True, return_counts=True)
+        _, inv, count = np.unique(h, return_inverse=True, return_counts=True)
         hot = (count > 1)[inv] & (kind == 0)
         h, chunk = h[hot], chunk[hot]
-        by = np.argsort(chunk, kind="stable")
-        h, chunk = h[by], chunk[by]
-        cut = np.flatnonzero(np.append(True, np.diff(chunk) != 0)) if len(h) else []
-        stop = np.append(cut[1:], len(h)).astype(int) if len(h) else []
-        out.append(pd.DataFrame({"chunk": [int(chunk[i]) for i in cut],
-                                 "hashes": [_pack(h[i:j]) for i, j in zip(cut, stop, strict=True)]}))
-    return pd.concat(out)[["chunk", "hashes"]]
+        for c in np.unique(chunk).tolist():
+            out.append(pd.DataFrame({"chunk": [c], "bucket": [bucket],
+                                     "hashes": [h[chunk == c].tobytes()]}))
+    return pd.concat(out)
+
+
+# kind 0: segments to compare; kind 1: decided spans of a chunk's rows.
+FOUND = "bucket int, kind int, chunk int, payload binary"
 
 
-# kind 0: a segment to compare; kind 1: decided spans of a row.
-FOUND = ("bucket int, kind int, chunk int, row_key long, doc_id long, hash long, segment binary, "
-         "starts binary, ends binary")
+def _ragged(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Indices first[0], first[0] + 1, ... (n[0] of them), first[1], ..."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 def _cut_segments(buckets: int, length: int):
     def run(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({c.split()[0]: [] for c in FOUND.split(", ")})
+        rows: dict[str, list] = {c.split()[0]: [] for c in FOUND.split(", ")}
+
+        def send(*row) -> None:
+            for name, v in zip(rows, row, strict=True):
+                rows[name].append(v)
+
         docs = docs[docs["doc_id"].notna()]
         if docs.empty or told.empty:
-            return empty
-        hot = np.unique(np.concatenate([_unpack(x) for x in told["hashes"]]))
+            return pd.DataFrame(rows)
+        hot = np.unique(np.concatenate(
+            [np.frombuffer(x, np.uint32).astype(np.uint64) | np.uint64(b << 32)
+             for b, x in zip(told["bucket"].tolist(), told["hashes"], strict=True)]))
         chunk = int(docs["chunk"].iloc[0])
         ids = docs["doc_id"].to_numpy().astype(np.int64)
         raws = _raws(docs["text"])
@@ -361,8 +378,8 @@ def _cut_segments(buckets: int, length: int):
         parts, bufs, base = [], [], 0
         for s, e in batches_of(raws):
             doc, start, end, h = segments(raws[s:e], length)
-            spot = np.searchsorted(hot, h)
-            on = hot[np.minimum(spot, len(hot) - 1)] == h
+            name = _short(h, buckets) | ((h % np.uint64(buckets)) << np.uint64(32))
+            on = hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
             doc, start, end, h = doc[on] + s, start[on], end[on], h[on]
             if not len(doc):
                 continue
@@ -371,31 +388,32 @@ def _cut_segments(buckets: int, length: int):
             bufs.append(np.frombuffer(b"".join(raws[s:e]), np.uint8))
             base += len(bufs[-1])
         if not parts:
-            return empty
+            return pd.DataFrame(rows)
         doc, start, end, h, at = (np.concatenate(x) for x in zip(*parts, strict=True))
         buf = np.concatenate(bufs)
         size = end - start + length - 1
         low, cls = _sorted_classes(buf, at, size, h, ids[doc], length)
         done = ids[doc] > low
-        out = []
         if done.any():
-            k, s, e = _merge(keys[doc[done]], start[done], (end + length - 1)[done])
-            out.append(_span_rows(chunk, k, s, e, buckets))
+            send(chunk % buckets, 1, chunk,
+                 _pack(*_merge(keys[doc[done]], start[done], (end + length - 1)[done])))
         # Of each class one row per row key of the smallest id goes on.
         left = np.flatnonzero(~done)
         by = left[np.lexsort((start[left], keys[doc[left]], cls[left]))]
-        first = np.flatnonzero(np.append(True, (np.diff(cls[by]) != 0)
-                                         | (np.diff(keys[doc[by]]) != 0))) if len(by) else []
-        stop = np.append(first[1:], len(by)).astype(int) if len(by) else []
-        rows = [(int(h[by[i]]), by[i], start[by[i:j]].astype("<i8").tobytes())
-                for i, j in zip(first, stop, strict=True)]
-        out.append(pd.DataFrame({
-            "bucket": [x % buckets for x, _, _ in rows], "kind": 0, "chunk": chunk,
-            "row_key": [keys[doc[i]] for _, i, _ in rows],
-            "doc_id": [ids[doc[i]] for _, i, _ in rows], "hash": [x for x, _, _ in rows],
-            "segment": [buf[at[i]:at[i] + size[i]].tobytes() for _, i, _ in rows],
-            "starts": [s for _, _, s in rows], "ends": [b""] * len(rows)}))
-        return pd.concat(out)
+        if len(by):
+            first = np.flatnonzero(np.append(True, (np.diff(cls[by]) != 0)
+                                             | (np.diff(keys[doc[by]]) != 0)))
+            n = np.diff(np.append(first, len(by)))
+            to = (h[by[first]] % np.uint64(buckets)).astype(np.int64)
+            view = memoryview(buf)
+            for b in np.unique(to).tolist():
+                f, m = first[to == b], n[to == b]
+                one = by[f]
+                text = b"".join([view[a:z] for a, z in zip(
+                    at[one].tolist(), (at[one] + size[one]).tolist(), strict=True)])
+                send(b, 0, chunk, _pack(h[one], keys[doc[one]], ids[doc[one]], size[one], m,
+                                        start[by[_ragged(f, m)]], text))
+        return pd.DataFrame(rows)
 
     return run
 
@@ -423,49 +441,40 @@ def _sorted_classes(buf: np.ndarray, at: np.ndarray, size: np.ndarray, h: np.nda
     return low, cls
 
 
-def _span_rows(chunk: int, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-               buckets: int) -> pd.DataFrame:
-    cut = np.flatnonzero(np.append(True, np.diff(keys) != 0))
-    stop = np.append(cut[1:], len(keys))
-    return pd.DataFrame({
-        "bucket": [int(keys[i]) % buckets for i in cut], "kind": 1, "chunk": chunk,
-        "row_key": [int(keys[i]) for i in cut], "doc_id": 0, "hash": 0, "segment": b"",
-        "starts": [starts[i:j].astype("<i8").tobytes() for i, j in zip(cut, stop, strict=True)],
-        "ends": [ends[i:j].astype("<i8").tobytes() for i, j in zip(cut, stop, strict=True)]})
-
-
-SPANS = "chunk int, row_key long, starts binary, ends binary"
+SPANS = "chunk int, payload binary"
 
 
 def _compare(length: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = ["chunk", "row_key", "starts", "ends"]
-        out = [pdf.loc[pdf["kind"] == 1, names]]
-        segs = pdf[pdf["kind"] == 0].reset_index(drop=True)
-        if len(segs):
-            found = _compare_segments(segs, length)
-            for chunk, part in found.groupby("chunk"):
-                k, s, e = _merge(part["row_key"].to_numpy(), part["start"].to_numpy(),
-                                 part["end"].to_numpy())
-                out.append(_span_rows(int(chunk), k, s, e, 1)[names])
+        decided = pdf["kind"] == 1
+        out = [pdf.loc[decided, ["chunk", "payload"]]]
+        blocks = [(c, *_unpack(x)) for c, x in zip(pdf["chunk"][~decided], pdf["payload"][~decided],
+                                                   strict=True)]
+        if blocks:
+            chunk = np.repeat([b[0] for b in blocks], [len(b[1]) for b in blocks])
+            h, keys, ids, size, n, starts = (np.concatenate([b[i] for b in blocks])
+                                             for i in range(1, 7))
+            text = np.frombuffer(b"".join([b[7] for b in blocks]), np.uint8)
+            row, s, e = _covered(text, size, h, ids, n, starts, length)
+            for c in np.unique(chunk[row]).tolist():
+                on = chunk[row] == c
+                out.append(pd.DataFrame({"chunk": [c], "payload": [
+                    _pack(*_merge(keys[row[on]], s[on], e[on]))]}))
         return pd.concat(out)
 
     return run
 
 
-def _compare_segments(segs: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Covered intervals (chunk, row_key, start, end) of the rows' segments."""
-    buf = np.frombuffer(b"".join(segs["segment"]), np.uint8)
-    size = segs["segment"].map(len).to_numpy()
+def _covered(buf: np.ndarray, size: np.ndarray, h: np.ndarray, ids: np.ndarray, n: np.ndarray,
+             starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Covered intervals ``row, start, end`` of segment rows (``n`` starts each)."""
     at = np.cumsum(size) - size
-    h = segs["hash"].to_numpy().astype(np.uint64)
-    ids = segs["doc_id"].to_numpy()
     low, cls = _sorted_classes(buf, at, size, h, ids, length)
     whole = ids > low
     rows, first, last = [np.flatnonzero(whole)], [np.zeros(whole.sum(), np.int64)], [size[whole]]
     # Anchors that still have different segments: their strings one by one.
     one = np.unique(cls, return_index=True)[1]
-    u, inv, count = np.unique(h[one], return_inverse=True, return_counts=True)
+    _, inv, count = np.unique(h[one], return_inverse=True, return_counts=True)
     one = one[(count > 1)[inv]]
     one = one[np.argsort(h[one], kind="stable")]
     begin, width = 0, -(-length // 8)
@@ -476,9 +485,8 @@ def _compare_segments(segs: pd.DataFrame, length: int) -> pd.DataFrame:
         goal = (total[begin - 1] if begin else 0) + SORT_ROWS
         end = max(begin + 1, int(np.searchsorted(total, goal, side="right")))
         end = int(np.searchsorted(h[one], h[one[min(end, len(one)) - 1]], side="right"))
-        part, n = one[begin:end], strings[begin:end]
-        seg = np.repeat(part, n)
-        j = np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
+        part, m = one[begin:end], strings[begin:end]
+        seg, j = np.repeat(part, m), _ragged(np.zeros(len(m), np.int64), m)
         chars = _chars(buf, at[seg] + j, np.full(len(seg), length), width)
         order, new = deep_shallow(chars, h[seg])
         least, _ = _class_min(low[seg], order, new)
@@ -493,37 +501,31 @@ def _compare_segments(segs: pd.DataFrame, length: int) -> pd.DataFrame:
         rest = np.flatnonzero(~whole)
         rest = rest[np.argsort(cls[rest], kind="stable")]
         a, z = np.searchsorted(cls[rest], c), np.searchsorted(cls[rest], c, side="right")
-        n = z - a
-        pick = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        rows.append(rest[pick])
-        first.append(np.repeat(s, n))
-        last.append(np.repeat(e, n))
+        rows.append(rest[_ragged(a, z - a)])
+        first.append(np.repeat(s, z - a))
+        last.append(np.repeat(e, z - a))
     row, s, e = np.concatenate(rows), np.concatenate(first), np.concatenate(last)
-    spots = [np.frombuffer(x, "<i8") for x in segs["starts"]]
-    n = np.array([len(x) for x in spots])
-    flat, offs = np.concatenate(spots), np.cumsum(n) - n
+    spots = starts[_ragged((np.cumsum(n) - n)[row], n[row])]
     times = n[row]
-    which = np.repeat(offs[row], times) + np.arange(times.sum()) - np.repeat(
-        np.cumsum(times) - times, times)
-    row, s, e = np.repeat(row, times), np.repeat(s, times), np.repeat(e, times)
-    return pd.DataFrame({"chunk": segs["chunk"].to_numpy()[row],
-                         "row_key": segs["row_key"].to_numpy()[row],
-                         "start": flat[which] + s, "end": flat[which] + e})
+    return np.repeat(row, times), spots + np.repeat(s, times), spots + np.repeat(e, times)
 
 
 def _apply(out_text: bool):
     def run(docs: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
-        cuts: dict[int, list] = {}
-        for k, s, e in zip(spans["row_key"], spans["starts"], spans["ends"], strict=True):
-            cuts.setdefault(k, []).append((np.frombuffer(s, "<i8"), np.frombuffer(e, "<i8")))
+        cuts: dict[int, slice] = {}
+        if len(spans):
+            keys, start, end = _merge(*(np.concatenate(x) for x in zip(
+                *map(_unpack, spans["payload"]), strict=True)))
+            edges = np.flatnonzero(np.append(True, np.diff(keys) != 0)).tolist() if len(keys) else []
+            cuts = {int(keys[a]): slice(a, z)
+                    for a, z in zip(edges, [*edges[1:], len(keys)], strict=True)}
         done: dict = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
         raws = _raws(docs["text"])
         for i, raw in zip(docs["doc_id"], raws, strict=True):
             own = cuts.get(_row_key(int(i), raw)) if not pd.isna(i) else None
             kept, removed, n = raw, 0, 0
-            if own:
-                s, e = (np.concatenate(x) for x in zip(*own, strict=True))
-                _, s, e = _merge(np.zeros(len(s), np.int64), s, e)
+            if own is not None:
+                s, e = start[own], end[own]
                 removed, n = int((e - s).sum()), len(s)
                 edges = [0, *np.stack([s, e], 1).ravel().tolist(), len(raw)]
                 kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -557,7 +559,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        .alias("row")) if with_text else base
     sent = base.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(
         _send_anchors(n, length), ANCHORS)
-    told = sent.groupBy("bucket").applyInPandas(_recurring, "chunk int, hashes binary")
+    told = sent.groupBy("bucket").applyInPandas(_recurring, TOLD)
     found = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
         _cut_segments(n, length), FOUND)
     spans = found.groupBy("bucket").applyInPandas(_compare(length), SPANS)
