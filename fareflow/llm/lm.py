@@ -43,7 +43,7 @@ from fareflow.llm.common import keep_table
 
 WORD_CLASSES = 512
 SHARED_CLASSES = 128
-# Counts of so many words are sent to every task; the others come by a join.
+# Counts of at most so many words are sent to every task; the others come by a join.
 KNOWN_WORDS = 100_000
 DIMS = 16
 BLOCK_ROWS = 128
@@ -131,14 +131,19 @@ class Vocabulary:
 
 
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
-    order = [F.desc("n"), F.asc("word")]
-    top = counts.orderBy(*order).limit(KNOWN_WORDS).collect()
-    known = {bytes(r["word"]): r["n"] for r in top}
-    words = [END] + [bytes(r["word"]) for r in top if r["word"] != END][:WORD_CLASSES - 1]
+    # The smallest power of two that at most KNOWN_WORDS words reach: one pass,
+    # and what is collected is bounded whatever the corpus.
+    reach = [F.count_if(F.col("n") >= 1 << k) for k in range(63)]
+    summary = counts.agg(F.sum("n"), F.count(F.lit(1)), F.count_if(F.col("n") == 1),
+                         F.count_if(F.col("n") == 2), *reach).first()
+    least = next(1 << k for k in range(63) if summary[4 + k] <= KNOWN_WORDS)
+    is_end = F.col("word") == F.lit(bytearray(END))
+    known = {bytes(r["word"]): r["n"]
+             for r in counts.filter((F.col("n") >= least) | is_end).collect()}
+    common = sorted(known, key=lambda w: (-known[w], w))
+    words = [END] + [w for w in common if w != END][:WORD_CLASSES - 1]
     classes = {w: i for i, w in enumerate(words)}
     own = len(classes)
-    summary = counts.agg(F.sum("n"), F.count(F.lit(1)), F.count_if(F.col("n") == 1),
-                         F.count_if(F.col("n") == 2)).first()
     rest = counts.filter(~F.col("word").isin([bytearray(w) for w in words]))
     tail = F.substring("word", -3, 3)
     by_class = rest.groupBy((F.crc32(tail) % SHARED_CLASSES).alias("g")).agg(
