@@ -92,10 +92,13 @@ def base_failed() -> Column:
             | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
+def _normal(c: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(c), r"[\x20\x09\x0B-\x0D]+", " "))
+
+
 def normal_lines(text: Column) -> Column:
     """Normalised lines of a text, in order, aligned with ``split(text, '\\n')``."""
-    flat = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " ")
-    return F.transform(F.split(flat, "\n"), lambda x: F.trim(x))
+    return F.transform(F.split(text, "\n"), _normal)
 
 
 def _line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
@@ -163,16 +166,16 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 host_col: str = "source", length_col: str | None = "n_chars",
                 **limits) -> DataFrame:
     """The documents that pass, without the lines above the limits."""
+    # One row per key before the filter: pushed below the statistics, the
+    # filter would have the words of a text split anew for each of its windows.
     found = (verdicts(docs, id_col, text_col, host_col, **limits)
-             .filter("kept").select(F.col("row_key").alias("__key"),
-                                    F.col("removed").alias("__removed")).dropDuplicates(["__key"]))
+             .groupBy(F.col("row_key").alias("__key"))
+             .agg(F.any_value("kept").alias("__kept"), F.any_value("removed").alias("__removed"))
+             .filter("__kept").drop("__kept"))
     d = docs.withColumn("__key", _row_key(id_col, host_col, text_col)).join(found, "__key")
     lines = F.split(F.col(text_col), "\n")
-    normal = F.col("__normal")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(F.col("__removed"),
-                                                          F.xxhash64(normal[i])))
-    d = d.withColumn("__normal", F.when(F.col("__removed").isNotNull(),
-                                        normal_lines(F.col(text_col))))
+    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__removed"),
+                                                       F.xxhash64(_normal(x))))
     d = d.withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col))
                      .otherwise(F.array_join(kept, "\n")))
     if length_col is not None and length_col in docs.columns:
