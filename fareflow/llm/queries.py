@@ -102,8 +102,8 @@ ORACLES = {
         WITH d AS (
           SELECT doc_id, source, row_number() OVER () AS r, coalesce(text, '') AS t, text FROM documents),
         w AS (
-          SELECT r, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-                 list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+          SELECT r, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                 list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
           FROM d),
         u AS (SELECT r, unnest(ws) AS wd, generate_subscripts(ws, 1) AS i FROM w),
         k AS (
@@ -115,7 +115,7 @@ ORACLES = {
           FROM c, (VALUES (0), (1), (2)) AS x(o) WHERE n > 1 GROUP BY r),
         base AS (
           SELECT d.r, doc_id, len(ws)::BIGINT AS n_words,
-                 coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+                 coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
                  length(regexp_replace(w.t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
                  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
                  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
@@ -123,13 +123,15 @@ ORACLES = {
         l AS (
           SELECT r, source, text, trim(unnest(string_split(regexp_replace(lower(t),
                  '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))), ' ') AS line FROM d),
+        hosts AS (SELECT source, count(DISTINCT t) AS n FROM d GROUP BY source),
+        often AS (
+          SELECT source, line, count(DISTINCT text) AS n FROM l WHERE line <> '' GROUP BY source, line),
         f AS (
-          SELECT source, line FROM l WHERE line <> '' GROUP BY source, line
-          HAVING count(DISTINCT text) >= 20 AND count(DISTINCT text) > 0.2 *
-            (SELECT count(DISTINCT e.text) FROM documents e WHERE e.source IS NOT DISTINCT FROM l.source)),
+          SELECT o.source, o.line FROM often o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source
+          WHERE o.n >= 20 AND o.n > 0.2 * h.n),
         x AS (
-          SELECT r, sum(length(line) - length(replace(line, ' ', '')) + 1)::BIGINT AS lost
-          FROM l JOIN f ON l.line = f.line AND l.source IS NOT DISTINCT FROM f.source GROUP BY r)
+          SELECT l.r, sum(length(l.line) - length(replace(l.line, ' ', '')) + 1)::BIGINT AS lost
+          FROM l JOIN f ON l.line = f.line AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.r)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
                n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
                NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
@@ -138,13 +140,13 @@ ORACLES = {
         FROM base LEFT JOIN x USING (r)""",
     "op6_top_k": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
           FROM embeddings
           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
           SELECT a.vec_id AS query_id, b.vec_id,
-                 CAST(list_sum(list_transform(list_zip(a.q, b.q), z -> z[1] * z[2])) AS BIGINT) AS score
+                 CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
           FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
         r AS (
           SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
