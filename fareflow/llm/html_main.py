@@ -261,8 +261,16 @@ def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for html in b.column(4).to_pylist():
             c, blocks = page_blocks(html)
             content.append(c)
-            rows.append([{"text": t.encode("utf-8", "replace").decode(), "around": a, "rule": r}
-                         for t, a, r in blocks])
+            out: list[dict] = []
+            for t, a, r in blocks:
+                # Neighbours that are sure to stay travel as one block.
+                if out and not (a or r or out[-1]["around"] or out[-1]["rule"]):
+                    out[-1]["text"] += "\n" + t
+                else:
+                    out.append({"text": t, "around": a, "rule": r})
+            for x in out:
+                x["text"] = x["text"].encode("utf-8", "replace").decode()
+            rows.append(out)
         yield pa.RecordBatch.from_arrays(
             [*(b.column(i) for i in range(4)), pa.array(content, pa.int64()), pa.array(rows, kind)],
             names=["page_id", "url", "host", "row_key", "content", "blocks"])
