@@ -50,7 +50,7 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentation.sample(read_table(spark, sf_dir, "documents"),
-                               tokenizer_path("piece_bpe_32k.model"), with_ids=False).drop("ids")
+                               tokenizer_path("piece_bpe_32k.model"))
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
