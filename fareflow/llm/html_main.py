@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 
 MIN_PAGES = 5
 MIN_SHARE = 0.002
+# On so many pages of different content a subtree is template on any host.
+MAX_PAGES = 100
 
 # HTML element sets.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -278,11 +280,12 @@ def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html", min_pages: int = MIN_PAGES,
-              min_share: float = MIN_SHARE) -> DataFrame:
+              min_share: float = MIN_SHARE, max_pages: int = MAX_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars, n_template, n_rule`` of every page.
 
     A subtree is template if it occurs on at least ``min_pages`` pages of
-    different content of its host and on ``min_share`` of the host's pages.
+    different content of its host and on ``min_share`` of the host's pages of
+    different content, or on ``max_pages`` of them.
     ``n_template`` / ``n_rule`` count the blocks that recurrence / only the
     rules have deleted.
     """
@@ -298,9 +301,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     # content and task before it is counted.
     seen = (marks.select("host", "h", "content").distinct()
             .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_pages")))
-    hosts = raw.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    hosts = (parsed.select("host", "content").distinct()
+             .groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
+    enough = F.least(F.col("host_pages") * min_share, F.lit(float(max_pages)))
     template = (seen.filter(F.col("n_pages") >= min_pages).join(hosts, "host")
-                .filter(F.col("n_pages") >= F.col("host_pages") * min_share).select("host", "h"))
+                .filter(F.col("n_pages") >= enough).select("host", "h"))
     found = (marks.select("host", "h", "row_key").join(template, ["host", "h"])
              .groupBy("row_key").agg(F.collect_set("h").alias("template")))
     known = F.coalesce("template", F.array().cast("array<long>"))

@@ -53,5 +53,21 @@ def test_copied_articles_are_no_template(spark):
     assert got[105].text == "n 5\nReleased under the MIT License."
 
 
+def test_copies_do_not_raise_the_share(spark):
+    page = "<div><b>Our site</b></div><div><p>story %d words</p></div><div>Call us</div>"
+    rows = [(i, f"http://s.t/{i}", page % i) for i in range(10)]
+    rows += [(100 + i, "http://s.t/c", page % 0) for i in range(6000)]
+    got = run(spark, rows)
+    assert got[3].text == "story 3 words" and got[5000].text == "story 0 words"
+
+
+def test_a_fixed_page_count_decides_on_large_hosts(spark):
+    rows = [(i, f"http://s.t/{i}", f"<div><p>story {i} words</p></div>"
+             + ("<div>Section menu</div>" if i < 120 else "")) for i in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in H.main_text(df, min_share=0.5).collect()}
+    assert got[3].text == "story 3 words" and got[3].n_template == 1
+
+
 def test_empty_table(spark):
     assert run(spark, []) == {}
