@@ -10,9 +10,14 @@ scripts, styles, class or id words for adverts, notices and comments) and, on
 pages that mark their main content (``article`` / ``main``), whatever stands
 outside it.
 
-An article's own text is never deleted for recurring: pages that carry the
-same article count once, and inside marked main content only containers
-without paragraphs or headings (link lists, boxes) are judged by recurrence.
+An article's own paragraphs are never deleted one by one for recurring: pages
+that carry the same article count once.  Inside marked main content, containers
+without paragraphs or headings (link lists, boxes) are judged like the rest of
+a page.  Containers with some (notices, adverts, 'more stories') are judged by
+the pages whose paragraphs outside the container differ; a page on which the
+container holds most of the paragraphs' text does not count, because there it
+may be the article.  An article that holds most of the paragraphs of the
+``main`` around it is the main content in its place.
 
 Only hashes and page keys are shuffled for counting; the text that may be
 kept travels once, without markup.
@@ -67,6 +72,8 @@ WORD = re.compile(r"[a-z0-9]+")
 P_ENDERS = BLOCK - {"body", "html", "head", "caption", "tbody", "td", "tfoot", "th", "thead", "tr",
                     "li", "dd", "dt", "option", "optgroup", "legend", "summary", "figcaption"}
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote article main body html head".split())
+PARAGRAPHS = frozenset("p pre blockquote".split())
+CONTAINERS = frozenset("div section center details dl figure ol table ul".split())
 SIBLING_ENDERS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
                   "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"},
@@ -154,13 +161,67 @@ def _find_main(node: Node, out: list) -> None:
     stack = [node]
     while stack:
         n = stack.pop()
-        if n.tag in ("article", "main") and not _noise(n, False):
+        if n.tag == "main" and not _noise(n, False):
+            inner = [x for k in n.kids if isinstance(k, Node) for x in _articles(k)]
+            sums = paragraph_sums(n) if inner else {}
+            most = 2 * sum(sums[id(x)][1] for x in inner) > sums[id(n)][1] if inner else False
+            out += inner if most else [n]
+        elif n.tag == "article" and not _noise(n, False):
             out.append(n)
         else:
             stack += [k for k in reversed(n.kids) if isinstance(k, Node)
                       and not _noise(k, False)]
 
 
+def _articles(node: Node) -> list[Node]:
+    """The outermost articles of a subtree, in page order."""
+    out, stack = [], [node]
+    while stack:
+        n = stack.pop()
+        if _noise(n, True):
+            continue
+        if n.tag == "article":
+            out.append(n)
+        else:
+            stack += [k for k in reversed(n.kids) if isinstance(k, Node)]
+    return out
+
+
+def _text(node: Node) -> str:
+    parts, stack = [], [node]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, str):
+            parts.append(n)
+        else:
+            stack += reversed(n.kids)
+    return " ".join("".join(parts).split())
+
+
+def paragraph_sums(root: Node) -> dict[int, tuple[int, int]]:
+    """Per subtree by ``id(node)``: sum of its paragraphs' hashes, and their characters.
+
+    Paragraphs that the rules drop count for nothing; what a paragraph holds
+    counts with it and has no entry.
+    """
+    sums: dict[int, tuple[int, int]] = {}
+    order, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        if n is not root and _noise(n, True):
+            sums[id(n)] = (0, 0)
+        elif n.tag in PARAGRAPHS:
+            text = _text(n)
+            sums[id(n)] = (xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")), len(text))
+        else:
+            order.append(n)
+            stack += [k for k in n.kids if isinstance(k, Node)]
+    for n in reversed(order):
+        kids = [sums[id(k)] for k in n.kids if isinstance(k, Node)]
+        sums[id(n)] = sum(h for h, _ in kids) & (1 << 64) - 1, sum(c for _, c in kids)
+    return sums
+
+
 def subtree_hashes(root: Node) -> tuple[dict[int, int], set[int]]:
     """Signed 64-bit hash of every subtree by ``id(node)``; ids of those with prose."""
     done: dict[int, int] = {}
@@ -187,14 +248,17 @@ def subtree_hashes(root: Node) -> tuple[dict[int, int], set[int]]:
     return done, prose
 
 
-def page_blocks(html: str | None) -> tuple[int, list[tuple[str, list[int], bool]]]:
-    """The page's content hash and its blocks in page order.
+def page_blocks(html: str | None) -> tuple[int, list[tuple[str, list[int], bool]],
+                                           dict[int, int | None]]:
+    """The page's content hash, its blocks in page order, and what else containers count by.
 
     A block is ``(text, hashes of the judged subtrees around it, by_rule)``;
-    ``by_rule`` blocks are never part of the result and carry no text.
+    ``by_rule`` blocks are never part of the result and carry no text.  A
+    container with paragraphs inside main content counts by the hash of the
+    paragraphs outside it, or not at all (None).
     """
     if not html:
-        return 0, []
+        return 0, [], {}
     root = parse(html)
     mains: list[Node] = []
     _find_main(root, mains)
@@ -203,6 +267,18 @@ def page_blocks(html: str | None) -> tuple[int, list[tuple[str, list[int], bool]
     content = hash_list([hashes[id(n)] for n in mains or [root]])
     blocks: list[tuple[str, list[int], bool]] = []
     run: list[str] = []
+    rests: dict[int, int | None] = {}
+    sums: dict[int, tuple[int, int]] = {}
+
+    def rest_of(n: Node) -> int | None:
+        if not sums:
+            for m in mains:
+                sums.update(paragraph_sums(m))
+        own, size = sums.get(id(n), (0, 0))
+        whole = sum(sums[id(m)][0] for m in mains)
+        if 2 * size > sum(sums[id(m)][1] for m in mains):
+            return None
+        return hash_list([(whole - own) & (1 << 64) - 1])
 
     def flush(path: tuple, rule: bool) -> None:
         if run:
@@ -232,12 +308,15 @@ def page_blocks(html: str | None) -> tuple[int, list[tuple[str, list[int], bool]
         if n.parent is not None and (id(n) not in prose if inside or rule
                                      else n.tag not in ("html", "body")):
             path = (*path, hashes[id(n)])
+        elif inside and not rule and n.tag in CONTAINERS:
+            path = (*path, hashes[id(n)])
+            rests[hashes[id(n)]] = rest_of(n)
         if n.tag in BLOCK or n.tag == "#root" or rule != around_rule:
             flush(around, around_rule)
             stack.append((n, path, inside, rule, True))
         stack += [(k, path, inside, rule, False) for k in reversed(n.kids)]
     flush((), bool(mains))
-    return content, blocks
+    return content, blocks, rests
 
 
 def hash_list(values: list[int]) -> int:
@@ -252,17 +331,21 @@ def host_of(url: F.Column) -> F.Column:
 
 
 PARSED = ("page_id long, url string, host string, row_key long, content long, "
-          "blocks array<struct<text:string,around:array<long>,rule:boolean>>")
+          "blocks array<struct<text:string,around:array<long>,rule:boolean>>, "
+          "votes array<struct<h:long,content:long>>")
 
 
 def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64())),
                                ("rule", pa.bool_())]))
+    vote = pa.list_(pa.struct([("h", pa.int64()), ("content", pa.int64())]))
     for b in batches:
-        content, rows = [], []
+        content, rows, votes = [], [], []
         for html in b.column(4).to_pylist():
-            c, blocks = page_blocks(html)
+            c, blocks, rests = page_blocks(html)
             content.append(c)
+            votes.append([{"h": h, "content": x} for h in {h for _, a, _ in blocks for h in a}
+                          if (x := rests.get(h, c)) is not None])
             out: list[dict] = []
             for t, a, r in blocks:
                 # Neighbours that are sure to stay travel as one block.
@@ -274,8 +357,9 @@ def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x["text"] = x["text"].encode("utf-8", "replace").decode()
             rows.append(out)
         yield pa.RecordBatch.from_arrays(
-            [*(b.column(i) for i in range(4)), pa.array(content, pa.int64()), pa.array(rows, kind)],
-            names=["page_id", "url", "host", "row_key", "content", "blocks"])
+            [*(b.column(i) for i in range(4)), pa.array(content, pa.int64()), pa.array(rows, kind),
+             pa.array(votes, vote)],
+            names=["page_id", "url", "host", "row_key", "content", "blocks", "votes"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -296,10 +380,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                        html.alias("html"))
     parsed = raw.mapInArrow(_parse_pages, PARSED)
     around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    marks = parsed.select("host", "row_key", "content", F.explode(around).alias("h"))
+    marks = parsed.select("host", "row_key", F.explode(around).alias("h"))
     # Distinct contents first, so that a hot host's subtree is one row per
     # content and task before it is counted.
-    seen = (marks.select("host", "h", "content").distinct()
+    seen = (parsed.select("host", F.inline("votes")).distinct()
             .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_pages")))
     hosts = (parsed.select("host", "content").distinct()
              .groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))

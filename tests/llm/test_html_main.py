@@ -69,5 +69,27 @@ def test_a_fixed_page_count_decides_on_large_hosts(spark):
     assert got[3].text == "story 3 words" and got[3].n_template == 1
 
 
+def test_recurring_prose_containers_inside_an_article_go(spark):
+    more = "<section class='x'><h2>More</h2><p>Read our other stories.</p></section>"
+    long = "long story of many words that goes on and on for a while, number"
+    rows = [(i, f"http://s.t/{i}", f"<main><h1>t{i}</h1><p>{long} {i}.</p>{more}</main>")
+            for i in range(8)]
+    # The same body under different titles, links and notices is an article, no template.
+    rows += [(100 + i, f"http://b.c/{i}", f"<article><h1>title {i}</h1><div><p>{long} same.</p></div>"
+              f"<div><a>link {i}</a></div><div><p>advert {i}</p></div></article>") for i in range(8)]
+    got = run(spark, rows)
+    assert all(got[i].text == f"t{i}\n{long} {i}." for i in range(8))
+    assert all(f"{long} same." in got[100 + i].text for i in range(8))
+
+
+def test_article_nested_in_main(spark):
+    long = "long story of many words that goes on and on for a while."
+    got = run(spark, [
+        (1, "http://a/1", f"<main><p>Beside it.</p><article><h1>t</h1><p>{long}</p></article></main>"),
+        (2, "http://a/2", f"<main><p>{long}</p><article><p>Teaser.</p></article></main>")])
+    assert got[1].text == f"t\n{long}"
+    assert got[2].text == f"{long}\nTeaser."
+
+
 def test_empty_table(spark):
     assert run(spark, []) == {}
