@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.llm import (
+    alignment,
     chunk_dedup,
     html_main,
     lm,
@@ -18,6 +19,8 @@ from fareflow.llm import (
     segmentation,
     suffix_dedup,
     topk,
+    toxicity,
+    whitening,
 )
 from fareflow.llm.common import read_table
 
@@ -84,6 +87,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"),
+                           tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_chunk_dedup": op2_chunk_dedup,
@@ -95,6 +111,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
+    "op12_whitening": op12_whitening,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLES = {

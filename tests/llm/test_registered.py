@@ -20,14 +20,20 @@ COLUMNS = {
                "base_sha256 string, spans string",
     "op10_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
                     "sequence_id bigint, offset bigint",
+    "op11_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
+                      "n_best bigint, count_sum bigint, groups_sha256 string",
+    "op12_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, "
+                      "explained double, identity_error double",
+    "op13_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
 }
 PER_ROW = {"op1_quality_rules": "documents", "op2_chunk_dedup": "documents", "op3_main_text": "pages",
            "op5_lm_scoring": "documents", "op7_ngram_join": "documents",
-           "op8_suffix_dedup": "documents", "op9_pii": "documents"}
+           "op8_suffix_dedup": "documents", "op9_pii": "documents",
+           "op11_alignment": "documents", "op13_toxicity": "documents"}
 
 
 def test_names():
-    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in Q.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
