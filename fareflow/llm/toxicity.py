@@ -48,10 +48,11 @@ FOLDS = 5
 SIZES = (3, 4, 5, 6)
 BITS = 19
 TRAIN_ROWS = 65_536
-SHARD_ROWS = 8_192
+SHARD_ROWS = 4_096
 ROUNDS = 2
 PASSES = 4
 RATE = 0.3
+SETTLED = 0.02
 BLOCK_FEATURES = 8_000_000
 WINDOW = 1 << 20
 
@@ -99,21 +100,23 @@ def train_block(rows: list[np.ndarray], toxic: np.ndarray, ratio: np.ndarray, w:
                 g: np.ndarray, seed: int, weight: float = 1.0, passes: int = PASSES) -> None:
     """Adagrad passes over a block; ``w`` and ``g`` hold the intercept last.
 
-    ``weight`` is that of a toxic row.
+    ``weight`` is that of a toxic row.  A row whose score is within
+    ``SETTLED`` of its label asks for no step.
     """
     rng = np.random.default_rng(seed)
-    scale = [1 / np.sqrt(max(len(f), 1)) for f in rows]
-    values = [ratio[f] * s for f, s in zip(rows, scale, strict=True)]
+    values = [ratio[f] * np.float32(1 / np.sqrt(max(len(f), 1))) for f in rows]
     for _ in range(passes):
         for i in rng.permutation(len(rows)):
             f, x = rows[i], values[i]
-            z = float(w[f] @ x) + w[-1]
+            z = float(w[f] @ x) + float(w[-1])
             d = 1 / (1 + np.exp(-min(max(z, -30.0), 30.0))) - toxic[i]
+            if abs(d) < SETTLED:
+                continue
             d *= weight if toxic[i] else 1.0
-            step = d * x
+            step = np.float32(d) * x
             sq = g[f] + step * step
             g[f] = sq
-            w[f] -= RATE * step / np.sqrt(sq)
+            w[f] -= np.float32(RATE) * step / np.sqrt(sq)
             g[-1] += d * d
             w[-1] -= RATE * d / np.sqrt(g[-1])
 
@@ -187,7 +190,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
             .join(F.broadcast(known), "id"))
     shard = F.pmod(F.xxhash64("id", F.lit(13)), F.lit(shards)).cast("int")
     return (rows.select(shard.alias("shard"), "toxic", "text")
-            .repartition(shards, "shard").sortWithinPartitions("shard"))
+            .repartitionById(shards, "shard").sortWithinPartitions("shard"))
 
 
 def fit(train: DataFrame, bits: int = BITS, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
@@ -213,24 +216,24 @@ def fit(train: DataFrame, bits: int = BITS, rounds: int = ROUNDS) -> tuple[np.nd
         share = (toxics + 0.5) / (others + toxics + 2)
         return np.zeros(size), float(np.log(share / (1 - share)))
     ratio = (np.log((counts[size:2 * size] + 1) / (toxics + 2))
-             - np.log((counts[:size] + 1) / (others + 2)))
+             - np.log((counts[:size] + 1) / (others + 2))).astype(np.float32)
     w = np.zeros(size + 1)
     weight = float(np.sqrt(others / toxics))
     w[-1] = np.log(weight * toxics / others)
     for k in range(rounds):
-        start = w
+        start = w.astype(np.float32)
 
         def learn(batches: Iterator[pa.RecordBatch], start=start, k=k) -> Iterator[pa.RecordBatch]:
             shard, w, g, n = None, None, None, 0
             for s, rows, toxic in _blocks(batches, Buckets(bits)):
                 if s != shard:
                     if n:
-                        yield _vector_rows(w * n, n)
-                    shard, w, g, n = s, start.copy(), np.full(size + 1, 1e-2), 0
+                        yield _vector_rows(w.astype(np.float64) * n, n)
+                    shard, w, g, n = s, start.copy(), np.full(size + 1, 1e-2, np.float32), 0
                 train_block(rows, toxic, ratio, w, g, 1000 * k + s, weight)
                 n += len(rows)
             if n:
-                yield _vector_rows(w * n, n)
+                yield _vector_rows(w.astype(np.float64) * n, n)
 
         total, n = _sum_vectors(train.mapInArrow(learn, VECTORS))
         w = total / n
