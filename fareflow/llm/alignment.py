@@ -11,7 +11,7 @@ Method: a shared end (looked up, so verified, in both sequences' offsets)
 before an A and a B token that both begin with a blank is an anchor.  Anchors
 cut the document into short windows, each known by its A ids and B ids alone.
 A window is aligned once per worker and kept in a bounded table by its id
-tuples; the document's result is its windows' results put together, since no
+tuples (packed); the document's result is its windows' results put together, since no
 group and no link crosses an anchor.
 
 Corpus counts, on Spark: each document keeps its distinct linked id pairs with
@@ -31,8 +31,10 @@ read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -114,6 +116,8 @@ class Pieces:
         return self.model.encode(list(texts), num_threads=1)
 
 
+NO_TOKENS = (0, 0, 0, np.zeros(0, np.int64), "")
+
 _loaded: dict[tuple[str, str], Aligner] = {}
 
 
@@ -131,27 +135,44 @@ class Aligner:
         self.b_len = np.array([len(p) for p in b.pieces], np.int64)
         self.a_mark = np.array([p[:1] == b" " for p in a.pieces])
         self.b_mark = np.array([p[:1] == b" " for p in b.pieces])
-        self.forget()
-
-    def forget(self) -> None:
-        """Window results: number by id tuples; group text, groups, links by number."""
-        self.number: dict[tuple, int] = {}
-        self.text: list[str] = []
-        self.groups: list[int] = []
-        self.links: list[np.ndarray] = []
-
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, int, np.ndarray]:
-        """Group text, number of groups and linked pairs (a * B size + b) of a window."""
-        a_end, b_end = np.cumsum(self.a_len[list(a)]), np.cumsum(self.b_len[list(b)])
-        groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
-        while i < len(a) and j < len(b):
-            links.append(a[i] * self.b.size + b[j])
-            e, f = a_end[i], b_end[j]
-            if e == f:
-                groups.append(",".join(map(str, a[i0:i + 1])) + "|" + ",".join(map(str, b[j0:j + 1])))
-                i0, j0 = i + 1, j + 1
-            i, j = i + (e <= f), j + (f <= e)
-        return ";".join(groups), len(groups), np.array(links, np.int64)
+        self.a_text, self.b_text = list(map(str, range(a.size))), list(map(str, range(b.size)))
+        # Windows by their packed ids.  Those met first stay, which are the
+        # frequent ones; others are aligned again when they return.
+        self.memo: dict[bytes, tuple[str, int, bytes, bytes | None]] = {}
+
+    def window(self, a: list[int], b: list[int]) -> tuple[str, int, bytes, bytes | None]:
+        """Group text, number of groups, linked pairs (a * B size + b, packed) and
+        the bytes of a window, None if A and B spell different ones."""
+        of_b = self.b.size
+        a_spelt, b_spelt = [self.a.pieces[x] for x in a], [self.b.pieces[x] for x in b]
+        a_text, b_text = [self.a_text[x] for x in a], [self.b_text[x] for x in b]
+        a_size, b_size = list(map(len, a_spelt)), list(map(len, b_spelt))
+        groups, links, i, j, i0, j0, ahead = [], [], 0, 0, 0, 0, a_size[0] - b_size[0]
+        while True:
+            links.append(a[i] * of_b + b[j])
+            if ahead == 0:
+                i, j = i + 1, j + 1
+                if i - i0 == 1 and j - j0 == 1:
+                    groups.append(a_text[i0] + "|" + b_text[j0])
+                else:
+                    groups.append(",".join(a_text[i0:i]) + "|" + ",".join(b_text[j0:j]))
+                i0, j0 = i, j
+                if i >= len(a) or j >= len(b):
+                    break
+                ahead = a_size[i] - b_size[j]
+            elif ahead < 0:
+                i += 1
+                if i == len(a):
+                    break
+                ahead += a_size[i]
+            else:
+                j += 1
+                if j == len(b):
+                    break
+                ahead -= b_size[j]
+        spelt = b"".join(a_spelt)
+        same = spelt == b"".join(b_spelt)
+        return ";".join(groups), len(groups), array("q", links).tobytes(), spelt if same else None
 
     def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
         """Positions in ``a`` and ``b`` at which windows begin, and the ends."""
@@ -167,30 +188,31 @@ class Aligner:
         """``(n_a, n_b, n_groups, links, sha256)`` per text; links are pair keys."""
         known = [t or "" for t in texts]
         a_ids, b_ids = self.a.encode([" " + t for t in known]), self.b.encode(known)
-        a_piece, b_piece = self.a.pieces.__getitem__, self.b.pieces.__getitem__
+        get, memo = self.memo.get, self.memo
         for t, a, b in zip(known, a_ids, b_ids, strict=True):
-            want = (" " + t).encode("utf-8", "surrogatepass")
-            if not t or b"".join(map(a_piece, a)) != want or b"".join(map(b_piece, b)) != want:
-                yield 0, 0, 0, np.zeros(0, np.int64), ""
+            if not t or not a or not b:
+                yield NO_TOKENS
+                continue
+            a_pack, b_pack = np.array(a, "<u4"), np.array(b, "<u4")
+            i, j = self.cuts(a_pack, b_pack)
+            # A key is the A ids and then the B ids, these moved above all A ids.
+            a_key, b_key = a_pack.tobytes(), (b_pack + self.a.size).astype("<u4").tobytes()
+            i4, j4 = [4 * x for x in i], [4 * x for x in j]
+            keys = [a_key[i0:i1] + b_key[j0:j1]
+                    for i0, i1, j0, j1 in zip(i4, i4[1:], j4, j4[1:], strict=False)]
+            found = list(map(get, keys))
+            if None in found:
+                for n, hit in enumerate(found):
+                    if hit is None:
+                        found[n] = got = self.window(a[i[n]:i[n + 1]], b[j[n]:j[n + 1]])
+                        if len(memo) < MEMO_WINDOWS:
+                            memo[keys[n]] = got
+            text, groups, links, spelt = zip(*found, strict=True)
+            if None in spelt or b"".join(spelt) != (" " + t).encode("utf-8", "surrogatepass"):
+                yield NO_TOKENS
                 continue
-            i, j = self.cuts(np.array(a, np.int64), np.array(b, np.int64))
-            numbers = [self.look_up(tuple(a[i0:i1]), tuple(b[j0:j1]))
-                       for i0, i1, j0, j1 in zip(i, i[1:], j, j[1:], strict=False)]
-            sha = hashlib.sha256(";".join([self.text[n] for n in numbers]).encode()).hexdigest()
-            yield (len(a), len(b), sum([self.groups[n] for n in numbers]),
-                   np.concatenate([self.links[n] for n in numbers]), sha)
-            if len(self.number) > MEMO_WINDOWS:
-                self.forget()
-
-    def look_up(self, a: tuple[int, ...], b: tuple[int, ...]) -> int:
-        n = self.number.get((a, b))
-        if n is None:
-            n = self.number[a, b] = len(self.text)
-            text, groups, links = self.window(a, b)
-            self.text.append(text)
-            self.groups.append(groups)
-            self.links.append(links)
-        return n
+            yield (len(a), len(b), sum(groups), np.frombuffer(b"".join(links), np.int64),
+                   hashlib.sha256(";".join(text).encode()).hexdigest())
 
 
 ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -202,6 +224,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
     """Per document its counts, its digest and its distinct pairs (packed longs and ints)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al = aligner(a_path, b_path)
+        gc.freeze()  # the memo and the vocabularies hold no cycles to look for
         for b in batches:
             ids, texts = b.column(0), b.column(1)
             for at in range(0, b.num_rows, TEXTS_PER_STEP):

@@ -114,9 +114,12 @@ def test_plain_path_gives_the_library_s_ids(seed):
     assert al.a.encode(texts) == want
 
 
-def test_memo_may_be_forgotten(monkeypatch):
+def test_windows_beyond_the_memo(monkeypatch):
     al = alignment.Aligner(alignment.ByteLevel(A), alignment.Pieces(B))
     texts = made_texts()[:40]
     want = [(x[:3], x[3].tolist(), x[4]) for x in al.documents(texts)]
     monkeypatch.setattr(alignment, "MEMO_WINDOWS", 3)
-    assert [(x[:3], x[3].tolist(), x[4]) for x in al.documents(texts)] == want
+    small = alignment.Aligner(al.a, al.b)
+    for _ in range(2):
+        assert [(x[:3], x[3].tolist(), x[4]) for x in small.documents(texts)] == want
+    assert len(small.memo) == 3 and len(al.memo) > 3
