@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.functions.columns import exact_avg, hash_bucket
+from fareflow.session import staged
 
 
 # AGG-01 / AGG-07 / AGG-02 ------------------------------------------------------
@@ -112,55 +113,41 @@ def rebalanced_sum(df: DataFrame, key: str, value: str) -> DataFrame:
 
 # AGG-23 / AGG-24 -------------------------------------------------------------------
 def exact_percentile(df: DataFrame, group: str, value: str, p: float,
-                     name: str = "p", rounds: int = 3, bins: int = 1024) -> DataFrame:
+                     name: str = "p") -> DataFrame:
     """Exact ``p``-quantile per group with linear interpolation (``quantile_cont``).
 
-    Rank selection instead of a value map per group: each round counts the
-    group's remaining rows in ``bins`` equal-width bins between its bounds (a
-    partial aggregate of at most ``bins`` rows per group) and keeps the bins
-    that hold the two ranks around the quantile.  The few values left are
-    counted per distinct value and ranked.  NULL values are ignored; a group
-    without values gives NULL.
+    Distinct values are counted (a partial aggregate), range-partitioned by
+    (group, value) and written once, each row with the number of its
+    partition.  A group's rank before a partition is the sum of the earlier
+    partitions' counts, so ranks inside a partition need its rows alone, and a
+    group of any size spreads over as many partitions as it has values for.
+    NULL values are ignored; a group without values gives NULL.
     """
-    g, v = "__g", "__v"
+    spark = df.sparkSession
+    g, v, part = "__g", "__v", "__part"
     rows = df.select(F.col(group).alias(g), F.col(value).cast("double").alias(v))
-    state = rows.groupBy(g).agg(
-        F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"))
-    pos = F.lit(p) * (F.col("n") - 1)
-    state = state.select(g, "lo", "hi", F.floor(pos).alias("k"),
-                         (pos - F.floor(pos)).alias("frac"), F.lit(0).cast("long").alias("below"))
-    rows = rows.filter(F.col(v).isNotNull())
-    on = lambda a, b: a[g].eqNullSafe(b[g])
-    for _ in range(rounds):
-        s = state.alias("s")
-        span = F.col("hi") - F.col("lo")
-        bin_ = F.when(span > 0, F.least(F.floor((F.col(v) - F.col("lo")) / span * bins),
-                                        F.lit(bins - 1))).otherwise(F.lit(0))
-        binned = rows.join(s, on(rows, state)).select(
-            rows[g], v, bin_.alias("bin"), "k", "below")
-        counts = binned.groupBy(g, "bin").agg(
-            F.count(F.lit(1)).alias("c"), F.min(v).alias("low"), F.max(v).alias("top"),
-            F.first("k").alias("k"), F.first("below").alias("below"))
-        upto = F.sum("c").over(Window.partitionBy(g).orderBy("bin")) + F.col("below")
-        # Ranks are k and k + 1 (the latter may not exist).
-        hit = counts.withColumn("upto", upto).filter(
-            (F.col("upto") > F.col("k")) & (F.col("upto") - F.col("c") <= F.col("k") + 1))
-        kept = hit.groupBy(g).agg(F.min("low").alias("lo2"), F.max("top").alias("hi2"),
-                                  F.min(F.col("upto") - F.col("c")).alias("below2"))
-        state = (state.join(kept.withColumnRenamed(g, "__g2"),
-                            F.col(g).eqNullSafe(F.col("__g2")), "left")
-                 .select(g, F.coalesce("lo2", "lo").alias("lo"), F.coalesce("hi2", "hi").alias("hi"),
-                         "k", "frac", F.coalesce("below2", "below").alias("below")))
-        rows = (rows.join(state.select(F.col(g).alias("__g3"), "lo", "hi"),
-                          F.col(g).eqNullSafe(F.col("__g3")))
-                .filter(F.col(v).between(F.col("lo"), F.col("hi"))).select(g, v))
-    left = rows.groupBy(g, v).agg(F.count(F.lit(1)).alias("c"))
-    ranked = left.withColumn("upto", F.sum("c").over(Window.partitionBy(g).orderBy(v)))
-    j = state.join(ranked.withColumnRenamed(g, "__g4"), F.col(g).eqNullSafe(F.col("__g4")), "left")
-    last = F.col("upto") + F.col("below")
-    at_k = F.min(F.when(last > F.col("k"), F.col(v)))
-    at_next = F.min(F.when(last > F.col("k") + 1, F.col(v)))
-    out = j.groupBy(g, "frac").agg(at_k.alias("a"), F.coalesce(at_next, at_k).alias("b"))
+    counts = (rows.groupBy(g, v).agg(F.count(F.lit(1)).alias("c"))
+              .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), g, v)
+              .withColumn(part, F.spark_partition_id()))
+    counts = staged(counts, "percentile-counts")
+    known = F.when(F.col(v).isNotNull(), F.col("c")).otherwise(F.lit(0))
+    # One row per group and partition.
+    blocks = counts.groupBy(g, part).agg(F.sum(known).alias("n"))
+    before = Window.partitionBy(g).orderBy(part)
+    blocks = (blocks.withColumn("before", F.sum("n").over(before) - F.col("n"))
+              .withColumn("total", F.sum("n").over(Window.partitionBy(g))))
+    pos = F.lit(p) * (F.col("total") - 1)
+    blocks = blocks.select(F.col(g).alias("__bg"), F.col(part).alias("__bp"), "before", "n",
+                           F.floor(pos).alias("k"), (pos - F.floor(pos)).alias("frac"))
+    # Rows of the partitions that hold rank k or k + 1, and one of each group.
+    near = blocks.filter((F.col("before") <= F.col("k") + 1) & (F.col("before") + F.col("n") >= F.col("k")))
+    held = counts.join(near, (F.col(part) == F.col("__bp")) & F.col(g).eqNullSafe(F.col("__bg")))
+    upto = F.sum(known).over(Window.partitionBy(g, part).orderBy(v)) + F.col("before")
+    ranked = held.withColumn("upto", upto).filter(F.col(v).isNotNull() | (F.col("n") == 0))
+    at_k = F.min(F.when(F.col("upto") > F.col("k"), F.col(v)))
+    at_next = F.min(F.when(F.col("upto") > F.col("k") + 1, F.col(v)))
+    out = ranked.groupBy(g).agg(at_k.alias("a"), F.coalesce(at_next, at_k).alias("b"),
+                                F.first("frac").alias("frac"))
     return out.select(F.col(g).alias(group),
                       (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias(name))
 
@@ -195,7 +182,9 @@ def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, s
     blocks of bounded size, each pair of blocks is one matrix product, and a
     pair returns at most ``k`` rows per query; the final top-k merges those.
     Any number of queries is taken.  NULL, empty and zero vectors are not
-    scored.
+    scored.  Candidates rank by the score to twelve decimals (scores nearer
+    than that are ties of rounding and go by the smaller id); the returned
+    score has six.
     """
     def unit(df: DataFrame, id_: str, vec: str) -> DataFrame:
         v = F.transform(F.col(vec), lambda x: x.cast("double"))
@@ -220,7 +209,7 @@ def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, s
             return pd.DataFrame({"query_id": a["id"][:0], "doc_id": b["id"][:0],
                                  "score": np.zeros(0)})
         b = b.sort_values("id", kind="stable")
-        score = np.round(np.stack(a["v"]) @ np.stack(b["v"]).T, 6)
+        score = np.round(np.stack(a["v"]) @ np.stack(b["v"]).T, 12)
         # Stable on the id order, so equal scores keep the smaller id.
         top = np.argsort(-score, axis=1, kind="stable")[:, :k]
         return pd.DataFrame({
@@ -232,7 +221,7 @@ def top_k_similar(store: DataFrame, queries: DataFrame, k: int, store_id: str, s
         block, f"query_id {qt}, doc_id {st}, score double")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return (scored.withColumn("rank", F.row_number().over(w).cast("bigint"))
-                  .filter(F.col("rank") <= k))
+                  .filter(F.col("rank") <= k).withColumn("score", F.round("score", 6)))
 
 
 # SRT-* ---------------------------------------------------------------------------------

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.operators.loads import recover_swap, table_exists, write_swap
+from fareflow.operators.loads import recover_swap, write_swap
+from fareflow.session import delete_path, path_exists, touch
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -29,13 +30,15 @@ def write_by_date(df: DataFrame, path: str, ts: str, name: str = "pickup_date",
     Rows are grouped by date with a ``REBALANCE`` hint: dates arrive at
     few writers (few files per date), while AQE splits a date that is
     larger than the advisory partition size across several tasks, so a
-    date holding a third of the data is not written by one task.  Sorting
-    within partitions by the cluster columns tightens Parquet min/max
-    statistics so filters on them skip row groups (LAY-06).
+    date holding a third of the data is not written by one task.  Sorting by
+    the date and then the cluster columns tightens Parquet min/max statistics,
+    so filters on them skip row groups (LAY-06); the writer needs the date
+    first, or it would sort again by the date alone and lose the order.
+    ``clustering.write_clustered`` clusters by several columns at once.
     """
     out = with_date_partition(df, ts, name).hint("rebalance", name)
     if cluster_by:
-        out = out.sortWithinPartitions(*cluster_by)
+        out = out.sortWithinPartitions(name, *cluster_by)
     kept = "dynamic" if only_own_dates else "static"
     w = out.write.mode(mode).option("partitionOverwriteMode", kept).partitionBy(name)
     if max_records:
@@ -113,21 +116,48 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_PARTITION
     return n
 
 
-def archive_split(df: DataFrame, ts: str, cutoff: str, hot_path: str, cold_path: str) -> None:
-    """Rows before ``cutoff`` to the cold path, the rest to the hot path.
+ARCHIVE_RUN = "archive_run"
 
-    ``df`` may read the hot path itself: both outputs are written beside their
-    targets and swapped in, the cold one first.  A rerun adds only rows the
-    cold path does not hold yet (with multiplicity), so it changes nothing,
-    also after a crash between the two swaps."""
+
+def archive_split(df: DataFrame, ts: str, cutoff: str, hot_path: str, cold_path: str) -> int:
+    """Rows before ``cutoff`` to the cold path, the rest to the hot path; returns the run.
+
+    ``df`` may read the hot path itself.  Every run writes its own partition
+    ``archive_run=<n>`` of the cold path and nothing of earlier runs, so equal
+    rows that arrive later are archived again, and no run reads or rewrites
+    the archive.  A run is open from its ``_open_<n>`` file in the cold path
+    until the file goes.  If a run is found open, it stopped on the way: while
+    the hot table does not carry the run's ``_archived_<n>`` file (swapped in
+    together with the table), the run is repeated over its own partition;
+    otherwise both halves are done and a new run begins."""
     spark = df.sparkSession
+    cold, hot = cold_path.rstrip("/"), hot_path.rstrip("/")
+    recover_swap(spark, hot)
+    runs, opened = _archive_runs(spark, cold)
+    if opened and not path_exists(spark, f"{hot}/_archived_{opened}"):
+        run = opened
+    else:
+        if opened:
+            delete_path(spark, f"{cold}/_open_{opened}")
+        run = max([*runs, 0]) + 1
+    touch(spark, f"{cold}/_open_{run}")
     c = F.lit(cutoff).cast("timestamp_ntz")
-    old = df.filter(F.col(ts) < c)
-    if table_exists(spark, cold_path):
-        cold = spark.read.parquet(cold_path)
-        old = cold.unionByName(old.select(*cold.columns).exceptAll(cold))
-    write_swap(old, cold_path)
-    write_swap(df.filter((F.col(ts) >= c) | F.col(ts).isNull()), hot_path)
+    df.filter(F.col(ts) < c).write.mode("overwrite").parquet(f"{cold}/{ARCHIVE_RUN}={run}")
+    write_swap(df.filter((F.col(ts) >= c) | F.col(ts).isNull()), hot, marker=f"_archived_{run}")
+    delete_path(spark, f"{cold}/_open_{run}")
+    return run
+
+
+def _archive_runs(spark: SparkSession, cold: str) -> tuple[list[int], int | None]:
+    """Numbers of the archive's runs, and the one found open."""
+    if not path_exists(spark, cold):
+        return [], None
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cold)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    opened = [int(n.rsplit("_", 1)[1]) for n in names if n.startswith("_open_")]
+    return ([int(n.split("=", 1)[1]) for n in names if n.startswith(f"{ARCHIVE_RUN}=")],
+            max(opened) if opened else None)
 
 
 # LAY-14 ---------------------------------------------------------------------------------------------

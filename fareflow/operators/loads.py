@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow.operators.windows import keep_first
-from fareflow.session import delete_path, path_exists, rename_path
+from fareflow.session import delete_path, path_exists, rename_path, touch
 
 
 # ---------------------------------------------------------------- rewrites
@@ -169,14 +169,19 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_swap(df: DataFrame, path: str, fmt: str = "parquet",
-               partition_by: Sequence[str] | None = None) -> str:
-    """LOAD-01 full refresh: write beside ``path``, then swap directories."""
+               partition_by: Sequence[str] | None = None, marker: str | None = None) -> str:
+    """LOAD-01 full refresh: write beside ``path``, then swap directories.
+
+    ``marker`` names an empty file that becomes part of the new table's folder
+    (start it with an underscore, so readers pass over it)."""
     spark = df.sparkSession
     staged = _sibling(path, f"staged-{uuid.uuid4().hex[:10]}")
     w = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(staged)
+    if marker:
+        touch(spark, f"{staged}/{marker}")
     old = _sibling(path, "old")
     had_old = table_exists(spark, path)
     if had_old and not rename_path(spark, path, old):
@@ -294,9 +299,15 @@ def skip_if_exists(spark: SparkSession, path: str, produce: Callable[[], DataFra
 def daily_job(source: DataFrame, ts: str, day: str, path: str,
               transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """LOAD-16 / SNK-10: one day's rows (optionally transformed) overwrite
-    that day's partition only."""
+    that day's partition only.  A day without rows loses its partition: a
+    dynamic overwrite alone would leave the earlier rows standing."""
     nxt = (dt.date.fromisoformat(day) + dt.timedelta(days=1)).isoformat()
     part = source.filter(in_range(ts, day, nxt))
     out = (transform(part) if transform else part).withColumn("dt", F.lit(day).cast("date"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt").parquet(path))
+    out = out.checkpoint(eager=True)  # the transform may read the table itself
+    spark, folder = source.sparkSession, f"{path.rstrip('/')}/dt={day}"
+    if not out.isEmpty():
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("dt").parquet(path))
+    elif path_exists(spark, folder):
+        delete_path(spark, folder)

@@ -31,6 +31,7 @@ _MODULES = (
     "fareflow.plans.q_relational",
     "fareflow.plans.q_loads",
     "fareflow.plans.q_io",
+    "fareflow.plans.q_periods",
     "fareflow.streaming.q_streaming",
 )
 

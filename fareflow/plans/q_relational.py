@@ -456,9 +456,9 @@ s AS (
   SELECT q.query_id, e.vec_id AS doc_id,
          round(list_dot_product(q.qv, CAST(e.embedding AS DOUBLE[]))
                / (sqrt(list_dot_product(q.qv, q.qv))
-                  * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))), 6) AS score
+                  * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))), 12) AS score
   FROM embeddings e, q)
-SELECT query_id, doc_id, score, rank FROM (
+SELECT query_id, doc_id, round(score, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id ASC) AS rank FROM s)
 WHERE rank <= 5"""
 

@@ -121,6 +121,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path`` (its folder is made)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(hpath, True).close()
+
+
 def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
     """Atomic-on-HDFS directory rename used for the write-then-swap pattern."""
     jvm = spark.sparkContext._jvm
@@ -141,6 +148,7 @@ __all__ = [
     "cut_lineage",
     "staged",
     "path_exists",
+    "touch",
     "delete_path",
     "rename_path",
     "local_path",

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareflow.operators.sketches import quantile_sketches
 from fareflow.functions.columns import exact_ratio
 from fareflow.operators.loads import table_exists, write_swap
 from fareflow.session import delete_path, path_exists, scratch_path
@@ -210,6 +211,16 @@ def idempotent_append(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def sketch_batches(path: str, ts: str, keys: list[str], value: str) -> Callable[[DataFrame, int], None]:
+    """STR-15: ``foreachBatch`` writer of daily quantile sketches.  A batch
+    reads its own rows only and writes under ``batch_id=N`` with overwrite, so
+    a replay replaces its sketches; readers merge the batches' sketches."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        daily = quantile_sketches(batch, [F.to_date(ts).alias("day"), *keys], value)
+        daily.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    return write
+
+
 def multi_sink(sinks: dict[str, Callable[[DataFrame], DataFrame]], root: str
                ) -> Callable[[DataFrame, int], None]:
     """STR-16: one change log, several read models.  Each model aggregates the

@@ -139,3 +139,36 @@ def test_partition_scoped_upsert_equals_full_rewrite(spark, sf_small, tmp):
     got = spark.read.parquet(p).select("c_custkey", "c_acctbal", "c_mktsegment")
     want = L.upsert(old, new, ["c_custkey"])
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_daily_job_without_rows_empties_its_day(spark, tmp):
+    df = spark.createDataFrame([(1, "2024-01-01 05:00:00"), (2, "2024-01-02 05:00:00")], "k int, t string")
+    df = df.withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    for d in ("2024-01-01", "2024-01-02"):
+        L.daily_job(df, "ts", d, f"{tmp}/t")
+    L.daily_job(df.filter("k <> 1"), "ts", "2024-01-01", f"{tmp}/t")
+    assert [r.k for r in spark.read.parquet(f"{tmp}/t").collect()] == [2]
+    L.daily_job(df.limit(0), "ts", "2024-03-01", f"{tmp}/t")  # a day that never had rows
+    assert spark.read.parquet(f"{tmp}/t").count() == 1
+
+
+def test_archive_keeps_equal_rows_and_repeats_open_runs(spark, tmp):
+    import fareflow.operators.layout as LY
+    from fareflow.session import touch
+    row = spark.createDataFrame([(1, "1990-01-01"), (2, "2024-01-01")], "k int, t string").withColumn(
+        "ts", F.col("t").cast("timestamp_ntz"))
+    hot, cold = f"{tmp}/hot", f"{tmp}/cold"
+    row.write.parquet(hot)
+    run = lambda: LY.archive_split(spark.read.parquet(hot), "ts", "2000-01-01 00:00:00", hot, cold)
+    count = lambda p: spark.read.parquet(p).count()
+    assert run() == 1
+    L.append(row.filter("k = 1"), hot)
+    assert run() == 2 and count(cold) == 2 and count(hot) == 1
+    # Stopped after the cold half: the hot table still holds the old rows.
+    L.append(row.filter("k = 1"), hot)
+    touch(spark, f"{cold}/_open_3")
+    row.filter("k = 1").write.parquet(f"{cold}/archive_run=3")
+    assert run() == 3 and count(cold) == 3 and count(hot) == 1
+    # Stopped after the swap, before the run was closed: a new run begins.
+    touch(spark, f"{cold}/_open_3")
+    assert run() == 4 and count(cold) == 3 and count(hot) == 1

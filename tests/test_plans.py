@@ -167,6 +167,25 @@ def test_exact_percentile_equals_interpolated_quantile(spark):
             assert abs(got[g] - (v[k] + (nxt - v[k]) * (p * (len(v) - 1) - k))) <= 1e-9 * max(1, abs(got[g]))
 
 
+def test_exact_percentile_plan_is_small(spark, sf_small):
+    import re
+
+    from fareflow.operators.aggregates import exact_percentile
+    ev = D.table(spark, sf_small, "events")
+    txt = LY.plan_text(exact_percentile(ev, "event_type", "value", 0.99), "simple")
+    plan = txt.split("== Initial Plan ==")[-1]
+    assert len(re.findall("FileScan|Scan parquet", plan)) <= 4 and len(re.findall("Join", plan)) <= 2
+
+
+def test_top_k_ranks_by_the_full_score(spark):
+    from fareflow.operators.aggregates import top_k_similar
+    # Both scores round to the same six decimals; the larger id is the better one.
+    store = spark.createDataFrame([(1, [1.0, 2e-7]), (2, [1.0, 1e-7]), (3, [1.0, 0.5])], "id long, v array<double>")
+    q = spark.createDataFrame([(9, [1.0, -1.0])], "id long, v array<double>")
+    out = top_k_similar(store, q, 1, "id", "v", "id", "v").collect()
+    assert [(r.doc_id, r["rank"]) for r in out] == [(2, 1)]
+
+
 def test_top_k_takes_any_number_of_queries(spark):
     import random
 
@@ -181,8 +200,8 @@ def test_top_k_takes_any_number_of_queries(spark):
     cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (
         sum(x * x for x in a) ** 0.5 * sum(x * x for x in b) ** 0.5)
     for i, a in rows[:90]:
-        best = sorted((-round(cos(a, b), 6), j) for j, b in rows[:90])[:4]
-        assert sorted(got[i]) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)]
+        best = sorted((-round(cos(a, b), 12), j) for j, b in rows[:90])[:4]
+        assert sorted(got[i]) == [(n + 1, j, round(-s, 6)) for n, (s, j) in enumerate(best)]
     assert set(got) == set(range(90))
 
 
