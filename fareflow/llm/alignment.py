@@ -50,7 +50,7 @@ from tokenizers import Tokenizer
 
 from fareflow.llm.common import keep_table
 
-MEMO_WINDOWS = 200_000
+MEMO_WINDOWS = 250_000
 PAIRS_PER_FLUSH = 2_000_000
 PAIRS_PER_BLOCK = 1_000_000
 PAIRS_PER_SHARD = 4_000_000
@@ -87,14 +87,15 @@ class ByteLevel:
         # Byte pairs merge by rank, that is by id of the same vocabulary.
         self.plain = tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: Sequence[str]) -> list[list[int]]:
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text; texts of unusual characters take the reference library."""
-        out: list = [self.plain.encode_ordinary(t) if _PLAIN.fullmatch(t) else None for t in texts]
+        out: list = [np.array(self.plain.encode_ordinary(t), np.uint32) if _PLAIN.fullmatch(t) else None
+                     for t in texts]
         rest = [i for i, x in enumerate(out) if x is None]
         if rest:
             found = self.whole.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
             for i, e in zip(rest, found, strict=True):
-                out[i] = e.ids
+                out[i] = np.array(e.ids, np.uint32)
         return out
 
 
@@ -135,7 +136,9 @@ class Aligner:
         self.b_len = np.array([len(p) for p in b.pieces], np.int64)
         self.a_mark = np.array([p[:1] == b" " for p in a.pieces])
         self.b_mark = np.array([p[:1] == b" " for p in b.pieces])
-        self.a_text, self.b_text = list(map(str, range(a.size))), list(map(str, range(b.size)))
+        self.a_piece, self.b_piece = a.pieces.__getitem__, b.pieces.__getitem__
+        self.a_text = list(map(str, range(a.size))).__getitem__
+        self.b_text = list(map(str, range(b.size))).__getitem__
         # Windows by their packed ids.  Those met first stay, which are the
         # frequent ones; others are aligned again when they return.
         self.memo: dict[bytes, tuple[str, int, bytes, bytes | None]] = {}
@@ -144,8 +147,8 @@ class Aligner:
         """Group text, number of groups, linked pairs (a * B size + b, packed) and
         the bytes of a window, None if A and B spell different ones."""
         of_b = self.b.size
-        a_spelt, b_spelt = [self.a.pieces[x] for x in a], [self.b.pieces[x] for x in b]
-        a_text, b_text = [self.a_text[x] for x in a], [self.b_text[x] for x in b]
+        a_spelt, b_spelt = list(map(self.a_piece, a)), list(map(self.b_piece, b))
+        a_text, b_text = list(map(self.a_text, a)), list(map(self.b_text, b))
         a_size, b_size = list(map(len, a_spelt)), list(map(len, b_spelt))
         groups, links, i, j, i0, j0, ahead = [], [], 0, 0, 0, 0, a_size[0] - b_size[0]
         while True:
@@ -189,19 +192,20 @@ class Aligner:
         known = [t or "" for t in texts]
         a_ids, b_ids = self.a.encode([" " + t for t in known]), self.b.encode(known)
         get, memo = self.memo.get, self.memo
-        for t, a, b in zip(known, a_ids, b_ids, strict=True):
-            if not t or not a or not b:
+        for t, a_pack, b in zip(known, a_ids, b_ids, strict=True):
+            if not t or not len(a_pack) or not b:
                 yield NO_TOKENS
                 continue
-            a_pack, b_pack = np.array(a, "<u4"), np.array(b, "<u4")
+            b_pack = np.array(b, "<u4")
             i, j = self.cuts(a_pack, b_pack)
             # A key is the A ids and then the B ids, these moved above all A ids.
-            a_key, b_key = a_pack.tobytes(), (b_pack + self.a.size).astype("<u4").tobytes()
+            a_key, b_key = a_pack.astype("<u4").tobytes(), (b_pack + self.a.size).astype("<u4").tobytes()
             i4, j4 = [4 * x for x in i], [4 * x for x in j]
             keys = [a_key[i0:i1] + b_key[j0:j1]
                     for i0, i1, j0, j1 in zip(i4, i4[1:], j4, j4[1:], strict=False)]
             found = list(map(get, keys))
             if None in found:
+                a = a_pack.tolist()
                 for n, hit in enumerate(found):
                     if hit is None:
                         found[n] = got = self.window(a[i[n]:i[n + 1]], b[j[n]:j[n + 1]])
@@ -211,7 +215,7 @@ class Aligner:
             if None in spelt or b"".join(spelt) != (" " + t).encode("utf-8", "surrogatepass"):
                 yield NO_TOKENS
                 continue
-            yield (len(a), len(b), sum(groups), np.frombuffer(b"".join(links), np.int64),
+            yield (len(a_pack), len(b), sum(groups), np.frombuffer(b"".join(links), np.int64),
                    hashlib.sha256(";".join(text).encode()).hexdigest())
 
 
@@ -224,23 +228,29 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
     """Per document its counts, its digest and its distinct pairs (packed longs and ints)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         al = aligner(a_path, b_path)
-        gc.freeze()  # the memo and the vocabularies hold no cycles to look for
-        for b in batches:
-            ids, texts = b.column(0), b.column(1)
-            for at in range(0, b.num_rows, TEXTS_PER_STEP):
-                rows = []
-                for n_a, n_b, groups, links, sha in al.documents(
-                        texts.slice(at, TEXTS_PER_STEP).to_pylist()):
-                    pairs, counts = np.unique(links, return_counts=True)
-                    rows.append((n_a, n_b, groups, len(links), sha, len(pairs),
-                                 pairs.astype("<u8" if al.a.size * al.b.size >> 32 else "<u4").tobytes(),
-                                 counts.astype("<u4").tobytes()))
-                cols = list(zip(*rows, strict=True))
-                kinds = (pa.int64(),) * 4 + (pa.string(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, TEXTS_PER_STEP),
-                     *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
-                    names=[c.split(" ")[0] for c in ALIGNED.split(", ")])
+        gc.disable()  # no cycles arise here, and the memo is long to look through
+        try:
+            for b in batches:
+                yield from step(al, b)
+        finally:
+            gc.enable()
+
+    def step(al: Aligner, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, texts = b.column(0), b.column(1)
+        for at in range(0, b.num_rows, TEXTS_PER_STEP):
+            rows = []
+            for n_a, n_b, groups, links, sha in al.documents(
+                    texts.slice(at, TEXTS_PER_STEP).to_pylist()):
+                pairs, counts = np.unique(links, return_counts=True)
+                rows.append((n_a, n_b, groups, len(links), sha, len(pairs),
+                             pairs.astype("<u8" if al.a.size * al.b.size >> 32 else "<u4").tobytes(),
+                             counts.astype("<u4").tobytes()))
+            cols = list(zip(*rows, strict=True))
+            kinds = (pa.int64(),) * 4 + (pa.string(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(at, TEXTS_PER_STEP),
+                 *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]],
+                names=[c.split(" ")[0] for c in ALIGNED.split(", ")])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, ALIGNED)
 
