@@ -67,7 +67,7 @@ FUNCTIONS = {
     "LAY-10": "operators.layout.partition_sizes / skew_report (tests/test_io.py)",
     "LAY-11": "streaming.jobs.multi_sink (persist / unpersist)",
     "LAY-12": "operators.layout.compact (tests/test_io.py)",
-    "LAY-13": "operators.layout.archive_split (tests/test_io.py)",
+    "LAY-13": "operators.layout.archive_split (tests/test_io.py, tests/test_loads.py)",
     "LAY-14": "operators.layout.plan_text / join_strategies (tests/test_plans.py)",
     "JOB-07": "plans.loading.ingest_months (tests/test_io.py)",
     "JOB-08": "plans.loading.row_id_merge_load (tests/test_io.py)",
