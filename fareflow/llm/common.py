@@ -27,6 +27,16 @@ def keep_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(docs: DataFrame) -> F.Column:
+    """All columns in one struct, so working columns beside it can have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unpacked(docs: DataFrame, row: str, changed: dict[str, F.Column]) -> list[F.Column]:
+    """The columns of ``docs`` again, those in ``changed`` by their new value."""
+    return [changed.get(c, F.col(row)[c]).alias(c) for c in docs.columns]
+
+
 def spread(df: DataFrame, *keys: str, buckets: int) -> F.Column:
     """A stable bucket number from the hash of ``keys``."""
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")

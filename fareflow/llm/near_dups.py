@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import keep_table
+from fareflow.llm.common import keep_table, unpacked, whole_row
 from fareflow.llm.components import connected_components
 
 WORDS = 5
@@ -313,14 +313,15 @@ def _sets_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) ->
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each class: the one with the smallest id.
 
-    Of repeated rows (same id, same text) one stays.
+    Of repeated rows (same id, same text) one stays; if their other columns
+    differ, any one of them.
     """
     found = near_duplicates(docs, id_col, text_col)
     # Rows without an id or without words are classes of their own.
     best = (found.filter(F.col("doc_id") == F.col("class_id"))
-            .select(F.col("doc_id").alias("__id")).distinct())
-    d = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn(
-        "__key", F.xxhash64(F.col(text_col)))
-    kept = d.filter(F.col("__id").isNotNull()).join(best, "__id", "left_semi")
-    return (kept.unionByName(d.filter(F.col("__id").isNull()))
-            .dropDuplicates(["__id", "__key"]).select(*docs.columns))
+            .select(F.col("doc_id").alias("id")).distinct())
+    d = docs.select(whole_row(docs).alias("row"), F.col(id_col).cast("long").alias("id"),
+                    F.xxhash64(F.col(text_col)).alias("key"))
+    kept = d.filter(F.col("id").isNotNull()).join(best, "id", "left_semi")
+    return (kept.unionByName(d.filter(F.col("id").isNull())).dropDuplicates(["id", "key"])
+            .select(*unpacked(docs, "row", {})))

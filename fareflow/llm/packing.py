@@ -9,12 +9,14 @@
 3. Groups of 2, 4, 8, ... partitions whose bin count exceeds their bound
    exchange documents: the pieces in their loosest bins (at most one
    partition's worth of pieces) are pooled and run through best-fit decreasing
-   again; the new packing is kept if it needs fewer bins.  Groups that meet
-   their bound are certified and stay put.
+   again; the new packing is kept if it needs fewer bins.  Bins that do not fit
+   the pool stay loose for the next level.  Groups that meet their bound are
+   certified and stay put.
 
 Defined results: a null or empty text is one document holding the end id
 alone; repeated rows are packed once per row; an empty table gives an empty
-result; columns other than the id and the text are ignored; equal lengths are
+result; columns other than the id and the text are ignored; the tokenizer's
+special strings inside texts become their ids, as its plain call does; equal lengths are
 ordered by (doc_id, piece) so the packing is the same on every run, up to the
 order of fully equal rows.
 """
@@ -38,7 +40,9 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", part long, bin long, bin_fill long, offset long"
 CAPACITY = 4096
 END_ID = 1
-ROWS_PER_PARTITION = 100_000
+ROWS_PER_PARTITION = 16_384
+# Bins of equal fill are told apart by this many hash values.
+_TIES = 256
 # Words kept per worker.
 CACHE_WORDS = 800_000
 
@@ -54,7 +58,6 @@ def _tokenizer(path: str):
     if path not in _tokenizers:
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
         _tokenizers[path] = t
         _words[path] = {}
     return _tokenizers[path], _words[path]
@@ -66,11 +69,12 @@ def _encode_words(tok, words: list[bytes], parts: dict[str, bytes]) -> dict[byte
     For printable ASCII the tokenizer's normalisation is lower case alone, and
     its pre-tokens are runs of letters, single digits and runs of the rest
     (after the contractions), so those parts go to its model directly and
-    common ones are looked up.  All other words take the whole tokenizer.
+    common ones are looked up.  All other words, and those that may hold a
+    special token's string, take the whole tokenizer.
     """
     out, rest = {}, []
     for w in words:
-        if _PRINTABLE.fullmatch(w) is None:
+        if _PRINTABLE.fullmatch(w) is None or b"<|" in w:
             rest.append(w)
             continue
         ids = b""
@@ -249,8 +253,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY,
     keyed = pieces.select(*names, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"),
                                          F.lit(parts)).alias("part"))
     placed = keep_table(keyed.groupBy("part").applyInPandas(first, PLACED), "packed0")
-    if parts == 1:
-        return placed.select(*names, F.col("bin").alias("sequence_id"), "offset")
     stats = keep_table(placed.groupBy("part").applyInPandas(
         sums_of, "part long, n_bins long, sums array<long>"), "bounds")
     is_loose = F.col("bin_fill") < capacity
@@ -268,14 +270,22 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY,
                 .agg(F.sum("n_bins").alias("bins"), _bound_column(capacity).alias("bound"))
                 .filter("bins > bound").select("grp"))
 
-        # Each half of a group sends its loosest bins, half a partition of rows at most.
-        half = W.partitionBy(F.shiftright("part", level - 1))
-        ranked = (loose.withColumn("at", F.row_number().over(half.orderBy("bin_fill", "seq")))
-                  .withColumn("end", F.max("at").over(W.partitionBy(F.shiftright("part", level - 1), "seq"))))
-        kept_back = ranked.filter(F.col("end") > rows_per_partition // 2)
-        done = done.unionByName(kept_back.select(*names, "seq", "offset"))
-        tagged = ranked.filter(F.col("end") <= rows_per_partition // 2).withColumn("grp", group)
-        shape = tagged.select(*names, "part", "seq", "offset", "bin_fill", "grp")
+        # Each half of a group sends its loosest bins, half a partition of rows at
+        # most; the others stay loose for the next level.  Only counts per
+        # looseness are ranked, never rows.
+        half = F.shiftright("part", level - 1)
+        looseness = (F.col("bin_fill") * _TIES
+                     + F.pmod(F.xxhash64("seq", F.lit(level)), F.lit(_TIES)))
+        marked = loose.withColumn("half", half).withColumn("looseness", looseness)
+        upto = (marked.groupBy("half", "looseness").agg(F.count(F.lit(1)).alias("n"))
+                .withColumn("total", F.sum("n").over(W.partitionBy("half").orderBy("looseness")))
+                .filter(F.col("total") <= rows_per_partition // 2)
+                .groupBy("half").agg(F.max("looseness").alias("upto")))
+        marked = marked.join(upto, "half", "left")
+        sent = F.coalesce(F.col("looseness") <= F.col("upto"), F.lit(False))
+        shape = marked.filter(sent).withColumn("grp", group).select(
+            *names, "part", "seq", "offset", "bin_fill", "grp")
+        kept_back = marked.filter(~sent).select(*names, "part", "seq", "offset", "bin_fill")
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in shape.schema.fields)
         moved = keep_table(shape.join(gaps, "grp", "left_semi").groupBy("grp").applyInPandas(
             _exchange(level, capacity), fields + ", saved long"), f"packed{level}")
@@ -287,7 +297,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY,
                 zeros.alias("sums")))
         now = moved.drop("saved").unionByName(rest)
         done = done.unionByName(now.filter(~is_loose).select(*names, "seq", "offset"))
-        loose = keep_table(now.filter(is_loose).drop("grp"), f"loose{level}")
+        loose = keep_table(now.filter(is_loose).drop("grp").unionByName(kept_back),
+                           f"loose{level}")
     done = done.unionByName(loose.select(*names, "seq", "offset"))
     return done.select(*names, F.col("seq").alias("sequence_id"), "offset")
 

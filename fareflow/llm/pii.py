@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from fareflow.llm.common import unpacked, whole_row
+
 THRESHOLD = 0.6
 CONTEXT_CHARS = 48
 
@@ -178,10 +180,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min("start").alias("start"), F.max("end").alias("end"),
         F.min_by("kind", F.struct("start", "rank")).alias("kind"))
     cuts = islands.groupBy("row_key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("__cuts"))
-    cuts = cuts.withColumnRenamed("row_key", "__key")
-    d = docs.withColumn("__key", row_key(id_col, text_col)).join(cuts, "__key", "left")
-    c, t = F.col("__cuts"), F.col(text_col)
+        F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("cuts"))
+    d = docs.select(whole_row(docs).alias("row"), row_key(id_col, text_col).alias("row_key"))
+    d = d.join(cuts, "row_key", "left")
+    c, t = F.col("cuts"), F.col("row")[text_col]
     parts = F.transform(c, lambda x, i: F.concat(
         F.substr(t, F.when(i == 0, F.lit(1)).otherwise(c[F.greatest(i - 1, F.lit(0))]["end"] + 1)
                  .cast("int"),
@@ -189,9 +191,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      c[F.greatest(i - 1, F.lit(0))]["end"])).cast("int")),
         F.lit("["), F.upper(x["kind"]), F.lit("]")))
     tail = F.substr(t, (F.element_at(c, -1)["end"] + 1).cast("int"))
-    d = d.withColumn("__new", F.when(c.isNotNull(), F.concat(F.array_join(parts, ""), tail)))
-    d = d.withColumn(text_col, F.coalesce("__new", text_col))
+    d = d.withColumn("new", F.when(c.isNotNull(), F.concat(F.array_join(parts, ""), tail)))
+    changed = {text_col: F.coalesce(F.col("new"), t)}
     if length_col is not None and length_col in docs.columns:
-        d = d.withColumn(length_col, F.when(F.col("__new").isNull(), F.col(length_col))
-                         .otherwise(F.length("__new")).cast(docs.schema[length_col].dataType))
-    return d.select(*docs.columns)
+        changed[length_col] = (F.when(F.col("new").isNull(), F.col("row")[length_col])
+                               .otherwise(F.length("new")).cast(docs.schema[length_col].dataType))
+    return d.select(*unpacked(docs, "row", changed))

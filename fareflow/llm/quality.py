@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareflow.llm.common import unpacked, whole_row
+
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_DOCS = 20
@@ -168,17 +170,17 @@ def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents that pass, without the lines above the limits."""
     # One row per key before the filter: pushed below the statistics, the
     # filter would have the words of a text split anew for each of its windows.
-    found = (verdicts(docs, id_col, text_col, host_col, **limits)
-             .groupBy(F.col("row_key").alias("__key"))
-             .agg(F.any_value("kept").alias("__kept"), F.any_value("removed").alias("__removed"))
-             .filter("__kept").drop("__kept"))
-    d = docs.withColumn("__key", _row_key(id_col, host_col, text_col)).join(found, "__key")
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__removed"),
-                                                       F.xxhash64(_normal(x))))
-    d = d.withColumn(text_col, F.when(F.col("__removed").isNull(), F.col(text_col))
-                     .otherwise(F.array_join(kept, "\n")))
+    found = (verdicts(docs, id_col, text_col, host_col, **limits).groupBy("row_key")
+             .agg(F.any_value("kept").alias("kept"), F.any_value("removed").alias("removed"))
+             .filter("kept").drop("kept"))
+    d = docs.select(whole_row(docs).alias("row"),
+                    _row_key(id_col, host_col, text_col).alias("row_key")).join(found, "row_key")
+    text = F.col("row")[text_col]
+    kept = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("removed"),
+                                                                     F.xxhash64(_normal(x))))
+    new = F.when(F.col("removed").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    changed = {text_col: new}
     if length_col is not None and length_col in docs.columns:
-        d = d.withColumn(length_col, F.when(F.col("__removed").isNull(), F.col(length_col))
-                         .otherwise(F.length(text_col)).cast(docs.schema[length_col].dataType))
-    return d.select(*docs.columns)
+        changed[length_col] = (F.when(F.col("removed").isNull(), F.col("row")[length_col])
+                               .otherwise(F.length(new)).cast(docs.schema[length_col].dataType))
+    return d.select(*unpacked(docs, "row", changed))

@@ -10,7 +10,6 @@ PATH = tokenizer_path("word_bpe_49k.json")
 
 def brute_ids(text):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [1]
 
 
@@ -38,7 +37,7 @@ def check_layout(rows, docs, capacity):
 
 @pytest.mark.parametrize("text", [
     "", " ", "Hello,  World's\n\tend", "é é ß İ Σας ΟΔΟΣ", "a b c\x1cd", "123 4.5!!",
-    "<|endoftext|> x", "x" * 5000, "́ a ̈"])
+    "<|endoftext|> x", "a<|startoftext|>b <|END <|endoftext|><|x|>", "x" * 5000, "́ a ̈"])
 def test_word_cache_gives_the_tokenizers_ids(text):
     raw = packing.encode_ids(PATH, [text, None, text])
     got = np.frombuffer(raw[0], "<u4").tolist()
@@ -74,6 +73,17 @@ def test_exchange_rounds_close_gaps(spark):
     assert low <= len(by) <= low + 2
 
 
+def test_bins_beyond_the_pool_stay_loose(spark):
+    # Half-full bins far beyond a pool of 50 rows: each level pairs some of them.
+    df = spark.createDataFrame([(i, 0, 0, 33 if i < 300 else 31, 0) for i in range(600)], packing.PIECES)
+    rows = packing.pack(df, capacity=64, rows_per_partition=100).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(600))
+    fill = {}
+    for r in rows:
+        fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+    assert max(fill.values()) <= 64 and 300 <= len(fill) <= 310
+
+
 def test_bounds_never_exceed_best_fit():
     rng = np.random.default_rng(0)
     for _ in range(200):

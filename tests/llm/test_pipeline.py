@@ -94,3 +94,20 @@ def test_stage_list():
     assert [n for n, _ in CP.STAGES] == ["quality_rules", "ngram_join", "suffix_array_dedup",
                                          "redact_pii", "best_fit_packing"]
     assert test_suffix_dedup.S.LENGTH == 50
+
+
+def test_stages_keep_columns_with_any_name(spark):
+    from fareflow.llm import near_dups, pii, quality
+    text = " ".join(f"word{i}" for i in range(60)) + " mail a.b@c.org"
+    names = ["__key", "__id", "__cuts", "__new", "row", "row_key", "id", "key", "cuts", "new",
+             "removed", "kept", "a.b"]
+    df = spark.createDataFrame([(1, text, "s", len(text), *names), (2, None, None, 0, *names)],
+                               "doc_id long, text string, source string, n_chars long, "
+                               + ", ".join(f"`{n}` string" for n in names))
+    for out in (quality.apply_rules(df), near_dups.keep_one(df), pii.redact(df)):
+        assert out.columns == df.columns
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert 1 in got
+        for r in got.values():
+            assert [r[n] for n in names] == names
+        assert got[1]["n_chars"] == len(got[1]["text"])
