@@ -74,6 +74,80 @@ def range_join(events: DataFrame, ranges: DataFrame, ts: str, start: str, end: s
             .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))).drop(bucket))
 
 
+def _blocks_between(first: Column, after: Column) -> Column:
+    return F.when(after > first, F.sequence(first, after - 1)).otherwise(
+        F.array().cast("array<bigint>"))
+
+
+def _on_level(blocks: Column, level: int) -> Column:
+    return F.transform(blocks, lambda b: F.struct(F.lit(level).alias("__level"), b.alias("__block")))
+
+
+def range_pieces(ranges: DataFrame, start: str, end: str, unit_seconds: int = 1,
+                 levels: int = 16) -> DataFrame:
+    """``ranges`` with one row per aligned piece: ``__level`` and ``__block``.
+
+    A block of level k is ``4 ** k`` units wide and starts at a multiple of
+    its width.  A range is the disjoint union of at most six blocks a level, so
+    its rows grow with the logarithm of its length; only ranges longer than a
+    block of the last level take more.  Its two outer units are whole.
+    Ranges that are empty or have a NULL bound have no pieces.
+    """
+    width = unit_seconds * 1_000_000
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    first, after = floor_div(micros(start), width), floor_div(micros(end) - 1, width) + 1
+    found = []
+    for k in range(levels):
+        # Whole blocks inside the range on this level, and on the next one.
+        lo, hi = -F.shiftright(-F.col("__first"), 2 * k), F.shiftright("__after", 2 * k)
+        up_lo, up_hi = -F.shiftright(-F.col("__first"), 2 * k + 2), F.shiftright("__after", 2 * k + 2)
+        if k == levels - 1:
+            blocks = _blocks_between(lo, hi)
+        else:
+            blocks = F.when(up_lo >= up_hi, _blocks_between(lo, hi)).otherwise(
+                F.concat(_blocks_between(lo, up_lo * 4), _blocks_between(up_hi * 4, hi)))
+        found.append(_on_level(blocks, k))
+    cut = (ranges.filter(F.col(end) > F.col(start))
+           .withColumns({"__first": first, "__after": after}))
+    return cut.select(*[F.col(f"`{c}`") for c in ranges.columns], F.inline(F.concat(*found)))
+
+
+def levels_in_use(ranges: DataFrame, start: str, end: str, unit_seconds: int = 1,
+                  levels: int = 16) -> list[int]:
+    """The levels on which any range has a piece: at most ``levels`` numbers."""
+    found = range_pieces(ranges.select(start, end), start, end, unit_seconds, levels)
+    return sorted(r[0] for r in found.select("__level").distinct().collect())
+
+
+def multiscale_range_join(events: DataFrame, ranges: DataFrame, ts: str, start: str, end: str,
+                          unit_seconds: int = 1, levels: int = 16,
+                          used: Sequence[int] | None = None, salts: int = 8) -> DataFrame:
+    """``range_join`` for ranges of very different lengths (seconds to decades).
+
+    Ranges are cut into aligned pieces, an event has one block per level, and
+    both are equi-joined on (level, block); pieces of a range are disjoint, so
+    a pair meets once, and the exact predicate decides at the bounds.  An event
+    becomes one row per level: all ``levels``, or those of ``used`` (see
+    ``levels_in_use``).  Wide blocks hold many events, so above level 0 events
+    are dealt over ``salts`` by a hash of their row and pieces are repeated.
+    """
+    width = unit_seconds * 1_000_000
+    at = floor_div(F.unix_micros(F.col(ts).cast("timestamp")), width)
+    salt = hash_bucket(salts, *events.columns)
+    keys = [F.struct(F.lit(k).alias("__level"), F.shiftright(at, 2 * k).alias("__block"),
+                     (salt if k else F.lit(0)).cast("int").alias("__salt"))
+            for k in (range(levels) if used is None else used)]
+    if not keys:
+        keys = [F.struct(F.lit(-1).alias("__level"), at.alias("__block"), F.lit(0).alias("__salt"))]
+    e = events.filter(F.col(ts).isNotNull()).select(
+        *[F.col(f"`{c}`") for c in events.columns], F.inline(F.array(*keys)))
+    r = range_pieces(ranges, start, end, unit_seconds, levels).withColumn("__salt", F.explode(
+        F.sequence(F.lit(0), F.when(F.col("__level") > 0, F.lit(salts - 1)).otherwise(F.lit(0)))))
+    return (e.join(r, ["__level", "__block", "__salt"])
+            .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end)))
+            .drop("__level", "__block", "__salt"))
+
+
 # JON-12 -------------------------------------------------------------------------
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
                 salt_from: Sequence[str], how: str = "inner") -> DataFrame:
@@ -98,14 +172,22 @@ def salted_join(fact: DataFrame, dim: DataFrame, key: str, salts: int,
 def hot_keys(df: DataFrame, key: str, min_share: float) -> list:
     """Non-null keys holding at least ``min_share`` of all rows.
 
-    At most ``1 / min_share`` keys can qualify, so the collected list has a
-    proven bound.  NULL never matches in an equi-join, so it is never hot.
+    A frequent-item summary of bounded size names the candidates: it may name
+    too many keys, never too few.  Only the candidates are counted, so no pass
+    shuffles all keys.  Shares below 0.02 % are beyond the summary and counted
+    plainly.  At most ``1 / min_share`` keys can qualify, so the collected list
+    has a proven bound.  NULL never matches in an equi-join, so it is never hot.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
-    counts = (df.filter(F.col(key).isNotNull()).groupBy(key)
-              .agg(F.count(F.lit(1)).alias("n")))
-    return [r[key] for r in counts.filter(F.col("n") >= total * F.lit(min_share))
-            .select(key).collect()]
+    rows = df.select(F.col(key).alias("key"))
+    known = rows.filter(F.col("key").isNotNull())
+    support = min_share / 2
+    if support >= 1e-4:
+        named = known.freqItems(["key"], support).first()[0] or []
+        known = known.filter(F.col("key").isin(list(named)))
+    total = rows.select(F.count(F.lit(1))).scalar()
+    counts = known.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return [r["key"] for r in counts.filter(F.col("n") >= total * F.lit(min_share))
+            .select("key").collect()]
 
 
 def split_hot_join(fact: DataFrame, dim: DataFrame, key: str, hot: Sequence,

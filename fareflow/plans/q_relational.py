@@ -257,6 +257,26 @@ def jon10b(spark, sf):
     return j.groupBy("range_id").agg(F.count(F.lit(1)).alias("events_in_range"))
 
 
+@query("jon10_range_join_scales", ids=("JON-10",),
+       oracle="""
+WITH r AS (SELECT day, min(ts) AS range_start,
+             min(ts) + to_seconds(CAST(pow(4, epoch(day) // 86400 % 14) AS BIGINT)) AS range_end
+           FROM (SELECT CAST(ts AS DATE) AS day, ts FROM events WHERE event_type = 'signup') GROUP BY day)
+SELECT day AS range_day, count(*) AS events_in_range, sum(e.event_id)::BIGINT AS event_ids
+FROM events e JOIN r ON e.ts >= r.range_start AND e.ts < r.range_end GROUP BY 1""")
+def jon10c(spark, sf):
+    """Each day's first signup opens a range of one second up to two years."""
+    ev = D.table(spark, sf, "events")
+    day = F.col("ts").cast("date")
+    ranges = (ev.filter(F.col("event_type") == "signup").groupBy(day.alias("range_day"))
+              .agg(F.min("ts").alias("range_start"))
+              .withColumn("range_end", F.col("range_start") + F.make_dt_interval(
+                  secs=F.pow(F.lit(4), F.unix_date("range_day") % 14).cast("decimal(18,6)"))))
+    j = J.multiscale_range_join(ev.select("event_id", "ts"), ranges, "ts", "range_start", "range_end")
+    return j.groupBy("range_day").agg(F.count(F.lit(1)).alias("events_in_range"),
+                                      F.sum("event_id").cast("bigint").alias("event_ids"))
+
+
 _BOROUGH_SQL = sql("""
 SELECT z.borough, count(*) AS trips, round(sum(t.total_amount), 2) AS total
 FROM notebook_trips t JOIN zones z ON t.PULocationID = z.locationid GROUP BY 1""")

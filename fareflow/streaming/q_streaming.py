@@ -17,6 +17,7 @@ from fareflow.plans.q_relational import _SNAP_NEW, _SNAP_OLD, snapshots
 from fareflow.session import scratch_path
 from fareflow.sources import driver as D
 from fareflow.streaming import jobs as S
+from fareflow.streaming import trailing as TR
 
 
 def _events_stream(spark, sf):
@@ -121,6 +122,36 @@ def str14(spark, sf):
     return S.run_to_table(out, "str14")
 
 
+@query("str13_trailing_average", ids=("STR-13", "WIN-06"),
+       oracle=f"""
+SELECT * FROM (
+  SELECT event_type, event_id, ts, round(avg(value) OVER w, 6) AS avg_value, count(value) OVER w AS n
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts
+                           RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING AND CURRENT ROW))
+WHERE {_closed("ts")}""")
+def str13_per_event(spark, sf):
+    """Average of the event type's last five minutes at every event, from keyed state."""
+    out = TR.trailing_average(_events_stream(spark, sf), "ts", "event_type", "event_id", "value")
+    with TR.rocksdb_state(spark):
+        res = S.run_to_table(out, "str13-events")
+    return res.withColumns({"ts": S.to_ntz(F.col("ts")), "avg_value": F.round("avg_value", 6)})
+
+
+@query("str14_trailing_categories", ids=("STR-14",),
+       oracle=f"""
+SELECT * FROM (
+  SELECT user_id, event_id, ts, list_sort(list_distinct(list(event_type) OVER (
+    PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND CURRENT ROW))) AS categories
+  FROM events)
+WHERE {_closed("ts")}""")
+def str14_per_event(spark, sf):
+    """Event types of the user's last thirty minutes at every event."""
+    out = TR.trailing_categories(_events_stream(spark, sf), "ts", "user_id", "event_id", "event_type")
+    with TR.rocksdb_state(spark):
+        res = S.run_to_table(out, "str14-events")
+    return res.withColumn("ts", S.to_ntz(F.col("ts")))
+
+
 @query("str15_log_metrics", ids=("STR-15", "AGG-23", "AGG-24"),
        oracle=f"""
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS n,
@@ -190,6 +221,27 @@ def str18(spark, sf):
     return S.run_to_table(out, "str18")
 
 
+@query("str18_learning_profile", ids=("STR-18",),
+       oracle=f"""
+SELECT event_id, user_id, place, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, place ORDER BY ts, event_id) AS nth
+  FROM (SELECT event_id, user_id, json_extract_string(props, '$.k') AS place, ts FROM events)
+  WHERE ts >= TIMESTAMP '{CUTOFF}' AND place IS NOT NULL) e
+WHERE nth = 1 AND NOT EXISTS (
+  SELECT 1 FROM events h WHERE h.ts < TIMESTAMP '{CUTOFF}' AND h.user_id = e.user_id
+    AND json_extract_string(h.props, '$.k') = e.place)""")
+def str18_learning(spark, sf):
+    """As above, but a place is usual from its first alert on."""
+    ev = D.table(spark, sf, "events").withColumn("place", F.get_json_object("props", "$.k"))
+    history = ev.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    s = (_events_stream(spark, sf).withColumn("place", F.get_json_object("props", "$.k"))
+         .filter(F.col("ts") >= F.lit(CUTOFF).cast("timestamp")))
+    out = TR.learning_place_alerts(s, history, "ts", "user_id", "place", "event_id")
+    with TR.rocksdb_state(spark):
+        res = S.run_to_table(out, "str18-learning")
+    return res.withColumn("ts", S.to_ntz(F.col("ts")))
+
+
 @query("str17_lambda_view", ids=("STR-17",),
        oracle="SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def str17(spark, sf):

@@ -74,3 +74,41 @@ def test_chunked_moving_average_with_a_hot_user(spark, sf_small):
     want = ev.withColumn("moving_avg", F.avg("value").over(w))
     r = lambda d: d.select("event_id", F.round("moving_avg", 9).alias("m"))
     assert _same(r(got), r(want))
+
+
+def test_hot_keys_equal_the_full_count(spark, sf_small):
+    t = _skewed_trips(spark, sf_small).select("PULocationID").unionByName(
+        spark.range(500).select(F.lit(None).cast("int").alias("PULocationID")))
+    n = t.count()
+    for share in (0.3, 0.05, 0.03, 0.0001):
+        want = {r[0] for r in t.groupBy("PULocationID").count().collect()
+                if r[0] is not None and r[1] >= n * share}
+        assert set(J.hot_keys(t, "PULocationID", share)) == want
+    assert J.hot_keys(t.limit(0), "PULocationID", 0.1) == []
+
+
+def test_ranges_of_all_scales(spark):
+    """One hot second, ranges from a microsecond to decades, bounds on both sides of 1970."""
+    base = F.timestamp_micros
+    events = spark.range(1500).select("id", base(
+        F.when(F.col("id") % 3 == 0, F.lit(1_000_000)).otherwise(
+            F.pmod(F.xxhash64("id"), F.lit(4 * 10**15)) - 2 * 10**15)).alias("ts"))
+    events = events.unionByName(spark.range(3).select("id", F.lit(None).cast("timestamp").alias("ts")))
+    at = F.pmod(F.xxhash64("r", F.lit(1)), F.lit(4 * 10**15)) - 2 * 10**15
+    ranges = spark.range(60).withColumnRenamed("id", "r").select(
+        "r", base(F.when(F.col("r") % 4 == 0, F.lit(1_000_000)).otherwise(at)).alias("lo"),
+        F.pow(F.lit(10), F.col("r") % 17).cast("long").alias("len"))
+    ranges = ranges.withColumn("hi", base(F.unix_micros("lo") + F.col("len")))
+    ranges = ranges.unionByName(spark.sql(
+        "select 90L r, timestamp'2000-01-01' lo, 0L len, timestamp'2000-01-01' hi union all "
+        "select 91L, null, 0L, timestamp'2000-01-01'"))
+    plain = events.join(ranges, (F.col("ts") >= F.col("lo")) & (F.col("ts") < F.col("hi")))
+    assert plain.count() > 5000
+    used = J.levels_in_use(ranges, "lo", "hi")
+    for kw in ({}, {"used": used}, {"unit_seconds": 60, "levels": 12}, {"levels": 13, "salts": 1}):
+        assert _same(J.multiscale_range_join(events, ranges, "ts", "lo", "hi", **kw), plain)
+    pieces = J.range_pieces(ranges, "lo", "hi").filter("__level < 15").groupBy("r", "__level").count()
+    assert pieces.agg(F.max("count")).first()[0] <= 6
+    empty = ranges.limit(0)
+    assert J.levels_in_use(empty, "lo", "hi") == []
+    assert J.multiscale_range_join(events, empty, "ts", "lo", "hi", used=[]).count() == 0
