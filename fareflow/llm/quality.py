@@ -3,10 +3,12 @@
 Base statistics are column expressions over each whole text.  The method
 hashes every normalised line (lower case, white space runs as one space,
 trimmed), counts per host on how many documents of different text the line
-occurs, and removes lines above both limits: ``min_docs`` documents and
-``max_share`` of the host's documents.  A document that loses more than
-``depleted_share`` of its words this way is rejected, as is one that fails
-the base rules.
+occurs, and removes lines above the limits: at least ``min_docs`` documents,
+and more than ``host_percent`` of the host's documents or more than
+``enough_docs``.  The percentage guards small hosts; on large ones the fixed
+count decides, so a line is judged alike however much its host grows.  A
+document that loses more than ``depleted_share`` of its words this way is
+rejected, as is one that fails the base rules.
 
 Counting documents of different text, not rows, keeps a group of exact copies
 from being rejected as boilerplate.  Only hashes are shuffled; a line that is
@@ -16,7 +18,10 @@ partial sums, and the join with the few frequent lines leaves skew to AQE.
 Defined results: a null text is empty (no words, fails the base rules); a null
 source is a host of its own; repeated rows each get their row's result; an
 empty table gives an empty result; other columns are ignored by the statistics
-and carried through unchanged by ``apply_rules``.
+and carried through unchanged by ``apply_rules``.  A text of any length is read
+whole in one row.  Every limit is strict as written, so equal counts (ties)
+fall on one side always: a line on exactly ``host_percent`` of a small host and a
+document that loses exactly ``depleted_share`` of its words stay.
 """
 
 from __future__ import annotations
@@ -29,7 +34,8 @@ from fareflow.llm.common import unpacked, whole_row
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_DOCS = 20
-MAX_SHARE = 0.2
+HOST_PERCENT = 2
+ENOUGH_DOCS = 100
 DEPLETED_SHARE = 0.5
 
 WHITE = r"[\x20\x09-\x0D]+"
@@ -117,8 +123,8 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Da
 
 def frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    host_col: str = "source", min_docs: int = MIN_DOCS,
-                   max_share: float = MAX_SHARE) -> DataFrame:
-    """``host, line, n_docs`` of the lines above both limits."""
+                   host_percent: int = HOST_PERCENT, enough_docs: int = ENOUGH_DOCS) -> DataFrame:
+    """``host, line, n_docs`` of the lines above the limits."""
     rows = _line_rows(docs, id_col, text_col, host_col)
     counts = (rows.select("host", "line", "text_key").distinct()
               .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")))
@@ -127,7 +133,8 @@ def frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     h = hosts.select(F.col("host").alias("__host"), "host_docs")
     return (counts.filter(F.col("n_docs") >= min_docs)
             .join(h, F.col("host").eqNullSafe(F.col("__host")))
-            .filter(F.col("n_docs") > F.col("host_docs") * max_share)
+            .filter((100 * F.col("n_docs") > host_percent * F.col("host_docs"))
+                    | (F.col("n_docs") > enough_docs))
             .select("host", "line", "n_docs"))
 
 

@@ -147,7 +147,7 @@ ORACLES = {
           SELECT source, line, count(DISTINCT text) AS n FROM l WHERE line <> '' GROUP BY source, line),
         f AS (
           SELECT o.source, o.line FROM often o JOIN hosts h ON o.source IS NOT DISTINCT FROM h.source
-          WHERE o.n >= 20 AND o.n > 0.2 * h.n),
+          WHERE o.n >= 20 AND (100 * o.n > 2 * h.n OR o.n > 100)),
         x AS (
           SELECT l.r, sum(length(l.line) - length(replace(l.line, ' ', '')) + 1)::BIGINT AS lost
           FROM l JOIN f ON l.line = f.line AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.r)

@@ -62,3 +62,38 @@ def test_repeated_rows_and_empty_table(spark):
     assert Q.apply_rules(frame(spark, rows)).count() == 3
     assert Q.verdicts(frame(spark, rows)).count() == 3
     assert Q.apply_rules(frame(spark, [])).count() == 0
+
+
+def test_limits_of_small_and_large_hosts(spark):
+    """A fixed count decides on large hosts, a percentage guards small ones."""
+    rows = [(i, f"shared footer\nrare heading\n{words(55, f'a{i}x')}", "small") for i in range(20)]
+    rows += [(1000 + i, ("shared footer\n" if i < 30 else "") + ("wide notice\n" if i < 101 else "")
+              + words(50, f"b{i}x"), "large") for i in range(6000)]
+    often = {(r.host, r.line, r.n_docs) for r in Q.frequent_lines(frame(spark, rows)).collect()}
+    assert sorted((h, n) for h, _, n in often) == [("large", 101), ("small", 20), ("small", 20)]
+    # Exactly two percent of a host of a thousand texts is not above it.
+    rows = [(i, ("edge\n" if i < 20 else "") + words(50, f"c{i}x"), "s") for i in range(1000)]
+    assert Q.frequent_lines(frame(spark, rows)).count() == 0
+    assert Q.frequent_lines(frame(spark, rows[:999])).count() == 1
+
+
+def test_shared_lines_of_a_given_table_go_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    v = Q.verdicts(docs).select("doc_id", "base_failed", "kept", "n_words", "n_removed_words").collect()
+    lost = {r.doc_id: r for r in v if r.n_removed_words}
+    assert len(lost) > 500
+    # What a document loses here is a line or two, so nothing clean is rejected.
+    assert all(r.kept != r.base_failed or 2 * r.n_removed_words > r.n_words for r in v)
+    assert all(lost[i].kept for i in lost if 2 * lost[i].n_removed_words <= lost[i].n_words
+               and not lost[i].base_failed)
+    before = {r.doc_id: r.text for r in docs.collect()}
+    n = 0
+    for r in Q.apply_rules(docs).collect():
+        if r.doc_id in lost:
+            n += 1
+            was, now = before[r.doc_id].split("\n"), r.text.split("\n")
+            rest = iter(was)
+            assert len(now) < len(was) and all(x in rest for x in now)
+        else:
+            assert r.text == before[r.doc_id]
+    assert n > 500
