@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fareflow.operators import clustering as CL
+from fareflow.operators import keyindex as K
 from fareflow.operators import layout as LY
 from fareflow.operators import loads as L
 from fareflow.operators import sketches as SK
 from fareflow.plans.catalog import query
 from fareflow.plans.metrics import week_start, weekly_retention
+from fareflow.plans.oracle import sql
 from fareflow.plans.q_io import DAY
-from fareflow.session import scratch_path
+from fareflow.plans.q_loads import _ROW_ID_SQL, _landed_yellow
+from fareflow.session import scratch_path, staged
 from fareflow.sources import driver as D
 from fareflow.streaming import jobs as S
 
@@ -144,6 +147,40 @@ def load10_empty(spark, sf):
     return spark.read.parquet(path).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
+PERIODS = {"to_1995.csv": ("1990-01-01", "1996-01-01"), "1996.csv": ("1996-01-01", "1997-01-01"),
+           "1997.csv": ("1997-01-01", "1998-01-01"), "from_1998.csv": ("1998-01-01", "2030-01-01")}
+
+
+@query("load06_key_index", ids=("LOAD-06", "LOAD-08", "LOAD-13", "JON-18"),
+       oracle=sql("""
+SELECT CASE WHEN tpep_pickup_datetime < TIMESTAMP '1996-01-01' THEN 'to_1995.csv'
+            WHEN tpep_pickup_datetime < TIMESTAMP '1997-01-01' THEN '1996.csv'
+            WHEN tpep_pickup_datetime < TIMESTAMP '1998-01-01' THEN '1997.csv' ELSE 'from_1998.csv' END AS filename,
+       count(*) AS n, count(DISTINCT unique_row_id) AS ids, TRUE AS new_opens_few, TRUE AS rerun_opens_few
+FROM (SELECT """ + _ROW_ID_SQL + """ AS unique_row_id, * FROM raw_yellow) GROUP BY 1"""))
+def load06_key_index(spark, sf):
+    """Trips loaded period by period through the key index, then 1996 again under
+    another file name: every row is there once, and neither the last new period
+    nor the rerun opens half of the table's files."""
+    path = scratch_path(spark, "load06-keyed")
+    trips = staged(_landed_yellow(spark, sf, ""), "load06-trips")
+    n = trips.count()
+
+    def load(period, filename):
+        low, high = (F.lit(x).cast("timestamp_ntz") for x in PERIODS[period])
+        at = F.col("tpep_pickup_datetime")
+        rows = trips.filter((at >= low) & (at < high)).withColumn("filename", F.lit(filename))
+        return K.insert_only_indexed(spark, path, rows, "unique_row_id", max(n // 16, 1))
+
+    for period in PERIODS:
+        new = load(period, period)
+    rerun = load("1996.csv", "rerun.csv")
+    return spark.read.parquet(path).groupBy("filename").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("unique_row_id").alias("ids"),
+        F.lit(2 * new.opened < new.files).alias("new_opens_few"),
+        F.lit(2 * rerun.opened < rerun.files).alias("rerun_opens_few"))
+
+
 @query("lay13_archive_equal_rows", ids=("LAY-13",),
        oracle="""
 SELECT CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 'cold' ELSE 'hot' END AS part, 2 * count(*) AS n,
