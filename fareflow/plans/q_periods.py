@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fareflow.operators import clustering as CL
+from fareflow.operators import digests as DG
 from fareflow.operators import keyindex as K
 from fareflow.operators import layout as LY
 from fareflow.operators import loads as L
@@ -14,6 +15,7 @@ from fareflow.plans.metrics import week_start, weekly_retention
 from fareflow.plans.oracle import sql
 from fareflow.plans.q_io import DAY
 from fareflow.plans.q_loads import _ROW_ID_SQL, _landed_yellow
+from fareflow.plans.q_relational import _SNAP_NEW, _SNAP_OLD, snapshots
 from fareflow.session import scratch_path, staged
 from fareflow.sources import driver as D
 from fareflow.streaming import jobs as S
@@ -199,3 +201,31 @@ def lay13_equal(spark, sf):
                                          F.count_distinct(LY.ARCHIVE_RUN).cast("int").alias("runs"))
     return parts.unionByName(spark.read.parquet(hot).agg(
         F.lit("hot").alias("part"), F.count(F.lit(1)).alias("n"), F.lit(0).alias("runs")))
+
+
+# ---------------------------------------------------------------- comparison
+@query("set05_digest_compare", ids=("SET-05", "JON-20", "LOAD-11"),
+       oracle=f"""
+SELECT c_custkey, c_acctbal, c_mktsegment, sum(l)::BIGINT AS left_rows, sum(r)::BIGINT AS right_rows
+FROM (SELECT *, 1 AS l, 0 AS r FROM ({_SNAP_OLD}) UNION ALL SELECT *, 0, 1 FROM ({_SNAP_NEW}))
+GROUP BY 1, 2, 3 HAVING sum(l) <> sum(r)""")
+def set05_digests(spark, sf):
+    """Rows in which two versions of the customers differ, found through digests."""
+    return DG.compare_tables(*snapshots(spark, sf))
+
+
+@query("set05_digest_withdrawn", ids=("SET-05",),
+       oracle="""
+SELECT l_orderkey, l_linenumber, l_partkey, 2 AS left_rows, 1 AS right_rows
+FROM (SELECT l_orderkey, l_linenumber, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2, 3)
+WHERE l_orderkey % 1000 = 7 AND n = 1""")
+def set05_withdrawn(spark, sf):
+    """Every line item twice against a copy from which some orders' second rows are
+    gone: few buckets differ, and multiplicity decides."""
+    li = D.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    once = li.groupBy(*li.columns).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").drop("n")
+    copies = F.explode(F.sequence(F.lit(1), F.lit(2)))
+    left = once.select("*", copies.alias("copy"))
+    right = left.filter((F.col("l_orderkey") % 1000 != 7) | (F.col("copy") == 1))
+    return DG.compare_tables(left.drop("copy"), right.drop("copy")).withColumns(
+        {c: F.col(c).cast("int") for c in ("left_rows", "right_rows")})
