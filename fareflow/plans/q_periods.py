@@ -10,6 +10,7 @@ from fareflow.operators import keyindex as K
 from fareflow.operators import layout as LY
 from fareflow.operators import loads as L
 from fareflow.operators import sketches as SK
+from fareflow.operators import variants as V
 from fareflow.plans.catalog import query
 from fareflow.plans.metrics import week_start, weekly_retention
 from fareflow.plans.oracle import sql
@@ -229,3 +230,30 @@ def set05_withdrawn(spark, sf):
     right = left.filter((F.col("l_orderkey") % 1000 != 7) | (F.col("copy") == 1))
     return DG.compare_tables(left.drop("copy"), right.drop("copy")).withColumns(
         {c: F.col(c).cast("int") for c in ("left_rows", "right_rows")})
+
+
+# ---------------------------------------------------------------- raw JSON
+@query("src15_variant_silver", ids=("SRC-15", "SCL-20", "PRJ-11"),
+       oracle="""
+SELECT event_type,
+       CASE event_id % 10 WHEN 3 THEN 'dead' WHEN 5 THEN 'unfit' WHEN 7 THEN 'unfit' WHEN 6 THEN 'absent'
+            ELSE 'read' END AS status,
+       count(*) AS n,
+       sum(CASE WHEN event_id % 10 NOT IN (3, 5, 6, 7) THEN CAST(json_extract(props, '$.k') AS BIGINT) END)::BIGINT AS total
+FROM events WHERE props IS NOT NULL GROUP BY 1, 2""")
+def src15_variant(spark, sf):
+    """The events' records landed as VARIANT and read back typed.  By event id some
+    are cut off (3), have their number as text (4), a word (5), nothing (6) or an
+    object (7) in its place."""
+    e = D.table(spark, sf, "events").filter("props IS NOT NULL")
+    k, turn = F.get_json_object("props", "$.k"), F.col("event_id") % 10
+    text = (F.when(turn == 3, F.concat(F.lit('{"k": '), k))
+            .when(turn == 4, F.concat(F.lit('{"k": "'), k, F.lit('"}')))
+            .when(turn == 5, F.lit('{"k": "many"}')).when(turn == 6, F.lit('{"other": [1, null]}'))
+            .when(turn == 7, F.concat(F.lit('{"k": {"deep": '), k, F.lit("}}"))).otherwise(F.col("props")))
+    good, dead = V.bronze(e.select("event_type", text.alias("raw")), "raw")
+    typed = V.silver(staged(good, "variant-bronze"), {"k": ("$.k", "bigint")})
+    status = (F.when(F.size(V.UNFIT) > 0, "unfit").when(F.col("k").isNull(), "absent").otherwise("read"))
+    rows = typed.select("event_type", status.alias("status"), "k").unionByName(
+        dead.select("event_type", F.lit("dead").alias("status"), F.lit(None).cast("long").alias("k")))
+    return rows.groupBy("event_type", "status").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
