@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fareflow.functions import columns as C
+from fareflow.functions import sqlnames as SN
 from fareflow.operators import clustering as CL
 from fareflow.operators import digests as DG
 from fareflow.operators import keyindex as K
@@ -257,3 +259,32 @@ def src15_variant(spark, sf):
     rows = typed.select("event_type", status.alias("status"), "k").unionByName(
         dead.select("event_type", F.lit("dead").alias("status"), F.lit(None).cast("long").alias("k")))
     return rows.groupBy("event_type", "status").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("total"))
+
+
+# ---------------------------------------------------------------- SQL names
+def _when(column, names, other):
+    return (f"CASE {column} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in names.items()) + f" ELSE '{other}' END")
+
+
+@query("udf02_sql_functions", ids=("UDF-02", "LOAD-17", "SCL-08", "SCL-09"),
+       oracle=sql(f"""
+SELECT {_when('VendorID', C.VENDOR_NAMES, C.VENDOR_OTHER)} AS vendor,
+       {_when('payment_type', C.PAYMENT_DESCRIPTIONS, C.PAYMENT_OTHER)} AS payment,
+       date_trunc('month', tpep_pickup_datetime)::TIMESTAMP AS month, count(*) AS trips,
+       sum(date_diff('second', tpep_pickup_datetime, tpep_dropoff_datetime) // 60)::BIGINT AS minutes
+FROM raw_yellow GROUP BY 1, 2, 3"""))
+def udf02_sql(spark, sf):
+    """A report in plain SQL over a view and the library's SQL functions; the later
+    trips are landed after the view was made."""
+    path = scratch_path(spark, "udf02")
+    trips = D.raw_yellow(spark, sf)
+    later = F.col("tpep_pickup_datetime") >= F.lit("1997-01-01").cast("timestamp_ntz")
+    trips.filter(~later).write.parquet(path)
+    SN.create_functions(spark)
+    SN.create_view(spark, "yellow_landed", path)
+    L.append(trips.filter(later), path)
+    return spark.sql("""
+        SELECT vendor_name(VendorID) AS vendor, payment_description(payment_type) AS payment,
+               month_start(tpep_pickup_datetime) AS month, count(*) AS trips,
+               sum(minutes_between(tpep_pickup_datetime, tpep_dropoff_datetime)) AS minutes
+        FROM yellow_landed GROUP BY 1, 2, 3""")
