@@ -130,6 +130,9 @@ def multiscale_range_join(events: DataFrame, ranges: DataFrame, ts: str, start:
     becomes one row per level: all ``levels``, or those of ``used`` (see
     ``levels_in_use``).  Wide blocks hold many events, so above level 0 events
     are dealt over ``salts`` by a hash of their row and pieces are repeated.
+    The planner's estimate leaves out that a side is multiplied and would send a
+    table of small files whole to every executor; both sides are laid out on the
+    key first, so AQE broadcasts one only if its real size is small.
     """
     width = unit_seconds * 1_000_000
     at = floor_div(F.unix_micros(F.col(ts).cast("timestamp")), width)
@@ -143,9 +146,9 @@ def multiscale_range_join(events: DataFrame, ranges: DataFrame, ts: str, start:
         *[F.col(f"`{c}`") for c in events.columns], F.inline(F.array(*keys)))
     r = range_pieces(ranges, start, end, unit_seconds, levels).withColumn("__salt", F.explode(
         F.sequence(F.lit(0), F.when(F.col("__level") > 0, F.lit(salts - 1)).otherwise(F.lit(0)))))
-    return (e.join(r, ["__level", "__block", "__salt"])
-            .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end)))
-            .drop("__level", "__block", "__salt"))
+    on = ["__level", "__block", "__salt"]
+    return (e.repartition(*on).join(r.repartition(*on), on)
+            .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))).drop(*on))
 
 
 # JON-12 -------------------------------------------------------------------------

@@ -112,3 +112,21 @@ def test_ranges_of_all_scales(spark):
     empty = ranges.limit(0)
     assert J.levels_in_use(empty, "lo", "hi") == []
     assert J.multiscale_range_join(events, empty, "ts", "lo", "hi", used=[]).count() == 0
+
+
+def test_multiplied_events_are_not_broadcast(spark, tmp):
+    """A small file, but 16 rows an event: the real size decides, not the file's."""
+    spark.range(1).selectExpr("id", "timestamp'2024-01-01' ts", "explode(sequence(1, 60000)) n").drop(
+        "n").write.parquet(f"{tmp}/events")
+    events = spark.read.parquet(f"{tmp}/events")
+    ranges = spark.range(100000).filter("id < 50").selectExpr("id r", "timestamp'2023-12-31' lo", "timestamp'2024-01-02' hi")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "300000")
+    try:
+        j = J.multiscale_range_join(events, ranges, "ts", "lo", "hi").groupBy("r").count()
+        assert {tuple(x) for x in j.collect()} == {(i, 60000) for i in range(50)}
+        plan = j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "BuildLeft" not in plan.split("Initial Plan")[0] and "isFinalPlan=true" in plan
