@@ -82,3 +82,49 @@ def test_state_setting_is_put_back(spark):
     with TR.rocksdb_state(spark):
         assert spark.conf.get(TR.PROVIDER) == TR.ROCKSDB
     assert spark.conf.get(TR.PROVIDER, None) == before
+
+
+def _state_groups(spark, ck, name):
+    state = spark.read.format("statestore").option("path", ck).option("stateVarName", name).load()
+    return state.select("key").distinct().count()
+
+
+def test_many_keys_share_a_bucket_of_state(spark, monkeypatch):
+    """A group is a bucket of keys: groups do not grow with the keys; NaN and NULL are keys."""
+    monkeypatch.setattr(TR, "KEY_BUCKETS", 4)
+    ev = spark.range(600).select(
+        "id", F.when(F.col("id") % 9 == 0, F.lit(float("nan"))).when(F.col("id") % 7 > 0, F.col("id") % 200 / 2)
+        .alias("k"), F.timestamp_seconds(F.col("id") * 5 + 1_700_000_000).alias("ts"),
+        (F.col("id") % 5).cast("string").alias("c"))
+    src, out, ck = (scratch_path(spark, f"many-{p}") for p in ("in", "out", "ck"))
+    ev.write.parquet(src)
+    with TR.rocksdb_state(spark):
+        frame = TR.trailing_categories(S.file_stream(spark, src, ev.schema), "ts", "k", "id", "c",
+                                       span_seconds=1500, chunk_seconds=86_400, watermark="1 minute")
+        S.run_available(frame, out, ck)
+    w = Window.partitionBy("k").orderBy(F.unix_micros("ts")).rangeBetween(-1_500_000_000, 0)
+    want = ev.select("k", "id", "ts", F.array_sort(F.collect_set("c").over(w)))
+    end = ev.agg(F.max("ts")).first()[0]
+    got = spark.read.schema(frame.schema).parquet(out)
+    assert got.count() > 550
+    assert _rows(got) == _rows(want.filter(F.col("ts") <= F.lit(end) - F.expr("INTERVAL 1 MINUTE")))
+    assert 0 < _state_groups(spark, ck, "rows") <= 2 * 4
+
+
+def test_many_places_share_a_bucket_of_state(spark, monkeypatch):
+    monkeypatch.setattr(TR, "PLACE_BUCKETS", 4)
+    ev = spark.range(400).select("id", (F.col("id") % 40).alias("k"), (F.col("id") % 70).cast("string").alias("c"),
+                                 F.timestamp_seconds(F.col("id")).alias("ts"))
+    src, out, ck = (scratch_path(spark, f"places-{p}") for p in ("in", "out", "ck"))
+    ev.filter("id >= 50").write.parquet(src)
+    with TR.rocksdb_state(spark):
+        frame = TR.learning_place_alerts(S.file_stream(spark, src, ev.schema), ev.filter("id < 50"),
+                                         "ts", "k", "c", "id")
+        S.run_available(frame, out, ck)
+    first = {}
+    for i in range(400):
+        first.setdefault((i % 40, i % 70), i)
+    got = spark.read.schema(frame.schema).parquet(out).collect()
+    assert sorted(r.id for r in got) == sorted(i for i in first.values() if i >= 50)
+    assert TR.learned_places(spark, ck, "k", "c").count() == len(first)
+    assert 0 < _state_groups(spark, ck, "seen") <= 4
