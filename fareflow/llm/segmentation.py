@@ -5,19 +5,21 @@ independent Gumbel variate, and the k largest are a sample of k distinct
 segmentations without replacement.  They are found by best-first search on the
 lattice with the perturbed values as exact bounds: the best value below a node
 is one Gumbel variate at the node's total log-probability, and once the best
-path below it is known, what branches off that path cell by cell has Gumbel
+path below it is known, what branches off that path step by step has Gumbel
 variates truncated at the node's value.  The search pops the largest branch,
 completes it to a path, adds that path's own branches, and stops after k
 paths; no segmentation is enumerated or seen twice.
 
-The lattice: the model's own segmentation cuts the text into cells, and every
-way of spelling a cell's surface with pieces of the vocabulary is an arc over
-it.  A path's probability is the product over cells of its arcs', an arc's is
-proportional to ``exp(SHARPNESS * sum of log(1 / rank))`` of its pieces.  Cells
-depend on the vocabulary alone, so their arcs, normalisers and alias tables
-are built once per worker and piece.
+The lattice: every way of spelling the text with pieces of the vocabulary, across
+the bounds of the model's own segmentation too; a character without a piece is
+its bytes.  No piece spans a word-start mark that follows other characters, so
+the lattice falls into words.  A path's probability is proportional to
+``exp(SHARPNESS * sum of log(1 / rank))`` of its pieces: at each place of a word
+an arc's is its piece's weight times the sum over all spellings of what follows
+it (one backward pass), so nothing is enumerated.  Places depend on the word and
+the vocabulary alone, so they are built once per worker and word.
 
-Every variate comes from a hash of (row key, path, cell), so a row's sample
+Every variate comes from a hash of (row key, path, place), so a row's sample
 does not depend on partitioning or retries.
 
 Inclusion score: the probability that a segmentation of this log-probability
@@ -43,16 +45,48 @@ from pyspark.sql import functions as F
 SAMPLES = 3
 SHARPNESS = 0.5
 CACHE_UNITS = 300_000
-# Cells handled together by the vectorised search.
-BATCH_CELLS = 150_000
+# Places of known words kept by a worker.
+CACHE_PLACES = 1_000_000
+# Words handled together by the vectorised search.
+BATCH_WORDS = 12_000
 MARK = "▁"
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
 _lattices: dict[tuple[str, float], Lattice] = {}
 
 
+class _Grown:
+    """An array that grows at its end; ``all`` is a view of what is there."""
+
+    def __init__(self, kind: type):
+        self.room, self.all = np.empty(1024, kind), np.empty(0, kind)
+
+    def add(self, x: np.ndarray) -> None:
+        n = len(self.all) + len(x)
+        if n > len(self.room):
+            room = np.empty(2 * n, self.room.dtype)
+            room[:len(self.all)] = self.all
+            self.room = room
+        self.room[len(self.all):n] = x
+        self.all = self.room[:n]
+
+
+class _Coded:
+    """Arcs as little-endian bytes of their piece."""
+
+    def __init__(self, lat: Lattice):
+        self.lat = lat
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.lat.piece[i:i + 1].astype("<u4").tobytes()
+
+
 class Lattice:
-    """Cells of the vocabulary with their arcs, built as pieces are met."""
+    """Places of words with their arcs, built as words are met.
+
+    A unit is a piece of the vocabulary (ids below its size: the ways to spell
+    that piece) or a word of a text (ids above).
+    """
 
     def __init__(self, path: str, sharpness: float):
         import sentencepiece
@@ -70,16 +104,55 @@ class Lattice:
         order = sorted(plain, key=lambda i: -self.sp.get_score(i))
         self.weight = dict(zip(order, -np.log(np.arange(2, len(order) + 2)), strict=True))
         self.units: dict[str, bytes] = {}
-        self.first = np.full(size, -1, np.int64)  # cell -> its first arc
-        self.count = np.zeros(size, np.int64)
-        self._logp: list[float] = []
-        self._accept: list[float] = []
-        self._alias: list[int] = []
-        self._arcs: list[bytes] = []
-        self._frozen = 0
+        self.size = size
+        self._arcs = _Coded(self)
+        self._tree()
+        self._clear()
+
+    def _tree(self) -> None:
+        """Pieces as a tree of characters: sorted (node, character) keys with the node below."""
+        self.code = np.zeros(0x110000, np.int16)
+        for i, c in enumerate(sorted(set("".join(self.ids))), 1):
+            self.code[ord(c)] = i
+        self.alone = np.zeros(0x110000, bool)
+        below: dict[tuple[int, int], int] = {}
+        piece = {}
+        for text, i in self.ids.items():
+            node = 0
+            for c in text:
+                node = below.setdefault((node, int(self.code[ord(c)])), len(below) + 1)
+            piece[node] = i
+            if len(text) == 1:
+                self.alone[ord(text)] = True
+        steps = sorted((n << 16 | c, to) for (n, c), to in below.items())
+        self.step, self.below = np.array(steps, np.int64).T.copy()
+        self.node_piece = np.full(len(below) + 1, -1, np.int64)
+        self.node_piece[list(piece)] = list(piece.values())
+        self.log_weight = np.zeros(self.size)
+        self.log_weight[list(self.weight)] = [self.sharpness * w for w in self.weight.values()]
+
+    def _clear(self) -> None:
+        self.words_: dict[str, int] = {}
+        self.new: list[str] = []  # words with a number, not built yet
+        # Per unit: its first place (-1: not built) and the number of its places.
+        self._root, self._places = _Grown(np.int64), _Grown(np.int64)
+        self._root.add(np.full(self.size, -1))
+        self._places.add(np.zeros(self.size))
+        # Per place: its first arc and the number of its arcs (none: the end).
+        self._begin, self._n_arcs = _Grown(np.int32), _Grown(np.int32)
+        # Per arc: log-probability, upper end among its place's arcs, places, piece.
+        self._logp, self._upto = _Grown(np.float64), _Grown(np.float64)
+        self._from, self._to, self._piece = _Grown(np.int32), _Grown(np.int32), _Grown(np.int32)
+
+    def trim(self) -> None:
+        """Forget all words once too many places are kept (between batches)."""
+        if len(self._begin.all) > CACHE_PLACES:
+            self._clear()
 
     def arcs_of(self, cell: int) -> list[tuple[list[int], float]]:
-        """Every spelling of a piece with its normalised log-probability."""
+        """Every spelling of a piece with its normalised log-probability, one by one.
+
+        The search never lists them: see ``_build``."""
         text = self.pieces[cell]
         if text not in self.ids:
             return [([cell], 0.0)]
@@ -95,30 +168,131 @@ class Lattice:
         s -= s.max() + np.log(np.exp(s - s.max()).sum())
         return sorted(zip([p for p, _ in paths], s.tolist(), strict=True), key=lambda x: -x[1])
 
-    def need(self, cells: np.ndarray) -> None:
-        """Add the arcs and alias tables of cells not met before."""
-        for cell in np.unique(cells[self.first[cells] < 0]).tolist():
-            arcs = self.arcs_of(cell)
-            n = len(arcs)
-            scaled = [np.exp(x) * n for _, x in arcs]
-            accept, alias = [1.0] * n, list(range(n))
-            small = [i for i, x in enumerate(scaled) if x < 1]
-            large = [i for i, x in enumerate(scaled) if x >= 1]
-            while small and large:
-                a, b = small.pop(), large[-1]
-                accept[a], alias[a] = scaled[a], b
-                scaled[b] -= 1 - scaled[a]
-                if scaled[b] < 1:
-                    small.append(large.pop())
-            self.first[cell], self.count[cell] = len(self._logp), n
-            self._logp += [x for _, x in arcs]
-            self._accept += accept
-            self._alias += alias
-            self._arcs += [np.array(p, "<u4").tobytes() for p, _ in arcs]
-        if len(self._logp) != self._frozen:
-            self._frozen = len(self._logp)
-            self.logp, self.accept = np.array(self._logp), np.array(self._accept)
-            self.alias = np.array(self._alias, np.int64)
+    def _build(self, texts: list[str], in_bytes: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """First place and number of places of each string, all built together.
+
+        A place stands before each character and at the end.  Characters without
+        a piece are spelled in bytes, if ``in_bytes``, with places of their own."""
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+        size = np.array([len(t) for t in texts], np.int64)
+        word = np.repeat(np.arange(len(texts)), size)
+        lost = np.flatnonzero(~self.alone[chars]) if in_bytes else np.zeros(0, np.int64)
+        spelled = [self._in_bytes(int(c)) for c in chars[lost]]
+        more = np.bincount(word[lost], [len(x) - 1 for x in spelled], len(texts)).astype(np.int64)
+        places = size + 1 + more
+        ends = np.cumsum(places)
+        root = ends - places
+        # Places of characters, and how far each is from its word's end.
+        at = np.arange(len(chars)) - (np.cumsum(size) - size)[word] + root[word]
+        left = (root + size)[word] - at
+        code = self.code[chars].astype(np.int64)
+        # Down the tree from every character at once: an arc wherever a piece ends.
+        here, node, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), []
+        for depth in range(1, self.longest + 1):
+            inside = left[here] >= depth
+            here, node = here[inside], node[inside]
+            key = node << 16 | code[here + depth - 1]
+            i = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+            ok = self.step[i] == key
+            here, node = here[ok], self.below[i[ok]]
+            if not len(here):
+                break
+            ends_here = self.node_piece[node] >= 0
+            h = here[ends_here]
+            found.append((h, np.full(len(h), depth), self.node_piece[node[ends_here]]))
+        found.append((lost, np.ones(len(lost), np.int64), np.full(len(lost), -1)))
+        h, depth, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        weight = np.where(piece >= 0, self.log_weight[piece], 0.0)
+        # Backward over all words: the log of the weights of all spellings from a place on.
+        order = np.argsort(left[h] * (len(chars) + 1) + h, kind="stable")
+        h, depth, piece, weight = h[order], depth[order], piece[order], weight[order]
+        frm, to = at[h], at[h] + depth
+        total = np.full(int(ends[-1]) if len(ends) else 0, -np.inf)
+        total[root + size] = 0.0
+        far = left[h]
+        first = np.flatnonzero(np.diff(frm, prepend=-1))
+        bound = np.searchsorted(far, np.arange(1, (far[-1] if len(far) else 0) + 2))
+        group = np.searchsorted(first, bound)
+        for lo, hi, glo, ghi in zip(bound[:-1], bound[1:], group[:-1], group[1:], strict=True):
+            if hi > lo:
+                g = first[glo:ghi]
+                total[frm[g]] = np.logaddexp.reduceat(weight[lo:hi] + total[to[lo:hi]], g - lo)
+        with np.errstate(invalid="ignore"):
+            lp = weight + total[to] - total[frm]
+        # Bytes of one character follow each other through places after the word's end.
+        spare = {}
+        extra: list[tuple[int, int, int]] = []
+        inner = {int(x): n for n, x in enumerate(lost)}
+        for a in np.flatnonzero(piece < 0):
+            ids, w = spelled[inner[int(h[a])]], int(word[h[a]])
+            piece[a], last = ids[0], to[a]
+            if len(ids) > 1:
+                begin = spare.get(w, int(root[w] + size[w]) + 1)
+                spare[w] = begin + len(ids) - 1
+                to[a] = begin
+                extra += [(begin + n, begin + n + 1 if n + 2 < len(ids) else last, i)
+                          for n, i in enumerate(ids[1:])]
+        keep = np.isfinite(lp)
+        frm, to, piece, lp = frm[keep], to[keep], piece[keep], np.minimum(lp[keep], 0.0)
+        if extra:
+            f, t, i = (np.array(x, np.int64) for x in zip(*extra, strict=True))
+            frm, to, piece = np.append(frm, f), np.append(to, t), np.append(piece, i)
+            lp = np.append(lp, np.zeros(len(f)))
+        # Long pieces first: most draws end at the first arc.
+        order = np.argsort(frm * 64 + np.clip(63 - (to - frm), 0, 63), kind="stable")
+        self._add(root, places, frm[order], to[order], piece[order], lp[order])
+        return root + self._base, places
+
+    def _in_bytes(self, char: int) -> list[int]:
+        ids = [self.sp.piece_to_id(f"<0x{x:02X}>") for x in chr(char).encode()]
+        return [self.sp.unk_id()] if any(map(self.sp.is_unknown, ids)) else ids
+
+    def _add(self, root: np.ndarray, places: np.ndarray, frm: np.ndarray, to: np.ndarray,
+             piece: np.ndarray, lp: np.ndarray) -> None:
+        """Append arcs, sorted by place; places count from 0."""
+        self._base, arcs = len(self._begin.all), len(self._logp.all)
+        n = np.bincount(frm, minlength=int(places.sum()))
+        ends = np.cumsum(n)
+        mass = np.cumsum(np.exp(lp))
+        upto = mass - np.concatenate([[0.0], mass])[ends - n][frm]
+        upto[ends[n > 0] - 1] = np.inf
+        for grown, x in ((self._begin, arcs + ends - n), (self._n_arcs, n), (self._logp, lp),
+                         (self._upto, upto), (self._from, frm + self._base), (self._to, to + self._base),
+                         (self._piece, piece)):
+            grown.add(x)
+
+    def need(self, units: np.ndarray) -> None:
+        """Build the new words, and the pieces among the units not met before."""
+        if self.new:
+            root, places = self._build(self.new)
+            self._root.add(root)
+            self._places.add(places)
+            self.new = []
+        cells = units[units < self.size]
+        cells = np.unique(cells[self._root.all[cells] < 0])
+        plain = np.array([self.pieces[c] in self.ids for c in cells.tolist()], bool)
+        if plain.any():
+            built = self._build([self.pieces[c] for c in cells[plain].tolist()], False)
+            self._root.all[cells[plain]], self._places.all[cells[plain]] = built
+        if len(cells) and not plain.all():
+            cells = cells[~plain]
+            root, two = np.arange(len(cells)) * 2, np.full(len(cells), 2)
+            self._add(root, two, root, root + 1, cells, np.zeros(len(cells)))
+            self._root.all[cells], self._places.all[cells] = root + self._base, two
+        self.root, self.places = self._root.all, self._places.all
+        self.begin, self.n_arcs = self._begin.all, self._n_arcs.all
+        self.logp, self.upto = self._logp.all, self._upto.all
+        self.place, self.next, self.piece = self._from.all, self._to.all, self._piece.all
+
+    def words(self, text: str | None) -> np.ndarray:
+        """The words of a text as units."""
+        found = _UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+        known = self.words_
+        for w in dict.fromkeys(found):
+            if w not in known:
+                known[w] = self.size + len(known)
+                self.new.append(w)
+        return np.array([known[w] for w in found], np.int64)
 
     def cells(self, texts: list[str | None]) -> list[np.ndarray]:
         """The model's own segmentation of each text, word by word.
@@ -177,107 +351,155 @@ def _truncated(phi: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
     return np.where(np.isneginf(phi), -np.inf, out)
 
 
+class _Path:
+    """One segmentation of each text: its steps, text after text."""
+
+    def __init__(self, search: _Search, unit: np.ndarray, arc: np.ndarray):
+        self.unit, self.arc = unit, arc
+        self.place = search.lat.place[arc]
+        self.doc = search.doc[unit]
+        self.size = np.bincount(self.doc, minlength=search.n)
+        self.start = np.cumsum(self.size) - self.size
+
+
 class _Search:
-    """Best-first search over several texts at once (one row of cells each)."""
+    """Best-first search over several texts at once (one row of units each)."""
 
-    def __init__(self, lat: Lattice, cells: list[np.ndarray], keys: np.ndarray, k: int):
-        self.lat, self.k, self.n = lat, k, len(cells)
-        size = np.array([len(c) for c in cells], np.int64)
-        self.start = np.cumsum(size) - size
-        self.size = size
-        self.flat = np.concatenate(cells) if cells else np.zeros(0, np.int64)
-        lat.need(self.flat)
+    def __init__(self, lat: Lattice, units: list[np.ndarray], keys: np.ndarray, k: int):
+        self.lat, self.k, self.n = lat, k, len(units)
+        size = np.array([len(c) for c in units], np.int64)
+        flat = np.concatenate(units) if units else np.zeros(0, np.int64)
+        lat.need(flat)
         self.doc = np.repeat(np.arange(self.n), size)
-        self.at = np.arange(len(self.flat)) - self.start[self.doc]
         self.keys = keys
         self.key = keys[self.doc]
-        self.first, self.arcs = lat.first[self.flat], lat.count[self.flat]
-
-    def fresh(self, salt: int) -> np.ndarray:
-        """An independent arc for every cell, by its alias table."""
-        at = self.at.astype(np.uint64)
-        x = _uniform(self.key, 4 * salt, at) * self.arcs
-        j = np.minimum(x.astype(np.int64), self.arcs - 1) + self.first
-        other = _uniform(self.key, 4 * salt + 1, at) >= self.lat.accept[j]
-        return np.where(other, self.first + self.lat.alias[j], j)
-
-    def branches(self, path: np.ndarray, value: np.ndarray, after: np.ndarray,
-                 salt: int) -> tuple[np.ndarray, np.ndarray]:
-        """Log-mass and perturbed value of what leaves ``path`` at each cell after ``after``."""
-        lp = self.lat.logp[path]
-        total = np.cumsum(lp)
-        before = total - lp - (total - lp)[np.minimum(self.start, max(len(lp) - 1, 0))][self.doc]
-        with np.errstate(divide="ignore"):
-            rest = np.where(self.arcs > 1, np.log(-np.expm1(np.minimum(lp, -1e-300))), -np.inf)
-        phi = np.where(self.at > after[self.doc], before + rest, -np.inf)
-        u = _uniform(self.key, 4 * salt + 2, self.at.astype(np.uint64))
-        return phi, _truncated(phi, value[self.doc], u)
-
-    def best(self, g: np.ndarray) -> np.ndarray:
-        """Flat position of each row's largest value (-1 for rows without cells)."""
+        self.root = lat.root[flat]
+        # Adding a place of a unit gives its number in the text.
+        places = lat.places[flat]
+        ends = np.cumsum(places)
+        begin = np.concatenate([[0], ends])[np.cumsum(size) - size]
+        self.shift = ends - places - begin[self.doc] - self.root
+
+    def fresh(self, units: np.ndarray, places: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+        """Independent steps from a place of each unit to its end: units and arcs, in order."""
+        lat, us, arcs = self.lat, [], []
+        while True:
+            open_ = lat.n_arcs[places] > 0
+            if not open_.all():
+                units, places = units[open_], places[open_]
+            if not len(units):
+                break
+            j = lat.begin[places].astype(np.int64)
+            many = np.flatnonzero(lat.n_arcs[places] > 1)
+            w, p = units[many], places[many]
+            x = _uniform(self.key[w], 4 * salt, (self.shift[w] + p).astype(np.uint64))
+            pick = j[many]
+            late = np.flatnonzero(x > lat.upto[pick])
+            while len(late):
+                pick[late] += 1
+                late = late[x[late] > lat.upto[pick[late]]]
+            j[many] = pick
+            us.append(units)
+            arcs.append(j)
+            places = lat.next[j]
+        if not us:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        u, a = np.concatenate(us), np.concatenate(arcs)
+        order = np.argsort(u, kind="stable")
+        return u[order], a[order]
+
+    def branches(self, path: _Path, value: np.ndarray, after: np.ndarray, salt: int) -> np.ndarray:
+        """Perturbed values of what leaves ``path`` at each step after ``after``."""
+        lp = self.lat.logp[path.arc]
+        out = np.full(len(lp), -np.inf)
+        at = np.arange(len(lp)) - path.start[path.doc]
+        spots = np.flatnonzero((self.lat.n_arcs[path.place] > 1) & (at > after[path.doc]))
+        if len(spots):
+            d, x = path.doc[spots], lp[spots]
+            before = np.cumsum(lp) - lp
+            before = before[spots] - before[path.start[d]]
+            with np.errstate(divide="ignore"):
+                phi = before + np.log(-np.expm1(np.minimum(x, -1e-300)))
+            number = self.shift[path.unit[spots]] + path.place[spots]
+            u = _uniform(self.keys[d], 4 * salt + 2, number.astype(np.uint64))
+            out[spots] = _truncated(phi, value[d], u)
+        return out
+
+    def best(self, path: _Path, g: np.ndarray) -> np.ndarray:
+        """Flat position of each row's largest value (-1 for rows without steps)."""
         out = np.full(self.n, -1, np.int64)
-        rows = np.flatnonzero(self.size)
+        rows = np.flatnonzero(path.size)
         if len(rows):
-            top = np.maximum.reduceat(g, self.start[rows])
-            hit = np.flatnonzero(g == np.repeat(top, self.size[rows]))
-            r, i = np.unique(self.doc[hit], return_index=True)
+            top = np.maximum.reduceat(g, path.start[rows])
+            hit = np.flatnonzero(g == np.repeat(top, path.size[rows]))
+            r, i = np.unique(path.doc[hit], return_index=True)
             out[r] = hit[i]
         return out
 
     def run(self) -> list[list[tuple[np.ndarray, float, float]]]:
         """Per text: ``(arcs, log-probability, perturbed value)``, best first; then the bound."""
-        none = np.zeros(self.n, np.uint64)
+        lat, none = self.lat, np.zeros(self.n, np.uint64)
+        units = np.arange(len(self.root))
         g = -np.log(-np.log(_uniform(self.keys, 3, none)))
-        paths = [self.fresh(0)]
+        paths = [_Path(self, *self.fresh(units, self.root, 0))]
         values, alive = [g], [np.ones(self.n, bool)]
-        phi, val = self.branches(paths[0], g, np.full(self.n, -1), 0)
-        phis, vals = [phi], [val]
-        gone: dict[tuple[int, int], list[int]] = {}  # (parent, cell) -> arcs already used there
+        vals = [self.branches(paths[0], g, np.full(self.n, -1), 0)]
+        gone: dict[tuple[int, int], list[int]] = {}  # (parent, step) -> arcs already used there
         for s in range(1, self.k + 1):
-            spots = np.stack([self.best(v) for v in vals])
-            top = np.stack([np.where(p >= 0, v[np.maximum(p, 0)], -np.inf) if len(v) else
-                            np.full(self.n, -np.inf) for p, v in zip(spots, vals, strict=True)])
+            spots = np.stack([self.best(p, v) for p, v in zip(paths, vals, strict=True)])
+            top = np.stack([np.where(x >= 0, v[np.maximum(x, 0)], -np.inf) if len(v) else
+                            np.full(self.n, -np.inf) for x, v in zip(spots, vals, strict=True)])
             parent = np.argmax(top, axis=0)
             g = top[parent, np.arange(self.n)]
             if s == self.k:
                 break
             ok = np.isfinite(g)
-            path = self.fresh(s)
-            after = np.where(ok, 0, -1)
+            after = np.full(self.n, -1)
+            places, branch = self.root.copy(), np.full(self.n, len(units))
+            heads: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for d in np.flatnonzero(ok).tolist():
                 p, c = int(parent[d]), int(spots[parent[d], d])
-                used = gone.setdefault((p, c), [int(paths[p][c])])
-                lo, n = int(self.first[c]), int(self.arcs[c])
-                lp = self.lat.logp[lo:lo + n].copy()
+                old = paths[p]
+                b, unit, place = int(old.start[d]), int(old.unit[c]), int(old.place[c])
+                used = gone.setdefault((p, c), [int(old.arc[c])])
+                lo, n = int(lat.begin[place]), int(lat.n_arcs[place])
+                lp = lat.logp[lo:lo + n].copy()
                 lp[[x - lo for x in used]] = -np.inf
                 mass = np.exp(lp - lp.max())
-                u = _uniform(self.keys[d:d + 1], 4 * s + 3, np.array([c - self.start[d]], np.uint64))
+                number = int(self.shift[unit]) + place
+                u = _uniform(self.keys[d:d + 1], 4 * s + 3, np.array([number], np.uint64))
                 a = int(min(np.searchsorted(np.cumsum(mass), u[0] * mass.sum(), "right"), n - 1))
-                b = self.start[d]
-                prefix = float(self.lat.logp[paths[p][b:c]].sum())
-                path[b:c] = paths[p][b:c]
-                path[c] = lo + a
+                prefix = float(lat.logp[old.arc[b:c]].sum())
                 used.append(lo + a)
-                # What is left at this cell stays a branch of the parent.
+                heads[d] = old.unit[b:c + 1], np.append(old.arc[b:c], lo + a)
+                branch[d], places[unit] = unit, lat.next[lo + a]
+                # What is left at this step stays a branch of the parent.
                 lp[a] = -np.inf
                 left = prefix + np.logaddexp.reduce(lp) if len(used) < n else -np.inf
-                w = _uniform(self.keys[d:d + 1], 4 * s + 3, np.array([c - b + (1 << 40)], np.uint64))
+                w = _uniform(self.keys[d:d + 1], 4 * s + 3, np.array([number + (1 << 40)], np.uint64))
                 vals[p][c] = _truncated(np.array([left]), g[d:d + 1], w)[0]
                 after[d] = c - b
+            walked = np.flatnonzero(units >= branch[self.doc])
+            unit, arc = self.fresh(walked, places[walked], s)
+            cut = np.searchsorted(self.doc[unit], np.arange(self.n + 1))
+            us, arcs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for d, (head, steps) in heads.items():
+                us += [head, unit[cut[d]:cut[d + 1]]]
+                arcs += [steps, arc[cut[d]:cut[d + 1]]]
+            path = _Path(self, np.concatenate(us), np.concatenate(arcs))
             values.append(g)
             alive.append(ok)
             paths.append(path)
-            phi, val = self.branches(path, np.where(ok, g, 0.0), after, s)
-            dead = ~ok[self.doc]
-            val[dead] = -np.inf
-            phis.append(phi)
-            vals.append(val)
+            vals.append(self.branches(path, np.where(ok, g, 0.0), after, s))
         self.bound = g
         out = []
         for d in range(self.n):
-            a, z = self.start[d], self.start[d] + self.size[d]
-            out.append([(p[a:z], float(self.lat.logp[p[a:z]].sum()), float(v[d]))
-                        for p, v, ok in zip(paths, values, alive, strict=True) if ok[d]])
+            own = []
+            for p, v, ok in zip(paths, values, alive, strict=True):
+                if ok[d]:
+                    arcs = p.arc[p.start[d]:p.start[d] + p.size[d]]
+                    own.append((arcs, float(lat.logp[arcs].sum()), float(v[d])))
+            out.append(own)
         return out
 
 
@@ -300,32 +522,35 @@ def sample(docs: DataFrame, model_path: str, k: int = SAMPLES, sharpness: float
             docs_, texts = b.column(1).to_pylist(), b.column(2).to_pylist()
             at = 0
             while at < len(texts):
-                cells, end, size = [], at, 0
-                while end < len(texts) and size < BATCH_CELLS:
-                    cells += lat.cells(texts[end:end + 1])
-                    size += len(cells[-1])
+                lat.trim()
+                units, end, size = [], at, 0
+                while end < len(texts) and size < BATCH_WORDS:
+                    units.append(lat.words(texts[end]))
+                    size += len(units[-1])
                     end += 1
-                yield _rows(lat, cells, docs_[at:end], texts[at:end], keys[at:end], k, with_ids)
+                yield _rows(lat, units, docs_[at:end], texts[at:end], keys[at:end], k, with_ids)
                 at = end
 
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     return docs.select(key, F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SAMPLED)
 
 
-def _rows(lat: Lattice, cells: list[np.ndarray], ids: list, texts: list[str | None],
+def _rows(lat: Lattice, units: list[np.ndarray], ids: list, texts: list[str | None],
           keys: np.ndarray, k: int, with_ids: bool) -> pa.RecordBatch:
-    search = _Search(lat, cells, keys, k)
+    search = _Search(lat, units, keys, k)
     found = search.run()
     out: dict[str, list] = {c.split()[0]: [] for c in SAMPLED.split(", ")}
     for doc, text, paths, bound in zip(ids, texts, found, search.bound, strict=True):
         plain = (text or "").replace(MARK, " ")
+        whole = (MARK + plain.replace(" ", MARK)).encode() if text else b""
         for r, (path, lp, g) in enumerate(paths, 1):
-            raw = b"".join([lat._arcs[i] for i in path.tolist()])
+            pieces = lat.piece[path]
+            raw = pieces.astype("<u4").tobytes()
             inside = 1.0 if np.isneginf(bound) else -np.expm1(-np.exp(min(lp - bound, 700.0)))
-            pieces = np.frombuffer(raw, "<u4").astype(np.int32)
+            listed = pieces.tolist()
+            same = b"".join([lat.surface[i] for i in listed]) == whole or lat.decode(listed) == plain
             for c, v in zip(out, (doc, r, len(pieces), lp, g, inside, zlib.crc32(raw),
-                                  pieces if with_ids else None,
-                                  lat.decode(pieces.tolist()) == plain), strict=True):
+                                  pieces if with_ids else None, same), strict=True):
                 out[c].append(v)
     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(),
              pa.int64(), pa.list_(pa.int32()), pa.bool_())

@@ -105,3 +105,55 @@ def test_round_trip_compares_with_the_text(lat):
     keys = np.array([1, 2], np.uint64)
     rows = S._rows(lat, lat.cells([texts[0]] * 2), [0, 1], texts, keys, 1, True).to_pylist()
     assert [r["round_trip"] for r in rows] == [True, False]
+
+
+def whole_lattice(lat, text):
+    """Every spelling of a text with pieces, and its probability."""
+    text = "▁" + text.replace(" ", "▁")
+    found = [[] for _ in text] + [[]]
+    found[0] = [((), 0.0)]
+    for at in range(len(text)):
+        for end in range(at + 1, len(text) + 1):
+            i = lat.ids.get(text[at:end])
+            if i is not None:
+                found[end] += [((*p, i), s + lat.sharpness * lat.weight[i]) for p, s in found[at]]
+    total = np.logaddexp.reduce([s for _, s in found[-1]])
+    return {p: s - total for p, s in found[-1]}
+
+
+def test_spellings_across_the_models_own_cut_are_there(lat):
+    """All segmentations of the text, not only those inside the model's own pieces."""
+    text = "tion o"
+    assert len(lat.sp.encode(text)) > 2
+    want = whole_lattice(lat, text)
+    assert len(want) > len(brute_paths(lat, text))
+    rows = S._rows(lat, [lat.words(text)], [1], [text], np.array([7], np.uint64), len(want) + 5, True).to_pylist()
+    assert sorted(tuple(r["ids"]) for r in rows) == sorted(want) and all(r["round_trip"] for r in rows)
+    assert all(r["log_prob"] == pytest.approx(want[tuple(r["ids"])]) and r["inclusion"] == 1 for r in rows)
+    assert {tuple(lat.sp.encode(text))} <= set(want)
+
+
+def test_frequencies_over_the_whole_lattice(lat):
+    text = "tion"
+    want = whole_lattice(lat, text)
+    p, n = {k: math.exp(v) for k, v in want.items()}, 6000
+    keys = np.random.default_rng(5).integers(0, 2**63, n).astype(np.uint64)
+    rows = S._rows(lat, [lat.words(text)] * n, [*range(n)], [text] * n, keys, 2, True).to_pylist()
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], []).append(tuple(r["ids"]))
+    pairs = Counter(tuple(v) for v in by.values())
+    for i, j in itertools.permutations(p, 2):
+        q = p[i] * p[j] / (1 - p[i])
+        assert abs(pairs[i, j] / n - q) < 5 * math.sqrt(q * (1 - q) / n) + 1e-3
+
+
+def test_words_are_forgotten_and_built_again(lat, monkeypatch):
+    texts = ["漢字 \U0001f600\x01 tab", "long" * 3000, "  two  marks "]
+    keys = np.arange(3).astype(np.uint64)
+    first = S._rows(lat, [lat.words(t) for t in texts], [0, 1, 2], texts, keys, 3, True).to_pylist()
+    assert len(first) == 9 and all(r["round_trip"] for r in first)
+    monkeypatch.setattr(S, "CACHE_PLACES", 10)
+    lat.trim()
+    assert not lat.words_
+    assert S._rows(lat, [lat.words(t) for t in texts], [0, 1, 2], texts, keys, 3, True).to_pylist() == first
