@@ -32,8 +32,11 @@ from __future__ import annotations
 
 import logging
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from fareflow.operators.clustering import _has_map
 from fareflow.operators.loads import table_exists
-from fareflow.session import delete_path, path_exists, scratch_path, staged
+from fareflow.session import delete_path, path_exists, staged
 
 SLICE_BITS = 32768  # size of Spark's bitmap functions
 BITS_PER_KEY = 32
@@ -70,10 +73,13 @@ def spot(id_col: str | Column) -> Column:
     return F.when(c.isNotNull(), F.shiftrightunsigned(F.xxhash64(c), 1))
 
 
+def _hashes(id_col: str) -> list[Column]:
+    return [F.xxhash64(F.col(id_col), F.lit(i)) for i in range(1, 1 + -(-PROBES // 4))]
+
+
 def probes(id_col: str) -> list[Column]:
     """The bit positions of an id: four of 15 bits from each hash."""
-    c = F.col(id_col)
-    hashes = [F.xxhash64(c, F.lit(i)) for i in range(1, 1 + -(-PROBES // 4))]
+    hashes = _hashes(id_col)
     return [F.shiftrightunsigned(hashes[i // 4], 15 * (i % 4)).bitwiseAND(F.lit(SLICE_BITS - 1))
             for i in range(PROBES)]
 
@@ -94,6 +100,44 @@ def data_files(spark: SparkSession, path: str) -> DataFrame:
             .select(F.col("path").alias("file"), "length"))
 
 
+BITS_SCHEMA = "file string, length long, level int, slice long, bits binary"
+OPEN_SLICES = 4096  # slices a task holds at once, 4 KB each
+
+
+def _slice_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of the ids of a task, a row per file and slice; one met again after
+    ``OPEN_SLICES`` others may come in parts.  Last columns: the hashes of ``probes``."""
+    def done() -> pa.RecordBatch:
+        cols = [*zip(*spots, strict=True)]
+        bits = pa.array([memoryview(x) for x in flat[:len(spots)]], pa.binary())
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64())
+        return pa.RecordBatch.from_arrays([*map(pa.array, cols, kinds), bits],
+                                          names=[c.split()[0] for c in BITS_SCHEMA.split(", ")])
+
+    spots: dict[tuple, int] = {}
+    flat = np.zeros((0, SLICE_BITS // 8), np.uint8)
+    for b in batches:
+        names = b.column(0).dictionary_encode()
+        at = np.array([names.indices.to_numpy(), *(b.column(i).to_numpy() for i in (1, 2, 3))])
+        found, row = np.unique(at, axis=1, return_inverse=True)
+        keys = [(names.dictionary[f].as_py(), n, level, s) for f, n, level, s in found.T.tolist()]
+        if spots and len(spots.keys() | keys) > OPEN_SLICES:
+            yield done()
+            spots = {}
+            flat[:] = 0
+        own = np.array([spots.setdefault(k, len(spots)) for k in keys], np.int64)
+        if len(spots) > len(flat):
+            flat = np.concatenate([flat, np.zeros((2 * len(spots) - len(flat), SLICE_BITS // 8), np.uint8)])
+        to = own[row.ravel()] * (SLICE_BITS // 8)
+        for i in range(PROBES):
+            bit = b.column(4 + i // 4).to_numpy().view(np.uint64) >> np.uint64(15 * (i % 4)) \
+                & np.uint64(SLICE_BITS - 1)
+            np.bitwise_or.at(flat.reshape(-1), to + (bit >> np.uint64(3)).astype(np.int64),
+                             np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+    if spots:
+        yield done()
+
+
 def filters(keys: DataFrame, id_col: str) -> DataFrame:
     """Index rows from ``file, length`` and an id: one per slice, one (slice -1) per file.
 
@@ -104,11 +148,12 @@ def filters(keys: DataFrame, id_col: str) -> DataFrame:
     levels = k.groupBy("file", "length").agg(
         F.greatest(F.lit(MIN_LEVEL), F.least(F.lit(MAX_LEVEL), F.coalesce(need, F.lit(0))))
         .cast("int").alias("level"))
+    # A row per probe would be sorted by Spark's bitmap aggregate, 22 an id.
     placed = k.filter("id IS NOT NULL").join(levels, ["file", "length"]).select(
         "file", "length", "level", _slice(F.col("at"), F.col("level")).alias("slice"),
-        F.explode(F.array(*probes("id"))).alias("bit"))
-    bits = (placed.groupBy("file", "length", "level", "slice")
-            .agg(F.bitmap_construct_agg("bit").alias("bits")))
+        *[h.alias(f"h{i}") for i, h in enumerate(_hashes("id"))])
+    bits = (placed.mapInArrow(_slice_bits, BITS_SCHEMA).groupBy("file", "length", "level", "slice")
+            .agg(F.bitmap_or_agg("bits").alias("bits")))
     sliced = bits.select("file", "length", "level", "slice", F.lit(None).cast("long").alias("n_slices"),
                          "bits", F.crc32("bits").alias("checksum"))
     # Distinct slices of a file are counted from the ids, not from the rows above,
@@ -209,16 +254,17 @@ def insert_only_indexed(spark: SparkSession, path: str, source: DataFrame, id_co
         batch = staged(source.select(*schema.names), "keyed-batch")
         names, files = files_for_keys(spark, path, batch, id_col)
         opened = len(names)
-        fresh = batch
+        fresh = kept = batch
         if names:
+            kept = None
             held = spark.read.schema(schema).option("basePath", path).parquet(*names).select(id_col)
             fresh = batch.join(held, id_col, "left_anti").select(*schema.names)
     else:
-        fresh = source
+        fresh, kept = source, None
     # Written once: the count sizes the files, and the append must not change its input.
-    where = scratch_path(spark, "keyed-fresh")
-    fresh.write.parquet(where)
-    fresh = spark.read.schema(fresh.schema).parquet(where)
+    # A batch of which no file may hold an id is written already.
+    if kept is None:
+        fresh = staged(fresh, "keyed-fresh")
     n = fresh.count()
     if n or not files:
         append_keyed(fresh, path, id_col, n, rows_per_file)

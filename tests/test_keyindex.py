@@ -122,3 +122,28 @@ def test_no_false_negatives_and_few_false_alarms(spark):
     assert passed(0, 60000) == 60000
     assert passed(100000, 200000) <= 2  # expected 100,000 x 2e-7
     assert K.FALSE_SHARE < 3e-7
+
+
+def test_slice_bits_equal_the_bitmap_aggregate_without_a_row_per_probe(spark, monkeypatch):
+    keys = batch(spark, 0, 5000).select(F.concat(F.lit("f"), F.col("v") % 3).alias("file"),
+                                        F.lit(7).cast("long").alias("length"), "rid")
+    got = K.filters(keys, "rid")
+    assert "explode" not in got._jdf.queryExecution().optimizedPlan().toString()
+    placed = keys.select("file", "length", F.lit(K.MIN_LEVEL).alias("level"), F.col("rid").alias("id"),
+                         K._slice(K.spot("rid"), F.lit(K.MIN_LEVEL)).alias("slice"))
+    key = ["file", "length", "level", "slice"]
+    want = (placed.select(*key, F.explode(F.array(*K.probes("id"))).alias("bit")).groupBy(*key)
+            .agg(F.bitmap_construct_agg("bit").alias("bits")))
+    want = {tuple(r)[:4]: bytes(r.bits) for r in want.collect()}
+    sliced = {(r.file, r.length, r.level, r.slice): bytes(r.bits)
+              for r in got.filter("slice >= 0").collect()}
+    assert len(want) == 3 * 64 and sliced == want
+    # In parts, when more slices are met than a task holds.
+    monkeypatch.setattr(K, "OPEN_SLICES", 50)
+    rows = placed.select(*key, *[h.alias(f"h{i}") for i, h in enumerate(K._hashes("id"))]).toArrow()
+    parts, n = {}, 0
+    for b in K._slice_bits(iter(rows.to_batches(max_chunksize=40))):
+        for r in b.to_pylist():
+            at, n = (r["file"], r["length"], r["level"], r["slice"]), n + 1
+            parts[at] = parts.get(at, 0) | int.from_bytes(r["bits"], "little")
+    assert n > len(want) and parts == {k: int.from_bytes(v, "little") for k, v in want.items()}
