@@ -19,8 +19,10 @@ container holds most of the paragraphs' text does not count, because there it
 may be the article.  An article that holds most of the paragraphs of the
 ``main`` around it is the main content in its place.
 
-Only hashes and page keys are shuffled for counting; the text that may be
-kept travels once, without markup.
+Pages are parsed twice: once for the hashes, which are kept on disk and
+shuffled with page keys for counting, and once for the text that may be kept,
+which travels once, without markup.  Its blocks name the hashes around them by
+number within the page.  Few pages' trees are in memory at a time.
 
 Defined results: null or empty html gives an empty text; repeated page ids
 are separate rows; broken or unclosed markup is repaired by the usual rules
@@ -40,10 +42,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareflow.llm.common import keep_table
+
 MIN_PAGES = 5
 MIN_SHARE = 0.002
 # On so many pages of different content a subtree is template on any host.
 MAX_PAGES = 100
+PAGES_PER_STEP = 128
 
 # HTML element sets.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -330,36 +335,62 @@ def host_of(url: F.Column) -> F.Column:
                       F.lit(""))
 
 
-PARSED = ("page_id long, url string, host string, row_key long, content long, "
-          "blocks array<struct<text:string,around:array<long>,rule:boolean>>, "
-          "votes array<struct<h:long,content:long>>")
+MARKED = ("host string, row_key long, content long, around array<long>, "
+          "others array<struct<h:long,content:long>>")
+PARSED = ("page_id long, url string, row_key long, "
+          "blocks array<struct<text:string,around:array<int>,rule:boolean>>")
 
 
-def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64())),
-                               ("rule", pa.bool_())]))
-    vote = pa.list_(pa.struct([("h", pa.int64()), ("content", pa.int64())]))
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few pages at a time, so that few trees and texts are held at once."""
     for b in batches:
-        content, rows, votes = [], [], []
-        for html in b.column(4).to_pylist():
+        for at in range(0, b.num_rows, PAGES_PER_STEP):
+            yield b.slice(at, PAGES_PER_STEP)
+
+
+def _numbers(blocks: list[tuple[str, list[int], bool]]) -> dict[int, int]:
+    """The distinct hashes around a page's blocks, numbered as they come."""
+    return {h: i for i, h in enumerate(dict.fromkeys(h for _, a, _ in blocks for h in a))}
+
+
+def _mark_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page its content hash, the hashes around its blocks, and what else these count by."""
+    other = pa.list_(pa.struct([("h", pa.int64()), ("content", pa.int64())]))
+    for b in _steps(batches):
+        content, around, others = [], [], []
+        for html in b.column(2).to_pylist():
             c, blocks, rests = page_blocks(html)
+            numbers = _numbers(blocks)
             content.append(c)
-            votes.append([{"h": h, "content": x} for h in {h for _, a, _ in blocks for h in a}
-                          if (x := rests.get(h, c)) is not None])
+            around.append(list(numbers))
+            others.append([{"h": h, "content": x} for h, x in rests.items() if h in numbers])
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), b.column(1), pa.array(content, pa.int64()),
+             pa.array(around, pa.list_(pa.int64())), pa.array(others, other)],
+            names=["host", "row_key", "content", "around", "others"])
+
+
+def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page its blocks, each with the numbers of the hashes around it."""
+    kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int32())),
+                               ("rule", pa.bool_())]))
+    for b in _steps(batches):
+        rows = []
+        for html in b.column(3).to_pylist():
+            _, blocks, _ = page_blocks(html)
+            numbers = _numbers(blocks)
             out: list[dict] = []
             for t, a, r in blocks:
                 # Neighbours that are sure to stay travel as one block.
                 if out and not (a or r or out[-1]["around"] or out[-1]["rule"]):
                     out[-1]["text"] += "\n" + t
                 else:
-                    out.append({"text": t, "around": a, "rule": r})
+                    out.append({"text": t, "around": [numbers[h] for h in a], "rule": r})
             for x in out:
                 x["text"] = x["text"].encode("utf-8", "replace").decode()
             rows.append(out)
-        yield pa.RecordBatch.from_arrays(
-            [*(b.column(i) for i in range(4)), pa.array(content, pa.int64()), pa.array(rows, kind),
-             pa.array(votes, vote)],
-            names=["page_id", "url", "host", "row_key", "content", "blocks", "votes"])
+        yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), pa.array(rows, kind)],
+                                         names=["page_id", "url", "row_key", "blocks"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -374,28 +405,34 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rules have deleted.
     """
     html = F.col(html_col)
-    raw = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
-                       host_of(F.col(url_col)).alias("host"),
-                       F.xxhash64(F.col(id_col), F.col(url_col), html).alias("row_key"),
-                       html.alias("html"))
-    parsed = raw.mapInArrow(_parse_pages, PARSED)
-    around = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    marks = parsed.select("host", "row_key", F.explode(around).alias("h"))
+    row_key = F.xxhash64(F.col(id_col), F.col(url_col), html).alias("row_key")
+    # The hashes are few bytes and used three times; the texts are parsed out
+    # once more, rather than kept on disk beside the shuffle.
+    marked = keep_table(
+        pages.select(host_of(F.col(url_col)).alias("host"), row_key, html.alias("html"))
+        .mapInArrow(_mark_pages, MARKED), "page-marks")
+    parsed = (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
+                           row_key, html.alias("html"))
+              .mapInArrow(_parse_pages, PARSED))
+    marks = marked.select("host", "row_key", F.posexplode("around").alias("number", "h"))
+    votes = F.concat(
+        F.transform(F.array_except("around", F.col("others")["h"]),
+                    lambda h: F.struct(h.alias("h"), F.col("content").alias("content"))),
+        F.filter("others", lambda x: x["content"].isNotNull()))
     # Distinct contents first, so that a hot host's subtree is one row per
     # content and task before it is counted.
-    seen = (parsed.select("host", F.inline("votes")).distinct()
+    seen = (marked.select("host", F.inline(votes)).distinct()
             .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_pages")))
-    hosts = (parsed.select("host", "content").distinct()
+    hosts = (marked.select("host", "content").distinct()
              .groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")))
     enough = F.least(F.col("host_pages") * min_share, F.lit(float(max_pages)))
     template = (seen.filter(F.col("n_pages") >= min_pages).join(hosts, "host")
                 .filter(F.col("n_pages") >= enough).select("host", "h"))
-    found = (marks.select("host", "h", "row_key").join(template, ["host", "h"])
-             .groupBy("row_key").agg(F.collect_set("h").alias("template")))
-    known = F.coalesce("template", F.array().cast("array<long>"))
+    found = (marks.join(template, ["host", "h"])
+             .groupBy("row_key").agg(F.collect_set("number").alias("template")))
+    known = F.coalesce("template", F.array().cast("array<int>"))
     hit = lambda b: F.arrays_overlap(b["around"], F.col("known"))
-    judged = (parsed.select("page_id", "url", "row_key", "blocks").join(found, "row_key", "left")
-              .withColumn("known", known))
+    judged = parsed.join(found, "row_key", "left").withColumn("known", known)
     kept = F.filter("blocks", lambda b: ~b["rule"] & ~hit(b))
     return (judged.select(
         "page_id", "url", F.array_join(F.transform(kept, lambda b: b["text"]), "\n").alias("text"),

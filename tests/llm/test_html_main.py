@@ -93,3 +93,23 @@ def test_article_nested_in_main(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_few_pages_are_held_at_once(spark):
+    import pyarrow as pa
+    n = 3 * H.PAGES_PER_STEP + 1
+    html = [f"<main><p>t {i}</p><div><p>x</p></div></main>" for i in range(n)]
+    keys = pa.array(range(n), pa.int64())
+    texts = pa.array(["u"] * n)
+    parsed = [b.num_rows for b in H._parse_pages(iter([pa.RecordBatch.from_arrays(
+        [keys, texts, keys, pa.array(html)], names=["page_id", "url", "row_key", "html"])]))]
+    marked = [b.num_rows for b in H._mark_pages(iter([pa.RecordBatch.from_arrays(
+        [texts, keys, pa.array(html)], names=["host", "row_key", "html"])]))]
+    assert parsed == marked == [H.PAGES_PER_STEP] * 3 + [1]
+
+
+def test_texts_are_parsed_once(spark, capsys):
+    df = spark.createDataFrame([(1, "http://a/1", "<p>x</p>")], "page_id long, url string, html string")
+    H.main_text(df).explain()
+    # Beside the hashes' own pass, which is kept, one pass over the pages.
+    assert capsys.readouterr().out.count("_parse_pages") == 1
