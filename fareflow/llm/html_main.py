@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import keep_table
+from fareflow.llm.common import few_rows, keep_table
 
 MIN_PAGES = 5
 MIN_SHARE = 0.002
@@ -341,13 +341,6 @@ PARSED = ("page_id long, url string, row_key long, "
           "blocks array<struct<text:string,around:array<int>,rule:boolean>>")
 
 
-def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A few pages at a time, so that few trees and texts are held at once."""
-    for b in batches:
-        for at in range(0, b.num_rows, PAGES_PER_STEP):
-            yield b.slice(at, PAGES_PER_STEP)
-
-
 def _numbers(blocks: list[tuple[str, list[int], bool]]) -> dict[int, int]:
     """The distinct hashes around a page's blocks, numbered as they come."""
     return {h: i for i, h in enumerate(dict.fromkeys(h for _, a, _ in blocks for h in a))}
@@ -356,7 +349,7 @@ def _numbers(blocks: list[tuple[str, list[int], bool]]) -> dict[int, int]:
 def _mark_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per page its content hash, the hashes around its blocks, and what else these count by."""
     other = pa.list_(pa.struct([("h", pa.int64()), ("content", pa.int64())]))
-    for b in _steps(batches):
+    for b in few_rows(batches, PAGES_PER_STEP):
         content, around, others = [], [], []
         for html in b.column(2).to_pylist():
             c, blocks, rests = page_blocks(html)
@@ -374,7 +367,7 @@ def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per page its blocks, each with the numbers of the hashes around it."""
     kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int32())),
                                ("rule", pa.bool_())]))
-    for b in _steps(batches):
+    for b in few_rows(batches, PAGES_PER_STEP):
         rows = []
         for html in b.column(3).to_pylist():
             _, blocks, _ = page_blocks(html)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import keep_table, unpacked, whole_row
+from fareflow.llm.common import few_rows, giving_back, keep_table, unpacked, whole_row
 from fareflow.llm.components import connected_components
 
 WORDS = 5
@@ -44,6 +44,7 @@ MAX_HASHES = 160
 BLOCK = 512
 # Texts are hashed together up to this many bytes at a time.
 BATCH_BYTES = 1_000_000
+TEXTS_PER_STEP = 500
 
 _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -138,20 +139,18 @@ SIGNED = "row_id long, node long, n_grams int, bands array<long>"
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(1).to_pylist()
+        for b in few_rows(batches, TEXTS_PER_STEP):
             node, size, band = [], [], []
             ids = b.column(0)
-            for at in range(0, len(texts), 1000):
-                for i, g in enumerate(gram_sets(texts[at:at + 1000]), at):
-                    size.append(len(g))
-                    if len(g) and ids[i].is_valid:
-                        x = xxhash.xxh3_64_intdigest(g.tobytes())
-                        node.append(x - (1 << 64) if x >> 63 else x)
-                        band.append(band_hashes(g, bands, rows))
-                    else:
-                        node.append(None)
-                        band.append(None)
+            for i, g in enumerate(gram_sets(b.column(1).to_pylist())):
+                size.append(len(g))
+                if len(g) and ids[i].is_valid:
+                    x = xxhash.xxh3_64_intdigest(g.tobytes())
+                    node.append(x - (1 << 64) if x >> 63 else x)
+                    band.append(band_hashes(g, bands, rows))
+                else:
+                    node.append(None)
+                    band.append(None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(node, pa.int64()), pa.array(size, pa.int32()),
                  pa.array(band, pa.list_(pa.int64()))],
@@ -267,7 +266,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     paired = (grams.withColumn("k", k)
               .withColumn("p", F.least("block", "k")).withColumn("q", F.greatest("block", "k"))
               .select("root", "p", "q", "block", "node", "copies", "grams"))
-    found = keep_table(paired.groupBy("root", "p", "q").applyInPandas(_verify(similarity), LINKED),
+    found = keep_table(paired.groupBy("root", "p", "q").applyInPandas(
+        giving_back(_verify(similarity)), LINKED),
                        "links")
     classes = connected_components(found.select(F.col("node").alias("a"),
                                                 F.col("towards").alias("b")))
@@ -293,7 +293,7 @@ def _sets_of(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) ->
               .select("root", "n_blocks", "block", "node", "copies", "__t"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few_rows(batches, TEXTS_PER_STEP):
             keep, found = [], []
             for i, g in enumerate(gram_sets(b.column(5).to_pylist())):
                 x = xxhash.xxh3_64_intdigest(g.tobytes())

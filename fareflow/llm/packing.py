@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import keep_table
+from fareflow.llm.common import few_rows, keep_table
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", part long, bin long, bin_fill long, offset long"
 CAPACITY = 4096
 END_ID = 1
 ROWS_PER_PARTITION = 16_384
+TEXTS_PER_STEP = 500
 # Bins of equal fill are told apart by this many hash values.
 _TIES = 256
 # Words kept per worker.
@@ -124,15 +125,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     step = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        for b in few_rows(batches, TEXTS_PER_STEP):
             out: list[tuple] = []
-            for at in range(0, len(ids), 500):
-                coded = encode_ids(tokenizer_path, texts[at:at + 500])
-                for d, raw in zip(ids[at:at + 500], coded, strict=True):
-                    raw += end
-                    out += [(d, k, k * capacity, len(x) // 4, zlib.crc32(x))
-                            for k, x in enumerate(raw[s:s + step] for s in range(0, len(raw), step))]
+            coded = encode_ids(tokenizer_path, b.column(1).to_pylist())
+            for d, raw in zip(b.column(0).to_pylist(), coded, strict=True):
+                raw += end
+                out += [(d, k, k * capacity, len(x) // 4, zlib.crc32(x))
+                        for k, x in enumerate(raw[s:s + step] for s in range(0, len(raw), step))]
             cols = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(),

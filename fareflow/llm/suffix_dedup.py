@@ -49,6 +49,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fareflow.llm.common import few_rows, giving_back
+
 LENGTH = 50
 GRAM = 20
 # Text bytes per chunk and per bucket's share; sizes tasks, nothing else.
@@ -56,6 +58,8 @@ CHUNK_BYTES = 8_000_000
 BUFFER_BYTES = 1_000_000
 SHALLOW_CHARS = 3
 SORT_ROWS = 200_000
+CHAR_ROWS = 5_000
+TEXTS_PER_STEP = 2_000
 
 _rng = np.random.default_rng(77)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -226,9 +230,14 @@ def deep_shallow(chars: np.ndarray, group: np.ndarray,
 def _chars(buf: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
     """Rows of ``width`` 8-byte big-endian characters, zero behind each size."""
     at = np.arange(width * 8)
-    idx = np.minimum(starts[:, None] + at[None, :], len(buf) - 1)
-    rows = np.where(at[None, :] < sizes[:, None], buf[idx], np.uint8(0))
-    return np.ascontiguousarray(rows).view(">u8").astype(np.uint64)
+    out = np.empty((len(starts), width), np.uint64)
+    # An index takes eight times the bytes it looks up, so few rows at a time have one.
+    for i in range(0, len(starts), CHAR_ROWS):
+        here = slice(i, i + CHAR_ROWS)
+        idx = np.minimum(starts[here, None] + at[None, :], len(buf) - 1)
+        rows = np.where(at[None, :] < sizes[here, None], buf[idx], np.uint8(0))
+        out[here] = rows.view(">u8")
+    return out
 
 
 def _class_min(doc: np.ndarray, order: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,29 +295,35 @@ def _raws(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
 
 
+def _reduce_anchors(b: pa.RecordBatch, length: int, parts: list[tuple]) -> None:
+    """Add the hash, kind and chunk of the anchors of some texts to ``parts``."""
+    chunk = b.column(0).to_numpy(zero_copy_only=False)
+    ids, raws = b.column(1).to_numpy(zero_copy_only=False), _raws(b.column(2).to_pylist())
+    for s, e in batches_of(raws):
+        doc, _, _, h = segments(raws[s:e], length)
+        if not len(h):
+            continue
+        by = np.lexsort((ids[s:e][doc], h))
+        h, doc = h[by], doc[by] + s
+        one = np.append(True, h[1:] != h[:-1])
+        cls = np.cumsum(one) - 1
+        first = np.flatnonzero(one)
+        top = np.maximum.reduceat(ids[doc], first)
+        multi = (top != ids[doc[first]])
+        # One entry per hash; each chunk that holds a recurring one is told.
+        kind = multi.astype(np.int8)
+        parts.append((h[first], kind, chunk[doc[first]]))
+        again = multi[cls]
+        tell = np.unique(np.stack([h[again], chunk[doc[again]].astype(np.uint64)]), axis=1)
+        parts.append((tell[0], np.full(tell.shape[1], 2, np.int8), tell[1].astype(np.int32)))
+
+
 def _send_anchors(buckets: int, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            chunk = b.column(0).to_numpy(zero_copy_only=False)
-            ids, raws = b.column(1).to_numpy(zero_copy_only=False), _raws(b.column(2).to_pylist())
             parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for s, e in batches_of(raws):
-                doc, _, _, h = segments(raws[s:e], length)
-                if not len(h):
-                    continue
-                by = np.lexsort((ids[s:e][doc], h))
-                h, doc = h[by], doc[by] + s
-                one = np.append(True, h[1:] != h[:-1])
-                cls = np.cumsum(one) - 1
-                first = np.flatnonzero(one)
-                top = np.maximum.reduceat(ids[doc], first)
-                multi = (top != ids[doc[first]])
-                # One entry per hash; each chunk that holds a recurring one is told.
-                kind = np.where(multi, 1, 0)
-                parts.append((h[first], kind, chunk[doc[first]]))
-                again = multi[cls]
-                tell = np.unique(np.stack([h[again], chunk[doc[again]].astype(np.uint64)]), axis=1)
-                parts.append((tell[0], np.full(tell.shape[1], 2), tell[1].astype(np.int64)))
+            for few in few_rows([b], TEXTS_PER_STEP):
+                _reduce_anchors(few, length, parts)
             if not parts:
                 continue
             h, kind, to = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -559,15 +574,15 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        .alias("row")) if with_text else base
     sent = base.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).mapInArrow(
         _send_anchors(n, length), ANCHORS)
-    told = sent.groupBy("bucket").applyInPandas(_recurring, TOLD)
+    told = sent.groupBy("bucket").applyInPandas(giving_back(_recurring), TOLD)
     found = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
-        _cut_segments(n, length), FOUND)
-    spans = found.groupBy("bucket").applyInPandas(_compare(length), SPANS)
+        giving_back(_cut_segments(n, length)), FOUND)
+    spans = found.groupBy("bucket").applyInPandas(giving_back(_compare(length)), SPANS)
     out = T.StructType([T.StructField("doc_id", T.LongType()),
                         *([rows.schema["row"]] if with_text else []),
                         *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")),
                         T.StructField("kept_sha256", T.StringType()),
                         T.StructField("kept_text", T.StringType())])
     done = rows.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInPandas(
-        _apply(with_text), out)
+        giving_back(_apply(with_text)), out)
     return done if with_text else done.drop("kept_text")

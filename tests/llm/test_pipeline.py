@@ -111,3 +111,11 @@ def test_stages_keep_columns_with_any_name(spark):
         for r in got.values():
             assert [r[n] for n in names] == names
         assert got[1]["n_chars"] == len(got[1]["text"])
+
+
+def test_few_rows_cuts_batches_in_order():
+    import pyarrow as pa
+    from fareflow.llm.common import few_rows
+    b = pa.RecordBatch.from_arrays([pa.array(range(11))], names=["x"])
+    got = [x.column(0).to_pylist() for x in few_rows(iter([b, b.slice(0, 0), b.slice(9)]), 4)]
+    assert got == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9, 10], [9, 10]]

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -100,3 +101,17 @@ def test_blind_trie():
         got = S.blind_trie_order(s)
         assert [s[c[0]] for c in got] == sorted(set(s))
         assert all(len({s[i] for i in c}) == 1 for c in got) and sum(map(len, got)) == len(s)
+
+
+def test_characters_need_little_room():
+    rng = np.random.default_rng(3)
+    buf = rng.integers(97, 99, 300_000, dtype=np.uint8)
+    starts, sizes = np.arange(0, 200_000, 2), rng.integers(1, 81, 100_000)
+    tracemalloc.start()
+    got = S._chars(buf, starts, sizes, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * got.nbytes
+    for i in (0, 4_999, 5_000, 99_999):
+        text = buf[starts[i]:starts[i] + sizes[i]].tobytes().ljust(80, b"\0")
+        assert got[i].astype(">u8").tobytes() == text
