@@ -46,9 +46,13 @@ SAMPLES = 3
 SHARPNESS = 0.5
 CACHE_UNITS = 300_000
 # Places of known words kept by a worker.
-CACHE_PLACES = 1_000_000
+CACHE_PLACES = 2_500_000
+# Weights of longer words are summed as logarithms.
+LINEAR_CHARS = 100
+# No variate's Gumbel value differs from another's by more (53 bits).
+_SPREAD = 42.0
 # Words handled together by the vectorised search.
-BATCH_WORDS = 12_000
+BATCH_WORDS = 25_000
 MARK = "▁"
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -71,6 +75,19 @@ class _Grown:
         self.all = self.room[:n]
 
 
+class _Words(dict):
+    """Units of words, by the word without its first mark; a new word gets the next number."""
+
+    def __init__(self, lat: Lattice):
+        super().__init__()
+        self.lat = lat
+
+    def __missing__(self, word: str) -> int:
+        self[word] = unit = self.lat.size + len(self)
+        self.lat.new.append(MARK + word)
+        return unit
+
+
 class _Coded:
     """Arcs as little-endian bytes of their piece."""
 
@@ -105,6 +122,8 @@ class Lattice:
         self.weight = dict(zip(order, -np.log(np.arange(2, len(order) + 2)), strict=True))
         self.units: dict[str, bytes] = {}
         self.size = size
+        self.spelled = np.array(self.surface, object)
+        self.n_bytes = np.array([len(x) for x in self.surface], np.int64)
         self._arcs = _Coded(self)
         self._tree()
         self._clear()
@@ -126,13 +145,52 @@ class Lattice:
                 self.alone[ord(text)] = True
         steps = sorted((n << 16 | c, to) for (n, c), to in below.items())
         self.step, self.below = np.array(steps, np.int64).T.copy()
+        self._table()
         self.node_piece = np.full(len(below) + 1, -1, np.int64)
         self.node_piece[list(piece)] = list(piece.values())
         self.log_weight = np.zeros(self.size)
         self.log_weight[list(self.weight)] = [self.sharpness * w for w in self.weight.values()]
+        self.linear_weight = np.exp(self.log_weight)
+        self.inner = np.zeros(len(below) + 1, bool)
+        self.inner[self.step >> 16] = True
+        # The node of each character alone; code 0 has none.
+        self.head = self._down(np.zeros(int(self.code.max()) + 1, np.int64), np.arange(int(self.code.max()) + 1))
+
+    def _table(self) -> None:
+        """The steps of the tree again, by a hash of their key with linear probing."""
+        self.bits = max(4, int(2 * len(self.step)).bit_length())
+        self.slot_key = np.full(1 << self.bits, -1, np.int64)
+        self.slot_to = np.full(1 << self.bits, -1, np.int64)
+        slot, left = self._slot(self.step), np.arange(len(self.step))
+        while len(left):
+            at, key = slot[left], self.step[left]
+            free = self.slot_key[at] < 0
+            self.slot_key[at[free]] = key[free]
+            put = self.slot_key[at] == key
+            self.slot_to[at[put]] = self.below[left[put]]
+            left = left[~put]
+            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _down(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The node below each node by a character's code; -1: none."""
+        key = node << 16 | code
+        at = self._slot(key)
+        seen = self.slot_key[at]
+        out = np.where(seen == key, self.slot_to[at], -1)
+        far = np.flatnonzero((seen != key) & (seen >= 0))
+        while len(far):
+            at[far] = (at[far] + 1) & ((1 << self.bits) - 1)
+            seen = self.slot_key[at[far]]
+            hit = seen == key[far]
+            out[far[hit]] = self.slot_to[at[far[hit]]]
+            far = far[~hit & (seen >= 0)]
+        return out
 
     def _clear(self) -> None:
-        self.words_: dict[str, int] = {}
+        self.words_ = _Words(self)
         self.new: list[str] = []  # words with a number, not built yet
         # Per unit: its first place (-1: not built) and the number of its places.
         self._root, self._places = _Grown(np.int64), _Grown(np.int64)
@@ -143,11 +201,45 @@ class Lattice:
         # Per arc: log-probability, upper end among its place's arcs, places, piece.
         self._logp, self._upto = _Grown(np.float64), _Grown(np.float64)
         self._from, self._to, self._piece = _Grown(np.int32), _Grown(np.int32), _Grown(np.int32)
+        self._then = _Grown(np.int32)  # first arc of the place it leads to (-1: the end)
+        self._uses = _Grown(np.int32)  # per unit
+        self._uses.add(np.zeros(self.size))
 
     def trim(self) -> None:
-        """Forget all words once too many places are kept (between batches)."""
-        if len(self._begin.all) > CACHE_PLACES:
-            self._clear()
+        """Once too many places are kept, forget words met once or seldom (between batches)."""
+        if len(self._begin.all) <= CACHE_PLACES:
+            return
+        root, places, uses = self._root.all[self.size:], self._places.all[self.size:], self._uses.all[self.size:]
+        uses = np.minimum(uses, 255)
+        by_uses = np.cumsum(np.bincount(uses, places, 256)[::-1])[::-1]
+        least = max(2, int(np.searchsorted(-by_uses, -CACHE_PLACES / 2)))
+        kept = np.flatnonzero(uses >= least)
+        words = list(self.words_)
+        old = {x: getattr(self, x).all for x in ("_begin", "_n_arcs", "_logp", "_upto", "_from", "_to", "_then",
+                                                 "_piece")}
+        self._clear()
+        size = places[kept].astype(np.int64)
+        ends = np.cumsum(size)
+        # Places of kept words in their new order, arcs in the old one.
+        place = np.repeat(root[kept] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        to_place = np.full(len(old["_begin"]), -1, np.int64)
+        to_place[place] = np.arange(len(place))
+        arc = np.flatnonzero(to_place[old["_from"]] >= 0)
+        to_arc = np.full(len(old["_from"]) + 1, -1, np.int64)  # -1 stays -1
+        to_arc[arc] = np.arange(len(arc))
+        n_arcs = old["_n_arcs"][place]
+        self._begin.add(np.where(n_arcs > 0, to_arc[np.where(n_arcs > 0, old["_begin"][place], -1)], 0))
+        self._n_arcs.add(n_arcs)
+        for x in ("_logp", "_upto", "_piece"):
+            getattr(self, x).add(old[x][arc])
+        self._from.add(to_place[old["_from"][arc]])
+        self._to.add(to_place[old["_to"][arc]])
+        self._then.add(to_arc[old["_then"][arc]])
+        for i in kept.tolist():
+            self.words_[words[i]] = self.size + len(self.words_)
+        self._root.add(ends - size)
+        self._places.add(size)
+        self._uses.add(uses[kept] // 2)
 
     def arcs_of(self, cell: int) -> list[tuple[list[int], float]]:
         """Every spelling of a piece with its normalised log-probability, one by one.
@@ -191,10 +283,9 @@ class Lattice:
         for depth in range(1, self.longest + 1):
             inside = left[here] >= depth
             here, node = here[inside], node[inside]
-            key = node << 16 | code[here + depth - 1]
-            i = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
-            ok = self.step[i] == key
-            here, node = here[ok], self.below[i[ok]]
+            node = self._down(node, code[here + depth - 1])
+            ok = node >= 0
+            here, node = here[ok], node[ok]
             if not len(here):
                 break
             ends_here = self.node_piece[node] >= 0
@@ -243,6 +334,80 @@ class Lattice:
         self._add(root, places, frm[order], to[order], piece[order], lp[order])
         return root + self._base, places
 
+    def _build_new(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_build`` of new words: plain ones (no bytes, not long) by ``_build_plain``."""
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+        size = np.array(list(map(len, texts)), np.int64)
+        odd = size > LINEAR_CHARS
+        odd[np.repeat(np.arange(len(texts)), size)[~self.alone[chars]]] = True
+        root, places = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
+        if odd.any():
+            at = np.flatnonzero(odd)
+            root[at], places[at] = self._build([texts[i] for i in at.tolist()])
+        if not odd.all():
+            root[~odd], places[~odd] = self._build_plain(chars[~np.repeat(odd, size)], size[~odd])
+        return root, places
+
+    def _build_plain(self, chars: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``_build`` of words whose characters all have a piece.
+
+        Nodes are numbered by their distance from the word's end, ends first,
+        so the backward sums run over slices and arcs need no sorting."""
+        n, places = len(size), size + 1
+        ends = np.cumsum(places)
+        root = ends - places
+        order = np.argsort((LINEAR_CHARS - size).astype(np.uint8), kind="stable")  # long words first
+        long_ = int(size[order[0]])
+        wide = n - np.concatenate([[0], np.cumsum(np.bincount(size, minlength=long_ + 1))])[:long_ + 1]
+        off = np.concatenate([[0], np.cumsum(wide)])
+        left = np.repeat(np.arange(long_ + 1), wide)
+        word = order[np.arange(off[-1]) - off[left]]
+        place = ends[word] - 1 - left
+        after = np.arange(off[-1]) - np.concatenate([[0], wide])[left]  # the next node; ends have none
+        char = (np.cumsum(size)[word] - left)[n:]
+        code = np.zeros(off[-1], np.int64)
+        code[n:] = self.code[chars[char]]
+        # Down the tree from every node at once: an arc wherever a piece ends.
+        here, node, found = np.arange(n, off[-1]), self.head[code[n:]], []
+        at = after[here]
+        while len(here):
+            piece = self.node_piece[node]
+            end = np.flatnonzero(piece >= 0)
+            found.append((here[end], at[end], piece[end]))
+            inside = np.flatnonzero((at >= n) & self.inner[node])
+            here, at = here[inside], at[inside]
+            node = self._down(node[inside], code[at])
+            ok = np.flatnonzero(node >= 0)
+            here, at, node = here[ok], after[at[ok]], node[ok]
+        many = np.zeros(off[-1], np.int64)
+        for h, _, _ in found:
+            many[h] += 1
+        past = np.cumsum(many)
+        first = past - many
+        to, piece, free = np.empty(past[-1], np.int64), np.empty(past[-1], np.int64), first.copy()
+        for h, t, p in reversed(found):  # long pieces first: most draws end at the first arc
+            i = free[h]
+            to[i], piece[i] = t, p
+            free[h] = i + 1
+        frm = np.repeat(np.arange(off[-1]), many)
+        total, mass = np.ones(off[-1]), self.linear_weight[piece]
+        for lo, hi in zip(off[1:-1].tolist(), off[2:].tolist(), strict=True):
+            part = slice(first[lo], past[hi - 1])
+            mass[part] *= total[to[part]]
+            total[lo:hi] = np.add.reduceat(mass[part], first[lo:hi] - first[lo])
+        mass /= total[frm]
+        upto = np.cumsum(mass)
+        upto -= np.concatenate([[0.0], upto])[first[frm]]
+        upto[past[n:] - 1] = np.inf
+        base, arcs = len(self._begin.all), len(self._logp.all)
+        begin, n_arcs = np.empty(ends[-1], np.int64), np.empty(ends[-1], np.int64)
+        begin[place], n_arcs[place] = arcs + first, many
+        for grown, x in ((self._begin, begin), (self._n_arcs, n_arcs), (self._logp, np.minimum(np.log(mass), 0.0)),
+                         (self._upto, upto), (self._from, place[frm] + base), (self._to, place[to] + base),
+                         (self._then, np.where(to < n, -1, arcs + first[to])), (self._piece, piece)):
+            grown.add(x)
+        return root + base, places
+
     def _in_bytes(self, char: int) -> list[int]:
         ids = [self.sp.piece_to_id(f"<0x{x:02X}>") for x in chr(char).encode()]
         return [self.sp.unk_id()] if any(map(self.sp.is_unknown, ids)) else ids
@@ -258,16 +423,18 @@ class Lattice:
         upto[ends[n > 0] - 1] = np.inf
         for grown, x in ((self._begin, arcs + ends - n), (self._n_arcs, n), (self._logp, lp),
                          (self._upto, upto), (self._from, frm + self._base), (self._to, to + self._base),
-                         (self._piece, piece)):
+                         (self._then, np.where(n[to] > 0, (arcs + ends - n)[to], -1)), (self._piece, piece)):
             grown.add(x)
 
     def need(self, units: np.ndarray) -> None:
         """Build the new words, and the pieces among the units not met before."""
         if self.new:
-            root, places = self._build(self.new)
+            root, places = self._build_new(self.new)
             self._root.add(root)
             self._places.add(places)
+            self._uses.add(np.zeros(len(root)))
             self.new = []
+        self._uses.all[:] += np.bincount(units, minlength=len(self._uses.all)).astype(np.int32)
         cells = units[units < self.size]
         cells = np.unique(cells[self._root.all[cells] < 0])
         plain = np.array([self.pieces[c] in self.ids for c in cells.tolist()], bool)
@@ -283,16 +450,17 @@ class Lattice:
         self.begin, self.n_arcs = self._begin.all, self._n_arcs.all
         self.logp, self.upto = self._logp.all, self._upto.all
         self.place, self.next, self.piece = self._from.all, self._to.all, self._piece.all
+        self.then = self._then.all
 
     def words(self, text: str | None) -> np.ndarray:
         """The words of a text as units."""
-        found = _UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
-        known = self.words_
-        for w in dict.fromkeys(found):
-            if w not in known:
-                known[w] = self.size + len(known)
-                self.new.append(w)
-        return np.array([known[w] for w in found], np.int64)
+        if not text:
+            return np.zeros(0, np.int64)
+        if text[0] == " " or "  " in text or MARK in text:
+            found = [w[1:] for w in _UNIT.findall(MARK + text.replace(" ", MARK))]
+        else:
+            found = text.split(" ")
+        return np.fromiter(map(self.words_.__getitem__, found), np.int64, len(found))
 
     def cells(self, texts: list[str | None]) -> list[np.ndarray]:
         """The model's own segmentation of each text, word by word.
@@ -333,14 +501,36 @@ def lattice(path: str, sharpness: float = SHARPNESS) -> Lattice:
     return _lattices[path, sharpness]
 
 
+_PLACE = np.uint64(0xD1B54A32D192ED03)
+
+
+def _salted(key: np.ndarray, salt: int, at: np.ndarray) -> np.ndarray:
+    return key + np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1) + at * _PLACE
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Variates in (0, 1) from salted keys, which are overwritten."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(11)
+    out = x.astype(np.float64)
+    out += 0.5
+    out *= 2.0 ** -53
+    return out
+
+
 def _uniform(key: np.ndarray, salt: int, at: np.ndarray) -> np.ndarray:
     """Variates in (0, 1) from a hash of (row key, salt, cell)."""
-    x = key + np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1) + at * np.uint64(
-        0xD1B54A32D192ED03)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+    return _mixed(_salted(key, salt, at))
+
+
+def _leaving(before: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Log-probability of what leaves a path at a step of log-probability ``x``."""
+    with np.errstate(divide="ignore"):
+        return before + np.log(-np.expm1(np.minimum(x, -1e-300)))
 
 
 def _truncated(phi: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -356,12 +546,28 @@ class _Path:
 
     def __init__(self, search: _Search, unit: np.ndarray, arc: np.ndarray):
         self.unit, self.arc = unit, arc
-        self.place = search.lat.place[arc]
-        self.doc = search.doc[unit]
-        self.size = np.bincount(self.doc, minlength=search.n)
+        self.size = np.bincount(search.doc[unit], minlength=search.n)
         self.start = np.cumsum(self.size) - self.size
 
 
+class _Branches:
+    """Perturbed values of what leaves a path: steps in order of their text."""
+
+    def __init__(self, n: int, doc: np.ndarray, step: np.ndarray, value: np.ndarray):
+        self.n, self.doc, self.step, self.value = n, doc, step, value
+        self.first = np.flatnonzero(np.diff(doc, prepend=-1))
+
+    def best(self) -> tuple[np.ndarray, np.ndarray]:
+        """Number and value of each text's largest branch (-1 and -inf without any)."""
+        at, top = np.full(self.n, -1, np.int64), np.full(self.n, -np.inf)
+        if len(self.doc):
+            d = self.doc[self.first]
+            top[d] = np.maximum.reduceat(self.value, self.first)
+            hit = np.flatnonzero(self.value == top[self.doc])[::-1]
+            at[self.doc[hit]] = hit  # the first of equals stays
+        return at, top
+
+
 class _Search:
     """Best-first search over several texts at once (one row of units each)."""
 
@@ -382,103 +588,128 @@ class _Search:
 
     def fresh(self, units: np.ndarray, places: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
         """Independent steps from a place of each unit to its end: units and arcs, in order."""
-        lat, us, arcs = self.lat, [], []
+        lat, steps, walked = self.lat, [], units
+        key = _salted(self.key[units], 4 * salt, self.shift[units].astype(np.uint64))
+        row, size = np.arange(len(units)), np.zeros(len(units), np.int64)
+        j = np.where(lat.n_arcs[places] > 0, lat.begin[places], -1)
         while True:
-            open_ = lat.n_arcs[places] > 0
+            open_ = j >= 0
             if not open_.all():
-                units, places = units[open_], places[open_]
-            if not len(units):
+                open_ = np.flatnonzero(open_)
+                row, places, key, j = row[open_], places[open_], key[open_], j[open_]
+            if not len(row):
                 break
-            j = lat.begin[places].astype(np.int64)
-            many = np.flatnonzero(lat.n_arcs[places] > 1)
-            w, p = units[many], places[many]
-            x = _uniform(self.key[w], 4 * salt, (self.shift[w] + p).astype(np.uint64))
-            pick = j[many]
-            late = np.flatnonzero(x > lat.upto[pick])
+            j = j.astype(np.int64)
+            x = _mixed(key + places.astype(np.uint64) * _PLACE)
+            late = np.flatnonzero(x > lat.upto.take(j))
             while len(late):
-                pick[late] += 1
-                late = late[x[late] > lat.upto[pick[late]]]
-            j[many] = pick
-            us.append(units)
-            arcs.append(j)
-            places = lat.next[j]
-        if not us:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        u, a = np.concatenate(us), np.concatenate(arcs)
-        order = np.argsort(u, kind="stable")
-        return u[order], a[order]
-
-    def branches(self, path: _Path, value: np.ndarray, after: np.ndarray, salt: int) -> np.ndarray:
-        """Perturbed values of what leaves ``path`` at each step after ``after``."""
-        lp = self.lat.logp[path.arc]
-        out = np.full(len(lp), -np.inf)
-        at = np.arange(len(lp)) - path.start[path.doc]
-        spots = np.flatnonzero((self.lat.n_arcs[path.place] > 1) & (at > after[path.doc]))
-        if len(spots):
-            d, x = path.doc[spots], lp[spots]
-            before = np.cumsum(lp) - lp
-            before = before[spots] - before[path.start[d]]
-            with np.errstate(divide="ignore"):
-                phi = before + np.log(-np.expm1(np.minimum(x, -1e-300)))
-            number = self.shift[path.unit[spots]] + path.place[spots]
+                i = j[late] + 1
+                j[late] = i
+                late = late[x[late] > lat.upto.take(i)]
+            size[row] += 1
+            steps.append((row, j))
+            places, j = lat.next.take(j), lat.then.take(j)
+        start = np.cumsum(size) - size
+        arcs = np.empty(int(size.sum()), np.int64)
+        for s, (row, j) in enumerate(steps):
+            arcs[start[row] + s] = j
+        return np.repeat(walked, size), arcs
+
+    def branches(self, path: _Path, value: np.ndarray, after: np.ndarray, prefix: np.ndarray,
+                 salt: int) -> _Branches:
+        """What leaves ``path`` at each step after ``after`` (``prefix``: log-probability up to there).
+
+        Probabilities fall along a path, and Gumbel values differ by less than
+        ``_SPREAD``, so steps far less likely than the first ``k`` with a choice
+        cannot be among the ``k`` largest: a text is read as far as needed."""
+        lat, reach, found = self.lat, 256, []
+        begin = after + 1
+        docs = np.flatnonzero(path.size > begin)
+        while len(docs):
+            many = np.minimum(path.size[docs] - begin[docs], reach)
+            ends = np.cumsum(many)
+            row = np.repeat(np.arange(len(docs)), many)
+            step = np.arange(len(row)) - (ends - many)[row] + begin[docs][row]
+            arc = path.arc[path.start[docs][row] + step]
+            x = lat.logp[arc]
+            sums = np.concatenate([[0.0], np.cumsum(x)])
+            before = sums[:-1] - sums[ends - many][row] + prefix[docs][row]
+            # The least likely of the first k choices, if they come early.
+            early = np.flatnonzero(step - begin[docs][row] < 4 * self.k + 16)
+            early = early[lat.n_arcs[lat.place[arc[early]]] > 1]
+            r = row[early]
+            n_early = np.bincount(r, minlength=len(docs))
+            early = early[np.arange(len(r)) - (np.cumsum(n_early) - n_early)[r] < self.k]
+            low = np.full(len(docs), np.inf)
+            np.minimum.at(low, row[early], _leaving(before[early], x[early]))
+            low = np.where(n_early >= self.k, low, -np.inf) - _SPREAD
+            whole = (many == path.size[docs] - begin[docs]) | (before[ends - 1] + x[ends - 1] < low)
+            spots = np.flatnonzero((before >= low[row]) & whole[row])
+            place = lat.place[arc[spots]]
+            choice = lat.n_arcs[place] > 1
+            spots, place = spots[choice], place[choice]
+            d, phi = docs[row[spots]], _leaving(before[spots], x[spots])
+            number = self.shift[path.unit[path.start[d] + step[spots]]] + place
             u = _uniform(self.keys[d], 4 * salt + 2, number.astype(np.uint64))
-            out[spots] = _truncated(phi, value[d], u)
-        return out
-
-    def best(self, path: _Path, g: np.ndarray) -> np.ndarray:
-        """Flat position of each row's largest value (-1 for rows without steps)."""
-        out = np.full(self.n, -1, np.int64)
-        rows = np.flatnonzero(path.size)
-        if len(rows):
-            top = np.maximum.reduceat(g, path.start[rows])
-            hit = np.flatnonzero(g == np.repeat(top, path.size[rows]))
-            r, i = np.unique(path.doc[hit], return_index=True)
-            out[r] = hit[i]
-        return out
-
-    def run(self) -> list[list[tuple[np.ndarray, float, float]]]:
-        """Per text: ``(arcs, log-probability, perturbed value)``, best first; then the bound."""
+            found.append((d, step[spots], _truncated(phi, value[d], u)))
+            docs, reach = docs[~whole], reach * 4
+        d, step, v = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (
+            np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        order = np.argsort(d, kind="stable")
+        return _Branches(self.n, d[order], step[order], v[order])
+
+    def paths(self) -> list[tuple[_Path, np.ndarray, np.ndarray]]:
+        """Path, perturbed value and existence per text, best first; sets ``bound``."""
         lat, none = self.lat, np.zeros(self.n, np.uint64)
         units = np.arange(len(self.root))
         g = -np.log(-np.log(_uniform(self.keys, 3, none)))
-        paths = [_Path(self, *self.fresh(units, self.root, 0))]
-        values, alive = [g], [np.ones(self.n, bool)]
-        vals = [self.branches(paths[0], g, np.full(self.n, -1), 0)]
-        gone: dict[tuple[int, int], list[int]] = {}  # (parent, step) -> arcs already used there
+        path = _Path(self, *self.fresh(units, self.root, 0))
+        out = [(path, g, np.ones(self.n, bool))]
+        vals = [self.branches(path, g, np.full(self.n, -1), np.zeros(self.n), 0)]
+        gone: dict[tuple[int, int], list[int]] = {}  # (parent, branch) -> arcs already used there
         for s in range(1, self.k + 1):
-            spots = np.stack([self.best(p, v) for p, v in zip(paths, vals, strict=True)])
-            top = np.stack([np.where(x >= 0, v[np.maximum(x, 0)], -np.inf) if len(v) else
-                            np.full(self.n, -np.inf) for x, v in zip(spots, vals, strict=True)])
+            spots, top = (np.stack(x) for x in zip(*[v.best() for v in vals], strict=True))
             parent = np.argmax(top, axis=0)
             g = top[parent, np.arange(self.n)]
             if s == self.k:
                 break
             ok = np.isfinite(g)
-            after = np.full(self.n, -1)
+            docs = np.flatnonzero(ok)
+            after, prefix = np.full(self.n, -1), np.zeros(self.n)
             places, branch = self.root.copy(), np.full(self.n, len(units))
             heads: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for d in np.flatnonzero(ok).tolist():
+            picks = []
+            for d in docs.tolist():
                 p, c = int(parent[d]), int(spots[parent[d], d])
-                old = paths[p]
-                b, unit, place = int(old.start[d]), int(old.unit[c]), int(old.place[c])
-                used = gone.setdefault((p, c), [int(old.arc[c])])
+                old, at = out[p][0], int(vals[p].step[c])
+                b = int(old.start[d])
+                picks.append((d, p, c, at, b, int(old.unit[b + at]), int(lat.place[old.arc[b + at]])))
+            unit, place = np.array([x[5:] for x in picks], np.int64).reshape(-1, 2).T
+            number = self.shift[unit] + place
+            draw = _uniform(self.keys[docs], 4 * s + 3, number.astype(np.uint64))
+            left = np.full(len(docs), -np.inf)
+            for i, ((d, p, c, at, b, unit, place), u) in enumerate(zip(picks, draw.tolist(), strict=True)):
+                old = out[p][0]
+                used = gone.setdefault((p, c), [int(old.arc[b + at])])
                 lo, n = int(lat.begin[place]), int(lat.n_arcs[place])
                 lp = lat.logp[lo:lo + n].copy()
                 lp[[x - lo for x in used]] = -np.inf
                 mass = np.exp(lp - lp.max())
-                number = int(self.shift[unit]) + place
-                u = _uniform(self.keys[d:d + 1], 4 * s + 3, np.array([number], np.uint64))
-                a = int(min(np.searchsorted(np.cumsum(mass), u[0] * mass.sum(), "right"), n - 1))
-                prefix = float(lat.logp[old.arc[b:c]].sum())
+                a = int(min(np.searchsorted(np.cumsum(mass), u * mass.sum(), "right"), n - 1))
+                head = old.arc[b:b + at]
+                before = float(lat.logp[head].sum())
                 used.append(lo + a)
-                heads[d] = old.unit[b:c + 1], np.append(old.arc[b:c], lo + a)
-                branch[d], places[unit] = unit, lat.next[lo + a]
+                heads[d] = old.unit[b:b + at + 1], np.append(head, lo + a)
+                branch[d], places[unit], after[d] = unit, lat.next[lo + a], at
+                prefix[d] = before + float(lp[a])
                 # What is left at this step stays a branch of the parent.
                 lp[a] = -np.inf
-                left = prefix + np.logaddexp.reduce(lp) if len(used) < n else -np.inf
-                w = _uniform(self.keys[d:d + 1], 4 * s + 3, np.array([number + (1 << 40)], np.uint64))
-                vals[p][c] = _truncated(np.array([left]), g[d:d + 1], w)[0]
-                after[d] = c - b
+                if len(used) < n:
+                    left[i] = before + np.logaddexp.reduce(lp)
+            again = _truncated(left, g[docs], _uniform(
+                self.keys[docs], 4 * s + 3, (number + (1 << 40)).astype(np.uint64)))
+            for (_, p, c, *_), v in zip(picks, again.tolist(), strict=True):
+                vals[p].value[c] = v
             walked = np.flatnonzero(units >= branch[self.doc])
             unit, arc = self.fresh(walked, places[walked], s)
             cut = np.searchsorted(self.doc[unit], np.arange(self.n + 1))
@@ -487,19 +718,18 @@ class _Search:
                 us += [head, unit[cut[d]:cut[d + 1]]]
                 arcs += [steps, arc[cut[d]:cut[d + 1]]]
             path = _Path(self, np.concatenate(us), np.concatenate(arcs))
-            values.append(g)
-            alive.append(ok)
-            paths.append(path)
-            vals.append(self.branches(path, np.where(ok, g, 0.0), after, s))
+            out.append((path, g, ok))
+            vals.append(self.branches(path, np.where(ok, g, 0.0), after, prefix, s))
         self.bound = g
-        out = []
-        for d in range(self.n):
-            own = []
-            for p, v, ok in zip(paths, values, alive, strict=True):
-                if ok[d]:
-                    arcs = p.arc[p.start[d]:p.start[d] + p.size[d]]
-                    own.append((arcs, float(lat.logp[arcs].sum()), float(v[d])))
-            out.append(own)
+        return out
+
+    def run(self) -> list[list[tuple[np.ndarray, float, float]]]:
+        """Per text: ``(arcs, log-probability, perturbed value)``, best first; then the bound."""
+        out: list[list[tuple[np.ndarray, float, float]]] = [[] for _ in range(self.n)]
+        for path, values, alive in self.paths():
+            for d in np.flatnonzero(alive).tolist():
+                arcs = path.arc[path.start[d]:path.start[d] + path.size[d]]
+                out[d].append((arcs, float(self.lat.logp[arcs].sum()), float(values[d])))
         return out
 
 
@@ -538,24 +768,41 @@ def sample(docs: DataFrame, model_path: str, k: int = SAMPLES, sharpness: float
 def _rows(lat: Lattice, units: list[np.ndarray], ids: list, texts: list[str | None],
           keys: np.ndarray, k: int, with_ids: bool) -> pa.RecordBatch:
     search = _Search(lat, units, keys, k)
-    found = search.run()
-    out: dict[str, list] = {c.split()[0]: [] for c in SAMPLED.split(", ")}
-    for doc, text, paths, bound in zip(ids, texts, found, search.bound, strict=True):
-        plain = (text or "").replace(MARK, " ")
-        whole = (MARK + plain.replace(" ", MARK)).encode() if text else b""
-        for r, (path, lp, g) in enumerate(paths, 1):
-            pieces = lat.piece[path]
-            raw = pieces.astype("<u4").tobytes()
-            inside = 1.0 if np.isneginf(bound) else -np.expm1(-np.exp(min(lp - bound, 700.0)))
-            listed = pieces.tolist()
-            same = b"".join([lat.surface[i] for i in listed]) == whole or lat.decode(listed) == plain
-            for c, v in zip(out, (doc, r, len(pieces), lp, g, inside, zlib.crc32(raw),
-                                  pieces if with_ids else None, same), strict=True):
-                out[c].append(v)
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(),
-             pa.int64(), pa.list_(pa.int32()), pa.bool_())
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)],
-                                      names=list(out))
+    found = search.paths()
+    plain = [(t or "").replace(MARK, " ") for t in texts]
+    whole = [(MARK + p.replace(" ", MARK)).encode() if p else b"" for p in plain]
+    out: list[list[pa.Array]] = []
+    for r, (path, values, alive) in enumerate(found, 1):
+        docs = np.flatnonzero(alive)
+        size = path.size[docs]
+        ends = np.cumsum(size)
+        pieces = lat.piece[path.arc]
+        lp = _sums(lat.logp[path.arc], size)
+        lp_over = np.minimum(lp - search.bound[docs], 700.0)
+        inside = np.where(np.isneginf(search.bound[docs]), 1.0, -np.expm1(-np.exp(lp_over)))
+        raw, spelled = memoryview(pieces.astype("<u4").tobytes()), b"".join(lat.spelled[pieces].tolist())
+        cuts = np.concatenate([[0], np.cumsum(_sums(lat.n_bytes[pieces], size))]).tolist()
+        crc, same = [], []
+        for d, begin, end, lo, hi in zip(docs.tolist(), (ends - size).tolist(), ends.tolist(), cuts, cuts[1:],
+                                         strict=False):
+            crc.append(zlib.crc32(raw[4 * begin:4 * end]))
+            same.append(spelled[lo:hi] == whole[d] or lat.decode(pieces[begin:end].tolist()) == plain[d])
+        listed = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(pieces, pa.int32())) \
+            if with_ids else pa.nulls(len(docs), pa.list_(pa.int32()))
+        out.append([pa.array([ids[d] for d in docs.tolist()], pa.int64()),
+                    pa.array(np.full(len(docs), r), pa.int32()), pa.array(size, pa.int64()), pa.array(lp),
+                    pa.array(values[docs]), pa.array(inside), pa.array(crc, pa.int64()), listed,
+                    pa.array(same, pa.bool_())])
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*out, strict=True)],
+                                      names=[c.split()[0] for c in SAMPLED.split(", ")])
+
+
+def _sums(x: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``x`` (0 for an empty run)."""
+    out, full = np.zeros(len(size), x.dtype), size > 0
+    if full.any():
+        out[full] = np.add.reduceat(x, (np.cumsum(size) - size)[full])
+    return out
 
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:

@@ -157,3 +157,57 @@ def test_words_are_forgotten_and_built_again(lat, monkeypatch):
     lat.trim()
     assert not lat.words_
     assert S._rows(lat, [lat.words(t) for t in texts], [0, 1, 2], texts, keys, 3, True).to_pylist() == first
+
+
+def arcs_from(lat, root, places):
+    """Per place of a word: its arcs as (piece, place they lead to, log-probability)."""
+    out = []
+    for place in range(root, root + places):
+        b = int(lat.begin[place])
+        out.append([(int(lat.piece[a]), int(lat.next[a]) - root, float(lat.logp[a]))
+                    for a in range(b, b + int(lat.n_arcs[place]))])
+    return out
+
+
+def test_plain_words_get_the_arcs_of_the_general_way():
+    """Slices by distance from the end, a hash table and plain weights give the same lattice."""
+    lat = S.Lattice(PATH, S.SHARPNESS)
+    texts = ["▁internationalization", "▁▁", "▁a", "▁über", "▁▁▁x3.5%", "▁" + "tion" * 20]
+    units = [lat.words(t[1:].replace("▁", " ")) for t in texts]
+    lat.need(np.concatenate(units))
+    fast = [arcs_from(lat, int(lat.root[u[0]]), int(lat.places[u[0]])) for u in units]
+    roots, places = lat._build(texts)
+    lat.need(np.zeros(0, np.int64))
+    for got, root, n in zip(fast, roots.tolist(), places.tolist(), strict=True):
+        want = arcs_from(lat, root, n)
+        assert [[a[:2] for a in x] for x in got] == [[a[:2] for a in x] for x in want]
+        assert [a[2] for x in got for a in x] == pytest.approx([a[2] for x in want for a in x], abs=1e-12)
+
+
+def test_trimming_keeps_frequent_words_and_changes_no_sample(monkeypatch):
+    texts = [f"the same few words and w{i * 7919} once\nthen é漢{i} more " for i in range(40)]
+    keys = np.arange(40).astype(np.uint64)
+    whole = S.Lattice(PATH, S.SHARPNESS)
+    want = S._rows(whole, [whole.words(t) for t in texts], list(range(40)), texts, keys, 3, True).to_pylist()
+    monkeypatch.setattr(S, "CACHE_PLACES", 300)
+    lat, got, kept = S.Lattice(PATH, S.SHARPNESS), [], 0
+    for i in range(0, 40, 4):
+        lat.trim()
+        kept = max(kept, "the" in lat.words_)
+        assert len(lat._begin.all) <= 300
+        got += S._rows(lat, [lat.words(t) for t in texts[i:i + 4]], list(range(i, i + 4)), texts[i:i + 4],
+                       keys[i:i + 4], 3, True).to_pylist()
+    assert kept and "w0" not in lat.words_
+    by = {(r["doc_id"], r["rank"]): r for r in want}
+    assert len(got) == len(want)
+    for r in got:
+        assert r["ids"] == by[r["doc_id"], r["rank"]]["ids"] and r["round_trip"]
+        assert r["perturbed"] == pytest.approx(by[r["doc_id"], r["rank"]]["perturbed"], abs=1e-9)
+
+
+def test_branches_read_no_more_of_a_long_text_than_can_win(lat):
+    text = "many different words follow each other here " * 200
+    search = S._Search(lat, [lat.words(text)], np.array([5], np.uint64), 3)
+    path = S._Path(search, *search.fresh(np.arange(len(search.root)), search.root, 0))
+    some = search.branches(path, np.array([0.5]), np.array([-1]), np.zeros(1), 0)
+    assert 3 <= len(some.doc) < path.size[0] // 4
