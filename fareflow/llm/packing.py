@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -50,9 +51,14 @@ CACHE_WORDS = 800_000
 _tokenizers: dict[str, object] = {}
 _words: dict[str, dict[bytes, bytes]] = {}
 _parts: dict[str, dict[str, bytes]] = {}
-_PRINTABLE = re.compile(rb"[!-~]+")
-# The tokenizer file's own split pattern, for printable ASCII in lower case.
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Printable ASCII and the letters from U+00C0 to U+017F but U+0130, whose lower case is two characters.
+_LATIN = re.compile(rb"(?:[!-~]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])++")
+# The tokenizer file's own split pattern, for these in lower case.
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\u017f]+|[0-9]|[^a-z\xdf-\xf6\xf8-\u017f0-9\n]+|\n")
+# Byte-level characters: bytes from 0xA1 stand for themselves but 0xAD.
+_BYTE_LEVEL = {**{b: 256 + 34 + b - 0x80 for b in range(0x80, 0xA1)}, 0xAD: 256 + 67}
+# Stands for the end of a word among the ids of many words; no id is this large.
+_WORD_END = np.array([0xFFFFFFFF], "<u4").tobytes()
 
 
 def _tokenizer(path: str):
@@ -67,26 +73,32 @@ def _tokenizer(path: str):
 def _encode_words(tok, words: list[bytes], parts: dict[str, bytes]) -> dict[bytes, bytes]:
     """Ids of distinct words.
 
-    For printable ASCII the tokenizer's normalisation is lower case alone, and
-    its pre-tokens are runs of letters, single digits and runs of the rest
-    (after the contractions), so those parts go to its model directly and
-    common ones are looked up.  All other words, and those that may hold a
+    For printable ASCII and Latin letters the tokenizer's normalisation is lower
+    case alone, and its pre-tokens are runs of letters, single digits and runs of
+    the rest (after the contractions), so those parts go to its model directly
+    and common ones are looked up.  All other words, and those that may hold a
     special token's string, take the whole tokenizer.
     """
-    out, rest = {}, []
-    for w in words:
-        if _PRINTABLE.fullmatch(w) is None or b"<|" in w:
-            rest.append(w)
-            continue
-        ids = b""
-        for p in _PARTS.findall(w.decode().lower()):
-            known = parts.get(p)
-            if known is None:
-                known = np.array([x.id for x in tok.model.tokenize(p)], "<u4").tobytes()
-                if len(parts) < CACHE_WORDS // 4:
-                    parts[p] = known
-            ids += known
-        out[w] = ids
+    plain = [w for w, m in zip(words, map(_LATIN.fullmatch, words), strict=True)
+             if m is not None and b"<|" not in w]
+    out: dict[bytes, bytes] = {}
+    for at in range(0, len(plain), 20_000):
+        part = plain[at:at + 20_000]
+        # No part spans a line's end: the parts of all words, each word on its line.
+        found = _PARTS.findall(b"\n".join(part).decode().lower() + "\n")
+        met = list(set(found).difference(parts))
+        for p in met:
+            chars = p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_LEVEL)
+            parts[p] = array("I", [x.id for x in tok.model.tokenize(chars)]).tobytes()
+        parts["\n"] = _WORD_END
+        raw = b"".join(map(parts.__getitem__, found))
+        if len(parts) > CACHE_WORDS // 4:
+            for p in met:
+                del parts[p]
+        ends = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == 0xFFFFFFFF)).tolist()
+        out.update(zip(part, [raw[i:j] for i, j in zip([0, *[x + 4 for x in ends]], ends, strict=False)],
+                       strict=True))
+    rest = [w for w in words if w not in out]
     for at in range(0, len(rest), 20_000):
         part = rest[at:at + 20_000]
         enc = tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
@@ -103,18 +115,15 @@ def encode_ids(path: str, texts: Sequence[str | None]) -> list[bytes]:
     kept per worker, which are the frequent ones; the others are encoded again.
     """
     tok, known = _tokenizer(path)
-    get = known.get
     split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-    coded = [list(map(get, ws)) for ws in split]
-    holes = [i for i, c in enumerate(coded) if None in c]
-    fresh = {w for i in holes for w, c in zip(split[i], coded[i], strict=True) if c is None}
-    new = _encode_words(tok, list(fresh), _parts.setdefault(path, {}))
-    for i in holes:
-        coded[i] = [new[w] if c is None else c
-                    for w, c in zip(split[i], coded[i], strict=True)]
-    if len(known) < CACHE_WORDS:
-        known.update(new)
-    return [b"".join(c) for c in coded]
+    room = len(known) < CACHE_WORDS
+    new = _encode_words(tok, list(set().union(*split).difference(known)), _parts.setdefault(path, {}))
+    known.update(new)
+    out = [b"".join(map(known.__getitem__, ws)) for ws in split]
+    if not room:
+        for w in new:
+            del known[w]
+    return out
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
