@@ -64,14 +64,22 @@ def range_join(events: DataFrame, ranges: DataFrame, ts: str, start: str, end: s
     with range length / bucket size, not with the product of the two tables.
     Bucket numbers are integer microseconds, so a row exactly on a bucket or
     range bound cannot move.
+
+    The pairs are the work, not the bytes of the tables: a table of few small
+    files, broadcast or not, would leave all pairs to as many tasks as it has
+    splits.  Both sides are therefore dealt by bucket (a merge join, which
+    spills and whose skewed partitions AQE splits), and ranges are the streamed
+    side, so that the pairs of a range and bucket follow each other.
     """
     bucket, width = "__range_bucket", bucket_seconds * 1_000_000
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     r = ranges.filter(F.col(end) > F.col(start)).withColumn(bucket, F.explode(F.sequence(
         floor_div(micros(start), width), floor_div(micros(end) - 1, width))))
-    e = events.withColumn(bucket, floor_div(micros(ts), width))
-    return (e.join(r, bucket)
-            .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))).drop(bucket))
+    e = events.filter(F.col(ts).isNotNull()).withColumn(bucket, floor_div(micros(ts), width))
+    columns = [F.col(f"{side}.`{c}`") for side, df in (("__events", events), ("__ranges", ranges))
+               for c in df.columns]
+    return (r.alias("__ranges").hint("merge").join(e.alias("__events"), bucket)
+            .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))).select(*columns))
 
 
 def _blocks_between(first: Column, after: Column) -> Column:

@@ -122,6 +122,23 @@ def test_range_join_is_an_equi_join_with_exact_bounds(spark, sf_small):
     assert sorted(x.k for x in J.range_join(e, r, "t", "a", "b", 3600).collect()) == ["in", "in2"]
 
 
+def test_range_join_deals_pairs_by_bucket_however_small_its_files(spark, tmp_path):
+    """Pairs of two one-file tables are not left to the tasks of their few splits."""
+    ev = spark.createDataFrame([(i, i % 40, i % 3 == 0) for i in range(400)] + [(400, None, False)],
+                               "k long, m int, opens boolean")
+    t = (F.timestamp_seconds(F.lit(1_700_000_000) + F.col("m") * 150)).cast("timestamp_ntz")
+    ev.withColumn("t", t).coalesce(1).write.parquet(f"{tmp_path}/events")
+    ev = spark.read.parquet(f"{tmp_path}/events")
+    ranges = ev.filter("opens").select(F.col("k").alias("r"), F.col("t").alias("lo"),
+                                       (F.col("t") + F.expr("INTERVAL 20 MINUTES")).alias("hi"))
+    j = J.range_join(ev, ranges, "t", "lo", "hi", 600)
+    strategies = LY.join_strategies(j)
+    assert "SortMergeJoin" in strategies and "BroadcastHashJoin" not in strategies
+    assert j.columns == ["k", "m", "opens", "t", "r", "lo", "hi"]
+    plain = ev.join(ranges, (F.col("t") >= F.col("lo")) & (F.col("t") < F.col("hi")))
+    assert j.count() == plain.count() and j.exceptAll(plain).isEmpty()
+
+
 def test_salted_join_equals_plain_join(spark, sf_small):
     t = I.notebook_trips(spark, sf_small)
     z = D.zones(spark, sf_small).select(F.col("locationid").alias("PULocationID"), "borough")
