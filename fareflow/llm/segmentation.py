@@ -36,6 +36,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ SAMPLES = 3
 SHARPNESS = 0.5
 CACHE_UNITS = 300_000
 # Places of known words kept by a worker.
-CACHE_PLACES = 2_500_000
+CACHE_PLACES = 1_000_000
 # Weights of longer words are summed as logarithms.
 LINEAR_CHARS = 100
 # No variate's Gumbel value differs from another's by more (53 bits).
@@ -68,24 +69,15 @@ class _Grown:
     def add(self, x: np.ndarray) -> None:
         n = len(self.all) + len(x)
         if n > len(self.room):
-            room = np.empty(2 * n, self.room.dtype)
+            room = np.empty(n + n // 4, self.room.dtype)
             room[:len(self.all)] = self.all
             self.room = room
         self.room[len(self.all):n] = x
         self.all = self.room[:n]
 
-
-class _Words(dict):
-    """Units of words, by the word without its first mark; a new word gets the next number."""
-
-    def __init__(self, lat: Lattice):
-        super().__init__()
-        self.lat = lat
-
-    def __missing__(self, word: str) -> int:
-        self[word] = unit = self.lat.size + len(self)
-        self.lat.new.append(MARK + word)
-        return unit
+    def clear(self) -> None:
+        """Nothing is there any more; the room stays."""
+        self.all = self.room[:0]
 
 
 class _Coded:
@@ -122,10 +114,24 @@ class Lattice:
         self.weight = dict(zip(order, -np.log(np.arange(2, len(order) + 2)), strict=True))
         self.units: dict[str, bytes] = {}
         self.size = size
-        self.spelled = np.array(self.surface, object)
         self.n_bytes = np.array([len(x) for x in self.surface], np.int64)
+        # Bytes of pieces, eight to a number, and which of them count.
+        most = 8 * max(1, -(-int(self.n_bytes.max()) // 8))
+        self.eights = np.frombuffer(b"".join(x.ljust(most, b"\0") for x in self.surface), "<u8").reshape(size, -1)
+        self.masks = np.frombuffer(b"".join((b"\xff" * len(x)).ljust(most, b"\0") for x in self.surface),
+                                   "<u8").reshape(size, -1)
+        self.first_eight, self.first_mask = self.eights[:, 0].copy(), self.masks[:, 0].copy()
         self._arcs = _Coded(self)
         self._tree()
+        # Per unit: its first place (-1: not built) and the number of its places.
+        self._root, self._places = _Grown(np.int64), _Grown(np.int64)
+        # Per place: its first arc and the number of its arcs (none: the end).
+        self._begin, self._n_arcs = _Grown(np.int32), _Grown(np.int32)
+        # Per arc: log-probability, upper end among its place's arcs, places, piece.
+        self._logp, self._upto = _Grown(np.float64), _Grown(np.float64)
+        self._from, self._to, self._piece = _Grown(np.int32), _Grown(np.int32), _Grown(np.int32)
+        self._then = _Grown(np.int32)  # first arc of the place it leads to (-1: the end)
+        self._uses = _Grown(np.int32)  # per unit
         self._clear()
 
     def _tree(self) -> None:
@@ -190,19 +196,14 @@ class Lattice:
         return out
 
     def _clear(self) -> None:
-        self.words_ = _Words(self)
-        self.new: list[str] = []  # words with a number, not built yet
-        # Per unit: its first place (-1: not built) and the number of its places.
-        self._root, self._places = _Grown(np.int64), _Grown(np.int64)
+        # Units of words, by the word without its first mark; the last ``new`` are not built yet.
+        self.words_: dict[str, int] = {}
+        self.new = 0
+        for grown in (self._root, self._places, self._begin, self._n_arcs, self._logp, self._upto, self._from,
+                      self._to, self._piece, self._then, self._uses):
+            grown.clear()
         self._root.add(np.full(self.size, -1))
         self._places.add(np.zeros(self.size))
-        # Per place: its first arc and the number of its arcs (none: the end).
-        self._begin, self._n_arcs = _Grown(np.int32), _Grown(np.int32)
-        # Per arc: log-probability, upper end among its place's arcs, places, piece.
-        self._logp, self._upto = _Grown(np.float64), _Grown(np.float64)
-        self._from, self._to, self._piece = _Grown(np.int32), _Grown(np.int32), _Grown(np.int32)
-        self._then = _Grown(np.int32)  # first arc of the place it leads to (-1: the end)
-        self._uses = _Grown(np.int32)  # per unit
         self._uses.add(np.zeros(self.size))
 
     def trim(self) -> None:
@@ -215,13 +216,15 @@ class Lattice:
         least = max(2, int(np.searchsorted(-by_uses, -CACHE_PLACES / 2)))
         kept = np.flatnonzero(uses >= least)
         words = list(self.words_)
+        root, places = root[kept], places[kept]
         old = {x: getattr(self, x).all for x in ("_begin", "_n_arcs", "_logp", "_upto", "_from", "_to", "_then",
                                                  "_piece")}
+        # The rooms are filled again from the front: each is read before it is written.
         self._clear()
-        size = places[kept].astype(np.int64)
+        size = places.astype(np.int64)
         ends = np.cumsum(size)
         # Places of kept words in their new order, arcs in the old one.
-        place = np.repeat(root[kept] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        place = np.repeat(root - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
         to_place = np.full(len(old["_begin"]), -1, np.int64)
         to_place[place] = np.arange(len(place))
         arc = np.flatnonzero(to_place[old["_from"]] >= 0)
@@ -334,16 +337,16 @@ class Lattice:
         self._add(root, places, frm[order], to[order], piece[order], lp[order])
         return root + self._base, places
 
-    def _build_new(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``_build`` of new words: plain ones (no bytes, not long) by ``_build_plain``."""
-        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
-        size = np.array(list(map(len, texts)), np.int64)
+    def _build_new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_build`` of new words, each after its first mark: plain ones (no bytes, not long) by ``_build_plain``."""
+        chars = np.frombuffer((MARK + MARK.join(words)).encode("utf-32-le"), "<u4").astype(np.int64)
+        size = np.fromiter(map(len, words), np.int64, len(words)) + 1
         odd = size > LINEAR_CHARS
-        odd[np.repeat(np.arange(len(texts)), size)[~self.alone[chars]]] = True
-        root, places = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
+        odd[np.searchsorted(np.cumsum(size), np.flatnonzero(~self.alone[chars]), "right")] = True
+        root, places = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
         if odd.any():
             at = np.flatnonzero(odd)
-            root[at], places[at] = self._build([texts[i] for i in at.tolist()])
+            root[at], places[at] = self._build([MARK + words[i] for i in at.tolist()])
         if not odd.all():
             root[~odd], places[~odd] = self._build_plain(chars[~np.repeat(odd, size)], size[~odd])
         return root, places
@@ -384,7 +387,7 @@ class Lattice:
             many[h] += 1
         past = np.cumsum(many)
         first = past - many
-        to, piece, free = np.empty(past[-1], np.int64), np.empty(past[-1], np.int64), first.copy()
+        to, piece, free = np.empty(past[-1], np.int32), np.empty(past[-1], np.int32), first.copy()
         for h, t, p in reversed(found):  # long pieces first: most draws end at the first arc
             i = free[h]
             to[i], piece[i] = t, p
@@ -429,12 +432,12 @@ class Lattice:
     def need(self, units: np.ndarray) -> None:
         """Build the new words, and the pieces among the units not met before."""
         if self.new:
-            root, places = self._build_new(self.new)
+            root, places = self._build_new([*islice(reversed(self.words_), self.new)][::-1])
             self._root.add(root)
             self._places.add(places)
             self._uses.add(np.zeros(len(root)))
-            self.new = []
-        self._uses.all[:] += np.bincount(units, minlength=len(self._uses.all)).astype(np.int32)
+            self.new = 0
+        np.add.at(self._uses.all, units, np.int32(1))
         cells = units[units < self.size]
         cells = np.unique(cells[self._root.all[cells] < 0])
         plain = np.array([self.pieces[c] in self.ids for c in cells.tolist()], bool)
@@ -460,7 +463,15 @@ class Lattice:
             found = [w[1:] for w in _UNIT.findall(MARK + text.replace(" ", MARK))]
         else:
             found = text.split(" ")
-        return np.fromiter(map(self.words_.__getitem__, found), np.int64, len(found))
+        known = self.words_
+        units = list(map(known.get, found))
+        if None in units:
+            n = len(known)
+            for i, unit in enumerate(units):
+                if unit is None:
+                    units[i] = known.setdefault(found[i], self.size + len(known))
+            self.new += len(known) - n
+        return np.fromiter(units, np.int64, len(units))
 
     def cells(self, texts: list[str | None]) -> list[np.ndarray]:
         """The model's own segmentation of each text, word by word.
@@ -588,32 +599,40 @@ class _Search:
 
     def fresh(self, units: np.ndarray, places: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
         """Independent steps from a place of each unit to its end: units and arcs, in order."""
-        lat, steps, walked = self.lat, [], units
+        lat, rows, steps = self.lat, [], []
         key = _salted(self.key[units], 4 * salt, self.shift[units].astype(np.uint64))
-        row, size = np.arange(len(units)), np.zeros(len(units), np.int64)
+        row, n = np.arange(len(units)), len(units)
         j = np.where(lat.n_arcs[places] > 0, lat.begin[places], -1)
         while True:
-            open_ = j >= 0
-            if not open_.all():
-                open_ = np.flatnonzero(open_)
+            open_ = np.flatnonzero(j >= 0)
+            if len(open_) < len(j):
                 row, places, key, j = row[open_], places[open_], key[open_], j[open_]
             if not len(row):
                 break
-            j = j.astype(np.int64)
-            x = _mixed(key + places.astype(np.uint64) * _PLACE)
+            x = places.astype(np.uint64)
+            x *= _PLACE
+            x += key
+            x = _mixed(x)
             late = np.flatnonzero(x > lat.upto.take(j))
-            while len(late):
-                i = j[late] + 1
-                j[late] = i
-                late = late[x[late] > lat.upto.take(i)]
-            size[row] += 1
-            steps.append((row, j))
+            if len(late):
+                i, above = j[late] + 1, x[late]
+                while len(late):
+                    j[late] = i
+                    on = np.flatnonzero(above > lat.upto.take(i))
+                    late, i, above = late[on], i[on] + 1, above[on]
+            rows.append(row)
+            steps.append(j)
             places, j = lat.next.take(j), lat.then.take(j)
-        start = np.cumsum(size) - size
-        arcs = np.empty(int(size.sum()), np.int64)
-        for s, (row, j) in enumerate(steps):
-            arcs[start[row] + s] = j
-        return np.repeat(walked, size), arcs
+        if not rows:
+            return units[:0], np.zeros(0, np.int64)
+        row, j = np.concatenate(rows), np.concatenate(steps)
+        size = np.bincount(row, minlength=n)
+        # Step s of a row comes s places after its first.
+        at = (np.cumsum(size) - size)[row]
+        at += np.repeat(np.arange(len(rows)), [len(x) for x in rows])
+        arcs = np.empty(len(j), np.int64)
+        arcs[at] = j
+        return np.repeat(units, size), arcs
 
     def branches(self, path: _Path, value: np.ndarray, after: np.ndarray, prefix: np.ndarray,
                  salt: int) -> _Branches:
@@ -770,7 +789,7 @@ def _rows(lat: Lattice, units: list[np.ndarray], ids: list, texts: list[str | No
     search = _Search(lat, units, keys, k)
     found = search.paths()
     plain = [(t or "").replace(MARK, " ") for t in texts]
-    whole = [(MARK + p.replace(" ", MARK)).encode() if p else b"" for p in plain]
+    spelled = _Spelled(lat, [(MARK + p.replace(" ", MARK)).encode() if p else b"" for p in plain])
     out: list[list[pa.Array]] = []
     for r, (path, values, alive) in enumerate(found, 1):
         docs = np.flatnonzero(alive)
@@ -780,13 +799,11 @@ def _rows(lat: Lattice, units: list[np.ndarray], ids: list, texts: list[str | No
         lp = _sums(lat.logp[path.arc], size)
         lp_over = np.minimum(lp - search.bound[docs], 700.0)
         inside = np.where(np.isneginf(search.bound[docs]), 1.0, -np.expm1(-np.exp(lp_over)))
-        raw, spelled = memoryview(pieces.astype("<u4").tobytes()), b"".join(lat.spelled[pieces].tolist())
-        cuts = np.concatenate([[0], np.cumsum(_sums(lat.n_bytes[pieces], size))]).tolist()
-        crc, same = [], []
-        for d, begin, end, lo, hi in zip(docs.tolist(), (ends - size).tolist(), ends.tolist(), cuts, cuts[1:],
-                                         strict=False):
-            crc.append(zlib.crc32(raw[4 * begin:4 * end]))
-            same.append(spelled[lo:hi] == whole[d] or lat.decode(pieces[begin:end].tolist()) == plain[d])
+        raw = memoryview(pieces.astype("<u4").tobytes())
+        begins, same = ends - size, spelled.by(docs, pieces, size)
+        for i in np.flatnonzero(~same).tolist():
+            same[i] = lat.decode(pieces[begins[i]:ends[i]].tolist()) == plain[docs[i]]
+        crc = [zlib.crc32(raw[4 * begin:4 * end]) for begin, end in zip(begins.tolist(), ends.tolist(), strict=True)]
         listed = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(pieces, pa.int32())) \
             if with_ids else pa.nulls(len(docs), pa.list_(pa.int32()))
         out.append([pa.array([ids[d] for d in docs.tolist()], pa.int64()),
@@ -797,6 +814,41 @@ def _rows(lat: Lattice, units: list[np.ndarray], ids: list, texts: list[str | No
                                       names=[c.split()[0] for c in SAMPLED.split(", ")])
 
 
+class _Spelled:
+    """Texts in bytes, to compare whole segmentations with, eight bytes at once."""
+
+    def __init__(self, lat: Lattice, whole: list[bytes]):
+        self.lat = lat
+        self.size = np.array([len(w) for w in whole], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        raw = b"".join([*whole, bytes(8 * lat.eights.shape[1] + 8)])
+        self.end = int(self.size.sum())
+        # The eight bytes from every byte on.
+        self.eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,)).copy()
+
+    def by(self, docs: np.ndarray, pieces: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether the bytes of each text's pieces (``size`` of them) are the text's, all of them."""
+        lat, n = self.lat, self.lat.n_bytes[pieces]
+        ends = np.cumsum(size)
+        past = np.concatenate([[0], np.cumsum(n)])
+        begin = past[ends - size]
+        same = past[ends] - begin == self.size[docs]
+        at = past[:-1] + np.repeat(self.start[docs] - begin, size)
+        if not same.all():
+            at = np.minimum(at, self.end)
+        wrong = [np.flatnonzero((self.eights[at] ^ lat.first_eight[pieces]) & lat.first_mask[pieces])]
+        left = np.flatnonzero(n > 8)
+        for c in range(1, lat.eights.shape[1]):
+            if not len(left):
+                break
+            p = pieces[left]
+            differs = (self.eights[at[left] + 8 * c] ^ lat.eights[p, c]) & lat.masks[p, c]
+            wrong.append(left[np.flatnonzero(differs)])
+            left = left[n[left] > 8 * c + 8]
+        same[np.searchsorted(ends, np.concatenate(wrong), "right")] = False
+        return same
+
+
 def _sums(x: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of ``x`` (0 for an empty run)."""
     out, full = np.zeros(len(size), x.dtype), size > 0

@@ -211,3 +211,34 @@ def test_branches_read_no_more_of_a_long_text_than_can_win(lat):
     path = S._Path(search, *search.fresh(np.arange(len(search.root)), search.root, 0))
     some = search.branches(path, np.array([0.5]), np.array([-1]), np.zeros(1), 0)
     assert 3 <= len(some.doc) < path.size[0] // 4
+
+
+def test_spelling_is_compared_whole(lat):
+    """Eight bytes at once find any piece that differs, and bytes that are missing or too many."""
+    texts = ["international understanding", "", "a", "ünïcödé characteristically", "x" * 40]
+    whole = [("▁" + t.replace(" ", "▁")).encode() if t else b"" for t in texts]
+    ids = [lat.sp.encode(t) for t in texts]
+    cases = [ids[0], ids[1], ids[2], ids[3], ids[4]], [ids[0][:-1], [], ids[2] * 2, ids[3][::-1], ids[4]], \
+        [[*ids[0][:-1], ids[2][0]], ids[2], [], ids[3] + ids[4], ids[0]]
+    longest = int(np.argmax(lat.n_bytes))  # differs past its first eight bytes
+    assert lat.n_bytes[longest] > 8
+    for rows in cases:
+        pieces = np.array([i for r in rows for i in r], np.int64)
+        got = S._Spelled(lat, whole).by(np.arange(5), pieces, np.array([len(r) for r in rows]))
+        assert got.tolist() == [b"".join(lat.surface[i] for i in r) == w for r, w in zip(rows, whole, strict=True)]
+    for cut in range(len(lat.surface[longest])):
+        text = lat.surface[longest]
+        text = text[:cut] + bytes([text[cut] ^ 1]) + text[cut + 1:]
+        assert S._Spelled(lat, [text]).by(np.array([0]), np.array([longest]), np.array([1])).tolist() == [False]
+
+
+def test_rooms_are_used_again_after_trimming(monkeypatch):
+    lat = S.Lattice(PATH, S.SHARPNESS)
+    texts = [" ".join(f"w{i * 7919 + j}" for j in range(900)) for i in range(6)]
+    lat.need(np.concatenate([lat.words(t) for t in texts]))
+    rooms = [lat._logp.room, lat._piece.room]
+    assert all(len(x) < 1.5 * len(lat._logp.all) for x in rooms)
+    monkeypatch.setattr(S, "CACHE_PLACES", 100)
+    lat.trim()
+    lat.need(np.concatenate([lat.words(t) for t in texts]))
+    assert lat._logp.room is rooms[0] and lat._piece.room is rooms[1]
