@@ -47,13 +47,13 @@ SAMPLES = 3
 SHARPNESS = 0.5
 CACHE_UNITS = 300_000
 # Places of known words kept by a worker.
-CACHE_PLACES = 1_000_000
+CACHE_PLACES = 1_500_000
 # Weights of longer words are summed as logarithms.
 LINEAR_CHARS = 100
 # No variate's Gumbel value differs from another's by more (53 bits).
 _SPREAD = 42.0
 # Words handled together by the vectorised search.
-BATCH_WORDS = 25_000
+BATCH_WORDS = 80_000
 MARK = "▁"
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -184,8 +184,8 @@ class Lattice:
         """The node below each node by a character's code; -1: none."""
         key = node << 16 | code
         at = self._slot(key)
-        seen = self.slot_key[at]
-        out = np.where(seen == key, self.slot_to[at], -1)
+        seen = self.slot_key.take(at)
+        out = np.where(seen == key, self.slot_to.take(at), -1)
         far = np.flatnonzero((seen != key) & (seen >= 0))
         while len(far):
             at[far] = (at[far] + 1) & ((1 << self.bits) - 1)
@@ -365,23 +365,23 @@ class Lattice:
         off = np.concatenate([[0], np.cumsum(wide)])
         left = np.repeat(np.arange(long_ + 1), wide)
         word = order[np.arange(off[-1]) - off[left]]
-        place = ends[word] - 1 - left
+        place = ends.take(word) - 1 - left
         after = np.arange(off[-1]) - np.concatenate([[0], wide])[left]  # the next node; ends have none
-        char = (np.cumsum(size)[word] - left)[n:]
+        char = (np.cumsum(size).take(word) - left)[n:]
         code = np.zeros(off[-1], np.int64)
         code[n:] = self.code[chars[char]]
         # Down the tree from every node at once: an arc wherever a piece ends.
         here, node, found = np.arange(n, off[-1]), self.head[code[n:]], []
         at = after[here]
         while len(here):
-            piece = self.node_piece[node]
+            piece = self.node_piece.take(node)
             end = np.flatnonzero(piece >= 0)
-            found.append((here[end], at[end], piece[end]))
-            inside = np.flatnonzero((at >= n) & self.inner[node])
-            here, at = here[inside], at[inside]
-            node = self._down(node[inside], code[at])
+            found.append((here.take(end), at.take(end), piece.take(end)))
+            inside = np.flatnonzero((at >= n) & self.inner.take(node))
+            here, at = here.take(inside), at.take(inside)
+            node = self._down(node.take(inside), code.take(at))
             ok = np.flatnonzero(node >= 0)
-            here, at, node = here[ok], after[at[ok]], node[ok]
+            here, at, node = here.take(ok), after.take(at.take(ok)), node.take(ok)
         many = np.zeros(off[-1], np.int64)
         for h, _, _ in found:
             many[h] += 1
@@ -389,25 +389,24 @@ class Lattice:
         first = past - many
         to, piece, free = np.empty(past[-1], np.int32), np.empty(past[-1], np.int32), first.copy()
         for h, t, p in reversed(found):  # long pieces first: most draws end at the first arc
-            i = free[h]
+            i = free.take(h)
             to[i], piece[i] = t, p
             free[h] = i + 1
-        frm = np.repeat(np.arange(off[-1]), many)
-        total, mass = np.ones(off[-1]), self.linear_weight[piece]
+        total, mass = np.ones(off[-1]), self.linear_weight.take(piece)
         for lo, hi in zip(off[1:-1].tolist(), off[2:].tolist(), strict=True):
             part = slice(first[lo], past[hi - 1])
-            mass[part] *= total[to[part]]
+            mass[part] *= total.take(to[part])
             total[lo:hi] = np.add.reduceat(mass[part], first[lo:hi] - first[lo])
-        mass /= total[frm]
+        mass /= np.repeat(total, many)
         upto = np.cumsum(mass)
-        upto -= np.concatenate([[0.0], upto])[first[frm]]
+        upto -= np.repeat(np.concatenate([[0.0], upto]).take(first), many)
         upto[past[n:] - 1] = np.inf
         base, arcs = len(self._begin.all), len(self._logp.all)
         begin, n_arcs = np.empty(ends[-1], np.int64), np.empty(ends[-1], np.int64)
         begin[place], n_arcs[place] = arcs + first, many
         for grown, x in ((self._begin, begin), (self._n_arcs, n_arcs), (self._logp, np.minimum(np.log(mass), 0.0)),
-                         (self._upto, upto), (self._from, place[frm] + base), (self._to, place[to] + base),
-                         (self._then, np.where(to < n, -1, arcs + first[to])), (self._piece, piece)):
+                         (self._upto, upto), (self._from, np.repeat(place + base, many)), (self._to, place.take(to) + base),
+                         (self._then, np.where(to < n, -1, arcs + first.take(to))), (self._piece, piece)):
             grown.add(x)
         return root + base, places
 
@@ -606,7 +605,7 @@ class _Search:
         while True:
             open_ = np.flatnonzero(j >= 0)
             if len(open_) < len(j):
-                row, places, key, j = row[open_], places[open_], key[open_], j[open_]
+                row, places, key, j = row.take(open_), places.take(open_), key.take(open_), j.take(open_)
             if not len(row):
                 break
             x = places.astype(np.uint64)
@@ -615,11 +614,11 @@ class _Search:
             x = _mixed(x)
             late = np.flatnonzero(x > lat.upto.take(j))
             if len(late):
-                i, above = j[late] + 1, x[late]
+                i, above = j.take(late) + 1, x.take(late)
                 while len(late):
                     j[late] = i
                     on = np.flatnonzero(above > lat.upto.take(i))
-                    late, i, above = late[on], i[on] + 1, above[on]
+                    late, i, above = late.take(on), i.take(on) + 1, above.take(on)
             rows.append(row)
             steps.append(j)
             places, j = lat.next.take(j), lat.then.take(j)
@@ -628,7 +627,7 @@ class _Search:
         row, j = np.concatenate(rows), np.concatenate(steps)
         size = np.bincount(row, minlength=n)
         # Step s of a row comes s places after its first.
-        at = (np.cumsum(size) - size)[row]
+        at = (np.cumsum(size) - size).take(row)
         at += np.repeat(np.arange(len(rows)), [len(x) for x in rows])
         arcs = np.empty(len(j), np.int64)
         arcs[at] = j
@@ -795,8 +794,8 @@ def _rows(lat: Lattice, units: list[np.ndarray], ids: list, texts: list[str | No
         docs = np.flatnonzero(alive)
         size = path.size[docs]
         ends = np.cumsum(size)
-        pieces = lat.piece[path.arc]
-        lp = _sums(lat.logp[path.arc], size)
+        pieces = lat.piece.take(path.arc)
+        lp = _sums(lat.logp.take(path.arc), size)
         lp_over = np.minimum(lp - search.bound[docs], 700.0)
         inside = np.where(np.isneginf(search.bound[docs]), 1.0, -np.expm1(-np.exp(lp_over)))
         raw = memoryview(pieces.astype("<u4").tobytes())
@@ -828,7 +827,7 @@ class _Spelled:
 
     def by(self, docs: np.ndarray, pieces: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Whether the bytes of each text's pieces (``size`` of them) are the text's, all of them."""
-        lat, n = self.lat, self.lat.n_bytes[pieces]
+        lat, n = self.lat, self.lat.n_bytes.take(pieces)
         ends = np.cumsum(size)
         past = np.concatenate([[0], np.cumsum(n)])
         begin = past[ends - size]
@@ -836,7 +835,7 @@ class _Spelled:
         at = past[:-1] + np.repeat(self.start[docs] - begin, size)
         if not same.all():
             at = np.minimum(at, self.end)
-        wrong = [np.flatnonzero((self.eights[at] ^ lat.first_eight[pieces]) & lat.first_mask[pieces])]
+        wrong = [np.flatnonzero((self.eights.take(at) ^ lat.first_eight.take(pieces)) & lat.first_mask.take(pieces))]
         left = np.flatnonzero(n > 8)
         for c in range(1, lat.eights.shape[1]):
             if not len(left):
