@@ -217,27 +217,23 @@ class Lattice:
         kept = np.flatnonzero(uses >= least)
         words = list(self.words_)
         root, places = root[kept], places[kept]
-        old = {x: getattr(self, x).all for x in ("_begin", "_n_arcs", "_logp", "_upto", "_from", "_to", "_then",
-                                                 "_piece")}
-        # The rooms are filled again from the front: each is read before it is written.
-        self._clear()
         size = places.astype(np.int64)
         ends = np.cumsum(size)
-        # Places of kept words in their new order, arcs in the old one.
+        # Places of kept words in their new order, their arcs behind each other.
         place = np.repeat(root - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        to_place = np.full(len(old["_begin"]), -1, np.int64)
+        to_place = np.full(len(self._begin.all), -1, np.int64)
         to_place[place] = np.arange(len(place))
-        arc = np.flatnonzero(to_place[old["_from"]] >= 0)
-        to_arc = np.full(len(old["_from"]) + 1, -1, np.int64)  # -1 stays -1
-        to_arc[arc] = np.arange(len(arc))
-        n_arcs = old["_n_arcs"][place]
-        self._begin.add(np.where(n_arcs > 0, to_arc[np.where(n_arcs > 0, old["_begin"][place], -1)], 0))
-        self._n_arcs.add(n_arcs)
-        for x in ("_logp", "_upto", "_piece"):
-            getattr(self, x).add(old[x][arc])
-        self._from.add(to_place[old["_from"][arc]])
-        self._to.add(to_place[old["_to"][arc]])
-        self._then.add(to_arc[old["_then"][arc]])
+        n_arcs = self._n_arcs.all.take(place)
+        past = np.cumsum(n_arcs, dtype=np.int64)
+        first = past - n_arcs
+        arc = np.repeat(self._begin.all.take(place) - first, n_arcs) + np.arange(past[-1] if len(past) else 0)
+        to = to_place.take(self._to.all.take(arc))
+        arcs = [(grown, grown.all.take(arc)) for grown in (self._logp, self._upto, self._piece)]
+        self._clear()
+        for grown, x in ((self._begin, np.where(n_arcs > 0, first, 0)), (self._n_arcs, n_arcs), *arcs,
+                         (self._from, np.repeat(np.arange(len(place)), n_arcs)), (self._to, to),
+                         (self._then, np.where(n_arcs.take(to) > 0, first.take(to), -1))):
+            grown.add(x)
         for i in kept.tolist():
             self.words_[words[i]] = self.size + len(self.words_)
         self._root.add(ends - size)
@@ -382,9 +378,7 @@ class Lattice:
             node = self._down(node.take(inside), code.take(at))
             ok = np.flatnonzero(node >= 0)
             here, at, node = here.take(ok), after.take(at.take(ok)), node.take(ok)
-        many = np.zeros(off[-1], np.int64)
-        for h, _, _ in found:
-            many[h] += 1
+        many = np.bincount(np.concatenate([h for h, _, _ in found]), minlength=off[-1])
         past = np.cumsum(many)
         first = past - many
         to, piece, free = np.empty(past[-1], np.int32), np.empty(past[-1], np.int32), first.copy()
@@ -556,7 +550,7 @@ class _Path:
 
     def __init__(self, search: _Search, unit: np.ndarray, arc: np.ndarray):
         self.unit, self.arc = unit, arc
-        self.size = np.bincount(search.doc[unit], minlength=search.n)
+        self.size = np.bincount(search.doc.take(unit), minlength=search.n)
         self.start = np.cumsum(self.size) - self.size
 
 
@@ -608,6 +602,7 @@ class _Search:
                 row, places, key, j = row.take(open_), places.take(open_), key.take(open_), j.take(open_)
             if not len(row):
                 break
+            j = j.astype(np.int64)
             x = places.astype(np.uint64)
             x *= _PLACE
             x += key
@@ -798,7 +793,7 @@ def _rows(lat: Lattice, units: list[np.ndarray], ids: list, texts: list[str | No
         lp = _sums(lat.logp.take(path.arc), size)
         lp_over = np.minimum(lp - search.bound[docs], 700.0)
         inside = np.where(np.isneginf(search.bound[docs]), 1.0, -np.expm1(-np.exp(lp_over)))
-        raw = memoryview(pieces.astype("<u4").tobytes())
+        raw = memoryview(pieces.astype("<u4", copy=False).view(np.uint8))
         begins, same = ends - size, spelled.by(docs, pieces, size)
         for i in np.flatnonzero(~same).tolist():
             same[i] = lat.decode(pieces[begins[i]:ends[i]].tolist()) == plain[docs[i]]
