@@ -148,17 +148,23 @@ def filters(keys: DataFrame, id_col: str) -> DataFrame:
     levels = k.groupBy("file", "length").agg(
         F.greatest(F.lit(MIN_LEVEL), F.least(F.lit(MAX_LEVEL), F.coalesce(need, F.lit(0))))
         .cast("int").alias("level"))
-    # A row per probe would be sorted by Spark's bitmap aggregate, 22 an id.
-    placed = k.filter("id IS NOT NULL").join(levels, ["file", "length"]).select(
-        "file", "length", "level", _slice(F.col("at"), F.col("level")).alias("slice"),
-        *[h.alias(f"h{i}") for i, h in enumerate(_hashes("id"))])
+    # One row a file: repeated, so that ids are not shuffled to their few files.
+    levelled = k.join(F.broadcast(levels), ["file", "length"])
+    # A row per probe would be sorted by Spark's bitmap aggregate, 22 an id.  Rows
+    # of a file come in any order: with more slices than a task holds, each would
+    # leave the task in a part for every few ids, so the task's rows go by slice.
+    placed = (levelled.filter("id IS NOT NULL")
+              .select("file", "length", "level", _slice(F.col("at"), F.col("level")).alias("slice"), "id")
+              .sortWithinPartitions("slice")
+              .select("file", "length", "level", "slice",
+                      *[h.alias(f"h{i}") for i, h in enumerate(_hashes("id"))]))
     bits = (placed.mapInArrow(_slice_bits, BITS_SCHEMA).groupBy("file", "length", "level", "slice")
             .agg(F.bitmap_or_agg("bits").alias("bits")))
     sliced = bits.select("file", "length", "level", "slice", F.lit(None).cast("long").alias("n_slices"),
                          "bits", F.crc32("bits").alias("checksum"))
     # Distinct slices of a file are counted from the ids, not from the rows above,
     # so a row lost on the way shows.
-    counted = (k.join(levels, ["file", "length"]).groupBy("file", "length", "level")
+    counted = (levelled.groupBy("file", "length", "level")
                .agg(F.count_distinct(_slice(F.col("at"), F.col("level"))).alias("n_slices")))
     return sliced.unionByName(counted.select(
         "file", "length", "level", F.lit(-1).cast("long").alias("slice"), "n_slices",

@@ -147,3 +147,24 @@ def test_slice_bits_equal_the_bitmap_aggregate_without_a_row_per_probe(spark, mo
             at, n = (r["file"], r["length"], r["level"], r["slice"]), n + 1
             parts[at] = parts.get(at, 0) | int.from_bytes(r["bits"], "little")
     assert n > len(want) and parts == {k: int.from_bytes(v, "little") for k, v in want.items()}
+
+
+def test_a_slice_leaves_a_task_about_once_however_many_there_are(spark, tmp, monkeypatch):
+    """More slices than a task holds at once, ids in any order."""
+    keys = batch(spark, 0, 60000).coalesce(1).select(
+        F.concat(F.lit("f"), F.col("v") % 300).alias("file"), F.lit(7).cast("long").alias("length"), "rid")
+    bits, said = K._slice_bits, f"{tmp}/said"
+    os.makedirs(said)
+
+    def counted(batches):
+        for b in bits(batches):
+            with open(f"{said}/{os.getpid()}", "a") as f:
+                f.write(f"{b.num_rows}\n")
+            yield b
+
+    monkeypatch.setattr(K, "_slice_bits", counted)
+    index = K.filters(keys, "rid")
+    slices = index.filter("slice >= 0").count()
+    parts = sum(int(x) for f in glob.glob(f"{said}/*") for x in open(f))
+    assert slices > 4 * K.OPEN_SLICES and parts < 1.1 * slices
+    assert "SortMergeJoin" not in index._jdf.queryExecution().executedPlan().toString()
