@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareflow.functions.columns import floor_div, hash_bucket
 
@@ -68,18 +69,56 @@ def range_join(events: DataFrame, ranges: DataFrame, ts: str, start: str, end: s
     The pairs are the work, not the bytes of the tables: a table of few small
     files, broadcast or not, would leave all pairs to as many tasks as it has
     splits.  Both sides are therefore dealt by bucket (a merge join, which
-    spills and whose skewed partitions AQE splits), and ranges are the streamed
-    side, so that the pairs of a range and bucket follow each other.
+    spills) into ``PAIR_TASKS`` times as many tasks as a shuffle has partitions;
+    AQE, which goes by bytes, would melt them into one a core, and a task with
+    many ranges groups their pairs slowly.  For the same reason it would not
+    notice a bucket of many pairs; narrower buckets part them.  Ranges are the
+    streamed side, so that the pairs of a range and bucket follow each other, and
+    events meet them in blocks (``event_blocks``): the join tests one row a
+    block, and the pairs come from walking the blocks that a range touches.
     """
     bucket, width = "__range_bucket", bucket_seconds * 1_000_000
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     r = ranges.filter(F.col(end) > F.col(start)).withColumn(bucket, F.explode(F.sequence(
         floor_div(micros(start), width), floor_div(micros(end) - 1, width))))
-    e = events.filter(F.col(ts).isNotNull()).withColumn(bucket, floor_div(micros(ts), width))
-    columns = [F.col(f"{side}.`{c}`") for side, df in (("__events", events), ("__ranges", ranges))
-               for c in df.columns]
-    return (r.alias("__ranges").hint("merge").join(e.alias("__events"), bucket)
-            .filter((F.col(ts) >= F.col(start)) & (F.col(ts) < F.col(end))).select(*columns))
+    e = event_blocks(events.filter(F.col(ts).isNotNull())
+                     .withColumn(bucket, floor_div(micros(ts), width)), bucket, ts)
+    tasks = PAIR_TASKS * int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = (r.repartition(tasks, bucket).alias("__ranges").hint("merge")
+           .join(e.repartition(tasks, bucket).alias("__events"), bucket))
+    if not isinstance(events.select(ts).schema[0].dataType, T.StringType):  # text may sort otherwise
+        met = met.filter((F.col("__first") < F.col(end)) & (F.col("__last") >= F.col(start)))
+    at = F.col("__at")
+    met = (met.select("__ranges.*", "__events.*", F.posexplode("__ats").alias("__pos", "__at"))
+           .filter((at >= F.col(start)) & (at < F.col(end))))
+    found = [(at if c == ts else F.col(f"__event{i}")[F.col("__pos")][c]).alias(c)
+             for i, c in enumerate(events.columns)]
+    return met.select(*found, *[F.col(f"__ranges.`{c}`") for c in ranges.columns])
+
+
+PAIR_TASKS = 4  # tasks of pairs for each shuffle partition
+BLOCK_BITS = 10  # up to 1024 events a block
+
+
+def event_blocks(events: DataFrame, bucket: str, ts: str) -> DataFrame:
+    """The events of each bucket in blocks of at most ``2 ** BLOCK_BITS`` rows along ``ts``.
+
+    A block has its ``__first`` and ``__last`` time, all times in order
+    (``__ats``) and for each other column a list ``__event<i>`` in the same
+    order; lists that nobody reads are not built.  The split an event comes from
+    is part of the key, so several tasks sort the events of a busy bucket.
+    Equal times may change blocks when a task runs again, but each task keeps
+    its events, so no pair is lost or doubled.
+    """
+    lists = [F.collect_list(F.struct(f"`{c}`")).alias(f"__event{i}")
+             for i, c in enumerate(events.columns) if c not in (bucket, ts)]
+    key = [bucket, "__dealt"]
+    return (events.withColumn("__dealt", F.spark_partition_id() % 16).repartition(*key)
+            .sortWithinPartitions(*key, ts)
+            .withColumn("__block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
+            .groupBy(*key, "__block")
+            .agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"),
+                 F.collect_list(ts).alias("__ats"), *lists).drop("__dealt", "__block"))
 
 
 def _blocks_between(first: Column, after: Column) -> Column:

@@ -139,6 +139,32 @@ def test_range_join_deals_pairs_by_bucket_however_small_its_files(spark, tmp_pat
     assert j.count() == plain.count() and j.exceptAll(plain).isEmpty()
 
 
+def test_range_join_meets_events_in_blocks_and_tasks_are_not_coalesced(spark):
+    """Busy times, NULLs, maps, equal rows and a column of the same name on both sides."""
+    t = F.timestamp_seconds(F.lit(1_700_000_000) + F.when(F.col("id") < 2500, F.lit(5)).otherwise(F.col("id") * 7))
+    ev = spark.range(4000).select(
+        (F.col("id") % 900).alias("k"), F.when(F.col("id") != 3990, t).alias("t"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 11).alias("v"),
+        F.when(F.col("id") % 3 > 0, F.create_map(F.lit("a"), F.col("id") % 4)).alias("m"))
+    ranges = spark.range(40).select(
+        F.col("id").alias("k"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 500).alias("lo"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 590 + F.col("id") % 3 * 4000).alias("hi"))
+    text = lambda d: d.toDF("k", "t", "v", "m", "k2", "lo", "hi").withColumn("m", F.to_json("m"))
+    j = J.range_join(ev, ranges, "t", "lo", "hi", 600)
+    plain = ev.join(ranges, (ev.t >= ranges.lo) & (ev.t < ranges.hi))
+    assert j.columns == plain.columns and j.schema.simpleString() == plain.schema.simpleString()
+    assert text(plain).count() > 9000
+    assert text(j).exceptAll(text(plain)).isEmpty() and text(plain).exceptAll(text(j)).isEmpty()
+    sizes = [r.n for r in J.event_blocks(ev.filter("t IS NOT NULL").withColumn("b", F.lit(1)), "b", "t")
+             .select(F.size("__ats").alias("n")).collect()]
+    assert sum(sizes) == 3999 and max(sizes) <= 1024 and len(sizes) < 40
+    # Lists that nobody reads are not built; pairs have tasks of their own.
+    plan = LY.plan_text(j.groupBy("lo").count(), "simple")
+    tasks = J.PAIR_TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "__event0" not in plan and "posexplode" in plan
+    assert len(re.findall(rf"hashpartitioning\(__range_bucket#\w+, {tasks}\), REPARTITION_BY_NUM", plan)) == 2
+
+
 def test_salted_join_equals_plain_join(spark, sf_small):
     t = I.notebook_trips(spark, sf_small)
     z = D.zones(spark, sf_small).select(F.col("locationid").alias("PULocationID"), "borough")
